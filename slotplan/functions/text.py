@@ -76,7 +76,7 @@ def appl_obtainability(labels) -> Column:
     """Appliance: empty → 'easy'; exactly one token, 'build' or 'gem' → 'medium'; else 'hard'."""
     toks = split_trim(F.lower(pystrip(labels)))
     return (F.when(is_empty_label(labels), "easy")
-             .when((F.size(toks) == 1) & F.element_at(toks, 1).isin(*MEDIUM_APPL_TOKENS), "medium")
+             .when((F.size(toks) == 1) & F.try_element_at(toks, F.lit(1)).isin(*MEDIUM_APPL_TOKENS), "medium")
              .otherwise("hard"))
 
 
@@ -109,7 +109,7 @@ def title_slug(c) -> Column:
     Title-case upper-cases the first letter of every run of letters and lower-cases
     the rest (so ``bob's`` → ``Bob'S``), which ``initcap`` does not do.
     """
-    runs = F.regexp_extract_all(col_of(c), F.lit(r"([A-Za-z]+|[^A-Za-z]+)"), 1)
+    runs = F.regexp_extract_all(col_of(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
     titled = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
                                                   F.lower(F.substring(r, 2, 1 << 30))))
     return F.replace(F.array_join(titled, ""), F.lit(" "), F.lit("_"))
@@ -126,7 +126,7 @@ def url_host(c) -> Column:
 
 def url_basename_png(c) -> Column:
     """File name of a URL path, with '.png' added when it does not end with it."""
-    base = F.element_at(F.split(url_path(c), "/"), -1)
+    base = F.try_element_at(F.split(url_path(c), "/"), F.lit(-1))
     return F.when(base.endswith(".png"), base).otherwise(F.concat(base, F.lit(".png")))
 
 
@@ -152,4 +152,4 @@ def clean_column_name(name: str) -> str:
 def json_html_text(c) -> Column:
     """``parse.text['*']`` of a JSON document (``*`` is a key here, not a wildcard)."""
     parsed = F.from_json(col_of(c), "struct<parse:struct<text:map<string,string>>>")
-    return F.element_at(parsed.getField("parse").getField("text"), F.lit("*"))
+    return F.try_element_at(parsed.getField("parse").getField("text"), F.lit("*"))

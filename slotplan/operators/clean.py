@@ -22,7 +22,7 @@ def override_time(df: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES)
     if not fixes:
         return df
     m = F.create_map(*[F.lit(x) for kv in fixes for x in kv])
-    return df.withColumn("rcp_time_hr", F.coalesce(F.element_at(m, F.col("rcp_name")),
+    return df.withColumn("rcp_time_hr", F.coalesce(F.try_element_at(m, F.col("rcp_name")),
                                                    F.col("rcp_time_hr")))
 
 

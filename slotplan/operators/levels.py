@@ -39,15 +39,16 @@ def level_array(raw: DataFrame) -> DataFrame:
                                                F.col("slots").alias("raw_slots"))))
     filled = F.transform(arr, lambda x, i: F.struct(
         x["xp"].alias("xp"), x["level"].alias("level"),
-        F.coalesce(F.element_at(F.filter(F.slice(arr, 1, i + 1),
-                                         lambda y: y["raw_slots"].isNotNull()), -1)["raw_slots"],
+        F.coalesce(F.try_element_at(F.filter(F.slice(arr, 1, i + 1),
+                                             lambda y: y["raw_slots"].isNotNull()),
+                                    F.lit(-1))["raw_slots"],
                    F.lit(START_SLOTS)).alias("slots")))
     return t.agg(filled.alias("levels"))
 
 
 def slots_at(xp, levels) -> Column:
     """Slots in force at ``xp``: the last threshold <= xp, else the starting slots."""
-    hit = F.element_at(F.filter(levels, lambda l: l["xp"] <= col_of(xp)), -1)
+    hit = F.try_element_at(F.filter(col_of(levels), lambda l: l["xp"] <= col_of(xp)), F.lit(-1))
     return F.when(col_of(xp).isNull(), F.lit(None).cast("int")).otherwise(
         F.coalesce(hit["slots"], F.lit(START_SLOTS)))
 
@@ -84,7 +85,7 @@ def cycles_to_target(rate, levels, target: int = TARGET_XP) -> Column:
     def finish(acc):
         return acc["c"] + _ceil_div(tgt - acc["xp"], acc["st"] * r)
 
-    folded = F.aggregate(levels, init, step, finish)
+    folded = F.aggregate(col_of(levels), init, step, finish)
     if target <= 0:
         return F.when(r.isNull(), F.lit(None)).otherwise(F.lit(0).cast("bigint"))
     return F.when(r.isNull() | (r <= 0), F.lit(None).cast("bigint")).otherwise(folded)

@@ -1,4 +1,4 @@
-"""Registered queries: name → (spark, sf_dir) → DataFrame."""
+"""Registered queries: name → (spark, sf_dir) → DataFrame, and their oracle SQL."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import planner
+from . import oracle, planner, q_levels, q_recipes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,3 +18,8 @@ QUERIES: dict[str, Query] = {
     "q_planner_filtered": planner.planner_filtered,
     "q_planner_cube": planner.planner_cube,
 }
+ORACLE: dict[str, str] = dict(oracle.ORACLE)
+
+for _mod in (q_recipes, q_levels):
+    QUERIES.update(_mod.QUERIES)
+    ORACLE.update(_mod.ORACLE)

@@ -18,9 +18,9 @@ def recipes_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def recipes_with_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean recipes plus minutes and text to reach the target xp."""
     lv = level_array(fixtures.level_raw(spark, sf_dir)).scalar()
-    df = recipes_clean(spark, sf_dir)
-    df = df.withColumn("min_to_lvl99", cycles_to_target("rcp_xp", lv) * F.col("rcp_time_min"))
-    return df.withColumn("time_to_lvl99", format_minutes("min_to_lvl99"))
+    df = recipes_clean(spark, sf_dir).withColumn("_lv", lv)
+    df = df.withColumn("min_to_lvl99", cycles_to_target("rcp_xp", "_lv") * F.col("rcp_time_min"))
+    return df.drop("_lv").withColumn("time_to_lvl99", format_minutes("min_to_lvl99"))
 
 
 def appliances(spark: SparkSession, sf_dir: str) -> DataFrame:
