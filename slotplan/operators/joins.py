@@ -15,12 +15,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join that broadcasts ``right`` only after checking it is small.
-
-    Beyond the bound the join is left to Catalyst (sort-merge join, with AQE
-    splitting skewed partitions at run time).
+               max_rows: int | None = None) -> DataFrame:
+    """Join where ``right`` is broadcast only behind a size check.
+
+    ``max_rows=None`` (default) leaves the check to Spark: the planner compares
+    the estimated size with ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+    re-checks the real shuffled size at run time; beyond it the join stays a
+    sort-merge join, with AQE splitting skewed partitions. ``max_rows=N`` adds
+    an explicit bounded count (at most N+1 rows are read) and a broadcast hint
+    when it passes — for sides known to be small but poorly estimated.
     """
-    if fits_broadcast(right, max_rows):
+    if max_rows is not None and fits_broadcast(right, max_rows):
         right = F.broadcast(right)
     return left.join(right, on=on, how=how)

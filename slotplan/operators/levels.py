@@ -89,3 +89,20 @@ def cycles_to_target(rate, levels, target: int = TARGET_XP) -> Column:
     if target <= 0:
         return F.when(r.isNull(), F.lit(None)).otherwise(F.lit(0).cast("bigint"))
     return F.when(r.isNull() | (r <= 0), F.lit(None).cast("bigint")).otherwise(folded)
+
+
+def with_cycles(df: DataFrame, rate: str, level_raw: DataFrame, out: str = "cycles",
+                target: int = TARGET_XP) -> DataFrame:
+    """Add ``out`` = cycles to reach ``target`` for each row's rate.
+
+    The answer depends on the rate alone, so the fold runs once per distinct
+    rate (a grouped distinct, partially aggregated before the shuffle) and is
+    joined back on the rate. The level table rides along as a scalar subquery.
+    """
+    from .joins import sized_join
+
+    lv = level_array(level_raw).scalar()
+    rates = df.select(rate).distinct().where(F.col(rate).isNotNull())
+    per_rate = (rates.withColumn("_lv", lv)
+                     .select(rate, cycles_to_target(rate, "_lv", target).alias(out)))
+    return sized_join(df, per_rate, on=rate, how="left")

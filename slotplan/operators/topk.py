@@ -67,8 +67,10 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     """
     best_cols = [f"_b{i}" for i in range(len(metrics))]
     keys = list(group_by) + ["_bucket"]
-    b = (df.withColumn("_bucket", slot_bucket(time, slots))
-           .where(F.col("_bucket").isNotNull()))
+    # No filter on the bucket: a pushed-down "bucket is not null" would re-evaluate
+    # the time expression once per CASE branch. Rows without a bucket form one
+    # extra group whose slot array is empty, so the explode drops them.
+    b = df.withColumn("_bucket", slot_bucket(time, slots))
     part = b.groupBy(*keys).agg(*[F.max(best_key(m, ord_cols, payload)).alias(c)
                                   for c, (m, payload) in zip(best_cols, metrics)])
     stages = [("_bucket", slot_col, fitting_slots("_bucket", slots)), *fan_out]
@@ -92,8 +94,7 @@ def prefix_topk(df: DataFrame, *, time: str, slots: Sequence[int], metric: str,
     """
     order = [F.col(metric).desc_nulls_last(), *[F.col(o).asc() for o in ord_cols]]
     cols = list(dict.fromkeys([*group_by, metric, *ord_cols, *payload.values()]))
-    b = (df.select(*cols, slot_bucket(time, slots).alias("_bucket"))
-           .where(F.col("_bucket").isNotNull()))
+    b = df.select(*cols, slot_bucket(time, slots).alias("_bucket"))
     w1 = Window.partitionBy(*group_by, "_bucket").orderBy(*order)
     s1 = b.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r")
     fan = s1.withColumn(slot_col, F.explode(fitting_slots("_bucket", slots)))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import build_master, clean_recipes
-from ..operators.levels import cycles_to_target, level_array
+from ..operators.levels import with_cycles
 from ..functions.fmt import format_minutes
 from ..sources import fixtures
 
@@ -17,10 +17,10 @@ def recipes_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recipes_with_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean recipes plus minutes and text to reach the target xp."""
-    lv = level_array(fixtures.level_raw(spark, sf_dir)).scalar()
-    df = recipes_clean(spark, sf_dir).withColumn("_lv", lv)
-    df = df.withColumn("min_to_lvl99", cycles_to_target("rcp_xp", "_lv") * F.col("rcp_time_min"))
-    return df.drop("_lv").withColumn("time_to_lvl99", format_minutes("min_to_lvl99"))
+    df = with_cycles(recipes_clean(spark, sf_dir), "rcp_xp", fixtures.level_raw(spark, sf_dir),
+                     out="_cycles")
+    df = df.withColumn("min_to_lvl99", F.col("_cycles") * F.col("rcp_time_min")).drop("_cycles")
+    return df.withColumn("time_to_lvl99", format_minutes("min_to_lvl99"))
 
 
 def appliances(spark: SparkSession, sf_dir: str) -> DataFrame:

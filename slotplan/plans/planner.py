@@ -54,13 +54,20 @@ def sql_tier_level():
     return (F.when(easy_predicate(), 1).when(medium_predicate(), 2).otherwise(3)).cast("int")
 
 
-def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE) -> DataFrame:
-    """One game's clean recipes with a numeric time, left-joined to appliance labels."""
+def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE,
+                   require_time: bool = True) -> DataFrame:
+    """One game's clean recipes, left-joined to appliance labels.
+
+    ``require_time`` keeps only rows with a numeric, non-negative time. The
+    planners pass False: a row without a time never lands in a slot bucket, and
+    filtering first would make Catalyst evaluate the time expression again.
+    """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
-    r = (inputs.recipes_clean(spark, sf_dir)
-         .where((F.col("game_mode") == mode) & F.col("rcp_time_min").isNotNull()
-                & (F.col("rcp_time_min") >= 0))
+    r = inputs.recipes_clean(spark, sf_dir).where(F.col("game_mode") == mode)
+    if require_time:
+        r = r.where(F.col("rcp_time_min").isNotNull() & (F.col("rcp_time_min") >= 0))
+    r = (r
          .select("rcp_ord", "rcp_name", "appl_name", "rcp_xp", "rcp_profit",
                  "rcp_time_min", "rcp_labels"))
     a = inputs.appliances(spark, sf_dir).select("appl_name", "appl_labels")
@@ -74,7 +81,7 @@ def with_sql_rates(df: DataFrame) -> DataFrame:
 
 
 def _sql_report(spark, sf_dir, max_level: int, slots=RETURN_SLOTS, mode=DEFAULT_MODE) -> DataFrame:
-    cand = sql_candidates(spark, sf_dir, mode).where(F.col("tier_level") <= max_level)
+    cand = sql_candidates(spark, sf_dir, mode, require_time=False).where(F.col("tier_level") <= max_level)
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT, ord_cols=ORD)
     return (with_sql_rates(best)
             .select("return_time", "best_xp_recipe", "best_xp", "xp_per_hr",
@@ -99,7 +106,7 @@ def planner_hard(spark, sf_dir, slots=RETURN_SLOTS, mode=DEFAULT_MODE) -> DataFr
 
 def planner_tiers(spark, sf_dir, slots=RETURN_SLOTS_TIERS, mode=DEFAULT_MODE) -> DataFrame:
     """Q4: all three tiers in one pass (one scan, nested tiers), ordered by slot then tier."""
-    cand = sql_candidates(spark, sf_dir, mode)
+    cand = sql_candidates(spark, sf_dir, mode, require_time=False)
     tier_arr = F.array(*[F.lit(t) for t in TIERS])
     looser = ("tier_level", "recipe_type", F.slice(tier_arr, F.col("tier_level"), len(TIERS)))
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT, ord_cols=ORD,
@@ -135,11 +142,12 @@ def validate_params(mode: str, level: int, tier: str) -> None:
 def score_candidates(master: DataFrame, mode: str, level: int, tier: str) -> DataFrame:
     """game = mode, level <= L, tier predicate on the difficulty score.
 
-    Rows with a null time or level are dropped (they cannot be compared).
+    Rows with a null level are dropped; rows with a null time never land in a
+    slot bucket, so they drop out there.
     """
     validate_params(mode, level, tier)
     return master.where((F.col("game_mode") == mode) & (F.col("rcp_level") <= level)
-                        & F.col("rcp_time_min").isNotNull() & tier_predicate(tier))
+                        & tier_predicate(tier))
 
 
 def planner_filtered(spark, sf_dir, mode: str = DEFAULT_MODE, level: int = DEFAULT_LEVEL,
@@ -167,8 +175,7 @@ def planner_cube(spark, sf_dir, slots: Sequence[int] = RETURN_SLOTS) -> DataFram
     and levels, with a reduction after each step.
     """
     m = (inputs.master(spark, sf_dir)
-         .where(F.col("rcp_time_min").isNotNull() & F.col("rcp_level").isNotNull()
-                & (F.col("rcp_level") <= 99) & F.col("game_mode").isin(*MODES))
+         .where((F.col("rcp_level") <= 99) & F.col("game_mode").isin(*MODES))
          .withColumn("_lvl", F.greatest(F.col("rcp_level"), F.lit(1))))
     tier_ok = F.filter(F.array(*[F.struct(F.lit(n).alias("t"), F.lit(c).alias("c"))
                                  for n, c in TIER_MAX_SCORE]),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import START_SLOTS, TARGET_XP
 from ..functions import fmt
 from ..operators.clean import clean_columns
-from ..operators.levels import cycles_to_target, level_array, slots_at, typed_levels
+from ..operators.levels import level_array, slots_at, typed_levels, with_cycles
 from ..sources import fixtures
 from . import inputs, oracle as O
 
@@ -117,11 +117,9 @@ select r.rcp_ord, r.rcp_xp, r.rcp_time_min, f.cycles,
 from recipes r left join fold f on f.rcp_ord = r.rcp_ord""")
 def q_cycles_to_target(spark, sf_dir):
     """Cycles to reach the target xp under the step-wise slot table, and minutes."""
-    lv = level_array(fixtures.level_raw(spark, sf_dir)).scalar()
-    r = inputs.recipes_clean(spark, sf_dir).withColumn("_lv", lv)
-    cyc = cycles_to_target("rcp_xp", "_lv")
-    return r.select("rcp_ord", "rcp_xp", "rcp_time_min", cyc.alias("cycles"),
-                    (cyc * F.col("rcp_time_min")).alias("min_to_lvl99"))
+    r = with_cycles(inputs.recipes_clean(spark, sf_dir), "rcp_xp", fixtures.level_raw(spark, sf_dir))
+    return r.select("rcp_ord", "rcp_xp", "rcp_time_min", "cycles",
+                    (F.col("cycles") * F.col("rcp_time_min")).alias("min_to_lvl99"))
 
 
 @register("q_level_report", O.with_ctes("recipes", "fold") + """

@@ -216,8 +216,9 @@ def q_theta_slots(spark, sf_dir):
 
     Computed per bucket, then the bucket sums are fanned out to the larger slots.
     """
-    c = sql_candidates(spark, sf_dir).withColumn("_b", slot_bucket("rcp_time_min", RETURN_SLOTS))
-    per = (c.where(F.col("_b").isNotNull()).groupBy("_b")
+    c = sql_candidates(spark, sf_dir, require_time=False).withColumn(
+        "_b", slot_bucket("rcp_time_min", RETURN_SLOTS))
+    per = (c.groupBy("_b")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("rcp_xp").alias("s"), F.max("rcp_time_min").alias("m")))
     fan = per.withColumn("return_time", F.explode(fitting_slots("_b", RETURN_SLOTS)))
     return fan.groupBy("return_time").agg(F.sum("n").alias("n_candidates"),
@@ -234,7 +235,7 @@ def q_time_slots(spark, sf_dir):
     """The slot list, with how many recipes have each as their tightest slot."""
     r = inputs.recipes_clean(spark, sf_dir)
     counts = (r.select(slot_bucket("rcp_time_min", RETURN_SLOTS).alias("return_time"))
-               .where(F.col("return_time").isNotNull()).groupBy("return_time")
+               .groupBy("return_time")
                .agg(F.count(F.lit(1)).alias("n_in_bucket")))
     return (slots_frame(spark, RETURN_SLOTS).join(counts, "return_time", "left")
             .select("return_time", F.coalesce("n_in_bucket", F.lit(0)).cast("bigint").alias("n_in_bucket")))
@@ -278,16 +279,16 @@ select return_time, rnk as rank, rcp_name, {metric} from r where rnk <= 3"""
 @register("q_rank_xp", _rank_sql("rcp_xp"))
 def q_rank_xp(spark, sf_dir):
     """xp rank per slot (top 3 kept; rank 1 is the report's pick)."""
-    return prefix_topk(sql_candidates(spark, sf_dir), time="rcp_time_min", slots=RETURN_SLOTS,
-                       metric="rcp_xp", k=3, payload={"rcp_name": "rcp_name", "rcp_xp": "rcp_xp"},
+    return prefix_topk(sql_candidates(spark, sf_dir, require_time=False), time="rcp_time_min",
+                       slots=RETURN_SLOTS, metric="rcp_xp", k=3, payload={"rcp_name": "rcp_name", "rcp_xp": "rcp_xp"},
                        ord_cols=ORD)
 
 
 @register("q_rank_profit", _rank_sql("rcp_profit"))
 def q_rank_profit(spark, sf_dir):
     """profit rank per slot (top 3 kept)."""
-    return prefix_topk(sql_candidates(spark, sf_dir), time="rcp_time_min", slots=RETURN_SLOTS,
-                       metric="rcp_profit", k=3,
+    return prefix_topk(sql_candidates(spark, sf_dir, require_time=False), time="rcp_time_min",
+                       slots=RETURN_SLOTS, metric="rcp_profit", k=3,
                        payload={"rcp_name": "rcp_name", "rcp_profit": "rcp_profit"}, ord_cols=ORD)
 
 
@@ -300,7 +301,7 @@ group by t.return_time""")
 def q_filtered_max(spark, sf_dir):
     """``MAX(FILTER(col, preds))`` per slot for (bakery, level 50, medium)."""
     c = score_candidates(inputs.master(spark, sf_dir), "bakery", 50, "medium")
-    c = c.withColumn("_b", slot_bucket("rcp_time_min", RETURN_SLOTS)).where(F.col("_b").isNotNull())
+    c = c.withColumn("_b", slot_bucket("rcp_time_min", RETURN_SLOTS))
     per = c.groupBy("_b").agg(F.max("rcp_xp").alias("x"), F.max("rcp_profit").alias("p"))
     fan = per.withColumn("return_time", F.explode(fitting_slots("_b", RETURN_SLOTS)))
     return fan.groupBy("return_time").agg(F.max("x").alias("max_xp"), F.max("p").alias("max_profit"))
