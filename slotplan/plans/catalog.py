@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle, planner, q_levels, q_pages, q_publish, q_recipes
+from . import oracle, planner, q_items, q_levels, q_pages, q_publish, q_recipes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,6 @@ QUERIES: dict[str, Query] = {
 }
 ORACLE: dict[str, str] = dict(oracle.ORACLE)
 
-for _mod in (q_recipes, q_levels, q_pages, q_publish):
+for _mod in (q_recipes, q_levels, q_pages, q_publish, q_items):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
