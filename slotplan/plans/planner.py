@@ -106,7 +106,11 @@ def planner_hard(spark, sf_dir, slots=RETURN_SLOTS, mode=DEFAULT_MODE) -> DataFr
 
 def planner_tiers(spark, sf_dir, slots=RETURN_SLOTS_TIERS, mode=DEFAULT_MODE) -> DataFrame:
     """Q4: all three tiers in one pass (one scan, nested tiers), ordered by slot then tier."""
-    cand = sql_candidates(spark, sf_dir, mode, require_time=False)
+    return tiers_report(sql_candidates(spark, sf_dir, mode, require_time=False), slots)
+
+
+def tiers_report(cand: DataFrame, slots=RETURN_SLOTS_TIERS) -> DataFrame:
+    """Q4 over any candidate table with ``tier_level`` (1 easy, 2 medium, 3 hard)."""
     tier_arr = F.array(*[F.lit(t) for t in TIERS])
     looser = ("tier_level", "recipe_type", F.slice(tier_arr, F.col("tier_level"), len(TIERS)))
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT, ord_cols=ORD,
@@ -154,8 +158,14 @@ def planner_filtered(spark, sf_dir, mode: str = DEFAULT_MODE, level: int = DEFAU
                      tier: str = DEFAULT_TIER, slots: Sequence[int] = RETURN_SLOTS,
                      keep_empty: bool = True) -> DataFrame:
     """Interactive planner for one (game, level, tier): every slot, best xp and profit."""
-    m = inputs.master(spark, sf_dir)
-    cand = score_candidates(m, mode, level, tier)
+    return filtered_report(spark, inputs.master(spark, sf_dir), mode, level, tier, slots, keep_empty)
+
+
+def filtered_report(spark, master: DataFrame, mode: str = DEFAULT_MODE, level: int = DEFAULT_LEVEL,
+                    tier: str = DEFAULT_TIER, slots: Sequence[int] = RETURN_SLOTS,
+                    keep_empty: bool = True) -> DataFrame:
+    """The interactive planner over any master table."""
+    cand = score_candidates(master, mode, level, tier)
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT_APPL,
                        ord_cols=ORD)
     if keep_empty:
@@ -174,7 +184,12 @@ def planner_cube(spark, sf_dir, slots: Sequence[int] = RETURN_SLOTS) -> DataFram
     once over the raw rows; only those winners are fanned out over slots, tiers
     and levels, with a reduction after each step.
     """
-    m = (inputs.master(spark, sf_dir)
+    return cube_report(inputs.master(spark, sf_dir), slots)
+
+
+def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS) -> DataFrame:
+    """The (game, level, tier, slot) cube over any master table."""
+    m = (master
          .where((F.col("rcp_level") <= 99) & F.col("game_mode").isin(*MODES))
          .withColumn("_lvl", F.greatest(F.col("rcp_level"), F.lit(1))))
     tier_ok = F.filter(F.array(*[F.struct(F.lit(n).alias("t"), F.lit(c).alias("c"))
