@@ -27,17 +27,23 @@ def override_time(df: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES)
 
 
 def clean_recipes(raw: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES) -> DataFrame:
-    """Numbers out of text, time fixes, minutes, profit, obtainability."""
-    df = raw
+    """Numbers out of text, time fixes, minutes, profit, obtainability.
+
+    One projection: every derived column is computed from the raw columns.
+    """
+    cols = {c: F.col(c) for c in raw.columns}
     for c in ("rcp_income", "rcp_xp", "rcp_servings"):
-        if c in df.columns:
-            df = df.withColumn(c, clean_int(c))
-    if "rcp_cost" in df.columns:
-        df = df.withColumn("rcp_cost", F.abs(clean_int("rcp_cost")))
-    df = override_time(df, fixes)
-    return (df.withColumn("rcp_time_min", hours_text_to_minutes("rcp_time_hr"))
-              .withColumn("rcp_profit", F.col("rcp_income") - F.col("rcp_cost"))
-              .withColumn("rcp_obtainability", rcp_obtainability("rcp_labels")))
+        if c in cols:
+            cols[c] = clean_int(c)
+    if "rcp_cost" in cols:
+        cols["rcp_cost"] = F.abs(clean_int("rcp_cost"))
+    if fixes and "rcp_time_hr" in cols:
+        m = F.create_map(*[F.lit(x) for kv in fixes for x in kv])
+        cols["rcp_time_hr"] = F.coalesce(F.try_element_at(m, F.col("rcp_name")), F.col("rcp_time_hr"))
+    cols["rcp_time_min"] = hours_text_to_minutes(cols["rcp_time_hr"])
+    cols["rcp_profit"] = cols["rcp_income"] - cols["rcp_cost"]
+    cols["rcp_obtainability"] = rcp_obtainability("rcp_labels")
+    return raw.select(*[v.alias(k) for k, v in cols.items()])
 
 
 def with_appl_obtainability(appl: DataFrame) -> DataFrame:

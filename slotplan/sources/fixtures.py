@@ -16,63 +16,51 @@ from .tables import read_table
 
 def recipe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw recipe rows (D1), one per order. ``rcp_ord`` is the table order."""
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    k = F.col("o_orderkey")
-    return o.select(
-        k.alias("rcp_ord"),
-        F.when(k % 2 == 0, "restaurant").otherwise("bakery").alias("game_mode"),
-        F.concat(F.lit("rcp_"), F.floor(k / 3).cast("string")).alias("rcp_name"),
-        F.concat(F.lit("Supplier#"),
-                 F.lpad((F.col("o_custkey") % 120).cast("string"), 9, "0")).alias("appl_name"),
-        F.concat(F.lit("c: -"), F.floor(F.col("o_totalprice") / 7).cast("string")).alias("rcp_cost"),
-        F.concat(F.floor(F.col("o_totalprice") / 5).cast("string"), F.lit(" coins")).alias("rcp_income"),
-        F.concat((F.col("o_custkey") % 997 + 1).cast("string"), F.lit(" xp")).alias("rcp_xp"),
-        F.when(k % 50 == 0, "soon")
-         .otherwise(F.concat((k % 48).cast("string"), F.lit(".25 hrs"))).alias("rcp_time_hr"),
-        F.when(k % 4 == 0, "").when(k % 4 == 1, F.lit(None).cast("string"))
-         .when(k % 4 == 2, "Gem").otherwise("Event, Holiday").alias("rcp_labels"),
-        (1 + k % 99).cast("int").alias("rcp_level"),
+    o = read_table(spark, sf_dir, "orders")
+    return o.selectExpr(
+        "o_orderkey as rcp_ord",
+        "case when o_orderkey % 2 = 0 then 'restaurant' else 'bakery' end as game_mode",
+        "concat('rcp_', cast(floor(o_orderkey / 3) as string)) as rcp_name",
+        "concat('Supplier#', lpad(cast(o_custkey % 120 as string), 9, '0')) as appl_name",
+        "concat('c: -', cast(floor(o_totalprice / 7) as string)) as rcp_cost",
+        "concat(cast(floor(o_totalprice / 5) as string), ' coins') as rcp_income",
+        "concat(cast(o_custkey % 997 + 1 as string), ' xp') as rcp_xp",
+        "case when o_orderkey % 50 = 0 then 'soon'"
+        " else concat(cast(o_orderkey % 48 as string), '.25 hrs') end as rcp_time_hr",
+        "case o_orderkey % 4 when 0 then '' when 1 then cast(null as string)"
+        " when 2 then 'Gem' else 'Event, Holiday' end as rcp_labels",
+        "cast(1 + o_orderkey % 99 as int) as rcp_level",
     )
 
 
 def appliances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appliance rows (D3), one per supplier; shared by both games."""
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    k = F.col("s_suppkey")
-    return s.select(
-        k.alias("appl_ord"),
-        F.col("s_name").alias("appl_name"),
-        F.when(k % 5 == 0, "").when(k % 5 == 1, F.lit(None).cast("string"))
-         .when(k % 5 == 2, "Build").when(k % 5 == 3, " gem ").otherwise("Build, Gem")
-         .alias("appl_labels"),
-        F.concat(F.lit("http://cdn.example.com/a/appl_"), k.cast("string"),
-                 F.when(k % 3 == 0, ".png").otherwise("")).alias("appl_img_url"),
+    s = read_table(spark, sf_dir, "supplier")
+    return s.selectExpr(
+        "s_suppkey as appl_ord",
+        "s_name as appl_name",
+        "case s_suppkey % 5 when 0 then '' when 1 then cast(null as string)"
+        " when 2 then 'Build' when 3 then ' gem ' else 'Build, Gem' end as appl_labels",
+        "concat('http://cdn.example.com/a/appl_', cast(s_suppkey as string),"
+        " case when s_suppkey % 3 = 0 then '.png' else '' end) as appl_img_url",
     )
 
 
-def _thousands(x):
-    """Integer text with a thousands separator, as scraped level tables carry it."""
-    return F.when(x >= 1000, F.concat(F.floor(x / 1000).cast("string"), F.lit(","),
-                                      F.lpad((x % 1000).cast("string"), 3, "0"))
-                  ).otherwise(x.cast("string"))
-
-
 def level_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped-style level table (D4): all text, commas in xp, gaps and junk in slots.
 
     One row per level (``c_custkey % 99``), so it has at most 99 rows whatever the scale.
     """
-    c = read_table(spark, sf_dir, "customer").select("c_custkey")
-    g = (c.groupBy((F.col("c_custkey") % 99).alias("k")).agg(F.count(F.lit(1)).alias("n")))
-    k = F.col("k")
-    xp = k * k * 90 + F.col("n")
-    xp_text = _thousands(xp)
-    return g.select(
-        (k + 1).cast("string").alias("Level"),
-        F.when(k % 7 == 3, F.concat(F.lit(" "), xp_text, F.lit(" "))).otherwise(xp_text).alias(" XP"),
-        F.when(k % 5 == 1, F.lit(None).cast("string")).when(k % 11 == 4, "x")
-         .otherwise((2 + F.floor(k / 10)).cast("string")).alias("Slots "),
-        (k % 3).cast("string").alias("Expansion"),
+    c = read_table(spark, sf_dir, "customer")
+    g = c.groupBy((F.col("c_custkey") % 99).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    xp = ("case when x >= 1000 then concat(cast(floor(x / 1000) as string), ',',"
+          " lpad(cast(x % 1000 as string), 3, '0')) else cast(x as string) end")
+    return g.selectExpr("k", "k * k * 90 + n as x").selectExpr(
+        "cast(k + 1 as string) as Level",
+        f"case when k % 7 = 3 then concat(' ', {xp}, ' ') else {xp} end as ` XP`",
+        "case when k % 5 = 1 then cast(null as string) when k % 11 = 4 then 'x'"
+        " else cast(2 + floor(k / 10) as string) end as `Slots `",
+        "cast(k % 3 as string) as Expansion",
     )
 
 

@@ -17,9 +17,21 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_READERS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one base table; Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Parquet scan of one base table; Catalyst prunes columns and pushes filters.
+
+    The DataFrame (an immutable plan) is reused per session and path, so the
+    file listing happens once instead of in every query that reads the table.
+    """
+    path = table_path(sf_dir, name)
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def load_required(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
