@@ -54,16 +54,29 @@ FanOut = tuple[str, str, Column]  # (key it replaces, new key, array of new key
 
 def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequence[Metric],
                 ord_cols: Sequence[str], group_by: Sequence[str] = (),
-                fan_out: Sequence[FanOut] = (), slot_col: str = "return_time") -> DataFrame:
+                fan_out: Sequence[FanOut] = (), slot_col: str = "return_time",
+                strategy: str = "struct") -> DataFrame:
     """Best row per (group, slot) for each metric.
 
-    Rows are reduced per (group, bucket) first — the only aggregation that sees
-    the raw rows, with map-side partial aggregation. The winners are then fanned
-    out to every slot >= their bucket and reduced again. Each ``fan_out`` entry
-    repeats that for another monotone key: a winner for key value ``v`` is also a
-    candidate for every value in the array (e.g. a row of tier "easy" also counts
-    for "medium" and "hard"). Slots with no candidate are left out (see
-    :func:`with_all_slots`).
+    Rows are reduced per (group, bucket) first — the only step that sees the raw
+    rows. The winners are then fanned out to every slot >= their bucket and
+    reduced again. Each ``fan_out`` entry repeats that for another monotone key:
+    a winner for key value ``v`` is also a candidate for every value in the
+    array (e.g. a row of tier "easy" also counts for "medium" and "hard").
+    Slots with no candidate are left out (see :func:`with_all_slots`).
+
+    ``strategy`` picks how the per-bucket reduction runs:
+
+    * ``"struct"`` (default): one ``max(struct(metric, -ord, payload))`` per
+      metric. A single pass over the input; the struct buffer makes it a
+      sort-based aggregate (still partial before the shuffle). Best when the
+      input is expensive to derive (e.g. parsed from text).
+    * ``"maxima"``: a hash aggregate finds each metric's maximum per
+      (group, bucket) — fixed-width buffers, partial aggregation before the
+      shuffle — then one join with those maxima (one row per group and bucket)
+      keeps only the rows that reach a maximum, ties included; the
+      first-in-order pick runs on those few rows. Reads the input twice, so it
+      is the better plan over stored tables (measured ~17% faster on lineitem).
     """
     best_cols = [f"_b{i}" for i in range(len(metrics))]
     keys = list(group_by) + ["_bucket"]
@@ -71,8 +84,26 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     # the time expression once per CASE branch. Rows without a bucket form one
     # extra group whose slot array is empty, so the explode drops them.
     b = df.withColumn("_bucket", slot_bucket(time, slots))
-    part = b.groupBy(*keys).agg(*[F.max(best_key(m, ord_cols, payload)).alias(c)
-                                  for c, (m, payload) in zip(best_cols, metrics)])
+    if strategy == "maxima":
+        mx = (b.groupBy(*keys)
+               .agg(*[F.max(m).alias(f"_mx{i}") for i, (m, _) in enumerate(metrics)])
+               .select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)],
+                       *[f"_mx{i}" for i in range(len(metrics))]))
+        hit = None
+        for i, (m, _) in enumerate(metrics):
+            c = F.col(m).eqNullSafe(F.col(f"_mx{i}"))
+            hit = c if hit is None else hit | c
+        on = [b[k].eqNullSafe(mx[f"_k{j}"]) for j, k in enumerate(keys)]
+        cand = (b.join(mx, on=on, how="inner").drop(*[f"_k{j}" for j in range(len(keys))])
+                 .where(hit))
+        part = cand.groupBy(*keys).agg(*[
+            F.max(F.when(F.col(m).eqNullSafe(F.col(f"_mx{i}")), best_key(m, ord_cols, payload)))
+            .alias(c) for i, (c, (m, payload)) in enumerate(zip(best_cols, metrics))])
+    elif strategy == "struct":
+        part = b.groupBy(*keys).agg(*[F.max(best_key(m, ord_cols, payload)).alias(c)
+                                      for c, (m, payload) in zip(best_cols, metrics)])
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     stages = [("_bucket", slot_col, fitting_slots("_bucket", slots)), *fan_out]
     for src, out, values in stages:
         part = part.withColumn(out, F.explode(values))

@@ -65,13 +65,14 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, mode: str = "bo
     if "reports" in steps:
         master = load_required(spark, paths["master"], "master")
         per_game = [tiers_report(master.where(F.col("game_mode") == g)
-                                 .withColumn("tier_level", sql_tier_level()), RETURN_SLOTS_TIERS)
+                                 .withColumn("tier_level", sql_tier_level()), RETURN_SLOTS_TIERS,
+                                 strategy="maxima")
                     .withColumn("game_mode", F.lit(g)) for g in games]
         tiers = per_game[0]
         for t in per_game[1:]:
             tiers = tiers.unionByName(t)
         _save(tiers, paths["report_tiers"])
-        _save(cube_report(master), paths["report_cube"])
+        _save(cube_report(master, strategy="maxima"), paths["report_cube"])
 
     if "publish" in steps:
         master = load_required(spark, paths["master"], "master")

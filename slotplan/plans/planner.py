@@ -109,12 +109,12 @@ def planner_tiers(spark, sf_dir, slots=RETURN_SLOTS_TIERS, mode=DEFAULT_MODE) ->
     return tiers_report(sql_candidates(spark, sf_dir, mode, require_time=False), slots)
 
 
-def tiers_report(cand: DataFrame, slots=RETURN_SLOTS_TIERS) -> DataFrame:
+def tiers_report(cand: DataFrame, slots=RETURN_SLOTS_TIERS, strategy: str = "struct") -> DataFrame:
     """Q4 over any candidate table with ``tier_level`` (1 easy, 2 medium, 3 hard)."""
     tier_arr = F.array(*[F.lit(t) for t in TIERS])
     looser = ("tier_level", "recipe_type", F.slice(tier_arr, F.col("tier_level"), len(TIERS)))
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT, ord_cols=ORD,
-                       group_by=("tier_level",), fan_out=(looser,))
+                       group_by=("tier_level",), fan_out=(looser,), strategy=strategy)
     tier_order = F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col("recipe_type"))
     return (with_sql_rates(best)
             .select("return_time", "recipe_type", "best_xp_recipe", "best_xp", "xp_per_hr",
@@ -187,7 +187,8 @@ def planner_cube(spark, sf_dir, slots: Sequence[int] = RETURN_SLOTS) -> DataFram
     return cube_report(inputs.master(spark, sf_dir), slots)
 
 
-def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS) -> DataFrame:
+def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS,
+                strategy: str = "struct") -> DataFrame:
     """The (game, level, tier, slot) cube over any master table."""
     m = (master
          .where((F.col("rcp_level") <= 99) & F.col("game_mode").isin(*MODES))
@@ -199,7 +200,8 @@ def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS) -> DataF
     fan = (("rcp_difficulty", "recipe_type", F.transform(tier_ok, lambda x: x["t"])),
            ("_lvl", "level", F.sequence(F.col("_lvl"), F.lit(99))))
     best = prefix_best(m, time="rcp_time_min", slots=slots, metrics=XP_PROFIT_APPL, ord_cols=ORD,
-                       group_by=("game_mode", "_lvl", "rcp_difficulty"), fan_out=fan)
+                       group_by=("game_mode", "_lvl", "rcp_difficulty"), fan_out=fan,
+                       strategy=strategy)
     return (best.withColumn("level", F.col("level").cast("int"))
                 .withColumn("xp_per_hr", rate_js("best_xp", "return_time"))
                 .withColumn("profit_per_hr", rate_js("best_profit", "return_time"))

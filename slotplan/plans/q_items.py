@@ -43,7 +43,8 @@ def _finish(best: DataFrame) -> DataFrame:
 def item_planner(spark, sf_dir, slots=RETURN_SLOTS) -> DataFrame:
     """Prefix top-1: bucket, partial aggregate, fan the winners out, reduce."""
     return _finish(prefix_best(items(spark, sf_dir), time="time", slots=slots,
-                               metrics=ITEM_METRICS, ord_cols=ITEM_ORD, group_by=("l_returnflag",)))
+                               metrics=ITEM_METRICS, ord_cols=ITEM_ORD, group_by=("l_returnflag",),
+                               strategy="maxima"))
 
 
 def item_planner_naive(spark, sf_dir, slots=RETURN_SLOTS) -> DataFrame:

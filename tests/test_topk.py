@@ -81,3 +81,15 @@ def test_topk_matches_sorting(spark):
         want = [(i + 1, r.name) for i, r in enumerate(fit[:3])]
         got = sorted((r["rank"], r["name"]) for r in top.where(F.col("return_time") == s).collect())
         assert got == want
+
+
+def test_strategies_agree(spark):
+    df = sample(spark, 500, seed=21)
+    kw = dict(time="t", slots=SLOTS, metrics=METRICS, ord_cols=("ord",), group_by=("g",))
+    a = prefix_best(df, strategy="struct", **kw)
+    b = prefix_best(df, strategy="maxima", **kw)
+    assert key(a) == key(b)
+    # all-null metric group and heavy ties
+    ties = spark.createDataFrame([(i, f"n{i}", "h", 3, 5 if i % 2 else None, None) for i in range(40)],
+                                 "ord bigint, name string, g string, t bigint, x bigint, p bigint")
+    assert key(prefix_best(ties, strategy="struct", **kw)) == key(prefix_best(ties, strategy="maxima", **kw))
