@@ -102,7 +102,8 @@ def with_cycles(df: DataFrame, rate: str, level_raw: DataFrame, out: str = "cycl
     from .joins import sized_join
 
     lv = level_array(level_raw).scalar()
-    rates = df.select(rate).distinct().where(F.col(rate).isNotNull())
+    # no null filter here: it would re-run the rate's parsing; a null rate never joins
+    rates = df.select(rate).distinct()
     per_rate = (rates.withColumn("_lv", lv)
                      .select(rate, cycles_to_target(rate, "_lv", target).alias(out)))
     return sized_join(df, per_rate, on=rate, how="left")

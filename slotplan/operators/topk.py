@@ -163,5 +163,6 @@ def with_all_slots(best: DataFrame, slots_df: DataFrame, slot_col: str = "return
 
 
 def slots_frame(spark, slots: Sequence[int], slot_col: str = "return_time") -> DataFrame:
-    """The slot list as a one-column DataFrame (A5)."""
-    return spark.createDataFrame([(int(s),) for s in slots], f"{slot_col} int")
+    """The slot list as a one-column DataFrame (A5); a generated local relation, so the
+    planner knows it is tiny and broadcasts it."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(int(s)) for s in slots])).alias(slot_col))
