@@ -392,9 +392,9 @@ def q_format_short(spark, sf_dir):
 
 @register("q_level_clamp", """
 select page_id, lvl_text,
-  least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end)) as level,
-  least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end + 1)) as level_up,
-  least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end - 1)) as level_down
+  cast(least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end)) as int) as level,
+  cast(least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end + 1)) as int) as level_up,
+  cast(least(99, greatest(1, case when coalesce(v, 0) = 0 then 1 else v end - 1)) as int) as level_down
 from (select page_id, lvl_text,
         try_cast(nullif(regexp_extract(lvl_text, '^\\s*([+-]?[0-9]+)', 1), '') as bigint) as v
       from (select page_id, regexp_extract(url, '/([^/?#]*)$', 1) as lvl_text from pages))""")
