@@ -93,3 +93,19 @@ def test_strategies_agree(spark):
     ties = spark.createDataFrame([(i, f"n{i}", "h", 3, 5 if i % 2 else None, None) for i in range(40)],
                                  "ord bigint, name string, g string, t bigint, x bigint, p bigint")
     assert key(prefix_best(ties, strategy="struct", **kw)) == key(prefix_best(ties, strategy="maxima", **kw))
+
+
+def test_cube_monotone_in_level_and_slot(spark):
+    from tests.conftest import SF_SMALL
+    from slotplan.plans.planner import planner_cube
+    rows = planner_cube(spark, SF_SMALL).collect()
+    best = {(r.game_mode, r.recipe_type, r.level, r.return_time): r.best_xp for r in rows}
+    for (g, t, lvl, s), v in best.items():
+        for key in ((g, t, lvl + 1, s), (g, t, lvl, s * 2)):
+            if key in best and v is not None:
+                assert best[key] is not None and best[key] >= v
+    tiers = ("easy", "medium", "hard")
+    for (g, t, lvl, s), v in best.items():
+        if t != "hard" and v is not None:
+            looser = (g, tiers[tiers.index(t) + 1], lvl, s)
+            assert best[looser] >= v
