@@ -18,6 +18,37 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 _READERS: dict = {}
+# Tables smaller than this are not worth spreading out.
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def _local_size(path: str) -> int | None:
+    """Bytes of a local file or folder; None when the path is not on the local disk."""
+    import os
+    p = path[len("file:"):] if path.startswith("file:") else path
+    if not os.path.exists(p):
+        return None
+    if os.path.isfile(p):
+        return os.path.getsize(p)
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
+
+
+def spread_small_scan(df: DataFrame, key: str, path: str) -> DataFrame:
+    """Use every core when a table arrives as fewer splits than the cluster runs in parallel.
+
+    A single-row-group file is read by one task, and all per-row parsing after
+    it would run on one core. Only then is the scan hash-partitioned on its key
+    (column pruning and filters still reach the scan below the exchange). A
+    large table already has at least as many splits as cores, so nothing is
+    added there.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    size = _local_size(path)
+    if size is not None and size < SPREAD_MIN_BYTES:
+        return df
+    return df.repartition(target, key)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +61,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     key = (id(spark), spark.sparkContext.applicationId, path)
     df = _READERS.get(key)
     if df is None:
-        df = _READERS[key] = spark.read.parquet(path)
+        raw = spark.read.parquet(path)
+        df = _READERS[key] = spread_small_scan(raw, raw.columns[0], path)
     return df
 
 
