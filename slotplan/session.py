@@ -42,9 +42,17 @@ def local_session(cores: int = 8, shuffle_partitions: int | None = None,
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a remote session has no local SparkContext
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = sc.getCheckpointDir() if sc is not None else None
     if d:
         return d
     return spark.conf.get("spark.checkpoint.dir", None) or None
@@ -52,14 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use ``spark.checkpoint.dir``; fall back to a scratch folder only in local mode."""
+    sc = _context(spark)
     d = checkpoint_dir(spark)
     if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
-    if not spark.sparkContext.master.startswith("local"):
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not str(master).startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
     d = tempfile.mkdtemp(prefix="slotplan-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d

@@ -42,8 +42,11 @@ def spread_small_scan(df: DataFrame, key: str, path: str) -> DataFrame:
     large table already has at least as many splits as cores, so nothing is
     added there.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no local SparkContext (e.g. a remote session): leave the scan as is
         return df
     size = _local_size(path)
     if size is not None and size < SPREAD_MIN_BYTES:
@@ -58,7 +61,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     file listing happens once instead of in every query that reads the table.
     """
     path = table_path(sf_dir, name)
-    key = (id(spark), spark.sparkContext.applicationId, path)
+    key = (id(spark), path)
     df = _READERS.get(key)
     if df is None:
         raw = spark.read.parquet(path)
