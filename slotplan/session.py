@@ -70,7 +70,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not str(master).startswith("local"):
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
     d = tempfile.mkdtemp(prefix="slotplan-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None:
         sc.setCheckpointDir(d)
+    else:
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
