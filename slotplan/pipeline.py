@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import MODES, RETURN_SLOTS_TIERS
+from .constants import RETURN_SLOTS_TIERS
 from .operators.clean import build_master, clean_recipes
 from .operators.levels import with_cycles
 from .functions.fmt import format_minutes

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import START_SLOTS, TARGET_XP
-from ..functions import fmt
 from ..operators.clean import clean_columns
 from ..operators.levels import level_array, slots_at, typed_levels, with_cycles
 from ..sources import fixtures

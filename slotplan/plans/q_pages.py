@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import LEVEL_TABLE_HEADERS, MODES
+from ..constants import LEVEL_TABLE_HEADERS
 from ..functions import text as T
-from ..operators.clean import clean_columns, distinct_rows, first_per_key
+from ..operators.clean import clean_columns, distinct_rows
 from ..operators.windows import running_sum, take_while
 from ..sources import fixtures, pages as P
 from ..sources.tables import read_table

@@ -9,7 +9,6 @@ from ..sinks import publish as S
 from ..sources import fixtures
 from ..sources.multi import union_sources
 from ..sources.tables import read_table
-from ..operators.topk import slots_frame
 from . import inputs, oracle as O
 
 Q: dict = {}

@@ -9,12 +9,11 @@ from ..constants import MODES, RETURN_SLOTS, TIERS
 from ..functions import fmt
 from ..functions import text as T
 from ..operators.clean import build_master, first_per_key, nulls_for_nan, override_time
-from ..operators.topk import (fitting_slots, prefix_best, prefix_topk, slot_bucket,
-                              slots_frame)
+from ..operators.topk import fitting_slots, prefix_topk, slot_bucket, slots_frame
 from ..sources import fixtures
 from ..sources.tables import read_table
 from . import inputs, oracle as O
-from .planner import (ORD, XP_PROFIT_APPL, easy_predicate, medium_predicate, planner_filtered,
+from .planner import (ORD, easy_predicate, medium_predicate, planner_filtered,
                       score_candidates, sql_candidates, tier_predicate)
 
 Q: dict = {}

@@ -3,7 +3,6 @@
 import datetime as dt
 import glob
 import os
-import tempfile
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
