@@ -18,11 +18,14 @@ from .clean import clean_columns
 
 
 def typed_levels(raw: DataFrame) -> DataFrame:
-    """Clean headers; xp must be a number (commas allowed, errors raise); bad slots → null."""
+    """Clean headers; xp must be a number (commas allowed, errors raise); bad slots → null.
+
+    Both become integers by truncation toward zero (a fractional value is cut).
+    """
     df = clean_columns(raw)
     xp = F.trim(F.replace(F.col("xp").cast("string"), F.lit(","), F.lit("")))
-    slots = F.floor(F.trim(F.col("slots").cast("string")).try_cast("double")).cast("int")
-    out = df.withColumn("xp", xp.cast("bigint")).withColumn("slots", slots)
+    slots = F.trim(F.col("slots").cast("string")).try_cast("double").cast("int")
+    out = df.withColumn("xp", xp.cast("double").cast("bigint")).withColumn("slots", slots)
     if "level" in out.columns:
         out = out.withColumn("level", F.col("level").try_cast("int"))
     return out

@@ -35,8 +35,8 @@ select cast(k + 1 as varchar) as level,
 from (select k, k * k * 90 + n as x from (
         select c_custkey % 99 as k, count(*) as n from customer group by c_custkey % 99)))"""
 O.CTE["levels"] = f"""level_typed as (
-select cast(level as int) as level, cast(trim(replace(xp, ',', '')) as bigint) as xp,
-       cast(floor(try_cast(trim(slots) as double)) as int) as raw_slots
+select cast(level as int) as level, cast(trunc(cast(trim(replace(xp, ',', '')) as double)) as bigint) as xp,
+       cast(trunc(try_cast(trim(slots) as double)) as int) as raw_slots
 from fx_level),
 levels as (
 select level, xp, raw_slots,

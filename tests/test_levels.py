@@ -82,3 +82,9 @@ def test_reference_sample_rows(spark):
     got = with_cycles(df, "r", lv).collect()
     for row in got:
         assert row.cycles == loop_cycles(row.r, [0, 1000, 50000, 400000], [2, 3, 5, 8], 803600)
+
+
+def test_truncation(spark):
+    lv = levels_df(spark, [("1,200.7", "2.9"), ("10", "-1.5")])
+    got = sorted((r.xp, r.slots) for r in typed_levels(lv).collect())
+    assert got == [(10, -1), (1200, 2)]
