@@ -10,18 +10,36 @@ from pyspark.sql import functions as F
 from .joins import sized_join
 
 
+def quantile_bucket(df: DataFrame, col: str, buckets: int, out: str = "_chunk",
+                    rel_error: float = 1e-3) -> DataFrame:
+    """Add ``out`` = the index of ``col``'s approximate-quantile range (0..buckets-1).
+
+    The cut points are computed once and shipped as constants, so a row's bucket
+    is a pure function of its value, and buckets hold similar row counts.
+    """
+    from pyspark.ml.feature import Bucketizer
+
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = sorted(set(df.approxQuantile(col, probs, rel_error))) if buckets > 1 else []
+    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
+    b = Bucketizer(splits=splits, inputCol="_qb_in", outputCol=out, handleInvalid="keep")
+    return b.transform(df.withColumn("_qb_in", F.col(col).cast("double"))).drop("_qb_in")
+
+
 def running_sum(df: DataFrame, partition: Sequence[str], order: str, tie: str, value: str,
-                out: str, chunk: int = 1024) -> DataFrame:
+                out: str, chunks: int | None = None) -> DataFrame:
     """Running total of ``value`` per ``partition`` in (order, tie) order.
 
     A plain window puts a whole partition key in one task; a key holding a third
-    of the rows would stall the job. The sequence is cut into chunks of
-    ``chunk`` consecutive ``order`` values: chunk totals are summed first (small),
-    their running offsets computed per key, and each chunk then runs its own
-    window in parallel, adding its offset.
+    of the rows would stall the job. The order values are cut into ``chunks``
+    quantile ranges (so a hot key's rows spread over up to ``chunks`` pieces of
+    similar size): chunk totals are summed first, their running offsets are
+    computed per key (at most ``chunks`` rows per key), and each (key, chunk)
+    then runs its own window in parallel, adding its offset.
     """
     part = list(partition)
-    d = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = quantile_bucket(df, order, n)
     totals = d.groupBy(*part, "_chunk").agg(F.sum(value).alias("_t"))
     w_off = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")

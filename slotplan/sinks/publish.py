@@ -93,15 +93,10 @@ def dense_ids(df: DataFrame, key: str, id_col: str = "id", buckets: int | None =
     (a tiny table), the counts become offsets, and each bucket numbers its own
     rows in parallel.
     """
-    from pyspark.ml.feature import Bucketizer
+    from ..operators.windows import quantile_bucket
 
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probs = [i / n for i in range(1, n)]
-    cuts = sorted(set(df.approxQuantile(key, probs, rel_error))) if n > 1 else []
-    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_k", outputCol="_bkt", handleInvalid="keep")
-    d = b.transform(df.withColumn("_k", F.col(key).cast("double"))).drop("_k")
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = quantile_bucket(df, key, n, out="_bkt", rel_error=rel_error)
     counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
     w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))

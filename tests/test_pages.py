@@ -35,7 +35,7 @@ def test_take_while_stops_at_first_bad(spark):
 def test_running_sum_chunks(spark):
     data = [("h", i, i * 10 + 1, i % 3) for i in range(50)] + [("k", 5, 1, 4), (None, 1, 2, 7)]
     df = spark.createDataFrame(data, "h string, o long, tie long, v long")
-    out = running_sum(df, ["h"], "o", "tie", "v", "run", chunk=7)
+    out = running_sum(df, ["h"], "o", "tie", "v", "run", chunks=7)
     got = {(r.h, r.o): r.run for r in out.collect()}
     acc = 0
     for i in range(50):
