@@ -70,8 +70,10 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)$", sf_dir)
     sf = float(m.group(1)) if m else None
     total = round(sum(v for k, v in res.items() if not k.startswith("baseline_")), 3)
+    runs = {"order": "prefix, naive, naive, prefix",
+            "prefix": [round(a1, 3), round(a2, 3)], "naive": [round(b1, 3), round(b2, 3)]}
     print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": res, "sf": sf, "cpus": cpus}))
+                      "queries": res, "sf": sf, "cpus": cpus, "baseline_runs": runs}))
     spark.stop()
 
 
