@@ -10,18 +10,9 @@ from ..operators.clean import clean_columns
 from ..operators.levels import level_array, slots_at, typed_levels, with_cycles
 from ..sources import fixtures
 from . import inputs, oracle as O
+from .registry import Registry
 
-Q: dict = {}
-SQL: dict = {}
-
-
-def register(name, sql=None):
-    def deco(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+register = Registry()
 
 
 _XP_TEXT = ("case when x >= 1000 then cast(cast(floor(x / 1000) as bigint) as varchar) || ',' "
@@ -138,5 +129,5 @@ def q_level_report(spark, sf_dir):
     return r.select("rcp_ord", "min_to_lvl99", "time_to_lvl99")
 
 
-QUERIES = Q
-ORACLE = SQL
+QUERIES = register.queries
+ORACLE = register.oracle

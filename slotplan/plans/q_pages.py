@@ -11,18 +11,9 @@ from ..operators.windows import running_sum, take_while
 from ..sources import fixtures, pages as P
 from ..sources.tables import read_table
 from . import oracle as O
+from .registry import Registry
 
-Q: dict = {}
-SQL: dict = {}
-
-
-def register(name, sql=None):
-    def deco(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+register = Registry()
 
 
 def _pages(spark, sf_dir):
@@ -284,5 +275,5 @@ def q_search_urls(spark, sf_dir):
                        "http://www.example.com/s8/restaurant_appl_retr.php?search_appl={}")
 
 
-QUERIES = Q
-ORACLE = SQL
+QUERIES = register.queries
+ORACLE = register.oracle

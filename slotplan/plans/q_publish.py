@@ -10,18 +10,9 @@ from ..sources import fixtures
 from ..sources.multi import union_sources
 from ..sources.tables import read_table
 from . import inputs, oracle as O
+from .registry import Registry
 
-Q: dict = {}
-SQL: dict = {}
-
-
-def register(name, sql=None):
-    def deco(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+register = Registry()
 
 
 _MASTER_COLS = ("rcp_ord", "game_mode", "rcp_name", "appl_name", "rcp_level", "rcp_time_min",
@@ -136,5 +127,5 @@ def q_multi_source_union(spark, sf_dir):
     return union_sources(frames, "both").select("src_idx", "game_mode", "rcp_ord", "rcp_name")
 
 
-QUERIES = Q
-ORACLE = SQL
+QUERIES = register.queries
+ORACLE = register.oracle

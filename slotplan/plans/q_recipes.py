@@ -13,20 +13,11 @@ from ..operators.topk import fitting_slots, prefix_topk, slot_bucket, slots_fram
 from ..sources import fixtures
 from ..sources.tables import read_table
 from . import inputs, oracle as O
+from .registry import Registry
 from .planner import (ORD, easy_predicate, medium_predicate, planner_filtered,
                       score_candidates, sql_candidates, tier_predicate)
 
-Q: dict = {}
-SQL: dict = {}
-
-
-def register(name, sql=None):
-    def deco(fn):
-        Q[name] = fn
-        if sql is not None:
-            SQL[name] = sql
-        return fn
-    return deco
+register = Registry()
 
 
 # ---------------------------------------------------------------- cleaning (2.C)
@@ -98,9 +89,11 @@ from appl""")
 def q_appl_obtainability(spark, sf_dir):
     """Appliance labels → easy / medium / hard; token count of the label list."""
     a = fixtures.appliances(spark, sf_dir)
-    return a.select("appl_ord", "appl_labels", T.appl_obtainability("appl_labels").alias("appl_obtainability"),
-                    F.size(T.split_trim(F.lower("appl_labels"))).cast("int").alias("n_tokens")) \
-            .withColumn("n_tokens", F.when(F.col("appl_labels").isNull(), None).otherwise(F.col("n_tokens")))
+    n_tokens = F.when(F.col("appl_labels").isNotNull(),
+                      F.size(T.split_trim(F.lower("appl_labels")))).cast("int")
+    return a.select("appl_ord", "appl_labels",
+                    T.appl_obtainability("appl_labels").alias("appl_obtainability"),
+                    n_tokens.alias("n_tokens"))
 
 
 @register("q_difficulty", O.with_ctes("master") + """
@@ -458,5 +451,5 @@ def q_archive_name(spark, sf_dir):
     return e.select("event_id", fmt.archive_name(F.lit("planner_report"), "ts").alias("archive_name"))
 
 
-QUERIES = Q
-ORACLE = SQL
+QUERIES = register.queries
+ORACLE = register.oracle
