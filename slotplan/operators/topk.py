@@ -83,6 +83,7 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     """
     best_cols = [f"_b{i}" for i in range(len(metrics))]
     keys = list(group_by) + ["_bucket"]
+    df = _nan_metrics_to_null(df, [m for m, _ in metrics])
     # No filter on the bucket: a pushed-down "bucket is not null" would re-evaluate
     # the time expression once per CASE branch. Rows without a bucket form one
     # extra group whose slot array is empty, so the explode drops them.
@@ -117,6 +118,15 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     return part.select(*keys, *outs)
 
 
+def _nan_metrics_to_null(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """Floating metrics: NaN sorts above every number in Spark, so treat it as null."""
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    for m in set(metrics):
+        if types.get(m) in ("double", "float"):
+            df = df.withColumn(m, F.when(F.isnan(m), F.lit(None)).otherwise(F.col(m)))
+    return df
+
+
 def prefix_topk(df: DataFrame, *, time: str, slots: Sequence[int], metric: str, k: int,
                 payload: Mapping[str, str], ord_cols: Sequence[str],
                 group_by: Sequence[str] = (), slot_col: str = "return_time",
@@ -127,6 +137,7 @@ def prefix_topk(df: DataFrame, *, time: str, slots: Sequence[int], metric: str,
     keeps at most k rows per key before the shuffle, however skewed the keys.
     """
     order = [F.col(metric).desc_nulls_last(), *[F.col(o).asc() for o in ord_cols]]
+    df = _nan_metrics_to_null(df, [metric])
     cols = list(dict.fromkeys([*group_by, metric, *ord_cols, *payload.values()]))
     b = df.select(*cols, slot_bucket(time, slots).alias("_bucket"))
     w1 = Window.partitionBy(*group_by, "_bucket").orderBy(*order)

@@ -98,3 +98,18 @@ def test_clean_column_name():
 
 def test_json_html_text(spark):
     assert one(spark, T.json_html_text, '{"parse":{"text":{"*":"<t>x</t>"}}}') == "<t>x</t>"
+
+
+def test_medium_sql_predicate_and_clean_recipes(spark):
+    from slotplan.operators.clean import clean_recipes
+    from slotplan.plans.planner import medium_predicate, easy_predicate
+    df = spark.createDataFrame([("", "Build, Gem, Event"), (None, "Event"), ("", None), ("Gem", "Build")],
+                               "rcp_labels string, appl_labels string")
+    got = [(r[0], r[1]) for r in df.select(medium_predicate(), easy_predicate()).collect()]
+    assert got == [(True, False), (False, False), (True, True), (False, False)]
+    raw = spark.createDataFrame([(1, "Turtle Soup", "c: -1,250", "2,000 coins", "12 xp", "9 hrs", None)],
+                                "rcp_ord bigint, rcp_name string, rcp_cost string, rcp_income string, "
+                                "rcp_xp string, rcp_time_hr string, rcp_labels string")
+    r = clean_recipes(raw).first()
+    assert (r.rcp_cost, r.rcp_income, r.rcp_profit, r.rcp_time_min, r.rcp_obtainability) == \
+        (1250, 2000, 750, 15, "easy")

@@ -109,3 +109,14 @@ def test_cube_monotone_in_level_and_slot(spark):
         if t != "hard" and v is not None:
             looser = (g, tiers[tiers.index(t) + 1], lvl, s)
             assert best[looser] >= v
+
+
+def test_nan_metric_ranks_with_nulls(spark):
+    df = spark.createDataFrame([(1, "nan", 5, float("nan")), (2, "null", 5, None), (3, "five", 5, 5.0)],
+                               "ord bigint, name string, t bigint, x double")
+    for strategy in ("struct", "maxima"):
+        best = prefix_best(df, time="t", slots=(5,), metrics=(("x", {"n": "name"}),), ord_cols=("ord",),
+                           strategy=strategy)
+        assert best.first()["n"] == "five"
+    top = prefix_topk(df, time="t", slots=(5,), metric="x", k=1, payload={"n": "name"}, ord_cols=("ord",))
+    assert top.first()["n"] == "five"
