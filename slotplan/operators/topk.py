@@ -55,7 +55,7 @@ FanOut = tuple[str, str, Column]  # (key it replaces, new key, array of new key
 def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequence[Metric],
                 ord_cols: Sequence[str], group_by: Sequence[str] = (),
                 fan_out: Sequence[FanOut] = (), slot_col: str = "return_time",
-                strategy: str = "struct") -> DataFrame:
+                strategy: str = "struct", reduce_slots: bool = True) -> DataFrame:
     """Best row per (group, slot) for each metric.
 
     Rows are reduced per (group, bucket) first — the only step that sees the raw
@@ -64,6 +64,9 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     a winner for key value ``v`` is also a candidate for every value in the
     array (e.g. a row of tier "easy" also counts for "medium" and "hard").
     Slots with no candidate are left out (see :func:`with_all_slots`).
+    ``reduce_slots=False`` skips the reduction right after the slot fan-out, so
+    the slot and the first ``fan_out`` expansion are exploded together and
+    reduced once (one shuffle fewer; use it when that expansion is small).
 
     ``strategy`` picks how the per-bucket reduction runs:
 
@@ -109,9 +112,11 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     stages = [("_bucket", slot_col, fitting_slots("_bucket", slots)), *fan_out]
-    for src, out, values in stages:
+    for i, (src, out, values) in enumerate(stages):
         part = part.withColumn(out, F.explode(values))
         keys = [k for k in keys if k != src] + [out]
+        if i == 0 and not reduce_slots and len(stages) > 1:
+            continue
         part = part.groupBy(*keys).agg(*[F.max(c).alias(c) for c in best_cols])
     outs = [F.col(c).getField(out).alias(out)
             for c, (_, payload) in zip(best_cols, metrics) for out in payload]

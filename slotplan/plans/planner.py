@@ -114,7 +114,8 @@ def tiers_report(cand: DataFrame, slots=RETURN_SLOTS_TIERS, strategy: str = "str
     tier_arr = F.array(*[F.lit(t) for t in TIERS])
     looser = ("tier_level", "recipe_type", F.slice(tier_arr, F.col("tier_level"), len(TIERS)))
     best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_PROFIT, ord_cols=ORD,
-                       group_by=("tier_level",), fan_out=(looser,), strategy=strategy)
+                       group_by=("tier_level",), fan_out=(looser,), strategy=strategy,
+                       reduce_slots=False)
     tier_order = F.array_position(F.array(*[F.lit(t) for t in TIERS]), F.col("recipe_type"))
     return (with_sql_rates(best)
             .select("return_time", "recipe_type", "best_xp_recipe", "best_xp", "xp_per_hr",
@@ -201,7 +202,7 @@ def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS,
            ("_lvl", "level", F.sequence(F.col("_lvl"), F.lit(99))))
     best = prefix_best(m, time="rcp_time_min", slots=slots, metrics=XP_PROFIT_APPL, ord_cols=ORD,
                        group_by=("game_mode", "_lvl", "rcp_difficulty"), fan_out=fan,
-                       strategy=strategy)
+                       strategy=strategy, reduce_slots=False)
     return (best.withColumn("level", F.col("level").cast("int"))
                 .withColumn("xp_per_hr", rate_js("best_xp", "return_time"))
                 .withColumn("profit_per_hr", rate_js("best_profit", "return_time"))
