@@ -24,3 +24,13 @@ def test_planner_aggregates_before_shuffle(spark):
     assert "partial_max" in text
     scan = E.queries()["q_item_planner"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey" in scan or "lineitem" in scan
+
+
+def test_prefix_plan_has_no_slot_window(spark):
+    """The naive plan ranks inside at most |slots| window partitions; the prefix plan
+    has no window at all (only aggregates, with partial aggregation before each shuffle)."""
+    from slotplan.plans.q_items import item_planner, item_planner_naive
+    prefix = plan_text(item_planner(spark, SF_SMALL))
+    naive = plan_text(item_planner_naive(spark, SF_SMALL))
+    assert "Window" not in prefix and "Window" in naive
+    assert prefix.count("partial_max") >= 2
