@@ -24,29 +24,44 @@ from ..functions.text import col_of
 Metric = tuple[str, Mapping[str, str]]  # (metric column, {output name: source column})
 
 
+def _q(name: str) -> str:
+    """Quote a column name for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def slot_bucket(time, slots: Sequence[int]) -> Column:
     """Smallest slot >= time; null for a null time or one above the last slot."""
+    ordered = sorted(set(int(s) for s in slots))
+    if isinstance(time, str):
+        whens = " ".join(f"WHEN {_q(time)} <= {s} THEN {s}" for s in ordered)
+        return F.expr(f"CASE {whens} END")
     t = col_of(time)
     expr = None
-    for s in sorted(set(slots)):
+    for s in ordered:
         expr = F.when(t <= s, F.lit(s)) if expr is None else expr.when(t <= s, F.lit(s))
     return expr
 
 
 def fitting_slots(time, slots: Sequence[int]) -> Column:
     """All slots >= time, as an array (the theta join as a generator)."""
-    arr = F.array(*[F.lit(s) for s in sorted(set(slots))])
+    ordered = sorted(set(int(s) for s in slots))
+    if isinstance(time, str):
+        return F.expr(f"filter(array({', '.join(map(str, ordered))}), s -> s >= {_q(time)})")
+    arr = F.array(*[F.lit(s) for s in ordered])
     return F.filter(arr, lambda s: s >= col_of(time))
 
 
 def best_key(metric: str, ord_cols: Sequence[str], payload: Mapping[str, str]) -> Column:
     """A struct whose ``max`` is the best row: metric desc (nulls last), then first in order."""
-    return F.struct(
-        F.col(metric).isNotNull().alias("_nn"),
-        F.col(metric).alias("_m"),
-        *[(-F.col(o)).alias(f"_o{i}") for i, o in enumerate(ord_cols)],
-        *[F.col(src).alias(out) for out, src in payload.items()],
-    )
+    fields = [f"{_q(metric)} IS NOT NULL AS _nn", f"{_q(metric)} AS _m",
+              *[f"-{_q(o)} AS _o{i}" for i, o in enumerate(ord_cols)],
+              *[f"{_q(src)} AS {_q(out)}" for out, src in payload.items()]]
+    return F.expr(f"named_struct({', '.join(_named(f) for f in fields)})")
+
+
+def _named(field: str) -> str:
+    expr, name = field.rsplit(" AS ", 1)
+    return f"'{name.strip('`')}', {expr}"
 
 
 FanOut = tuple[str, str, Column]  # (key it replaces, new key, array of new key values)
