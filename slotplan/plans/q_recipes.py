@@ -177,13 +177,31 @@ select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability,
 from recipes r left join appl2_first a on r.appl_name = a.appl_name""")
 def q_left_join_no_dups(spark, sf_dir):
     """C14/J1/trap 8: an appliance found twice (second copy labelled differently) is kept once."""
+    m = build_master(inputs.recipes_clean(spark, sf_dir), _appliances_twice(spark, sf_dir))
+    return m.select("rcp_ord", "appl_name", "appl_ord", "appl_labels", "appl_obtainability",
+                    "rcp_difficulty")
+
+
+@register("q_left_join_fanout", O.with_ctes("recipes", "appl", extra="""appl2 as (
+  select * from appl
+  union all
+  select appl_ord + 1000000000, appl_name, 'Event', appl_img_url || '#2', 'hard'
+  from appl where appl_ord % 4 = 0)""") + """
+select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability
+from recipes r left join appl2 a on r.appl_name = a.appl_name""")
+def q_left_join_fanout(spark, sf_dir):
+    """J1 parity: without de-duplication an appliance found twice duplicates its recipes."""
+    m = build_master(inputs.recipes_clean(spark, sf_dir), _appliances_twice(spark, sf_dir), fanout=True)
+    return m.select("rcp_ord", "appl_name", "appl_ord", "appl_labels", "appl_obtainability")
+
+
+def _appliances_twice(spark, sf_dir):
+    """Appliances plus a second copy of every fourth one, as if found from a second page."""
     a = fixtures.appliances(spark, sf_dir)
     dup = a.where(F.col("appl_ord") % 4 == 0).select(
         (F.col("appl_ord") + 1_000_000_000).alias("appl_ord"), "appl_name",
         F.lit("Event").alias("appl_labels"), F.concat("appl_img_url", F.lit("#2")).alias("appl_img_url"))
-    m = build_master(inputs.recipes_clean(spark, sf_dir), a.unionByName(dup))
-    return m.select("rcp_ord", "appl_name", "appl_ord", "appl_labels", "appl_obtainability",
-                    "rcp_difficulty")
+    return a.unionByName(dup)
 
 
 @register("q_priority_columns", O.with_ctes("master") + """
