@@ -21,7 +21,12 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col_of
 
-Metric = tuple[str, Mapping[str, str]]  # (metric column, {output name: source column})
+# (metric column — or several, compared in order — , {output name: source column})
+Metric = tuple["str | Sequence[str]", Mapping[str, str]]
+
+
+def _metric_cols(metric) -> list[str]:
+    return [metric] if isinstance(metric, str) else list(metric)
 
 
 def _q(name: str) -> str:
@@ -51,10 +56,11 @@ def fitting_slots(time, slots: Sequence[int]) -> Column:
     return F.filter(arr, lambda s: s >= col_of(time))
 
 
-def best_key(metric: str, ord_cols: Sequence[str], payload: Mapping[str, str]) -> Column:
-    """A struct whose ``max`` is the best row: metric desc (nulls last), then first in order."""
-    fields = [f"{_q(metric)} IS NOT NULL AS _nn", f"{_q(metric)} AS _m",
-              *[f"-{_q(o)} AS _o{i}" for i, o in enumerate(ord_cols)],
+def best_key(metric, ord_cols: Sequence[str], payload: Mapping[str, str]) -> Column:
+    """A struct whose ``max`` is the best row: metric(s) desc (nulls last), then first in order."""
+    fields = [f for j, m in enumerate(_metric_cols(metric))
+              for f in (f"{_q(m)} IS NOT NULL AS _nn{j}", f"{_q(m)} AS _m{j}")]
+    fields += [*[f"-{_q(o)} AS _o{i}" for i, o in enumerate(ord_cols)],
               *[f"{_q(src)} AS {_q(out)}" for out, src in payload.items()]]
     return F.expr(f"named_struct({', '.join(_named(f) for f in fields)})")
 
@@ -101,25 +107,26 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
     """
     best_cols = [f"_b{i}" for i in range(len(metrics))]
     keys = list(group_by) + ["_bucket"]
-    df = _nan_metrics_to_null(df, [m for m, _ in metrics])
+    df = _nan_metrics_to_null(df, [c for m, _ in metrics for c in _metric_cols(m)])
     # No filter on the bucket: a pushed-down "bucket is not null" would re-evaluate
     # the time expression once per CASE branch. Rows without a bucket form one
     # extra group whose slot array is empty, so the explode drops them.
     b = df.withColumn("_bucket", slot_bucket(time, slots))
     if strategy == "maxima":
+        firsts = [_metric_cols(m)[0] for m, _ in metrics]
         mx = (b.groupBy(*keys)
-               .agg(*[F.max(m).alias(f"_mx{i}") for i, (m, _) in enumerate(metrics)])
+               .agg(*[F.max(m).alias(f"_mx{i}") for i, m in enumerate(firsts)])
                .select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)],
                        *[f"_mx{i}" for i in range(len(metrics))]))
         hit = None
-        for i, (m, _) in enumerate(metrics):
+        for i, m in enumerate(firsts):
             c = F.col(m).eqNullSafe(F.col(f"_mx{i}"))
             hit = c if hit is None else hit | c
         on = [b[k].eqNullSafe(mx[f"_k{j}"]) for j, k in enumerate(keys)]
         cand = (b.join(mx, on=on, how="inner").drop(*[f"_k{j}" for j in range(len(keys))])
                  .where(hit))
         part = cand.groupBy(*keys).agg(*[
-            F.max(F.when(F.col(m).eqNullSafe(F.col(f"_mx{i}")), best_key(m, ord_cols, payload)))
+            F.max(F.when(F.col(firsts[i]).eqNullSafe(F.col(f"_mx{i}")), best_key(m, ord_cols, payload)))
             .alias(c) for i, (c, (m, payload)) in enumerate(zip(best_cols, metrics))])
     elif strategy == "struct":
         part = b.groupBy(*keys).agg(*[F.max(best_key(m, ord_cols, payload)).alias(c)

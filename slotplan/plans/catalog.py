@@ -14,6 +14,7 @@ QUERIES: dict[str, Query] = {
     "q_planner_easy": planner.planner_easy,
     "q_planner_medium_sql": planner.planner_medium_sql,
     "q_planner_hard": planner.planner_hard,
+    "q_planner_tiebreak": planner.planner_tiebreak,
     "q_planner_tiers": planner.planner_tiers,
     "q_planner_filtered": planner.planner_filtered,
     "q_planner_cube": planner.planner_cube,

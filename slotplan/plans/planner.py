@@ -104,6 +104,23 @@ def planner_hard(spark, sf_dir, slots=RETURN_SLOTS, mode=DEFAULT_MODE) -> DataFr
     return _sql_report(spark, sf_dir, 3, slots, mode)
 
 
+XP_THEN_PROFIT = (
+    (("rcp_xp", "rcp_profit"), {"best_xp_recipe": "rcp_name", "best_xp": "rcp_xp"}),
+    (("rcp_profit", "rcp_xp"), {"best_profit_recipe": "rcp_name", "best_profit": "rcp_profit"}),
+)
+
+
+def planner_tiebreak(spark, sf_dir, slots=RETURN_SLOTS, mode=DEFAULT_MODE) -> DataFrame:
+    """Q3 with the wanted tie rule: equal xp → higher profit wins (and equal profit →
+    higher xp), then first in table order."""
+    cand = sql_candidates(spark, sf_dir, mode, require_time=False)
+    best = prefix_best(cand, time="rcp_time_min", slots=slots, metrics=XP_THEN_PROFIT, ord_cols=ORD)
+    return (with_sql_rates(best)
+            .select("return_time", "best_xp_recipe", "best_xp", "xp_per_hr",
+                    "best_profit_recipe", "best_profit", "profit_per_hr")
+            .orderBy("return_time"))
+
+
 def planner_tiers(spark, sf_dir, slots=RETURN_SLOTS_TIERS, mode=DEFAULT_MODE) -> DataFrame:
     """Q4: all three tiers in one pass (one scan, nested tiers), ordered by slot then tier."""
     return tiers_report(sql_candidates(spark, sf_dir, mode, require_time=False), slots)
