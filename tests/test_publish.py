@@ -102,3 +102,16 @@ def test_sources_selection_and_guarded_load(spark, tmp_path):
     built = read_or_build(spark, str(tmp_path / "cache"), lambda: spark.range(4))
     again = read_or_build(spark, str(tmp_path / "cache"), lambda: spark.range(99))
     assert built.count() == 4 and again.count() == 4
+
+
+def test_write_chunks_contiguous_files(spark, tmp_path):
+    df = spark.range(1, 3001).withColumnRenamed("id", "k")
+    out = str(tmp_path / "chunks")
+    S.write_chunks(S.chunk_plan(df, ["k"], chunk_rows=1000), out, files=4)
+    back = spark.read.parquet(out)
+    assert back.count() == 3000
+    one = back.where("chunk_id = 1").select("id").collect()
+    assert sorted(r.id for r in one) == list(range(1000, 2000))
+    per_file = back.withColumn("f", F.input_file_name()).groupBy("f").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("id").alias("n")).collect()
+    assert all(r.hi - r.lo + 1 == r.n for r in per_file)  # contiguous id ranges
