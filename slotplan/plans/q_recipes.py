@@ -167,7 +167,7 @@ def q_nan_inf_to_null(spark, sf_dir):
   select * from appl
   union all
   select appl_ord + 1000000000, appl_name, 'Event', appl_img_url || '#2', 'hard'
-  from appl where appl_ord % 4 = 0),
+  from appl),
 appl2_first as (select * from appl2
   qualify row_number() over (partition by appl_name order by appl_ord) = 1)""") + """
 select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability,
@@ -176,7 +176,7 @@ select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability,
      as int) as rcp_difficulty
 from recipes r left join appl2_first a on r.appl_name = a.appl_name""")
 def q_left_join_no_dups(spark, sf_dir):
-    """C14/J1/trap 8: an appliance found twice (second copy labelled differently) is kept once."""
+    """C14/J1/trap 8: appliances found twice (second copy labelled differently) are kept once."""
     m = build_master(inputs.recipes_clean(spark, sf_dir), _appliances_twice(spark, sf_dir))
     return m.select("rcp_ord", "appl_name", "appl_ord", "appl_labels", "appl_obtainability",
                     "rcp_difficulty")
@@ -186,7 +186,7 @@ def q_left_join_no_dups(spark, sf_dir):
   select * from appl
   union all
   select appl_ord + 1000000000, appl_name, 'Event', appl_img_url || '#2', 'hard'
-  from appl where appl_ord % 4 = 0)""") + """
+  from appl)""") + """
 select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability
 from recipes r left join appl2 a on r.appl_name = a.appl_name""")
 def q_left_join_fanout(spark, sf_dir):
@@ -196,9 +196,9 @@ def q_left_join_fanout(spark, sf_dir):
 
 
 def _appliances_twice(spark, sf_dir):
-    """Appliances plus a second copy of every fourth one, as if found from a second page."""
+    """Every appliance twice, the second copy labelled differently, as if found from a second page."""
     a = fixtures.appliances(spark, sf_dir)
-    dup = a.where(F.col("appl_ord") % 4 == 0).select(
+    dup = a.select(
         (F.col("appl_ord") + 1_000_000_000).alias("appl_ord"), "appl_name",
         F.lit("Event").alias("appl_labels"), F.concat("appl_img_url", F.lit("#2")).alias("appl_img_url"))
     return a.unionByName(dup)
