@@ -1,7 +1,28 @@
-"""Shared inputs for the registered queries: cleaned recipes, appliances, master."""
+"""Shared inputs for the registered queries: cleaned recipes, appliances, master.
+
+The builders are memoised per (session, source folder, arguments): a DataFrame
+is an immutable plan, so queries that share an input reuse one plan object
+instead of rebuilding it over Py4J. Nothing is cached as data.
+"""
 
 from __future__ import annotations
 
+import functools
+
+_PLANS: dict = {}
+
+
+def memo_plan(fn):
+    """Memoise a ``(spark, sf_dir, *args) -> DataFrame`` builder per session."""
+    @functools.wraps(fn)
+    def wrapper(spark, sf_dir, *args, **kwargs):
+        key = (fn.__module__, fn.__qualname__, id(spark), sf_dir, args, tuple(sorted(kwargs.items())))
+        hit = _PLANS.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = _PLANS[key] = (spark, fn(spark, sf_dir, *args, **kwargs))
+        return hit[1]
+    return wrapper
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,10 +32,12 @@ from ..functions.fmt import format_minutes
 from ..sources import fixtures
 
 
+@memo_plan
 def recipes_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_recipes(fixtures.recipe_raw(spark, sf_dir))
 
 
+@memo_plan
 def recipes_with_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean recipes plus minutes and text to reach the target xp."""
     df = with_cycles(recipes_clean(spark, sf_dir), "rcp_xp", fixtures.level_raw(spark, sf_dir),
@@ -23,10 +46,12 @@ def recipes_with_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("time_to_lvl99", format_minutes("min_to_lvl99"))
 
 
+@memo_plan
 def appliances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.appliances(spark, sf_dir)
 
 
+@memo_plan
 def master(spark: SparkSession, sf_dir: str, *, with_levels: bool = False,
            fanout: bool = False) -> DataFrame:
     rec = recipes_with_levels(spark, sf_dir) if with_levels else recipes_clean(spark, sf_dir)

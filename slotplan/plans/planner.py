@@ -54,6 +54,7 @@ def sql_tier_level():
     return (F.when(easy_predicate(), 1).when(medium_predicate(), 2).otherwise(3)).cast("int")
 
 
+@inputs.memo_plan
 def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE,
                    require_time: bool = True) -> DataFrame:
     """One game's clean recipes, left-joined to appliance labels.

@@ -14,7 +14,7 @@ from ..sources import fixtures
 from ..sources.tables import read_table
 from . import inputs, oracle as O
 from .registry import Registry
-from .planner import (ORD, easy_predicate, medium_predicate, planner_filtered,
+from .planner import (ORD, easy_predicate, filtered_report, medium_predicate, planner_filtered,
                       score_candidates, sql_candidates, tier_predicate)
 
 register = Registry()
@@ -336,7 +336,7 @@ def q_vlookup_first(spark, sf_dir):
     src = F.array_position(F.array(*[F.lit(x) for x in MODES]), F.col("game_mode"))
     first = first_per_key(m.withColumn("_src_ord", F.struct(src, F.col("rcp_ord"))),
                           ["rcp_name"], "_src_ord")
-    report = planner_filtered(spark, sf_dir, mode="bakery", keep_empty=False)
+    report = filtered_report(spark, m, mode="bakery", keep_empty=False)
     look = first.select(F.col("rcp_name").alias("best_xp_recipe"),
                         F.col("game_mode").alias("lookup_game"), F.col("appl_name").alias("lookup_appl"),
                         F.col("rcp_xp").alias("lookup_xp"), F.col("rcp_profit").alias("lookup_profit"))
