@@ -42,3 +42,17 @@ def test_running_sum_chunks(spark):
         acc += i % 3
         assert got[("h", i)] == acc
     assert got[("k", 5)] == 4 and got[(None, 1)] == 7
+
+
+def test_html_table_choice_and_missing_table(spark):
+    import pytest
+    from slotplan.operators.tables_html import html_table_rows
+    html = ("<table><tr><th>Name</th></tr><tr><td>x</td></tr></table>"
+            "<table class=w><tr><th> Level </th><th>XP</th></tr><tr><td>1</td><td>0</td></tr>"
+            "<tr><td>2</td><td><b>1,200</b></td></tr><tr><td>3</td></tr></table>")
+    df = spark.createDataFrame([(1, html)], "doc int, html string")
+    rows = html_table_rows(df, "doc", "html", ("level", "xp")).orderBy("row_pos").collect()
+    assert [(r.row_pos, r.level, r.xp) for r in rows] == [(1, "1", "0"), (2, "2", "1,200")]
+    bad = spark.createDataFrame([(2, "<table><tr><th>Name</th></tr></table>")], "doc int, html string")
+    with pytest.raises(Exception, match="Target table not found"):
+        html_table_rows(bad, "doc", "html", ("level", "xp")).collect()
