@@ -17,7 +17,7 @@ register = Registry()
 
 _XP_TEXT = ("case when x >= 1000 then cast(cast(floor(x / 1000) as bigint) as varchar) || ',' "
             "|| lpad(cast(x % 1000 as varchar), 3, '0') else cast(x as varchar) end")
-O.CTE["fx_level"] = f"""fx_level as (
+_FX_LEVEL = f"""fx_level as (
 select cast(k + 1 as varchar) as level,
        case when k % 7 = 3 then ' ' || {_XP_TEXT} || ' ' else {_XP_TEXT} end as xp,
        case when k % 5 = 1 then null when k % 11 = 4 then 'x'
@@ -25,7 +25,7 @@ select cast(k + 1 as varchar) as level,
        cast(k % 3 as varchar) as expansion
 from (select k, k * k * 90 + n as x from (
         select c_custkey % 99 as k, count(*) as n from customer group by c_custkey % 99)))"""
-O.CTE["levels"] = f"""level_typed as (
+_LEVELS = f"""level_typed as (
 select cast(level as int) as level, cast(trunc(cast(trim(replace(xp, ',', '')) as double)) as bigint) as xp,
        cast(trunc(try_cast(trim(slots) as double)) as int) as raw_slots
 from fx_level),
@@ -35,9 +35,9 @@ select level, xp, raw_slots,
                 rows between unbounded preceding and current row), {START_SLOTS}) as slots,
        row_number() over (order by xp, level) as i
 from level_typed)"""
-O.DEPS["fx_level"] = []
-O.DEPS["levels"] = ["fx_level"]
-O.CTE["fold"] = f"""fold_in as (
+O.add_cte("fx_level", _FX_LEVEL)
+O.add_cte("levels", _LEVELS, ("fx_level",))
+_FOLD = f"""fold_in as (
 select rcp_ord, rcp_xp as r, rcp_time_min from recipes where rcp_xp > 0),
 fold as (
   with recursive st(rcp_ord, r, i, xp, c, s) as (
@@ -53,7 +53,7 @@ fold as (
   select rcp_ord, c + case when {TARGET_XP} - xp <= 0 then 0
                            else ({TARGET_XP} - xp + s * r - 1) // (s * r) end as cycles
   from st qualify row_number() over (partition by rcp_ord order by i desc) = 1)"""
-O.DEPS["fold"] = ["recipes", "levels"]
+O.add_cte("fold", _FOLD, ("recipes", "levels"))
 
 
 @register("q_clean_columns", O.with_ctes("fx_level") + """

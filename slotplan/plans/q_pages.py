@@ -26,11 +26,11 @@ def _q(s: str) -> str:
 
 # DuckDB forms of the page extraction expressions
 CLEAN = f"regexp_replace(html, '{_q(P.NOISE)}', '', 'g')"
-O.CTE["page_x"] = f"""page_x as (
+_PAGE_X = f"""page_x as (
 select page_id, url, html, {CLEAN} as chtml,
        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1) as host0
 from pages)"""
-O.DEPS["page_x"] = []
+O.add_cte("page_x", _PAGE_X)
 
 
 def _tag_text(x: str) -> str:
@@ -170,7 +170,7 @@ def q_bad_records(spark, sf_dir):
 
 # ---------------------------------------------------------------- JSON / HTML tables
 
-O.CTE["fx_wiki"] = """fx_wiki as (
+_FX_WIKI = """fx_wiki as (
 select s_suppkey as doc,
   '{"parse":{"text":{"*":"' || '<table class=nav><tr><th>Name</th></tr><tr><td>' || s_name
   || '</td></tr></table><table class=wikitable><tr><th>Level</th><th>XP</th><th>Slots</th><th>Expansion</th></tr><tr><td>'
@@ -178,7 +178,7 @@ select s_suppkey as doc,
   || cast(2 + s_suppkey % 4 as varchar) || '</td><td>' || cast(s_nationkey as varchar)
   || '</td></tr><tr><td>x</td></tr></table>' || '"}}}' as j
 from supplier)"""
-O.DEPS["fx_wiki"] = []
+O.add_cte("fx_wiki", _FX_WIKI)
 
 
 @register("q_json_path", O.with_ctes("fx_wiki") + """
