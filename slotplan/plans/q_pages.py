@@ -33,8 +33,17 @@ from pages)"""
 O.add_cte("page_x", _PAGE_X)
 
 
+def _decode(x: str) -> str:
+    for ent, ch in P.ENTITIES:
+        x = f"replace({x}, '{ent}', '{_q(ch)}')"
+    return x
+
+
 def _tag_text(x: str) -> str:
-    return f"nullif(trim(regexp_replace({x}, '{P.TAG}', '', 'g')), '')"
+    return f"nullif(trim({_decode(f"regexp_replace({x}, '{P.TAG}', '', 'g')")}), '')"
+
+
+_LINK_TEXTS = f"list_transform(regexp_extract_all(n, '{_q(P.LINK)}', 2), lambda z: {_decode('z')})"
 
 
 @register("q_pages_blocks", O.with_ctes("page_x") + f"""
@@ -53,8 +62,8 @@ select page_id, nullif(host0, '') as host,
   {_tag_text(f"regexp_extract(html, '{_q(P.AD)}', 1)")} as ad_text,
   texts[1] as first_link,
   case when len(texts) > 1 then texts[len(texts)] end as last_link
-from (select *, regexp_extract_all(regexp_extract(chtml, '{_q(P.NAV)}', 1), '{_q(P.LINK)}', 2) as texts
-      from page_x)
+from (select *, {_LINK_TEXTS} as texts
+      from (select *, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))
 where {_tag_text(f"regexp_extract(chtml, '{_q(P.H1)}', 1)")} is not null""")
 def q_pages_details(spark, sf_dir):
     """First match text or null; skip pages without a heading."""
@@ -65,7 +74,7 @@ def q_pages_details(spark, sf_dir):
 select page_id, cast(unnest(generate_series(1, len(h))) as bigint) as pos,
        unnest(h) as href, unnest(t) as link_text
 from (select page_id, regexp_extract_all(n, '{_q(P.LINK)}', 1) as h,
-             regexp_extract_all(n, '{_q(P.LINK)}', 2) as t
+             {_LINK_TEXTS} as t
       from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))""")
 def q_pages_links(spark, sf_dir):
     """K3: attribute values (href) with their link text, one row per link."""
@@ -77,8 +86,8 @@ def q_pages_links(spark, sf_dir):
 
 @register("q_labels_join", O.with_ctes("page_x") + f"""
 select page_id, array_to_string(list_filter(list_transform(t, lambda x: trim(x)), lambda x: x <> ''), ', ') as labels
-from (select page_id, regexp_extract_all(regexp_extract(chtml, '{_q(P.NAV)}', 1), '{_q(P.LINK)}', 2) as t
-      from page_x)""")
+from (select page_id, {_LINK_TEXTS} as t
+      from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))""")
 def q_labels_join(spark, sf_dir):
     """The non-empty label texts of a block, joined with ', '."""
     p = _pages(spark, sf_dir)
@@ -90,7 +99,7 @@ def q_labels_join(spark, sf_dir):
 , links as (
 select page_id, unnest(generate_series(1, len(h))) as pos, unnest(h) as href, unnest(t) as link_text
 from (select page_id, regexp_extract_all(n, '{_q(P.LINK)}', 1) as h,
-             regexp_extract_all(n, '{_q(P.LINK)}', 2) as t
+             {_LINK_TEXTS} as t
       from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x)))
 select href, link_text, min(page_id * 1000 + pos) as first_seen from links group by href, link_text""")
 def q_distinct_rows(spark, sf_dir):

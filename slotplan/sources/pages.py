@@ -26,13 +26,27 @@ AD = r'(?s)<div class="ad">(.*?)</div>'
 PATH_NUMBER = r"^[a-z]+://[^/?#]*/(?:[^/?#]*/)*?([0-9]+)"
 
 
+# FIXED VALUES — named character references decoded in extracted text
+# ("&amp;" last, so double-encoded text is decoded exactly once).
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&amp;", "&"))
+
+
+def decode_entities(c) -> Column:
+    """Decode the common named character references (native ``replace`` calls)."""
+    out = col_of(c)
+    for ent, ch in ENTITIES:
+        out = F.replace(out, F.lit(ent), F.lit(ch))
+    return out
+
+
 def clean_html(c) -> Column:
     return F.regexp_replace(col_of(c), NOISE, "")
 
 
 def tag_text(c) -> Column:
-    """Text of an HTML fragment: tags removed, whitespace stripped; '' → null."""
-    return F.nullif(F.trim(F.regexp_replace(col_of(c), TAG, "")), F.lit(""))
+    """Text of an HTML fragment: tags removed, entities decoded, stripped; '' → null."""
+    return F.nullif(F.trim(decode_entities(F.regexp_replace(col_of(c), TAG, ""))), F.lit(""))
 
 
 def first_text(html, pattern: str) -> Column:
@@ -50,7 +64,7 @@ def nav_links(html) -> Column:
     """Array of struct<href, text> for the links inside <nav> (K3)."""
     nav = F.regexp_extract(clean_html(html), NAV, 1)
     hrefs = F.regexp_extract_all(nav, F.lit(LINK), 1)
-    texts = F.regexp_extract_all(nav, F.lit(LINK), 2)
+    texts = F.transform(F.regexp_extract_all(nav, F.lit(LINK), 2), decode_entities)
     return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
 
 

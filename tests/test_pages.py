@@ -16,7 +16,7 @@ def test_blocks_and_details(spark):
                                    (2, "http://x.example.com/en/4", "<html><p>no heading</p></html>")],
                                   "page_id bigint, url string, html string")
     blocks = [(r.page_id, r.pos, r.text) for r in P.page_blocks(pages).orderBy("page_id", "pos").collect()]
-    assert blocks[:3] == [(1, 1, "Lead"), (1, 2, "Two &amp; two"), (1, 3, "Three")]
+    assert blocks[:3] == [(1, 1, "Lead"), (1, 2, "Two & two"), (1, 3, "Three")]
     det = P.page_details(pages).collect()
     assert len(det) == 1  # page 2 has no heading: skipped
     d = det[0]
