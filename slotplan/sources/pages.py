@@ -33,11 +33,13 @@ ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&ap
 
 
 def decode_entities(c) -> Column:
-    """Decode the common named character references (native ``replace`` calls)."""
-    out = col_of(c)
+    """Decode the common named character references (native ``replace`` calls,
+    skipped for text without an '&')."""
+    src = col_of(c)
+    out = src
     for ent, ch in ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    return F.when(F.instr(src, "&") > 0, out).otherwise(src)
 
 
 def clean_html(c) -> Column:
