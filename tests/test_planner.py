@@ -33,3 +33,17 @@ def test_tiers_nested(spark):
             assert m >= e
         if m is not None:
             assert h >= m
+
+
+@pytest.mark.parametrize("mode,level,tier", [("restaurant", 99, "hard"), ("bakery", 40, "medium"),
+                                             ("restaurant", 7, "easy"), ("bakery", 1, "hard")])
+def test_cube_equals_filtered(spark, mode, level, tier):
+    from pyspark.sql import functions as F
+    from slotplan.plans.planner import planner_cube
+    cube = (planner_cube(spark, SF_SMALL)
+            .where((F.col("game_mode") == mode) & (F.col("level") == level) & (F.col("recipe_type") == tier))
+            .drop("game_mode", "level", "recipe_type"))
+    direct = planner_filtered(spark, SF_SMALL, mode, level, tier, keep_empty=False)
+    cols = sorted(direct.columns)
+    assert sorted(tuple(r) for r in cube.select(*cols).collect()) == \
+        sorted(tuple(r) for r in direct.select(*cols).collect())
