@@ -142,7 +142,7 @@ def q_take_while_pages(spark, sf_dir):
     (an article with at most one paragraph)."""
     p = _pages(spark, sf_dir)
     seq = p.select("page_id", T.url_host("url").alias("host"), P.page_number("url").alias("page_no"),
-                   (F.size(P.paragraphs("html")) <= 1).alias("empty_page"))
+                   (P.paragraph_count("html") <= 1).alias("empty_page"))
     kept = take_while(seq, ["host"], ["page_no", "page_id"], F.col("empty_page"))
     return kept.select("page_id", "host", "page_no")
 
@@ -156,7 +156,7 @@ def q_page_counts(spark, sf_dir):
     """Blocks per page and the running total per site in page order."""
     p = _pages(spark, sf_dir)
     seq = p.select("page_id", T.url_host("url").alias("host"), P.page_number("url").alias("page_no"),
-                   F.size(P.paragraphs("html")).cast("bigint").alias("n_blocks"))
+                   P.paragraph_count("html").cast("bigint").alias("n_blocks"))
     return running_sum(seq.withColumn("_o", F.coalesce("page_no", F.lit(-1))), ["host"], "_o",
                        "page_id", "n_blocks", "running_blocks").drop("_o")
 

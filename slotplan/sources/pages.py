@@ -62,6 +62,11 @@ def paragraphs(html) -> Column:
     return F.transform(raw, lambda b: F.coalesce(tag_text(b), F.lit("")))
 
 
+def paragraph_count(html) -> Column:
+    """Number of paragraphs (openings) — without building their texts."""
+    return F.size(F.regexp_extract_all(clean_html(html), F.lit(PARAGRAPH), 1))
+
+
 def nav_links(html) -> Column:
     """Array of struct<href, text> for the links inside <nav> (K3)."""
     nav = F.regexp_extract(clean_html(html), NAV, 1)
