@@ -61,6 +61,20 @@ def first_per_key(df: DataFrame, key: Sequence[str], ord_col: str) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def lookup_first(keys: DataFrame, table: DataFrame, key: str, ord_col: str,
+                 max_keys: int | None = None) -> DataFrame:
+    """First row of ``table`` (smallest ``ord_col``) for each key in ``keys``.
+
+    The table is first cut down to the looked-up keys with a left-semi join, so
+    only matching rows reach the window. ``keys`` is broadcast when the caller
+    states its bound (``max_keys``, e.g. one name per report slot).
+    """
+    k = keys.select(key).distinct()
+    if max_keys is not None:
+        k = F.broadcast(k)
+    return first_per_key(table.join(k, on=key, how="left_semi"), [key], ord_col)
+
+
 def distinct_rows(df: DataFrame, ord_col: str) -> DataFrame:
     """Full-row distinct that keeps the first position of each row."""
     key = [c for c in df.columns if c != ord_col]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import MODES, RETURN_SLOTS, TIERS
 from ..functions import fmt
 from ..functions import text as T
-from ..operators.clean import build_master, first_per_key, nulls_for_nan, override_time
+from ..operators.clean import build_master, lookup_first, nulls_for_nan, override_time
 from ..operators.topk import fitting_slots, prefix_topk, slot_bucket, slots_frame
 from ..sources import fixtures
 from ..sources.tables import read_table
@@ -334,9 +334,10 @@ def q_vlookup_first(spark, sf_dir):
     """J4/trap 12: the bakery report's names looked up by first match across both games."""
     m = inputs.master(spark, sf_dir)
     src = F.array_position(F.array(*[F.lit(x) for x in MODES]), F.col("game_mode"))
-    first = first_per_key(m.withColumn("_src_ord", F.struct(src, F.col("rcp_ord"))),
-                          ["rcp_name"], "_src_ord")
     report = filtered_report(spark, m, mode="bakery", keep_empty=False)
+    names = report.select(F.col("best_xp_recipe").alias("rcp_name"))  # one per slot at most
+    first = lookup_first(names, m.withColumn("_src_ord", F.struct(src, F.col("rcp_ord"))),
+                         "rcp_name", "_src_ord", max_keys=len(RETURN_SLOTS))
     look = first.select(F.col("rcp_name").alias("best_xp_recipe"),
                         F.col("game_mode").alias("lookup_game"), F.col("appl_name").alias("lookup_appl"),
                         F.col("rcp_xp").alias("lookup_xp"), F.col("rcp_profit").alias("lookup_profit"))
