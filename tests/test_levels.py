@@ -75,7 +75,7 @@ def test_with_cycles_and_asof(spark):
     assert [r.s for r in got] == [2, 2, None, 4]
 
 
-def test_reference_sample_rows(spark):
+def test_printed_sample_rows(spark):
     """Printed sample rows: (xp 6, 1 min), (340, 2760), (209, 2780) on a simple table."""
     lv = levels_df(spark, [("0", "2"), ("1,000", "3"), ("50,000", "5"), ("400,000", "8")])
     df = spark.createDataFrame([(6, 1), (340, 2760), (209, 2780)], "r bigint, t bigint")
