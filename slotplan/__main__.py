@@ -2,6 +2,7 @@
 
     python -m slotplan run  --sf /data/sf1 --out /shared/run1 [--mode both] [--steps clean,master]
     python -m slotplan plan --sf /data/sf1 --mode bakery --level 40 --tier medium
+    python -m slotplan plan --cube /shared/run1/report_cube --mode bakery --level 40
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession
 
 from .constants import DEFAULT_LEVEL, DEFAULT_MODE, DEFAULT_TIER
 from .pipeline import STEPS, run_pipeline
-from .plans.planner import planner_filtered
+from .plans.planner import cube_lookup, planner_filtered
 from .session import ensure_checkpoint_dir
 
 
@@ -26,11 +27,15 @@ def main(argv=None) -> int:
     r.add_argument("--mode", default="both")
     r.add_argument("--steps", default=",".join(STEPS))
     p = sub.add_parser("plan", help="print the planner report for one game/level/tier")
-    p.add_argument("--sf", required=True)
+    p.add_argument("--sf", default=None)
     p.add_argument("--mode", default=DEFAULT_MODE)
     p.add_argument("--level", type=int, default=DEFAULT_LEVEL)
     p.add_argument("--tier", default=DEFAULT_TIER)
+    p.add_argument("--cube", default=None,
+                   help="answer from a stored report_cube table (a filter) instead of the raw data")
     args = ap.parse_args(argv)
+    if args.cmd == "plan" and not (args.sf or args.cube):
+        ap.error("plan needs --sf (compute from the data) or --cube (look up a stored cube)")
 
     spark = SparkSession.builder.appName("slotplan").getOrCreate()
     ensure_checkpoint_dir(spark)
@@ -38,6 +43,9 @@ def main(argv=None) -> int:
         paths = run_pipeline(spark, args.sf, args.out, args.mode, args.steps.split(","))
         for k, v in paths.items():
             print(f"{k}\t{v}")
+    elif args.cube:
+        cube_lookup(spark, args.cube, args.mode, args.level, args.tier).orderBy("return_time") \
+            .show(50, truncate=False)
     else:
         planner_filtered(spark, args.sf, args.mode, args.level, args.tier).orderBy("return_time") \
             .show(50, truncate=False)

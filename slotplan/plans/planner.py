@@ -227,3 +227,15 @@ def cube_report(master: DataFrame, slots: Sequence[int] = RETURN_SLOTS,
                 .select("game_mode", "level", "recipe_type", "return_time",
                         "best_xp_recipe", "best_xp_appl", "best_xp", "xp_per_hr",
                         "best_profit_recipe", "best_profit_appl", "best_profit", "profit_per_hr"))
+
+
+def cube_lookup(spark, cube_path: str, mode: str = DEFAULT_MODE, level: int = DEFAULT_LEVEL,
+                tier: str = DEFAULT_TIER) -> DataFrame:
+    """Answer one (game, level, tier) from a stored cube: a filter on the cube table
+    (pushed to the parquet scan), plus the slots that have no candidate."""
+    validate_params(mode, level, tier)
+    cube = spark.read.parquet(cube_path)
+    hit = cube.where((F.col("game_mode") == mode) & (F.col("level") == level)
+                     & (F.col("recipe_type") == tier)).drop("game_mode", "level", "recipe_type")
+    slots = sorted(set(RETURN_SLOTS))
+    return with_all_slots(hit, slots_frame(spark, slots))

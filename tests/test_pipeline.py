@@ -26,3 +26,14 @@ def test_pipeline_steps(spark, tmp_path):
     run_pipeline(spark, SF_SMALL, out, steps=["reports"])
     with pytest.raises(ValueError):
         run_pipeline(spark, SF_SMALL, out, mode="other")
+
+
+def test_cube_lookup_matches_planner(spark, tmp_path):
+    from slotplan.plans.planner import cube_lookup, planner_filtered
+    out = str(tmp_path / "run")
+    paths = run_pipeline(spark, SF_SMALL, out, steps=["clean", "master", "reports"])
+    got = cube_lookup(spark, paths["report_cube"], "bakery", 40, "medium")
+    want = planner_filtered(spark, SF_SMALL, "bakery", 40, "medium")
+    cols = sorted(want.columns)
+    assert sorted(map(tuple, got.select(*cols).collect()), key=repr) == \
+        sorted(map(tuple, want.select(*cols).collect()), key=repr)
