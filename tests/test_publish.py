@@ -115,3 +115,21 @@ def test_write_chunks_contiguous_files(spark, tmp_path):
     per_file = back.withColumn("f", F.input_file_name()).groupBy("f").agg(
         F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("id").alias("n")).collect()
     assert all(r.hi - r.lo + 1 == r.n for r in per_file)  # contiguous id ranges
+
+
+def test_spread_only_small_split_counts(spark, tmp_path):
+    from slotplan.sources.tables import spread_small_scan
+    target = spark.sparkContext.defaultParallelism
+    many = str(tmp_path / "many")
+    spark.range(0, 200000).repartition(target * 2).write.parquet(many)
+    df = spark.read.parquet(many)
+    assert spread_small_scan(df, "id", many) is df          # enough splits: unchanged
+    one = str(tmp_path / "one")
+    spark.range(0, 200000).coalesce(1).write.parquet(one)
+    single = spark.read.parquet(one)
+    spread = spread_small_scan(single, "id", one)
+    if single.rdd.getNumPartitions() < target and sum(
+            f.stat().st_size for f in (tmp_path / "one").glob("*.parquet")) >= (1 << 20):
+        assert spread is not single and spread.rdd.getNumPartitions() == target
+    tiny = spark.read.parquet(one).limit(10)
+    assert spread_small_scan(tiny, "id", str(tmp_path / "nope")) is not None
