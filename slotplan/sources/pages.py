@@ -100,4 +100,8 @@ def page_details(pages: DataFrame) -> DataFrame:
         F.try_element_at(links, F.lit(1))["text"].alias("first_link"),
         F.when(F.size(links) > 1, F.try_element_at(links, F.lit(-1))["text"]).alias("last_link"),
     )
-    return out.where(F.col("heading").isNotNull())
+    # Drop pages without a heading through a generator rather than a filter: a
+    # filter would be pushed below this projection and re-run the page regexes
+    # in the predicate; the generator keeps one evaluation per page.
+    keep = F.explode(F.filter(F.array(F.col("heading")), lambda h: h.isNotNull()))
+    return out.select("*", keep.alias("_kept")).drop("_kept")
