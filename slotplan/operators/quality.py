@@ -1,4 +1,4 @@
-"""Record-level error isolation (K11): split bad fields out instead of failing."""
+"""Record-level error isolation (K11) and row selection on derived columns."""
 
 from __future__ import annotations
 
@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_int_is_bad
 
 
+def keep_where(df: DataFrame, cond) -> DataFrame:
+    """Keep rows where ``cond`` is true, for conditions on expensive derived columns.
+
+    A plain filter would be pushed below the projection that derives the
+    columns and evaluate the derivation (e.g. regex parsing) a second time in
+    the predicate. A generator that emits one row when the condition holds and
+    none otherwise is not pushed down, so every derivation runs once per row.
+    """
+    keep = F.explode(F.filter(F.array(F.lit(True)), lambda _: F.coalesce(cond, F.lit(False))))
+    return df.select("*", keep.alias("_keep")).drop("_keep")
+
+
 def quarantine(df: DataFrame, key: str, ints: Sequence[str] = (),
                hours: Sequence[str] = ()) -> DataFrame:
     """One row per (key, field) whose non-null text does not parse.

@@ -22,6 +22,7 @@ from ..constants import (DEFAULT_LEVEL, DEFAULT_MODE, DEFAULT_TIER, MODES, RETUR
 from ..functions.fmt import rate_2dp, rate_js
 from ..functions.text import empty_label_sql
 from ..operators.joins import sized_join
+from ..operators.quality import keep_where
 from ..operators.topk import prefix_best, slots_frame, with_all_slots
 from . import inputs
 
@@ -66,8 +67,8 @@ def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE,
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     r = inputs.recipes_clean(spark, sf_dir).where(F.col("game_mode") == mode)
-    if require_time:
-        r = r.where(F.col("rcp_time_min").isNotNull() & (F.col("rcp_time_min") >= 0))
+    if require_time:  # the time is parsed from text: select without a pushed re-parse
+        r = keep_where(r, F.col("rcp_time_min").isNotNull() & (F.col("rcp_time_min") >= 0))
     r = (r
          .select("rcp_ord", "rcp_name", "appl_name", "rcp_xp", "rcp_profit",
                  "rcp_time_min", "rcp_labels"))
@@ -169,8 +170,10 @@ def score_candidates(master: DataFrame, mode: str, level: int, tier: str) -> Dat
     slot bucket, so they drop out there.
     """
     validate_params(mode, level, tier)
-    return master.where((F.col("game_mode") == mode) & (F.col("rcp_level") <= level)
-                        & tier_predicate(tier))
+    # game and level are plain columns (pushed down); the score is derived from
+    # parsed labels, so it is selected without a pushed re-evaluation
+    return keep_where(master.where((F.col("game_mode") == mode) & (F.col("rcp_level") <= level)),
+                      tier_predicate(tier))
 
 
 def planner_filtered(spark, sf_dir, mode: str = DEFAULT_MODE, level: int = DEFAULT_LEVEL,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of, regex_field, url_host
+from ..operators.quality import keep_where
 
 NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 # a paragraph runs from "<p>" to the next "<p", "</p" or "</a(rticle)"
@@ -100,8 +101,5 @@ def page_details(pages: DataFrame) -> DataFrame:
         F.try_element_at(links, F.lit(1))["text"].alias("first_link"),
         F.when(F.size(links) > 1, F.try_element_at(links, F.lit(-1))["text"]).alias("last_link"),
     )
-    # Drop pages without a heading through a generator rather than a filter: a
-    # filter would be pushed below this projection and re-run the page regexes
-    # in the predicate; the generator keeps one evaluation per page.
-    keep = F.explode(F.filter(F.array(F.col("heading")), lambda h: h.isNotNull()))
-    return out.select("*", keep.alias("_kept")).drop("_kept")
+    # not a plain filter: it would re-run the page regexes in the pushed predicate
+    return keep_where(out, F.col("heading").isNotNull())
