@@ -113,3 +113,13 @@ def test_medium_sql_predicate_and_clean_recipes(spark):
     r = clean_recipes(raw).first()
     assert (r.rcp_cost, r.rcp_income, r.rcp_profit, r.rcp_time_min, r.rcp_obtainability) == \
         (1250, 2000, 750, 15, "easy")
+
+
+def test_keep_where(spark):
+    from slotplan.operators.quality import keep_where
+    df = spark.createDataFrame([(1, "12"), (2, None), (3, "x")], "i int, t string")
+    parsed = df.withColumn("n", F.regexp_extract("t", "([0-9]+)", 1).try_cast("int"))
+    kept = keep_where(parsed, F.col("n") > 5)
+    assert [r.i for r in kept.collect()] == [1]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "regexp_extract" not in plan.split("Generate")[1].split("Project")[0]
