@@ -32,6 +32,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+def _beta_level(name: str, keys: str, parent: str, on: str) -> str:
+    """CTEs of one shrinkage level: prior from the parent, strength by moments, posterior."""
+    return f"""
+{name}_n AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY {keys}),
+{name}_p AS (SELECT c.*, p.mean AS prior FROM {name}_n c JOIN {parent} p USING ({on})),
+{name}_s AS (
+  SELECT CASE WHEN count(*) = 0 OR sum(n) <= count(*) THEN 1.0
+         ELSE 1 / least(0.99, greatest(0.0001,
+              (sum(n * pow(bad / n - prior, 2) / (prior * (1 - prior))) - count(*)) / (sum(n) - count(*)))) - 1 END AS k
+  FROM {name}_p WHERE n > 0),
+{name} AS (
+  SELECT t.*, prior * k + bad AS a, (1 - prior) * k + n - bad AS b,
+         (prior * k + bad) / (k + n) AS mean FROM {name}_p t, {name}_s)"""
+
+
+OP4 = r"""
+WITH p AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+lab AS (SELECT doc_id AS page_id, max((quality = 0)::INT) AS bad FROM labels
+        WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY 1),
+hosts AS (
+  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain, string_split(host, '.')[-1] AS suffix,
+         count(bad)::DOUBLE AS n, coalesce(sum(bad), 0)::DOUBLE AS bad
+  FROM p LEFT JOIN lab USING (page_id) GROUP BY ALL),
+root AS (SELECT DISTINCT suffix, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM hosts) AS mean FROM hosts),""" \
+    + _beta_level("sfx", "suffix", "root", "suffix") + "," \
+    + _beta_level("dom", "suffix, domain", "sfx", "suffix") + "," \
+    + _beta_level("hst", "domain, host", "dom", "domain") + r""",
+verdicts AS (SELECT host, mean - 1.645 * sqrt(a * b / (pow(a + b, 2) * (a + b + 1))) > 0.3 AS blocked FROM hst),
+rules(h, pre, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+                            ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+fit AS (
+  SELECT page_id, arg_max(h || pre, length(h || pre)) AS rule, arg_max(v, length(h || pre)) AS v
+  FROM p JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id)
+SELECT page_id, host, path, rule,
+       coalesce(v, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN verdicts USING (host) LEFT JOIN fit USING (page_id)
+"""
+
+OP10 = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+           FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_url_reputation": OP4,
+    "op10_warc": OP10,
     "op7_quality_rules": OP7,
 }

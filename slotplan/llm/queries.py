@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle, quality_rules
+from . import licences, oracle, quality_rules, url_reputation, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,7 +21,33 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("fail_bits").bitwiseAND(F.lit(base)) != 0).alias("base_failed"), "kept")
 
 
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of a page: the label row of its id says quality 0 (bad) or 1."""
+    outcomes = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("bad"))
+    out = url_reputation.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_matches", F.array_join("licences", ", ").alias("licences"),
+                        F.array_join(F.transform("finds", lambda m: m["rule"]), ", ").alias("rules"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
+    "op4_url_reputation": op4_url_reputation,
     "op7_quality_rules": op7_quality_rules,
+    "op8_licence_scan": op8_licence_scan,
+    "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
