@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licences, oracle, quality_rules, url_reputation, warc
+from . import exact_topk, licences, oracle, quality_rules, url_reputation, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.transform("finds", lambda m: m["rule"]), ", ").alias("rules"))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op4_url_reputation": op4_url_reputation,
     "op7_quality_rules": op7_quality_rules,
     "op8_licence_scan": op8_licence_scan,
+    "op9_exact_topk": op9_exact_topk,
     "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
