@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_topk, licences, oracle, quality_rules, url_reputation, warc
+from . import exact_topk, licences, mixing, oracle, quality_rules, url_reputation, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,15 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+MIX_TARGETS = {"clean": 0.9, "toxic": 0.05, "junk": 0.05}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.label_domains(table(spark, sf_dir, "labels"))
+    out = mixing.mix(table(spark, sf_dir, "documents"), labels, MIX_TARGETS)
+    return out.select("doc_id", "n_tokens", *[F.col("posterior")[d].alias(f"p_{d}") for d in MIX_TARGETS], "rate")
+
+
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_matches", F.array_join("licences", ", ").alias("licences"),
@@ -50,6 +59,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_url_reputation": op4_url_reputation,
+    "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_licence_scan": op8_licence_scan,
     "op9_exact_topk": op9_exact_topk,
