@@ -43,9 +43,10 @@ def dedupe(pages: DataFrame, min_dup_bytes: int = 100) -> DataFrame:
     body = F.coalesce(F.col("html"), F.lit(""))
     p = pages.select("page_id", "url", body.alias("payload"), F.octet_length(body).cast("long").alias("n"),
                      F.sha2(body, 256).alias("digest"))
-    repeated = (p.where(F.col("n") >= min_dup_bytes).groupBy("digest")
-                .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c"))
-                .where("c > 1").select("digest", "first"))
+    # written first, so that Spark knows its size when it plans the join with the payloads
+    repeated = settled(p.where(F.col("n") >= min_dup_bytes).groupBy("digest")
+                       .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("c"))
+                       .where("c > 1").select("digest", "first"), "warc-repeated")
     joined = p.join(repeated, "digest", "left")
     other = F.coalesce(F.col("page_id") != F.col("first"), F.lit(False))
     return joined.withColumn("first", F.when(other, F.col("first")))
