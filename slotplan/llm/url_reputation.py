@@ -117,7 +117,8 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule],
     spark = pages.sparkSession
     scores = settled(reputation(host_counts(pages, outcomes), z, threshold), "host-scores")
     known = spark.createDataFrame(list(rules), "rule_host string, rule_path string, rule_verdict string")
-    per_host = scores.join(host_rules(scores.select("host"), known), "host", "left")
+    # written first: a plain table of known size, so that Spark can split a hot host in the join
+    per_host = settled(scores.join(host_rules(scores.select("host"), known), "host", "left"), "host-verdicts")
     df = (pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
           .join(per_host, "host", "left"))
     hit = F.get(F.filter("rules", lambda r: F.col("path").startswith(r["path"])), F.lit(0))
