@@ -32,6 +32,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
+OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN ws ELSE list_slice(ws, i, i + 4) END AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+          FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+      WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles,
+       least(d.doc_id, coalesce(min(reach.y), d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def _beta_level(name: str, keys: str, parent: str, on: str) -> str:
     """CTEs of one shrinkage level: prior from the parent, strength by moments, posterior."""
     return f"""
@@ -99,6 +118,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_jaccard_join": OP1,
     "op4_url_reputation": OP4,
     "op9_exact_topk": OP9,
     "op10_warc": OP10,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_topk, licences, mixing, oracle, quality_rules, url_reputation, warc
+from . import exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, url_reputation, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("fail_bits").bitwiseAND(F.lit(base)) != 0).alias("base_failed"), "kept")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -58,6 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op4_url_reputation": op4_url_reputation,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
