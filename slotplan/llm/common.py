@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotplan.session import ensure_checkpoint_dir
 
@@ -27,3 +28,17 @@ def settled(df: DataFrame, tag: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: rows (or array entries) up to which a settled table is broadcast; beyond it Spark shuffles the join
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame, entries: str | None = None) -> DataFrame:
+    """A settled table to join with: broadcast only if it is counted small.
+
+    ``entries`` names an array column whose total length counts too.
+    """
+    total = F.coalesce(F.sum(F.size(entries)), F.lit(0)) if entries else F.lit(0)
+    rows, inner = df.agg(F.count(F.lit(1)), total).first()
+    return F.broadcast(df) if max(rows, inner) <= BROADCAST_ROWS else df

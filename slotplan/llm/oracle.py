@@ -94,6 +94,21 @@ SELECT page_id, host, path, rule,
 FROM p LEFT JOIN verdicts USING (host) LEFT JOIN fit USING (page_id)
 """
 
+OP5 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+win AS (SELECT doc_id, i, list_slice(ws, i, i + 34) AS g
+        FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY g) > 1),
+cut AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, i + unnest(generate_series(0, 34)) AS p FROM twice)),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.p) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM d) w
+  LEFT JOIN cut ON cut.doc_id = w.doc_id AND cut.p = w.p WHERE cut.p IS NULL GROUP BY w.doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = """
 WITH good AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -122,5 +137,6 @@ ORACLE: dict[str, str] = {
     "op4_url_reputation": OP4,
     "op9_exact_topk": OP9,
     "op10_warc": OP10,
+    "op5_substring_dedup": OP5,
     "op7_quality_rules": OP7,
 }

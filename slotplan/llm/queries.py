@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, url_reputation, warc
+from . import (
+    exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, substring_dedup, toxicity, url_reputation, warc,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +28,15 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels whose crc32(doc_id) modulo 5 is 0 are held out of training."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    out = toxicity.score(docs, toxicity.train(docs, labels))
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "spans")
+
+
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -38,6 +49,12 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = quality_rules.split_words(F.col("kept_text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+
+
 MIX_TARGETS = {"clean": 0.9, "toxic": 0.05, "junk": 0.05}
 
 
@@ -64,7 +81,9 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_toxicity": op2_toxicity,
     "op4_url_reputation": op4_url_reputation,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_rules": op7_quality_rules,
     "op8_licence_scan": op8_licence_scan,
