@@ -13,9 +13,10 @@ distinct five-word shingles. Exact, in steps that each shrink the data:
 4. Each cluster is joined by its *signature tree*: nodes hold the OR (and AND) of
    token bitmaps and a size range; the dual traversal drops node pairs whose largest
    possible overlap is too small, skips pairs already connected, and verifies the
-   rest on the full sets (``tree_links``). Clusters beyond ``PIECE`` members are
-   first linked to a hub; only members the hub does not reach meet the others,
-   piece by piece, so no task holds more than two pieces.
+   rest on the full sets (``spanning``). Clusters beyond two ``PIECE`` are first
+   linked to a hub, then split by a traversal of signatures alone, which are far
+   smaller than the sets. Only members that no hub reaches meet the others, piece
+   by piece, so no task holds more than two pieces.
 
 A frequent shingle only changes an order, so the list of frequent ones may be
 approximate and is bounded (``MAX_FREQUENT``). Shingles are 64-bit hashes.
@@ -36,16 +37,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import settled
+from .common import settled, sized
 from .components import components
 
 WIDTH = 5
 PERCENT = 75
 PIECE = 256                 # members of a cluster that meet in one task (at most two pieces)
+SIGNATURE_PIECE = 2048      # the same where only signatures meet
 MAX_FREQUENT = 1 << 20      # shingles with a frequency level of their own
 FREQUENT = 8                # documents of a shingle that count as frequent
 SUMMARY = 1 << 15           # entries of a task's heavy-hitter summary
-BROADCAST_ROWS = 1_000_000  # ids that are broadcast; beyond it Spark shuffles the join
 
 
 def shingle_sets(chunk: W.Chunk, width: int = WIDTH) -> list[np.ndarray]:
@@ -156,11 +157,6 @@ def candidates(docs: DataFrame, classes: DataFrame, order: Frequency) -> DataFra
     return settled(left.select("cls", "n", "rep"), "jaccard-candidates")
 
 
-def _sized(df: DataFrame) -> DataFrame:
-    """A settled table to join with: broadcast only if it is counted small."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """(cls, n, tokens) of the chosen classes, read from one document each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +173,7 @@ def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                         [pa.array([want[c.first + i] for i in good], pa.int64()), pa.array(sizes, pa.int64()),
                          pa.ListArray.from_arrays(offsets, flat)], ["cls", "n", "tokens"])
 
-    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(_sized(chosen.select("rep", "cls")), "rep")
+    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(sized(chosen.select("rep", "cls")), "rep")
     return settled(rows.select("text", "cls").mapInArrow(run, "cls long, n long, tokens array<long>"), "jaccard-sets")
 
 
@@ -209,22 +205,25 @@ def links(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
+def bitmap(values: np.ndarray) -> np.ndarray:
+    """Token bitmap of a set, as 64-bit words; its width is a power of two of twice the size or more."""
+    bits = 1 << min(14, max(8, int(2 * len(values) - 1).bit_length()))
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    at = (values & np.uint64(bits - 1)).astype(np.int64)
+    np.bitwise_or.at(out, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    return out
+
+
 class SignatureTree:
     """Members sorted by size under nodes with OR and AND bitmaps and a size range."""
 
     FAN = 16
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.size = np.array([len(s) for s in sets])
-        bits = 1 << min(13, max(8, int(np.median(self.size)).bit_length() + 1))
-        self.bitmaps = np.zeros((len(sets), bits // 64), dtype=np.uint64)
-        for row, s in zip(self.bitmaps, sets):
-            at = (s & np.uint64(bits - 1)).astype(np.int64)
-            np.bitwise_or.at(row, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        self.order = np.argsort(self.size, kind="stable")
+    def __init__(self, size: np.ndarray, bitmaps: np.ndarray):
+        self.size, self.bitmaps = size, bitmaps
+        self.order = np.argsort(size, kind="stable")
         #: levels[0] are leaves of FAN members; each: (first, last + 1, OR, AND, least size, largest size)
-        self.levels = [[self._node(i, min(i + self.FAN, len(sets)), None) for i in range(0, len(sets), self.FAN)]]
+        self.levels = [[self._node(i, min(i + self.FAN, len(size)), None) for i in range(0, len(size), self.FAN)]]
         while len(self.levels[-1]) > 1:
             below = self.levels[-1]
             self.levels.append([self._node(i, min(i + self.FAN, len(below)), below) for i in range(0, len(below), self.FAN)])
@@ -233,7 +232,7 @@ class SignatureTree:
         if below is None:
             rows = self.order[lo:hi]
             maps, size = self.bitmaps[rows], self.size[rows]
-            return lo, hi, np.bitwise_or.reduce(maps), np.bitwise_and.reduce(maps), size.min(), size.max()
+            return lo, hi, np.bitwise_or.reduce(maps), np.bitwise_and.reduce(maps), int(size.min()), int(size.max())
         part = below[lo:hi]
         return (lo, hi, np.bitwise_or.reduce([n[2] for n in part]), np.bitwise_and.reduce([n[3] for n in part]),
                 min(n[4] for n in part), max(n[5] for n in part))
@@ -247,8 +246,8 @@ class SignatureTree:
         most = min(a[5] - int(np.bitwise_count(a[3] & ~b[2]).sum()), b[5] - int(np.bitwise_count(b[3] & ~a[2]).sum()))
         return most >= need
 
-    def pairs(self) -> Iterator[tuple[int, int]]:
-        """Member pairs that the traversal cannot rule out, near sizes first."""
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(member, members) that the traversal cannot rule out; each pair comes once."""
         top = len(self.levels) - 1
         stack = [(top, 0, 0)]
         while stack:
@@ -268,66 +267,110 @@ class SignatureTree:
                 lost_y = np.bitwise_count(self.bitmaps[rest] & ~self.bitmaps[m]).sum(axis=1)
                 most = np.minimum(self.size[m] - lost_x.astype(np.int64), self.size[rest] - lost_y.astype(np.int64))
                 good = (100 + PERCENT) * most >= PERCENT * (self.size[m] + self.size[rest])
-                for y in rest[good]:
-                    yield int(m), int(y)
-
+                if good.any():
+                    yield int(m), rest[good]
+
+
+def candidate_pairs(size: np.ndarray, maps: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+    """Pairs whose bitmaps and sizes allow a link. Linked sizes differ by less than a
+    factor of two, so trees over one bitmap width and the next one hold every pair."""
+    widths = np.array([len(m) for m in maps])
+    for w in np.unique(widths):
+        rows = np.flatnonzero((widths == w) | (widths == 2 * w))
+        same = widths[rows] == w
+        if len(rows) < 2 or not same.any():
+            continue
+        flat = np.stack([maps[r] if len(maps[r]) == w else maps[r][:w] | maps[r][w:] for r in rows])
+        for i, others in SignatureTree(size[rows], flat).pairs():
+            for j in (others if same[i] else others[same[others]]):
+                yield int(rows[i]), int(rows[j])
+
+
+class _Forest:
+    """Union-find over group members; those of one ``comps`` value start connected."""
+
+    def __init__(self, comps: list[int]):
+        self.root = list(range(len(comps)))
+        first: dict[int, int] = {}
+        for i, c in enumerate(comps):
+            self.root[self.find(i)] = self.find(first.setdefault(c, i))
+        self.left = len({self.find(i) for i in range(len(comps))})
+
+    def find(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = self.root[self.root[i]]
+            i = self.root[i]
+        return i
 
-def tree_links(ids: list[int], comps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links of one group that connect its members: a spanning forest of all its links.
+    def join(self, i: int, j: int) -> None:
+        self.root[self.find(i)] = self.find(j)
+        self.left -= 1
 
-    Members of one ``comps`` value count as connected already.
-    """
-    root = list(range(len(ids)))
-
-    def find(i):
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    first: dict[int, int] = {}
-    for i, c in enumerate(comps):
-        root[find(i)] = find(first.setdefault(c, i))
-    left = len({find(i) for i in range(len(ids))})
-    out: list[tuple[int, int]] = []
-    if left < 2:
+def spanning(ids: list[int], comps: list[int], size: np.ndarray, maps: list[np.ndarray], sets=None) -> list[tuple[int, int]]:
+    """A spanning forest of a group's links (with ``sets``), or of the pairs its signatures allow."""
+    forest, out = _Forest(comps), []
+    if forest.left < 2:
         return out
-    for i, j in SignatureTree(sets).pairs():
-        a, b = find(i), find(j)
-        if a != b and links(sets[i], sets[j]):
-            root[a] = b
+    for i, j in candidate_pairs(size, maps):
+        if forest.find(i) != forest.find(j) and (sets is None or links(sets[i], sets[j])):
+            forest.join(i, j)
             out.append((ids[i], ids[j]))
-            left -= 1
-            if left == 1:
+            if forest.left == 1:
                 break
     return out
 
 
-def _linked_groups(rows: DataFrame) -> DataFrame:
-    """``rows``: grp, cls, comp, tokens -> links (a, b), one group in memory at a time."""
+def _groups(rows: DataFrame, exact: bool) -> DataFrame:
+    """Links (a, b) of each group, one group in memory at a time.
+
+    ``rows``: grp, cls, comp and n, tokens (``exact``) or n, bits.
+    """
+    last = "tokens" if exact else "bits"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, comps, sets = None, [], [], []
+        now, ids, comps, size, data = None, [], [], [], []
 
         def done():
-            found = tree_links(ids, comps, sets) if len(ids) > 1 else []
+            found = []
+            if len(ids) > 1:
+                found = spanning(ids, comps, np.array(size), [bitmap(x) for x in data] if exact else data, data if exact else None)
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
                                                pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
         for b in batches:
-            offsets = b.column(3).offsets.to_numpy()
-            flat = b.column(3).values.to_numpy(zero_copy_only=False).view(np.uint64)
-            for k, (grp, cls, comp) in enumerate(zip(*(b.column(i).to_pylist() for i in range(3)))):
+            if exact:
+                offsets = b.column(4).offsets.to_numpy()
+                flat = b.column(4).values.to_numpy(zero_copy_only=False).view(np.uint64)
+                values = [flat[x:y].copy() for x, y in zip(offsets[:-1], offsets[1:])]
+            else:
+                values = [np.frombuffer(x, dtype=np.uint64) for x in b.column(4).to_pylist()]
+            for grp, cls, comp, n, value in zip(*(b.column(i).to_pylist() for i in range(4)), values):
                 if grp != now:
                     if ids:
                         yield done()
-                    now, ids, comps, sets = grp, [], [], []
+                    now, ids, comps, size, data = grp, [], [], [], []
                 ids.append(cls)
                 comps.append(comp)
-                sets.append(flat[offsets[k]:offsets[k + 1]].copy())
+                size.append(n)
+                data.append(value)
         if ids:
             yield done()
 
-    return rows.repartition("grp").sortWithinPartitions("grp").select("grp", "cls", "comp", "tokens").mapInArrow(run, "a long, b long")
+    return (rows.repartition("grp").sortWithinPartitions("grp").select("grp", "cls", "comp", "n", last)
+            .mapInArrow(run, "a long, b long"))
+
+
+def _signatures(sets: DataFrame) -> DataFrame:
+    """(cls, n, bits): the bitmap of each class."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            offsets = b.column(2).offsets.to_numpy()
+            flat = b.column(2).values.to_numpy(zero_copy_only=False).view(np.uint64)
+            bits = [bitmap(flat[x:y]).tobytes() for x, y in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bits, pa.binary())], ["cls", "n", "bits"])
+
+    return sets.select("cls", "n", "tokens").mapInArrow(run, "cls long, n long, bits binary")
 
 
 def _hub_links(sets: DataFrame, large: DataFrame) -> DataFrame:
@@ -339,24 +382,24 @@ def _hub_links(sets: DataFrame, large: DataFrame) -> DataFrame:
                     if links(*(flat[o[k]:o[k + 1]] for o, flat in both))]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(good, pa.int64())), b.column(1).take(pa.array(good, pa.int64()))], ["a", "b"])
 
-    rows = sets.join(_sized(large.select("cls", "cluster")), "cls")
+    rows = sets.join(sized(large.select("cls", "cluster")), "cls")
     hubs = settled(rows.groupBy("cluster").agg(F.max(F.struct("n", "cls")).alias("h"))
                    .select("cluster", F.col("h.cls").alias("hub")), "jaccard-hub")
-    hub_sets = settled(sets.join(_sized(hubs.select(F.col("hub").alias("cls"), "cluster")), "cls")
+    hub_sets = settled(sets.join(sized(hubs.select(F.col("hub").alias("cls"), "cluster")), "cls")
                        .select("cluster", F.col("cls").alias("hub"), F.col("tokens").alias("hub_tokens")), "jaccard-hub-sets")
     pairs = rows.join(hub_sets, "cluster").where("cls <> hub")
     return settled(pairs.select("cls", "hub", "tokens", "hub_tokens").mapInArrow(run, "a long, b long"), "jaccard-hub-links")
 
 
-def _pieces(members: DataFrame, hub_links: DataFrame) -> DataFrame:
+def _pieces(members: DataFrame, hub_links: DataFrame, piece: int) -> DataFrame:
     """(cls, comp, grp) of large clusters: pieces of loose members meet every piece of the cluster."""
     tied = hub_links.select(F.col("a").alias("cls"), F.col("b").alias("comp")).unionByName(
         hub_links.select(F.col("b").alias("cls"), F.col("b").alias("comp")).distinct())
     m = settled(members.join(tied, "cls", "left").withColumn("loose", F.col("comp").isNull())
                 .withColumn("comp", F.coalesce("comp", "cls")), "jaccard-large")
     size = settled(m.groupBy("cluster").agg(
-        F.ceil(F.sum(F.when(F.col("loose"), 1).otherwise(0)) / PIECE).alias("n_loose"),
-        F.ceil(F.sum(F.when(F.col("loose"), 0).otherwise(1)) / PIECE).alias("n_tied")), "jaccard-large-sizes")
+        F.ceil(F.sum(F.when(F.col("loose"), 1).otherwise(0)) / piece).alias("n_loose"),
+        F.ceil(F.sum(F.when(F.col("loose"), 0).otherwise(1)) / piece).alias("n_tied")), "jaccard-large-sizes")
     m = m.join(size, "cluster").where("n_loose > 0")
     mine = F.pmod(F.xxhash64("cls"), F.greatest(F.when(F.col("loose"), F.col("n_loose")).otherwise(F.col("n_tied")), F.lit(1)))
     m = m.withColumn("mine", mine)
@@ -369,6 +412,13 @@ def _pieces(members: DataFrame, hub_links: DataFrame) -> DataFrame:
     return m.select("cls", "comp", F.explode(keys).alias("grp"))
 
 
+def _by_size(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of clusters that fit in one task, and of larger ones (cls, cluster)."""
+    tagged = settled(member.join(settled(member.groupBy("cluster").count(), "jaccard-sizes"), "cluster"), "jaccard-tagged")
+    return (tagged.where(f"count <= {2 * PIECE}").select("cls", "cluster"),
+            tagged.where(f"count > {2 * PIECE}").select("cls", "cluster"))
+
+
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id (null without words) and component_id, one row per input row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -383,16 +433,23 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     common = (sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where(f"count >= {FREQUENT}")
               .orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect())
     member = clusters(sets, _frequent(common))
-    size = settled(member.groupBy("cluster").count(), "jaccard-sizes")
-    tagged = settled(member.join(size, "cluster"), "jaccard-tagged")
-    groups = tagged.where(f"count <= {2 * PIECE}").select("cls", F.col("cls").alias("comp"), F.col("cluster").cast("string").alias("grp"))
-    large = tagged.where(f"count > {2 * PIECE}").select("cls", "cluster")
+    few, many = _by_size(member)
+    groups = few.select("cls", F.col("cls").alias("comp"), F.col("cluster").cast("string").alias("grp"))
     found = None
-    if not large.isEmpty():
-        found = _hub_links(sets, large)
-        groups = groups.unionByName(_pieces(large, found))
+    if not many.isEmpty():
+        # large clusters: link to a hub, split by signatures alone, then meet on full sets
+        found = _hub_links(sets, many)
+        pieces = settled(_pieces(many, found, SIGNATURE_PIECE), "jaccard-pieces")
+        maybe = settled(_groups(_signatures(sets.join(sized(many.select("cls")), "cls", "left_semi"))
+                                .join(sized(pieces), "cls"), exact=False), "jaccard-maybe")
+        parts = components(maybe.unionByName(found)).select(F.col("node").alias("cls"), F.concat(F.lit("s"), "root").alias("cluster"))
+        few, many = _by_size(parts)
+        tied = found.select(F.col("a").alias("cls"), F.col("b").alias("comp"))
+        groups = (groups.unionByName(few.join(tied, "cls", "left").select(
+            "cls", F.coalesce("comp", "cls").alias("comp"), F.col("cluster").alias("grp")))
+            .unionByName(_pieces(many, found, PIECE)))
     groups = settled(groups, "jaccard-groups")
-    trees = settled(_linked_groups(sets.select("cls", "tokens").join(_sized(groups), "cls")), "jaccard-links")
+    trees = settled(_groups(sets.join(sized(groups), "cls"), exact=True), "jaccard-links")
     roots = components(trees if found is None else trees.unionByName(found))
     whole = settled(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
                     .select("cls", "rep", F.coalesce("root", "cls").alias("root")), "jaccard-roots")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, substring_dedup, toxicity, url_reputation, warc,
+    exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, sentencepiece_lattice,
+    substring_dedup, toxicity, url_reputation, warc,
 )
 from .common import table
 
@@ -37,6 +38,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "spans")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece_lattice.load()
+    return sentencepiece_lattice.encode(table(spark, sf_dir, "documents"), model)
+
+
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
@@ -82,6 +88,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_url_reputation": op4_url_reputation,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_mixing": op6_mixing,

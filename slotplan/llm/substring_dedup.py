@@ -155,12 +155,13 @@ def _cut(rows: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """``docs`` plus n_words, n_removed and kept_text (the text without its repeats).
+    """``docs`` with n_words, n_removed, kept_text (the text without its repeats) and
+    text_null in place of the text.
 
     A cut takes the words and the space between them, not the space around them.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     ranges = repeated_ranges(docs.select(key.alias("key"), F.col(text_col).alias("text")), length, seed)
-    joined = (docs.withColumn("_key", key).withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
+    joined = (docs.withColumns({"_key": key, "_text": F.coalesce(F.col(text_col), F.lit("")), "text_null": F.col(text_col).isNull()})
               .join(sized(ranges, "ranges").select(F.col("key").alias("_key"), F.col("ranges").alias("_ranges")), "_key", "left"))
     return _cut(joined.drop("_key", text_col))
