@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from slotplan.llm import jaccard_join, mixing, quality_rules, sentencepiece_lattice, substring_dedup
 from slotplan.llm.common import settled, table
+from slotplan.operators.quality import keep_where
 
 #: target token shares; the budget is what the clean documents fill without repeats
 MIX_TARGETS = {"clean": 0.97, "toxic": 0.02, "junk": 0.01}
@@ -25,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     own = [F.col(c) for c in docs.columns]
     tagged = docs.select(F.struct(*own).alias("_row"), F.col("text").alias("_in"))
     judged = quality_rules.apply_policy(quality_rules.ledger(tagged, id_col="_row", text_col="_in"))
-    return judged.where("kept").select("doc_id.*").select(*docs.columns)
+    return keep_where(judged, F.col("kept")).select("doc_id.*").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

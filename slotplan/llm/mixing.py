@@ -30,16 +30,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from slotplan.operators.quality import keep_where
+
+from .common import settled, sized
 
 BUCKETS = 1 << 16
-PREFIX = 5            # letters of a word that are hashed
+PREFIX = 4            # letters of a word that are hashed
 MIN_DOCS = 5          # labelled documents a bucket needs for a weight
 # Upper ends of the feature bins.
 _SYMBOL_BINS = (0.0, 0.02, 0.1, 0.3, 1.0)
 _CAPITAL_BINS = (0.0, 0.02, 0.05, 0.2, 0.6)
 _DISTINCT_BINS = (0.1, 0.25, 0.4, 0.6, 0.8)
 _ODDS_BINS = (0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 5.0)
+_BITS = len(_ODDS_BINS) + 1     # bits of a domain in a bucket's number
+_GROUP = 7                      # domains in one number
 
 
 def _bin(value: Column, ends: Sequence[float]) -> Column:
@@ -53,28 +57,26 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` plus ``_n`` tokens, ``_bins`` and ``_words`` (distinct hashed word beginnings)."""
     keep = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    bare = F.btrim(F.lower(text), F.lit(" \t\n\x0b\f\r"))
     df = docs.select(
         *keep,
         F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+")).alias("_w"),
-        F.split(F.lower(text), r"[^\p{L}]+").alias("_t"),
         F.regexp_count(text, F.lit("[#*$%&|<>!]")).alias("_sym"),
         F.regexp_count(text, F.lit("[A-Z]")).alias("_cap"))
-    n = F.size("_w")
-    per_word = lambda x: x / F.greatest(n, F.lit(1))
+    df = df.select(*keep, F.size("_w").alias("_n"), F.array_distinct("_w").alias("_d"), "_sym", "_cap")
+    per_word = lambda x: x / F.greatest(F.col("_n"), F.lit(1))
     return df.select(
-        *keep, n.cast("long").alias("_n"),
+        *keep, F.col("_n").cast("long").alias("_n"),
         F.array(_bin(per_word(F.col("_sym")), _SYMBOL_BINS),
                 _bin(per_word(F.col("_cap")) / 5.0, _CAPITAL_BINS),
-                _bin(per_word(F.size(F.array_distinct("_w"))), _DISTINCT_BINS)).alias("_bins"),
-        F.array_distinct(F.transform("_t", lambda w: F.pmod(F.xxhash64(F.substring(w, 1, PREFIX)), F.lit(BUCKETS))
-                                     .cast("int"))).alias("_words"))
+                _bin(per_word(F.size("_d")), _DISTINCT_BINS)).alias("_bins"),
+        F.transform("_d", lambda w: F.pmod(F.xxhash64(F.substring(w, 1, PREFIX)), F.lit(BUCKETS)).cast("int")).alias("_words"))
 
 
 @dataclass
 class Model:
     domains: list[str]
-    weights: DataFrame                      # one row: arrays w0..w(K-1) of BUCKETS log-odds
+    weights: DataFrame                      # one row: arrays m0.. of BUCKETS numbers, a bit per domain and bin
     prior: list[float]
     tables: list[list[list[float]]]         # feature -> domain -> log share of each bin
 
@@ -95,15 +97,28 @@ class Model:
         return df.select(*keep, F.array(*[F.lit(1.0 / k)] * k).alias("_p"))
 
     def binned(self, feats: DataFrame) -> DataFrame:
-        """``feats`` with the strongest log-odds of each domain added to ``_bins``."""
-        ks = range(len(self.domains))
-        df = feats.withColumns({f"_w{k}": self.weights.select(f"w{k}").scalar() for k in ks})   # one array each
-        best = [F.coalesce(F.array_max(F.transform("_words", _lookup(f"_w{k}"))), F.lit(0.0)) for k in ks]
-        return df.withColumn("_bins", F.concat("_bins", F.array(*[_bin(x, _ODDS_BINS) for x in best])))
+        """``feats`` with the strongest log-odds bin of each domain added to ``_bins``.
+
+        A bucket's bins are bits of one number, so one look-up and OR per word serve
+        all domains of a group.
+        """
+        groups = range(-(-len(self.domains) // _GROUP))
+        df = feats.withColumns({f"_m{g}": self.weights.select(f"m{g}").scalar() for g in groups})   # one array each
+        df = df.withColumns({f"_c{g}": F.aggregate("_words", F.lit(0).cast("long"), _or_lookup(f"_m{g}")) for g in groups})
+        odds = [_highest(F.col(f"_c{k // _GROUP}"), _BITS * (k % _GROUP)) for k in range(len(self.domains))]
+        return df.withColumn("_bins", F.concat("_bins", F.array(*odds)))
+
 
+def _or_lookup(masks: str):
+    return lambda acc, b: acc.bitwiseOR(F.get(F.col(masks), b))
 
-def _lookup(weights: str):
-    return lambda b: F.get(F.col(weights), b)
+
+def _highest(code: Column, offset: int) -> Column:
+    """Highest bin whose bit is set (a text without words has bin 0)."""
+    out = F.lit(0)
+    for b in range(1, _BITS):
+        out = F.when(code.bitwiseAND(F.lit(1 << (offset + b))) != 0, F.lit(b)).otherwise(out)
+    return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, domains: Sequence[str],
@@ -111,24 +126,29 @@ def fit(docs: DataFrame, labels: DataFrame, domains: Sequence[str],
     """``labels``: ``id_col`` and ``domain``. Counts run over all labelled rows."""
     domains = list(domains)
     known = labels.where(F.col("domain").isin(domains)).select(id_col, "domain")
-    feats = settled(features(docs.select(id_col, text_col), text_col).drop(text_col)
-                    .join(known, id_col), "mixing-labelled")
+    labelled = docs.select(id_col, text_col).join(sized(settled(known, "mixing-known")), id_col)
+    feats = settled(features(labelled, text_col).drop(text_col), "mixing-labelled")
     size = {r["domain"]: r["count"] for r in feats.groupBy("domain").count().collect()}
     total = sum(size.values())
     if not total:
         return Model(domains, docs.sparkSession.range(1), [], [])
     seen = [F.count(F.when(F.col("domain") == d, 1)).alias(f"c{k}") for k, d in enumerate(domains)]
-    counts = feats.select("domain", F.explode("_words").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), *seen)
-    odds = []
-    for k, d in enumerate(domains):
-        inside, outside = size.get(d, 0), total - size.get(d, 0)
-        value = (F.log((F.col(f"c{k}") + 0.5) / (inside + 1.0))
-                 - F.log((F.col("c") - F.col(f"c{k}") + 0.5) / (outside + 1.0)))
-        odds.append(F.when(F.col("c") >= MIN_DOCS, value).otherwise(0.0).alias(f"w{k}"))
+    counts = feats.select("domain", F.explode(F.array_distinct("_words")).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), *seen)
+    masks = []
+    for g in range(0, len(domains), _GROUP):
+        mask = F.lit(0).cast("long")
+        for k, d in list(enumerate(domains))[g:g + _GROUP]:
+            inside, outside = size.get(d, 0), total - size.get(d, 0)
+            odds = (F.log((F.col(f"c{k}") + 0.5) / (inside + 1.0))
+                    - F.log((F.col("c") - F.col(f"c{k}") + 0.5) / (outside + 1.0)))
+            place = _bin(F.when(F.col("c") >= MIN_DOCS, odds).otherwise(0.0), _ODDS_BINS) + _BITS * (k - g)
+            mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+        masks.append(mask.alias(f"m{g // _GROUP}"))
+    names = [f"m{g}" for g in range(len(masks))]
     full = (docs.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-            .join(counts.select("bucket", *odds), "bucket", "left").na.fill(0.0))
-    rows = full.agg(F.sort_array(F.collect_list(F.struct("bucket", *[f"w{k}" for k in range(len(domains))]))).alias("r"))
-    weights = settled(rows.select(*[F.col(f"r.w{k}").alias(f"w{k}") for k in range(len(domains))]), "mixing-weights")
+            .join(counts.select("bucket", *masks), "bucket", "left").na.fill(0))
+    rows = full.agg(F.sort_array(F.collect_list(F.struct("bucket", *names))).alias("r"))
+    weights = settled(rows.select(*[F.col(f"r.{m}").alias(m) for m in names]), "mixing-weights")
 
     model = Model(domains, weights, [math.log((size.get(d, 0) or 1e-12) / total) for d in domains], [])
     n_bins = [len(_SYMBOL_BINS) + 1, len(_CAPITAL_BINS) + 1, len(_DISTINCT_BINS) + 1] + [len(_ODDS_BINS) + 1] * len(domains)
@@ -240,7 +260,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], once
     members = settled(scored.select("_n", "_p"), "mixing-members")
     steps = solve_rates(members, [targets[d] for d in domains], once=domains.index(once))
     uniform = F.pmod(F.xxhash64(F.lit("mix"), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    return scored.where(uniform < rate(F.col("_p"), steps)).select(*docs.columns)
+    return keep_where(scored, uniform < rate(F.col("_p"), steps)).select(*docs.columns)
 
 
 def label_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
