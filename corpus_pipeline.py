@@ -45,11 +45,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut from the texts; texts without one stay as they are."""
     out = substring_dedup.dedup(docs)
-    changes = {"text": F.when(F.col("text_null"), F.lit(None).cast("string")).otherwise(F.col("kept_text"))}
-    if "n_chars" in docs.columns:
+    cols = {c: F.col("row")[c] for c in docs.columns if c != "text"} | {"text": F.col("kept_text")}
+    if "n_chars" in cols:
         kind = docs.schema["n_chars"].dataType
-        changes["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(F.col("n_chars"))
-    return out.withColumns(changes).select(*docs.columns)
+        cols["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text").cast(kind)).otherwise(cols["n_chars"])
+    return out.select(*[cols[c].alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -256,11 +256,13 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], once
     hash of its id lies below its rate. The budget is what domain ``once`` fills."""
     domains = list(targets)
     model = fit(docs, labels, domains, id_col, text_col)
-    scored = model.posterior(features(docs, text_col))
+    # the input row travels as one struct, so no column of it can clash with the features
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_in"))
+    scored = model.posterior(features(rows, "_in"))
     members = settled(scored.select("_n", "_p"), "mixing-members")
     steps = solve_rates(members, [targets[d] for d in domains], once=domains.index(once))
-    uniform = F.pmod(F.xxhash64(F.lit("mix"), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
-    return keep_where(scored, uniform < rate(F.col("_p"), steps)).select(*docs.columns)
+    uniform = F.pmod(F.xxhash64(F.lit("mix"), F.col("_row")[id_col]), F.lit(1 << 30)) / float(1 << 30)
+    return keep_where(scored, uniform < rate(F.col("_p"), steps)).select("_row.*")
 
 
 def label_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -58,7 +58,8 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     words = quality_rules.split_words(F.col("kept_text"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
+    words = F.coalesce(words, F.array().cast("array<string>"))
+    return out.select("row.doc_id", "n_words", "n_removed", F.sha2(F.array_join(words, " "), 256).alias("kept_sha256"))
 
 
 MIX_TARGETS = {"clean": 0.9, "toxic": 0.05, "junk": 0.05}

@@ -18,7 +18,8 @@ texts holds is never gathered. Hashes have 64 bits, and two of them must agree.
 
 Defined cases: null, empty and short texts keep all words; a repeated row repeats
 all windows of its text (both lose them); every occurrence is cut, the first too;
-an empty table gives an empty result; extra columns are kept.
+an empty table gives an empty result; extra columns, whatever their names, stay in
+``row``.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,15 +127,14 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
 
 
 def _cut(rows: DataFrame) -> DataFrame:
-    """(rid, n_words, n_removed, kept_text) of rows with text and ranges."""
-    others = [c for c in rows.columns if c not in ("_text", "_ranges")]
-    schema = rows.select(*others).schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    """``rows``: row, text, ranges -> row, n_words, n_removed, kept_text."""
+    schema = rows.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, ranges = b.column("_text"), b.column("_ranges").to_pylist()
+            ranges = b.column(2).to_pylist()
             n_words, n_removed, kept = [], [], []
-            for c in W.chunks(texts):
+            for c in W.chunks(b.column(1)):
                 for i in range(c.rows):
                     lo, hi = c.at[i], c.at[i + 1]
                     n_words.append(int(hi - lo))
@@ -145,23 +146,25 @@ def _cut(rows: DataFrame) -> DataFrame:
                         at = c.end[lo + r["hi"] - 1]
                     left.append(c.data[at:c.base[i + 1]].tobytes())
                     kept.append(b"".join(left).decode("utf-8", "replace"))
-            cols = [b.column(x) for x in others]
+            kept = pa.array(kept, pa.string())
+            if b.column(1).null_count:
+                kept = pa.compute.if_else(b.column(1).is_null(), pa.scalar(None, pa.string()), kept)
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-                [*others, "n_words", "n_removed", "kept_text"])
+                [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), kept],
+                ["row", "n_words", "n_removed", "kept_text"])
 
     return rows.mapInArrow(run, schema)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """``docs`` with n_words, n_removed, kept_text (the text without its repeats) and
-    text_null in place of the text.
+    """row (a struct of all columns but the text), n_words, n_removed, kept_text.
 
-    A cut takes the words and the space between them, not the space around them.
+    A cut takes the words and the space between them, not the space around them. The
+    kept text of a null text is null.
     """
     key = F.xxhash64(F.col(id_col), F.col(text_col))
     ranges = repeated_ranges(docs.select(key.alias("key"), F.col(text_col).alias("text")), length, seed)
-    joined = (docs.withColumns({"_key": key, "_text": F.coalesce(F.col(text_col), F.lit("")), "text_null": F.col(text_col).isNull()})
-              .join(sized(ranges, "ranges").select(F.col("key").alias("_key"), F.col("ranges").alias("_ranges")), "_key", "left"))
-    return _cut(joined.drop("_key", text_col))
+    others = [c for c in docs.columns if c != text_col]
+    rows = docs.select(F.struct(*others).alias("row"), F.col(text_col).alias("text"), key.alias("key"))
+    return _cut(rows.join(sized(ranges, "ranges"), "key", "left").select("row", "text", "ranges"))
