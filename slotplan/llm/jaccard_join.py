@@ -246,34 +246,49 @@ class SignatureTree:
         most = min(a[5] - int(np.bitwise_count(a[3] & ~b[2]).sum()), b[5] - int(np.bitwise_count(b[3] & ~a[2]).sum()))
         return most >= need
 
-    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
-        """(member, members) that the traversal cannot rule out; each pair comes once."""
-        top = len(self.levels) - 1
-        stack = [(top, 0, 0)]
+    def _span(self, level: int, i: int) -> slice:
+        """Places in ``order`` of the members below a node."""
+        lo = i * self.FAN ** (level + 1)
+        return slice(lo, min(lo + self.FAN ** (level + 1), len(self.order)))
+
+    def pairs(self, comp: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Member pairs of different components that the traversal cannot rule out.
+
+        ``comp`` gives each member's component; the caller may join components
+        between two pairs, which rules out more.
+        """
+        stack = [(len(self.levels) - 1, 0, 0)]
         while stack:
             level, i, j = stack.pop()
             a, b = self.levels[level][i], self.levels[level][j]
             if i != j and not self.may_link(a, b):
                 continue
+            below = comp[self.order[self._span(level, i)]]
+            if (below == below[0]).all() and (i == j or (comp[self.order[self._span(level, j)]] == below[0]).all()):
+                continue
             if level:
                 stack += [(level - 1, x, y) for x in range(a[0], a[1]) for y in range(b[0], b[1]) if x <= y]
                 continue
             for x in range(a[0], a[1]):
-                m = self.order[x]
+                m = int(self.order[x])
                 rest = self.order[max(b[0], x + 1):b[1]]
+                rest = rest[comp[rest] != comp[m]]
                 if not len(rest):
                     continue
                 lost_x = np.bitwise_count(self.bitmaps[m] & ~self.bitmaps[rest]).sum(axis=1)
                 lost_y = np.bitwise_count(self.bitmaps[rest] & ~self.bitmaps[m]).sum(axis=1)
                 most = np.minimum(self.size[m] - lost_x.astype(np.int64), self.size[rest] - lost_y.astype(np.int64))
-                good = (100 + PERCENT) * most >= PERCENT * (self.size[m] + self.size[rest])
-                if good.any():
-                    yield int(m), rest[good]
+                for y in rest[(100 + PERCENT) * most >= PERCENT * (self.size[m] + self.size[rest])].tolist():
+                    if comp[y] != comp[m]:
+                        yield m, y
+
 
+def candidate_pairs(size: np.ndarray, maps: list[np.ndarray], comp: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs of different components whose bitmaps and sizes allow a link.
 
-def candidate_pairs(size: np.ndarray, maps: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Pairs whose bitmaps and sizes allow a link. Linked sizes differ by less than a
-    factor of two, so trees over one bitmap width and the next one hold every pair."""
+    Linked sizes differ by less than a factor of two, so trees over one bitmap width
+    and the next one hold every pair. ``comp`` is changed in place by the caller.
+    """
     widths = np.array([len(m) for m in maps])
     for w in np.unique(widths):
         rows = np.flatnonzero((widths == w) | (widths == 2 * w))
@@ -281,42 +296,37 @@ def candidate_pairs(size: np.ndarray, maps: list[np.ndarray]) -> Iterator[tuple[
         if len(rows) < 2 or not same.any():
             continue
         flat = np.stack([maps[r] if len(maps[r]) == w else maps[r][:w] | maps[r][w:] for r in rows])
-        for i, others in SignatureTree(size[rows], flat).pairs():
-            for j in (others if same[i] else others[same[others]]):
+        view = _View(comp, rows)
+        for i, j in SignatureTree(size[rows], flat).pairs(view):
+            if same[i] or same[j]:
                 yield int(rows[i]), int(rows[j])
 
 
-class _Forest:
-    """Union-find over group members; those of one ``comps`` value start connected."""
+class _View:
+    """``comp[rows]`` that follows later changes of ``comp``."""
 
-    def __init__(self, comps: list[int]):
-        self.root = list(range(len(comps)))
-        first: dict[int, int] = {}
-        for i, c in enumerate(comps):
-            self.root[self.find(i)] = self.find(first.setdefault(c, i))
-        self.left = len({self.find(i) for i in range(len(comps))})
+    def __init__(self, comp: np.ndarray, rows: np.ndarray):
+        self.comp, self.rows = comp, rows
 
-    def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = self.root[self.root[i]]
-            i = self.root[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.root[self.find(i)] = self.find(j)
-        self.left -= 1
+    def __getitem__(self, at):
+        return self.comp[self.rows[at]]
 
 
 def spanning(ids: list[int], comps: list[int], size: np.ndarray, maps: list[np.ndarray], sets=None) -> list[tuple[int, int]]:
-    """A spanning forest of a group's links (with ``sets``), or of the pairs its signatures allow."""
-    forest, out = _Forest(comps), []
-    if forest.left < 2:
+    """A spanning forest of a group's links (with ``sets``), or of the pairs its signatures allow.
+
+    Members of one ``comps`` value start connected.
+    """
+    comp = np.unique(np.array(comps), return_inverse=True)[1].reshape(-1)
+    left, out = int(comp.max()) + 1, []
+    if left < 2:
         return out
-    for i, j in candidate_pairs(size, maps):
-        if forest.find(i) != forest.find(j) and (sets is None or links(sets[i], sets[j])):
-            forest.join(i, j)
+    for i, j in candidate_pairs(size, maps, comp):
+        if sets is None or links(sets[i], sets[j]):
+            comp[comp == comp[i]] = comp[j]
             out.append((ids[i], ids[j]))
-            if forest.left == 1:
+            left -= 1
+            if left == 1:
                 break
     return out
 

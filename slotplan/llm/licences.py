@@ -5,8 +5,9 @@ table of known licence sentences gives sentence identifiers. A licence rule is a
 ordered sequence of identifiers; it is found where its sentences follow each other
 directly in the text. A find that lies inside a longer find is dropped.
 
-A sentence ends at a line end or after ``.``, ``!`` or ``?`` before white space
-(a full stop between digits, as in "2.0", ends none). Normalised: lower-cased, runs
+A sentence ends at a line end or after ``.``, ``!``, ``?`` or ``:`` before white space
+(a full stop between digits, as in "2.0", ends none); list marks such as "1." are no
+sentences. Hard-wrapped lines are sentences of their own. Normalised: lower-cased, runs
 of characters other than a-z, 0-9 and code points above 127 become one space.
 
 Defined cases: null, empty and blank texts have no sentences and no licence;
@@ -51,7 +52,7 @@ LICENCE_RULES: dict[str, tuple[str, tuple[str, ...]]] = {
         "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.")),
 }
 
-_END = r"\n|(?<=[.!?])[\x20\x09\x0B-\x0D]+"
+_END = r"\n|(?<=[.!?:])[\x20\x09\x0B-\x0D]+"
 
 
 def normalised(sentence: Column) -> Column:
@@ -59,8 +60,8 @@ def normalised(sentence: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Sentences of a text that hold more than white space, in order."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _END), lambda s: s.rlike(r"[^\x00-\x20]"))
+    """Sentences of a text that hold a letter, in order."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), _END), lambda s: s.rlike(r"\p{L}"))
 
 
 def rule_tables(spark: SparkSession, rules=None) -> tuple[DataFrame, DataFrame]:
