@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import PRIORITY_COLUMNS, TIME_FIXES
@@ -13,17 +13,21 @@ from ..functions.text import (appl_obtainability, clean_column_name, clean_int,
 from .joins import sized_join
 
 
-def override_time(df: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES) -> DataFrame:
-    """Replace ``rcp_time_hr`` for the named recipes.
+def fixed_time(fixes: Sequence[tuple[str, str]] = TIME_FIXES) -> Column:
+    """``rcp_time_hr`` with the known corrections by recipe name.
 
     The fix table is a handful of constants, so it is a map literal inside the
     projection rather than a join: no shuffle and no broadcast.
     """
     if not fixes:
-        return df
+        return F.col("rcp_time_hr")
     m = F.create_map(*[F.lit(x) for kv in fixes for x in kv])
-    return df.withColumn("rcp_time_hr", F.coalesce(F.try_element_at(m, F.col("rcp_name")),
-                                                   F.col("rcp_time_hr")))
+    return F.coalesce(F.try_element_at(m, F.col("rcp_name")), F.col("rcp_time_hr"))
+
+
+def override_time(df: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES) -> DataFrame:
+    """Replace ``rcp_time_hr`` for the named recipes."""
+    return df.withColumn("rcp_time_hr", fixed_time(fixes))
 
 
 def clean_recipes(raw: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES) -> DataFrame:
@@ -37,9 +41,8 @@ def clean_recipes(raw: DataFrame, fixes: Sequence[tuple[str, str]] = TIME_FIXES)
             cols[c] = clean_int(c)
     if "rcp_cost" in cols:
         cols["rcp_cost"] = F.abs(clean_int("rcp_cost"))
-    if fixes and "rcp_time_hr" in cols:
-        m = F.create_map(*[F.lit(x) for kv in fixes for x in kv])
-        cols["rcp_time_hr"] = F.coalesce(F.try_element_at(m, F.col("rcp_name")), F.col("rcp_time_hr"))
+    if "rcp_time_hr" in cols:
+        cols["rcp_time_hr"] = fixed_time(fixes)
     cols["rcp_time_min"] = hours_text_to_minutes(cols["rcp_time_hr"])
     cols["rcp_profit"] = cols["rcp_income"] - cols["rcp_cost"]
     cols["rcp_obtainability"] = rcp_obtainability("rcp_labels")
@@ -83,17 +86,21 @@ def distinct_rows(df: DataFrame, ord_col: str) -> DataFrame:
 
 def build_master(recipes: DataFrame, appliances: DataFrame, *, fanout: bool = False,
                  appl_ord: str = "appl_ord") -> DataFrame:
-    """Recipes left-joined to appliances on ``appl_name``, then difficulty.
+    """Recipes left-joined to their game's appliances, then difficulty.
 
+    The key is (game_mode, appl_name) where both sides have a game, else appl_name.
     Right-side columns that clash with recipe columns are dropped before the
     join (the left copy wins). Unless ``fanout`` is set, an appliance listed
-    twice keeps only its first row so recipes are not duplicated.
+    twice in a game keeps only its first row so recipes are not duplicated.
     """
     appl = with_appl_obtainability(appliances)
+    key = ["appl_name"]
+    if "game_mode" in appl.columns and "game_mode" in recipes.columns:
+        key = ["game_mode", "appl_name"]
     if not fanout and appl_ord in appl.columns:
-        appl = first_per_key(appl, ["appl_name"], appl_ord)
-    keep = [c for c in appl.columns if c == "appl_name" or c not in recipes.columns]
-    merged = sized_join(recipes, appl.select(*keep), on="appl_name", how="left")
+        appl = first_per_key(appl, key, appl_ord)
+    keep = [c for c in appl.columns if c in key or c not in recipes.columns]
+    merged = sized_join(recipes, appl.select(*keep), on=key, how="left")
     merged = merged.withColumn("rcp_difficulty",
                                difficulty("rcp_obtainability", "appl_obtainability"))
     return priority_order(merged)

@@ -1,30 +1,16 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helper: the broadcast decision stays with Spark's own size check."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A dimension side is broadcast only when it provably has at most this many rows.
-BROADCAST_MAX_ROWS = 2_000_000
 
+def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join without a hint.
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Bounded check: counts at most ``max_rows + 1`` rows, never the whole side."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_join(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
-    """Join where ``right`` is broadcast only behind a size check.
-
-    ``max_rows=None`` (default) leaves the check to Spark: the planner compares
-    the estimated size with ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-    re-checks the real shuffled size at run time; beyond it the join stays a
-    sort-merge join, with AQE splitting skewed partitions. ``max_rows=N`` adds
-    an explicit bounded count (at most N+1 rows are read) and a broadcast hint
-    when it passes — for sides known to be small but poorly estimated.
+    The planner compares the estimated size of a side with
+    ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the real shuffled size
+    at run time; beyond it the join stays a sort-merge join, with AQE splitting skewed
+    partitions.
     """
-    if max_rows is not None and fits_broadcast(right, max_rows):
-        right = F.broadcast(right)
     return left.join(right, on=on, how=how)

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col_of
+from ..functions.text import col_of, nan_to_null
 
 # (metric column — or several, compared in order — , {output name: source column})
 Metric = tuple["str | Sequence[str]", Mapping[str, str]]
@@ -146,11 +146,11 @@ def prefix_best(df: DataFrame, *, time: str, slots: Sequence[int], metrics: Sequ
 
 
 def _nan_metrics_to_null(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Floating metrics: NaN sorts above every number in Spark, so treat it as null."""
+    """Floating metrics: NaN and infinities are no values, so treat them as null."""
     types = {f.name: f.dataType.typeName() for f in df.schema.fields}
     for m in set(metrics):
         if types.get(m) in ("double", "float"):
-            df = df.withColumn(m, F.when(F.isnan(m), F.lit(None)).otherwise(F.col(m)))
+            df = df.withColumn(m, nan_to_null(m))
     return df
 
 

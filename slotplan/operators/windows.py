@@ -2,48 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .joins import sized_join
 
 
-def quantile_bucket(df: DataFrame, col: str, buckets: int, out: str = "_chunk",
-                    rel_error: float = 1e-3) -> DataFrame:
-    """Add ``out`` = the index of ``col``'s approximate-quantile range (0..buckets-1).
+def range_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None,
+                 out: str = "_chunk") -> DataFrame:
+    """``df`` in ``order``, cut into ranges of similar size, with the range number ``out``.
 
-    The cut points are computed once and shipped as constants, so a row's bucket
-    is a pure function of its value, and buckets hold similar row counts.
+    One range-partitioned write to the shared scratch folder; what follows reads that
+    file, so the rows and their range cannot change between passes. Spark samples the
+    range limits by the number of partitions asked for. The order may have several
+    columns: equal values of the first are split by the next ones.
     """
-    from pyspark.ml.feature import Bucketizer
+    spark = df.sparkSession
+    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranges-{uuid.uuid4().hex}"
+    cols = [F.col(c) for c in order]
+    cut = (df.repartitionByRange(max(2, n), *cols).sortWithinPartitions(*cols)
+           .withColumn(out, F.spark_partition_id().cast("bigint")))
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(df.approxQuantile(col, probs, rel_error))) if buckets > 1 else []
-    splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
-    b = Bucketizer(splits=splits, inputCol="_qb_in", outputCol=out, handleInvalid="keep")
-    return b.transform(df.withColumn("_qb_in", F.col(col).cast("double"))).drop("_qb_in")
 
-
-def running_sum(df: DataFrame, partition: Sequence[str], order: str, tie: str, value: str,
+def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
                 out: str, chunks: int | None = None) -> DataFrame:
-    """Running total of ``value`` per ``partition`` in (order, tie) order.
+    """Running total of ``value`` per ``partition`` in ``order`` (which must be unique in a key).
 
-    A plain window puts a whole partition key in one task; a key holding a third
-    of the rows would stall the job. The order values are cut into ``chunks``
-    quantile ranges (so a hot key's rows spread over up to ``chunks`` pieces of
-    similar size): chunk totals are summed first, their running offsets are
-    computed per key (at most ``chunks`` rows per key), and each (key, chunk)
-    then runs its own window in parallel, adding its offset.
+    A plain window puts a whole partition key in one task. Here the rows are cut into
+    ranges of (partition, order), so a hot key spreads over several ranges even if
+    its first order column is constant. Range totals are summed first, their running
+    offsets are computed per key (at most ``chunks`` rows per key), and each (key, range)
+    runs its own window, adding its offset.
     """
     part = list(partition)
-    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = quantile_bucket(df, order, n)
+    d = range_chunks(df, [*part, *order], chunks)
     totals = d.groupBy(*part, "_chunk").agg(F.sum(value).alias("_t"))
     w_off = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")
-    w = (Window.partitionBy(*part, "_chunk").orderBy(order, tie)
+    w = (Window.partitionBy(*part, "_chunk").orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.withColumn("_local", F.sum(value).over(w))
     keys = [*part, "_chunk"]

@@ -55,7 +55,6 @@ def sql_tier_level():
     return (F.when(easy_predicate(), 1).when(medium_predicate(), 2).otherwise(3)).cast("int")
 
 
-@inputs.memo_plan
 def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE,
                    require_time: bool = True) -> DataFrame:
     """One game's clean recipes, left-joined to appliance labels.
@@ -72,7 +71,8 @@ def sql_candidates(spark: SparkSession, sf_dir: str, mode: str = DEFAULT_MODE,
     r = (r
          .select("rcp_ord", "rcp_name", "appl_name", "rcp_xp", "rcp_profit",
                  "rcp_time_min", "rcp_labels"))
-    a = inputs.appliances(spark, sf_dir).select("appl_name", "appl_labels")
+    a = (inputs.appliances(spark, sf_dir).where(F.col("game_mode") == mode)
+         .select("appl_name", "appl_labels"))
     return sized_join(r, a, on="appl_name", how="left").withColumn("tier_level", sql_tier_level())
 
 

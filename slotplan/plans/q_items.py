@@ -53,28 +53,16 @@ def item_planner_naive(spark, sf_dir, slots=RETURN_SLOTS) -> DataFrame:
 
 
 _ORDER = ", ".join(ITEM_ORD)
+_PRICE, _NET = "cast(floor(l_extendedprice) as bigint)", "cast(floor(l_extendedprice * (1 - l_discount)) as bigint)"
+_LABEL = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 ITEMS_SQL = f"""
-with it as (
-  select {_ORDER}, l_returnflag, cast(l_quantity as int) * 60 as time,
-         cast(floor(l_extendedprice) as bigint) as score,
-         cast(floor(l_extendedprice * (1 - l_discount)) as bigint) as profit,
-         concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) as item
-  from lineitem),
-time_slots as (select unnest({O.slots_list()}) as return_time),
-base as (select t.return_time, it.* from time_slots t join it on it.time <= t.return_time),
-ranked as (select *,
-  row_number() over (partition by l_returnflag, return_time order by score desc nulls last, {_ORDER}) as sr,
-  row_number() over (partition by l_returnflag, return_time order by profit desc nulls last, {_ORDER}) as pr
-  from base),
-final as (select l_returnflag, return_time,
-  max(case when sr = 1 then item end) as best_score_item, max(case when sr = 1 then score end) as best_score,
-  max(case when pr = 1 then item end) as best_profit_item, max(case when pr = 1 then profit end) as best_profit
-  from ranked group by l_returnflag, return_time)
-select l_returnflag, return_time, best_score_item, best_score,
-       round(cast(best_score as double) * 60 / return_time, 2) as score_per_hr,
-       best_profit_item, best_profit,
-       round(cast(best_profit as double) * 60 / return_time, 2) as profit_per_hr
-from final"""
+select l_returnflag, minutes as return_time,
+       first({_LABEL} order by {_PRICE} desc nulls last, {_ORDER}) as best_score_item, max({_PRICE}) as best_score,
+       round(60 * cast(max({_PRICE}) as double) / minutes, 2) as score_per_hr,
+       first({_LABEL} order by {_NET} desc nulls last, {_ORDER}) as best_profit_item, max({_NET}) as best_profit,
+       round(60 * cast(max({_NET}) as double) / minutes, 2) as profit_per_hr
+from lineitem, (select unnest({O.slots_list()}) as minutes)
+where cast(l_quantity as int) * 60 <= minutes group by l_returnflag, minutes"""
 
 QUERIES = {"q_item_planner": item_planner}
 ORACLE = {"q_item_planner": ITEMS_SQL}

@@ -88,16 +88,16 @@ def q_ffill_slots(spark, sf_dir):
 
 
 @register("q_asof_slots", O.with_ctes("recipes", "levels") + f"""
-select r.rcp_ord, {START_SLOTS} * r.rcp_xp as first_xp,
-       coalesce((select l.slots from levels l where l.xp <= {START_SLOTS} * r.rcp_xp
+select r.rcp_ord, {START_SLOTS} * r.rcp_level * r.rcp_xp as first_xp,
+       coalesce((select l.slots from levels l where l.xp <= {START_SLOTS} * r.rcp_level * r.rcp_xp
                  order by l.xp desc, l.level desc limit 1), {START_SLOTS}) as slots
 from recipes r where r.rcp_xp is not null""")
 def q_asof_slots(spark, sf_dir):
-    """Slots in force after the first cycle (last threshold <= xp, else 2)."""
+    """Slots in force after ``rcp_level`` cycles (last threshold <= xp, else 2)."""
     lv = level_array(fixtures.level_raw(spark, sf_dir)).scalar()
     r = (inputs.recipes_clean(spark, sf_dir).where(F.col("rcp_xp").isNotNull())
          .withColumn("_lv", lv))
-    first = (F.lit(START_SLOTS) * F.col("rcp_xp")).cast("bigint")
+    first = (F.lit(START_SLOTS) * F.col("rcp_level") * F.col("rcp_xp")).cast("bigint")
     return r.select("rcp_ord", first.alias("first_xp"), slots_at(first, "_lv").alias("slots"))
 
 

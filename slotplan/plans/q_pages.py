@@ -101,14 +101,16 @@ select page_id, unnest(generate_series(1, len(h))) as pos, unnest(h) as href, un
 from (select page_id, regexp_extract_all(n, '{_q(P.LINK)}', 1) as h,
              {_LINK_TEXTS} as t
       from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x)))
-select href, link_text, min(page_id * 1000 + pos) as first_seen from links group by href, link_text""")
+select href, link_text, f.page_id as first_page, f.pos as first_pos
+from (select href, link_text, min(struct_pack(page_id := page_id, pos := pos)) as f from links group by href, link_text)""")
 def q_distinct_rows(spark, sf_dir):
     """Full-row distinct over extracted rows, keeping each row's first position."""
     p = _pages(spark, sf_dir)
     rows = (p.select("page_id", F.posexplode(P.nav_links("html")).alias("p", "l"))
              .select(F.col("l.href").alias("href"), F.col("l.text").alias("link_text"),
-                     (F.col("page_id") * 1000 + F.col("p") + 1).alias("first_seen")))
-    return distinct_rows(rows, "first_seen")
+                     F.struct("page_id", (F.col("p") + 1).cast("bigint").alias("pos")).alias("at")))
+    return distinct_rows(rows, "at").select("href", "link_text", F.col("at.page_id").alias("first_page"),
+                                            F.col("at.pos").alias("first_pos"))
 
 
 @register("q_regex_fields", O.with_ctes("page_x") + """
@@ -149,7 +151,7 @@ def q_take_while_pages(spark, sf_dir):
 
 @register("q_page_counts", O.with_ctes("page_x") + f"""
 select page_id, nullif(host0, '') as host, {_PAGE_NO} as page_no, cast(n as bigint) as n_blocks,
-  cast(sum(n) over (partition by nullif(host0, '') order by {_PAGE_NO}, page_id
+  cast(sum(n) over (partition by nullif(host0, '') order by {_PAGE_NO} nulls first, page_id
                     rows between unbounded preceding and current row) as bigint) as running_blocks
 from (select *, len(regexp_extract_all(chtml, '{P.PARAGRAPH}', 1)) as n from page_x)""")
 def q_page_counts(spark, sf_dir):
@@ -157,8 +159,7 @@ def q_page_counts(spark, sf_dir):
     p = _pages(spark, sf_dir)
     seq = p.select("page_id", T.url_host("url").alias("host"), P.page_number("url").alias("page_no"),
                    P.paragraph_count("html").cast("bigint").alias("n_blocks"))
-    return running_sum(seq.withColumn("_o", F.coalesce("page_no", F.lit(-1))), ["host"], "_o",
-                       "page_id", "n_blocks", "running_blocks").drop("_o")
+    return running_sum(seq, ["host"], ["page_no", "page_id"], "n_blocks", "running_blocks")
 
 
 @register("q_bad_records", O.with_ctes("fx_recipe_raw") + """

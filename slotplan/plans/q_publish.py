@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..constants import MODES, RETURN_SLOTS
 from ..sinks import publish as S
+from ..functions.text import url_basename_png
 from ..sources import fixtures
-from ..sources.multi import union_sources
+from ..sources.multi import source_index, union_sources
 from ..sources.tables import read_table
 from . import inputs, oracle as O
 from .registry import Registry
@@ -67,24 +68,25 @@ def q_type_map(spark, sf_dir):
 
 
 @register("q_surrogate_id", O.with_ctes("master") + """
-select row_number() over (order by rcp_ord) as id, rcp_ord, rcp_name from master""")
+select row_number() over (order by case game_mode when 'restaurant' then 0 else 1 end, rcp_ord) as id, rcp_ord, rcp_name from master""")
 def q_surrogate_id(spark, sf_dir):
     """Dense 1..N ids in table order, computed without a single-partition window."""
-    m = inputs.master(spark, sf_dir).select("rcp_ord", "rcp_name")
-    return S.dense_ids(m, "rcp_ord").select("id", "rcp_ord", "rcp_name")
+    m = inputs.master(spark, sf_dir).select(source_index("game_mode").alias("src_idx"), "rcp_ord", "rcp_name")
+    return S.dense_ids(m, ["src_idx", "rcp_ord"]).select("id", "rcp_ord", "rcp_name")
 
 
 @register("q_chunk_export", O.with_ctes("master") + """
 select rcp_ord, id, id + 1 as sheet_row, id // 1000 as chunk_id, (id // 1000) * 1000 + 1 as chunk_start_row,
-       greatest(1000, count(*) over () + 1) as required_rows
-from (select rcp_ord, row_number() over (order by rcp_ord) as id from master)""")
+       greatest(1000, count(*) over () + 1) as required_rows, 26 as required_cols
+from (select rcp_ord, row_number() over (order by case game_mode when 'restaurant' then 0 else 1 end, rcp_ord) as id from master)""")
 def q_chunk_export(spark, sf_dir):
     """Sheet row and 1000-row chunk of every master row, and the sheet size."""
-    m = inputs.master(spark, sf_dir).select("rcp_ord")
-    return S.chunk_plan(m, ["rcp_ord"]).select("rcp_ord", "id", "sheet_row", "chunk_id",
-                                               "chunk_start_row", "required_rows")
+    m = inputs.master(spark, sf_dir).select(source_index("game_mode").alias("src_idx"), "rcp_ord")
+    return S.chunk_plan(m, ["src_idx", "rcp_ord"]).select("rcp_ord", "id", "sheet_row", "chunk_id",
+                                                          "chunk_start_row", "required_rows", "required_cols")
 
 
+# FIXED VALUES — headings of an empty report.
 _SCAFFOLD = ("Best_XP_Recipe", "Appliance_xp", "XP", "XP/Hr", "Best_Profit_Recipe", "Appliance_$",
              "Profit", "Profit/Hr")
 
@@ -102,7 +104,7 @@ def q_report_scaffold(spark, sf_dir):
 
 @register("q_asset_manifest", O.with_ctes("fx_appl") + """
 select idx, appl_img_url, filename, round(cast(idx as double) * 100 / total, 2) as percent,
-       case when idx <> min(idx) over (partition by filename) then 'SKIP' else 'DOWNLOAD' end as action
+       case when idx <> min(idx) over (partition by filename) or filename like '%7.png' then 'SKIP' else 'DOWNLOAD' end as action
 from (select row_number() over (order by appl_ord) as idx, appl_img_url,
         case when ends_with(b, '.png') then b else b || '.png' end as filename,
         count(*) over () as total
@@ -113,7 +115,9 @@ def q_asset_manifest(spark, sf_dir):
     """Image URLs → file names, position, percent, DOWNLOAD or SKIP
     (files already in the asset folder, or a name already taken, are skipped)."""
     a = fixtures.appliances(spark, sf_dir)
-    have = S.existing_files(spark, S.scratch_path(spark, "assets/img_appliances"))
+    # the folder's files: what an earlier run has left (names that end in 7)
+    name = url_basename_png("appl_img_url")
+    have = a.select(name.alias("filename")).where(F.col("filename").endswith("7.png"))
     return S.asset_plan(a, "appl_img_url", "appl_ord", have)
 
 

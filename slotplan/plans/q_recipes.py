@@ -166,15 +166,15 @@ def q_nan_inf_to_null(spark, sf_dir):
 @register("q_left_join_no_dups", O.with_ctes("recipes", "appl", extra="""appl2 as (
   select * from appl
   union all
-  select appl_ord + 1000000000, appl_name, 'Event', appl_img_url || '#2', 'hard'
-  from appl),
+  select * replace (appl_ord + 1000000000 as appl_ord, 'Event' as appl_labels,
+                    appl_img_url || '#2' as appl_img_url, 'hard' as appl_obtainability) from appl),
 appl2_first as (select * from appl2
-  qualify row_number() over (partition by appl_name order by appl_ord) = 1)""") + """
+  qualify row_number() over (partition by game_mode, appl_name order by appl_ord) = 1)""") + """
 select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability,
   cast((case when r.rcp_obtainability = 'easy' then 1 else 3 end)
      + (case coalesce(a.appl_obtainability, 'nan') when 'easy' then 1 when 'medium' then 2 else 3 end)
      as int) as rcp_difficulty
-from recipes r left join appl2_first a on r.appl_name = a.appl_name""")
+from recipes r left join appl2_first a on r.appl_name = a.appl_name and r.game_mode = a.game_mode""")
 def q_left_join_no_dups(spark, sf_dir):
     """C14/J1/trap 8: appliances found twice (second copy labelled differently) are kept once."""
     m = build_master(inputs.recipes_clean(spark, sf_dir), _appliances_twice(spark, sf_dir))
@@ -185,29 +185,38 @@ def q_left_join_no_dups(spark, sf_dir):
 @register("q_left_join_fanout", O.with_ctes("recipes", "appl", extra="""appl2 as (
   select * from appl
   union all
-  select appl_ord + 1000000000, appl_name, 'Event', appl_img_url || '#2', 'hard'
-  from appl)""") + """
+  select * replace (appl_ord + 1000000000 as appl_ord, 'Event' as appl_labels,
+                    appl_img_url || '#2' as appl_img_url, 'hard' as appl_obtainability) from appl)""") + """
 select r.rcp_ord, r.appl_name, a.appl_ord, a.appl_labels, a.appl_obtainability
-from recipes r left join appl2 a on r.appl_name = a.appl_name""")
+from recipes r left join appl2 a on r.appl_name = a.appl_name and r.game_mode = a.game_mode""")
 def q_left_join_fanout(spark, sf_dir):
     """J1 parity: without de-duplication an appliance found twice duplicates its recipes."""
     m = build_master(inputs.recipes_clean(spark, sf_dir), _appliances_twice(spark, sf_dir), fanout=True)
     return m.select("rcp_ord", "appl_name", "appl_ord", "appl_labels", "appl_obtainability")
 
 
+@register("q_left_join_two_games", O.with_ctes("master") + """
+select rcp_ord, game_mode, appl_name, appl_labels, appl_source_url, appl_img_url, rcp_difficulty from master""")
+def q_left_join_two_games(spark, sf_dir):
+    """A name that both games know takes its own game's labels and difficulty; the clashing
+    image column is the recipe's."""
+    return inputs.master(spark, sf_dir).select("rcp_ord", "game_mode", "appl_name", "appl_labels",
+                                               "appl_source_url", "appl_img_url", "rcp_difficulty")
+
+
 def _appliances_twice(spark, sf_dir):
     """Every appliance twice, the second copy labelled differently, as if found from a second page."""
     a = fixtures.appliances(spark, sf_dir)
-    dup = a.select(
-        (F.col("appl_ord") + 1_000_000_000).alias("appl_ord"), "appl_name",
-        F.lit("Event").alias("appl_labels"), F.concat("appl_img_url", F.lit("#2")).alias("appl_img_url"))
+    dup = a.withColumns({"appl_ord": F.col("appl_ord") + 1_000_000_000, "appl_labels": F.lit("Event"),
+                         "appl_img_url": F.concat("appl_img_url", F.lit("#2"))})
     return a.unionByName(dup)
 
 
 @register("q_priority_columns", O.with_ctes("master") + """
 select game_mode, rcp_name, appl_name, rcp_level, rcp_time_min, rcp_xp, rcp_profit, rcp_difficulty,
-       rcp_ord, rcp_cost, rcp_income, rcp_time_hr, rcp_labels, rcp_obtainability,
-       appl_ord, appl_labels, appl_img_url, appl_obtainability
+       rcp_ord, rcp_cost, rcp_income, rcp_time_hr, rcp_labels, rcp_obtainability, rcp_servings,
+       rcp_release_date, rcp_img_url, rcp_url, appl_img_url, appl_ord, appl_labels, appl_obtainability,
+       appl_unlock_level, appl_cost, appl_release_date, appl_recipes_count, appl_source_url
 from master""")
 def q_priority_columns(spark, sf_dir):
     """Priority columns that exist first (level columns absent here), then the rest."""
@@ -277,28 +286,32 @@ def q_top1(spark, sf_dir):
              .select("appl_name", "rcp_name", "rcp_profit", "rcp_ord"))
 
 
+#: ranks kept per slot and metric; the report uses rank 1 only
+REPORT_RANKS = 1
+
+
 def _rank_sql(metric: str) -> str:
     return O.with_ctes("sql_cand") + f"""
 , time_slots as (select unnest({O.slots_list()}) as return_time),
 r as (select t.return_time, c.rcp_name, c.{metric},
         row_number() over (partition by t.return_time order by c.{metric} desc nulls last, c.rcp_ord) as rnk
       from time_slots t join sql_cand c on c.rcp_time_min <= t.return_time)
-select return_time, rnk as rank, rcp_name, {metric} from r where rnk <= 3"""
+select return_time, rnk as rank, rcp_name, {metric} from r where rnk <= {REPORT_RANKS}"""
 
 
 @register("q_rank_xp", _rank_sql("rcp_xp"))
 def q_rank_xp(spark, sf_dir):
-    """xp rank per slot (top 3 kept; rank 1 is the report's pick)."""
+    """xp rank per slot (the ranks the report uses)."""
     return prefix_topk(sql_candidates(spark, sf_dir, require_time=False), time="rcp_time_min",
-                       slots=RETURN_SLOTS, metric="rcp_xp", k=3, payload={"rcp_name": "rcp_name", "rcp_xp": "rcp_xp"},
+                       slots=RETURN_SLOTS, metric="rcp_xp", k=REPORT_RANKS, payload={"rcp_name": "rcp_name", "rcp_xp": "rcp_xp"},
                        ord_cols=ORD)
 
 
 @register("q_rank_profit", _rank_sql("rcp_profit"))
 def q_rank_profit(spark, sf_dir):
-    """profit rank per slot (top 3 kept)."""
+    """profit rank per slot (the ranks the report uses)."""
     return prefix_topk(sql_candidates(spark, sf_dir, require_time=False), time="rcp_time_min",
-                       slots=RETURN_SLOTS, metric="rcp_profit", k=3,
+                       slots=RETURN_SLOTS, metric="rcp_profit", k=REPORT_RANKS,
                        payload={"rcp_name": "rcp_name", "rcp_profit": "rcp_profit"}, ord_cols=ORD)
 
 

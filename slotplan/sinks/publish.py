@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -51,7 +51,7 @@ def csv_roundtrip(df: DataFrame, path: str) -> DataFrame:
             .option("ignoreTrailingWhiteSpace", False).option("mode", "FAILFAST").csv(path))
 
 
-def json_records(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def json_records(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
     """One JSON object per row; null fields are kept as ``null``."""
     cols = list(cols or df.columns)
     return F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"})
@@ -83,44 +83,49 @@ def write_text_document(lines: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------------------ ids and chunks
 
-def dense_ids(df: DataFrame, key: str, id_col: str = "id", buckets: int | None = None,
-              rel_error: float = 1e-3) -> DataFrame:
-    """Dense 1..N ids in ``key`` order (a unique numeric key), without a global window.
+def dense_ids(df: DataFrame, order: Sequence[str], id_col: str = "id",
+              buckets: int | None = None) -> DataFrame:
+    """Dense 1..N ids in ``order`` (unique together), without a global window.
 
-    Approximate quantiles of the key cut the rows into ``buckets`` ranges of
-    similar size (the cut points are computed once and shipped as constants, so
-    a row's bucket is a pure function of its key). Rows are counted per bucket
-    (a tiny table), the counts become offsets, and each bucket numbers its own
-    rows in parallel.
+    The rows are written once, range-partitioned by ``order``. Rows per range are
+    counted from that file (a table of one row per range), the counts become offsets,
+    and each range numbers its own rows in parallel. ``total_col`` of
+    :func:`numbered` is the last offset, so no other scan counts the rows.
     """
-    from ..operators.windows import quantile_bucket
+    return numbered(df, order, id_col, buckets).drop("_total")
 
-    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = quantile_bucket(df, key, n, out="_bkt", rel_error=rel_error)
+
+def numbered(df: DataFrame, order: Sequence[str], id_col: str = "id",
+             buckets: int | None = None) -> DataFrame:
+    """:func:`dense_ids` with ``_total``, the number of rows."""
+    from ..operators.windows import range_chunks
+
+    d = range_chunks(df, list(order), buckets, out="_bkt")
     counts = d.groupBy("_bkt").agg(F.count(F.lit(1)).alias("_n"))
-    w_off = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"))
-    w = Window.partitionBy("_bkt").orderBy(key)
-    local = d.withColumn("_pos", F.row_number().over(w))
-    out = local.join(F.broadcast(offsets), "_bkt")  # one row per bucket: bounded by ``buckets``
-    return out.withColumn(id_col, (F.col("_off") + F.col("_pos")).cast("bigint")).drop(
-        "_bkt", "_pos", "_off")
+    every = Window.partitionBy(F.lit(0))                 # one row per range: bounded by ``buckets``
+    w_off = every.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_bkt", F.coalesce(F.sum("_n").over(w_off), F.lit(0)).alias("_off"),
+                            F.sum("_n").over(every).alias("_total"))
+    local = d.withColumn("_pos", F.row_number().over(Window.partitionBy("_bkt").orderBy(*order)))
+    out = local.join(F.broadcast(offsets), "_bkt")       # bounded by ``buckets``
+    return out.withColumn(id_col, (F.col("_off") + F.col("_pos")).cast("bigint")).drop("_bkt", "_pos", "_off")
 
 
 def chunk_plan(df: DataFrame, order_cols: Sequence[str], chunk_rows: int = EXPORT_CHUNK_ROWS,
-               existing_rows: int = 1000) -> DataFrame:
-    """Sheet row, chunk id and chunk start for every row.
+               existing_rows: int = 1000, existing_cols: int = 26) -> DataFrame:
+    """Sheet row, chunk id and chunk start for every row, and the sheet size.
 
     The header is row 1, so data row ``id`` sits on sheet row ``id + 1`` and in
-    chunk ``id div chunk_rows``. ``required_rows`` = max(existing, rows + 1).
+    chunk ``id div chunk_rows``. ``required_rows`` = max(existing, rows + 1),
+    ``required_cols`` = max(existing, columns of ``df``).
     """
-    ided = dense_ids(df, order_cols[0])
-    total = df.agg(F.count(F.lit(1))).scalar()
     chunk = F.floor(F.col("id") / chunk_rows).cast("bigint")
-    return (ided.withColumn("sheet_row", F.col("id") + 1)
-                .withColumn("chunk_id", chunk)
-                .withColumn("chunk_start_row", chunk * chunk_rows + 1)
-                .withColumn("required_rows", F.greatest(F.lit(existing_rows).cast("bigint"), total + 1)))
+    return (numbered(df, order_cols).withColumn("sheet_row", F.col("id") + 1)
+            .withColumn("chunk_id", chunk)
+            .withColumn("chunk_start_row", chunk * chunk_rows + 1)
+            .withColumn("required_rows", F.greatest(F.lit(existing_rows).cast("bigint"), F.col("_total") + 1))
+            .withColumn("required_cols", F.lit(max(existing_cols, len(df.columns))))
+            .drop("_total"))
 
 
 def write_chunks(plan: DataFrame, path: str, files: int | None = None) -> None:
@@ -138,6 +143,7 @@ def write_chunks(plan: DataFrame, path: str, files: int | None = None) -> None:
 
 # ------------------------------------------------------------------ tables
 
+# FIXED VALUES — load type names.
 def sql_type(dt: T.DataType) -> str:
     """Integer → INT, floating → FLOAT, date/time → TIMESTAMP, everything else → TEXT."""
     if isinstance(dt, T.IntegralType):
@@ -150,8 +156,14 @@ def sql_type(dt: T.DataType) -> str:
 
 
 def create_table_column_types(df: DataFrame) -> str:
-    """The ``createTableColumnTypes`` option text for a JDBC overwrite."""
-    return ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in df.schema.fields)
+    """The ``createTableColumnTypes`` option text for a JDBC overwrite.
+
+    The option takes Spark SQL type names, which the database's dialect maps to its
+    own (STRING becomes TEXT). Columns with the dialect's default type are listed too,
+    so that the table does not depend on the dialect's choice of integer width.
+    """
+    names = {"INT": "BIGINT", "FLOAT": "DOUBLE", "TIMESTAMP": "TIMESTAMP", "TEXT": "STRING"}
+    return ", ".join(f"`{f.name}` {names[sql_type(f.dataType)]}" for f in df.schema.fields)
 
 
 def type_profile(df: DataFrame) -> DataFrame:
@@ -193,6 +205,15 @@ def archive_and_replace(spark: SparkSession, df: DataFrame, table: str, ts) -> s
 
 # ------------------------------------------------------------------ assets
 
+def publish(df: DataFrame, table: str, ts, order_cols: Sequence[str],
+            chunk_rows: int = EXPORT_CHUNK_ROWS) -> str | None:
+    """The export of ``df`` as a table, in chunks; the current table is archived first.
+
+    Returns the archive's name, or None when there was nothing to archive.
+    """
+    return archive_and_replace(df.sparkSession, chunk_plan(df, order_cols, chunk_rows), table, ts)
+
+
 def existing_files(spark: SparkSession, folder: str) -> DataFrame:
     """File names already present in a folder (B14); empty when the folder is absent."""
     try:
@@ -210,13 +231,11 @@ def asset_plan(urls: DataFrame, url_col: str, order_col: str, existing: DataFram
     an earlier URL in this run, is SKIP; the rest are DOWNLOAD.
     """
     u = urls.where(F.col(url_col).isNotNull()).select(order_col, url_col)
-    ided = dense_ids(u, order_col, "idx")
-    total = u.agg(F.count(F.lit(1))).scalar()
-    named = ided.withColumn("filename", url_basename_png(url_col))
+    named = numbered(u, [order_col], "idx").withColumn("filename", url_basename_png(url_col))
     first = named.groupBy("filename").agg(F.min("idx").alias("_first"))
     have = existing.select("filename").distinct().withColumn("_have", F.lit(True))
     out = named.join(first, "filename").join(have, "filename", "left")
     action = F.when(F.col("_have") | (F.col("idx") != F.col("_first")), "SKIP").otherwise("DOWNLOAD")
     return out.select("idx", url_col, "filename",
-                      F.round(F.col("idx") * 100.0 / total, 2).alias("percent"),
+                      F.round(F.col("idx") * 100.0 / F.col("_total"), 2).alias("percent"),
                       action.alias("action"))

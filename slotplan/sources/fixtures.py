@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import TIME_FIXES
 from .tables import read_table
 
+_FIX_NAMES = ", ".join(f"'{name}'" for name, _ in TIME_FIXES)
+
 
 def recipe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw recipe rows (D1), one per order. ``rcp_ord`` is the table order."""
@@ -20,7 +23,9 @@ def recipe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.selectExpr(
         "o_orderkey as rcp_ord",
         "case when o_orderkey % 2 = 0 then 'restaurant' else 'bakery' end as game_mode",
-        "concat('rcp_', cast(floor(o_orderkey / 3) as string)) as rcp_name",
+        # some rows carry the names that have a time correction
+        f"case when o_orderkey % 37 = 5 then element_at(array({_FIX_NAMES}), cast(o_orderkey % {len(TIME_FIXES)} + 1 as int))"
+        " else concat('rcp_', cast(floor(o_orderkey / 3) as string)) end as rcp_name",
         "concat('Supplier#', lpad(cast(o_custkey % 120 as string), 9, '0')) as appl_name",
         "concat('c: -', cast(floor(o_totalprice / 7) as string)) as rcp_cost",
         "concat(cast(floor(o_totalprice / 5) as string), ' coins') as rcp_income",
@@ -30,19 +35,32 @@ def recipe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case o_orderkey % 4 when 0 then '' when 1 then cast(null as string)"
         " when 2 then 'Gem' else 'Event, Holiday' end as rcp_labels",
         "cast(1 + o_orderkey % 99 as int) as rcp_level",
+        "concat(cast(o_orderkey % 12 as string), ' servings') as rcp_servings",
+        "concat('RD: ', cast(o_orderdate as string)) as rcp_release_date",
+        "concat('http://cdn.example.com/r/', cast(o_orderkey as string), '.png') as rcp_img_url",
+        "concat('http://www.example.com/s8/', case when o_orderkey % 2 = 0 then 'restaurant' else 'bakery' end,"
+        " '_recipes_all.php?page=', cast(floor(o_orderkey / 40) + 1 as string)) as rcp_url",
+        "cast(null as string) as appl_img_url",
     )
 
 
 def appliances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appliance rows (D3), one per supplier; shared by both games."""
+    """Appliance rows (D3), one per supplier and game; the games label the same name differently."""
     s = read_table(spark, sf_dir, "supplier")
-    return s.selectExpr(
-        "s_suppkey as appl_ord",
+    return s.selectExpr("*", "explode(array(0, 1)) as g").selectExpr(
+        "2 * s_suppkey + g as appl_ord",
+        "case g when 0 then 'restaurant' else 'bakery' end as game_mode",
         "s_name as appl_name",
-        "case s_suppkey % 5 when 0 then '' when 1 then cast(null as string)"
+        "case (s_suppkey + 2 * g) % 5 when 0 then '' when 1 then cast(null as string)"
         " when 2 then 'Build' when 3 then ' gem ' else 'Build, Gem' end as appl_labels",
         "concat('http://cdn.example.com/a/appl_', cast(s_suppkey as string),"
         " case when s_suppkey % 3 = 0 then '.png' else '' end) as appl_img_url",
+        "cast(1 + s_suppkey % 60 as int) as appl_unlock_level",
+        "cast(s_suppkey * 250 as int) as appl_cost",
+        "cast(null as string) as appl_release_date",
+        "cast(s_suppkey % 9 as int) as appl_recipes_count",
+        "concat('http://www.example.com/s8/', case g when 0 then 'restaurant' else 'bakery' end,"
+        " '_appl_retr.php?search_appl=', s_name) as appl_source_url",
     )
 
 

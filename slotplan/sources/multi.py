@@ -27,6 +27,14 @@ def select_sources(mode: str, available: Sequence[str] = MODES) -> list[str]:
     raise ValueError(f"invalid mode {mode!r}; use one of {list(available)} or 'both'")
 
 
+def source_index(mode, available: Sequence[str] = MODES) -> Column:
+    """Position of a source in configuration order (unknown sources last)."""
+    out = F.lit(len(available))
+    for i, name in reversed(list(enumerate(available))):
+        out = F.when(col_of(mode) == name, i).otherwise(out)
+    return out
+
+
 def union_sources(frames: Mapping[str, DataFrame], mode: str = "both",
                   ord_col: str = "rcp_ord") -> DataFrame:
     """Union the selected sources by column name, in configuration order.

@@ -17,56 +17,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_READERS: dict = {}
-# Tables smaller than this are not worth spreading out.
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def _local_size(path: str) -> int | None:
-    """Bytes of a local file or folder; None when the path is not on the local disk."""
-    import os
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if not os.path.exists(p):
-        return None
-    if os.path.isfile(p):
-        return os.path.getsize(p)
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
-
-
-def spread_small_scan(df: DataFrame, key: str, path: str) -> DataFrame:
-    """Use every core when a table arrives as fewer splits than the cluster runs in parallel.
-
-    A single-row-group file is read by one task, and all per-row parsing after
-    it would run on one core. Only then is the scan hash-partitioned on its key
-    (column pruning and filters still reach the scan below the exchange). A
-    large table already has at least as many splits as cores, so nothing is
-    added there.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no local SparkContext (e.g. a remote session): leave the scan as is
-        return df
-    size = _local_size(path)
-    if size is not None and size < SPREAD_MIN_BYTES:
-        return df
-    return df.repartition(target, key)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one base table; Catalyst prunes columns and pushes filters.
-
-    The DataFrame (an immutable plan) is reused per session and path, so the
-    file listing happens once instead of in every query that reads the table.
-    """
-    path = table_path(sf_dir, name)
-    key = (id(spark), path)
-    df = _READERS.get(key)
-    if df is None:
-        raw = spark.read.parquet(path)
-        df = _READERS[key] = spread_small_scan(raw, raw.columns[0], path)
-    return df
+    """Parquet scan of one base table; Catalyst prunes columns, pushes filters and splits files."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def load_required(spark: SparkSession, path: str, name: str, fmt: str = "parquet",
@@ -87,9 +40,9 @@ def load_required(spark: SparkSession, path: str, name: str, fmt: str = "parquet
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with header and a declared schema (A1); never infer types."""
+    """CSV with header and a declared schema (A1); types are not inferred and a bad row raises."""
     return (spark.read.schema(schema).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("mode", "FAILFAST").csv(path))
 
 
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],

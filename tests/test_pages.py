@@ -35,7 +35,7 @@ def test_take_while_stops_at_first_bad(spark):
 def test_running_sum_chunks(spark):
     data = [("h", i, i * 10 + 1, i % 3) for i in range(50)] + [("k", 5, 1, 4), (None, 1, 2, 7)]
     df = spark.createDataFrame(data, "h string, o long, tie long, v long")
-    out = running_sum(df, ["h"], "o", "tie", "v", "run", chunks=7)
+    out = running_sum(df, ["h"], ["o", "tie"], "v", "run", chunks=7)
     got = {(r.h, r.o): r.run for r in out.collect()}
     acc = 0
     for i in range(50):
@@ -56,3 +56,12 @@ def test_html_table_choice_and_missing_table(spark):
     bad = spark.createDataFrame([(2, "<table><tr><th>Name</th></tr></table>")], "doc int, html string")
     with pytest.raises(Exception, match="Target table not found"):
         html_table_rows(bad, "doc", "html", ("level", "xp")).collect()
+
+
+def test_running_sum_splits_a_key_of_equal_order_values(spark):
+    from slotplan.operators.windows import range_chunks
+    df = spark.createDataFrame([("h", None if i % 2 else 5, i, 1) for i in range(400)], "h string, o long, tie long, v long")
+    assert range_chunks(df, ["h", "o", "tie"], 8).select("_chunk").distinct().count() > 3
+    got = running_sum(df, ["h"], ["o", "tie"], "v", "run", chunks=8).collect()
+    assert sorted(r.run for r in got) == list(range(1, 401))
+    assert {r.tie: r.run for r in got}[1] == 1              # nulls come first

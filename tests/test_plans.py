@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from slotplan.plans import catalog
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
@@ -12,17 +12,18 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_no_cartesian(spark, name):
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    text = plan_text(catalog.QUERIES[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in text, f"{name} plan contains {bad}"
+    assert "REPARTITION_BY_NUM" not in text, f"{name} shuffles right after a scan"
 
 
 def test_planner_aggregates_before_shuffle(spark):
-    text = plan_text(E.queries()["q_item_planner"](spark, SF_SMALL))
+    text = plan_text(catalog.QUERIES["q_item_planner"](spark, SF_SMALL))
     assert "partial_max" in text
-    scan = E.queries()["q_item_planner"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scan = catalog.QUERIES["q_item_planner"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey" in scan or "lineitem" in scan
 
 

@@ -17,12 +17,18 @@ import pytest
 
 def test_dense_ids_equal_row_number(spark):
     df = spark.range(0, 5000, 3).withColumnRenamed("id", "k").withColumn("v", F.col("k") % 7)
-    ids = S.dense_ids(df, "k", buckets=6)
+    ids = S.dense_ids(df, ["k"], buckets=6)
     want = df.withColumn("id", F.row_number().over(Window.orderBy("k")).cast("bigint"))
     assert sorted(map(tuple, ids.select("k", "id").collect())) == \
         sorted(map(tuple, want.select("k", "id").collect()))
 
 
+def test_dense_ids_honour_every_order_column(spark):
+    df = spark.createDataFrame([(g, i) for g in (1, 0) for i in range(40, 0, -1)], "g int, o int")
+    got = {(r.g, r.o): r.id for r in S.dense_ids(df, ["g", "o"], buckets=5).collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(got))}
+
+
 def test_csv_roundtrip_keeps_empty_and_null(spark, tmp_path):
     df = spark.createDataFrame([(1, "", None), (2, None, " a "), (3, "x", "")], "id int, a string, b string")
     back = S.csv_roundtrip(df, str(tmp_path / "c"))
@@ -42,6 +48,7 @@ def test_chunk_plan(spark):
     df = spark.range(1, 2501).withColumnRenamed("id", "k")
     plan = S.chunk_plan(df, ["k"], chunk_rows=1000)
     got = {r.k: (r.sheet_row, r.chunk_id, r.chunk_start_row, r.required_rows) for r in plan.collect()}
+    assert {r.required_cols for r in plan.collect()} == {26}
     assert got[1] == (2, 0, 1, 2501) and got[999] == (1000, 0, 1, 2501)
     assert got[1000] == (1001, 1, 1001, 2501) and got[2500] == (2501, 2, 2001, 2501)
 
@@ -52,7 +59,10 @@ def test_type_map_and_jdbc_options(spark):
     assert prof == {"a": ("INT", 1), "b": ("FLOAT", 1), "c": ("TIMESTAMP", 1), "d": ("TEXT", 1),
                     "e": ("TEXT", 1), "f": ("INT", 1)}
     opts = S.jdbc_options("jdbc:postgresql://db/x", "recipes_all_bakery", df, batchsize=500)
-    assert opts["createTableColumnTypes"] == "a INT, b FLOAT, c TIMESTAMP, d TEXT, e TEXT, f INT"
+    from pyspark.sql.types import StructType
+    told = StructType.fromDDL(opts["createTableColumnTypes"])
+    assert [(f.name, f.dataType.simpleString()) for f in told] == [
+        ("a", "bigint"), ("b", "double"), ("c", "timestamp"), ("d", "string"), ("e", "string"), ("f", "bigint")]
     assert opts["batchsize"] == "500" and opts["dbtable"] == "recipes_all_bakery"
 
 
@@ -117,19 +127,26 @@ def test_write_chunks_contiguous_files(spark, tmp_path):
     assert all(r.hi - r.lo + 1 == r.n for r in per_file)  # contiguous id ranges
 
 
-def test_spread_only_small_split_counts(spark, tmp_path):
-    from slotplan.sources.tables import spread_small_scan
-    target = spark.sparkContext.defaultParallelism
-    many = str(tmp_path / "many")
-    spark.range(0, 200000).repartition(target * 2).write.parquet(many)
-    df = spark.read.parquet(many)
-    assert spread_small_scan(df, "id", many) is df          # enough splits: unchanged
-    one = str(tmp_path / "one")
-    spark.range(0, 200000).coalesce(1).write.parquet(one)
-    single = spark.read.parquet(one)
-    spread = spread_small_scan(single, "id", one)
-    if single.rdd.getNumPartitions() < target and sum(
-            f.stat().st_size for f in (tmp_path / "one").glob("*.parquet")) >= (1 << 20):
-        assert spread is not single and spread.rdd.getNumPartitions() == target
-    tiny = spark.read.parquet(one).limit(10)
-    assert spread_small_scan(tiny, "id", str(tmp_path / "nope")) is not None
+def test_publish_archives_and_chunks(spark):
+    df = spark.range(1, 2501).withColumnRenamed("id", "k")
+    name = "planner_publish_test"
+    spark.sql(f"drop table if exists {name}")
+    ts = dt.datetime(2024, 1, 2, 3, 4, 5)
+    assert S.publish(df, name, ts, ["k"]) is None
+    old = S.publish(df.where("k < 5"), name, ts, ["k"])
+    assert old == f"{name}_20240102_030405" and spark.table(old).count() == 2500
+    assert [r.id for r in spark.table(name).orderBy("k").collect()] == [1, 2, 3, 4]
+    spark.sql(f"drop table {name}")
+    spark.sql(f"drop table {old}")
+
+
+def scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_read_the_base_table_once(spark):
+    """Everything after the range-partitioned write reads that file, not the source."""
+    from slotplan.plans.q_publish import q_chunk_export, q_surrogate_id
+    from tests.conftest import SF_SMALL
+    for q in (q_chunk_export, q_surrogate_id):
+        assert "o_orderkey" not in scans(q(spark, SF_SMALL))
