@@ -105,8 +105,10 @@ class Model:
         groups = range(-(-len(self.domains) // _GROUP))
         df = feats.withColumns({f"_m{g}": self.weights.select(f"m{g}").scalar() for g in groups})   # one array each
         df = df.withColumns({f"_c{g}": F.aggregate("_words", F.lit(0).cast("long"), _or_lookup(f"_m{g}")) for g in groups})
-        odds = [_highest(F.col(f"_c{k // _GROUP}"), _BITS * (k % _GROUP)) for k in range(len(self.domains))]
-        return df.withColumn("_bins", F.concat("_bins", F.array(*odds)))
+        # a generator of one row: the optimiser copies no expression across it, so the fold runs once
+        df = df.select(*feats.columns, F.explode(F.array(F.struct(*[f"_c{g}" for g in groups]))).alias("_c"))
+        odds = [_highest(F.col(f"_c._c{k // _GROUP}"), _BITS * (k % _GROUP)) for k in range(len(self.domains))]
+        return df.withColumn("_bins", F.concat("_bins", F.array(*odds))).drop("_c")
 
 
 def _or_lookup(masks: str):
