@@ -36,7 +36,7 @@ from . import words as W
 BITS = 18                  # each feature kind hashes to 2**BITS weights
 KINDS = 4                  # the word, and its first 4, 5 and 6 bytes
 LANE = 128
-MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 1500, 3000, 8_000
+MAX_TOXIC, MAX_CLEAN, MAX_BYTES = 1000, 2000, 8_000
 _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[[i for i in range(33, 127) if not chr(i).isalnum()]] = True
 
@@ -172,10 +172,10 @@ def label_tokens(feats: np.ndarray, doc: np.ndarray, before: np.ndarray, toxic:
     slots, n_docs = KINDS << BITS, len(toxic)
     hashed = (before >> np.uint64(40)).astype(np.int64)
     for f in feats:
-        where, whose = np.divmod(np.unique(f * n_docs + doc), n_docs)
+        where, whose = np.divmod(np.unique(f.astype(np.int64) * n_docs + doc), n_docs)
         t = np.bincount(where[toxic[whose]], minlength=slots)
         c = np.bincount(where[~toxic[whose]], minlength=slots)
-        varied = np.bincount(np.unique((f[in_toxic] << 24) + hashed[in_toxic]) >> 24, minlength=slots)
+        varied = np.bincount(np.unique((f[in_toxic].astype(np.int64) << 24) + hashed[in_toxic]) >> 24, minlength=slots)
         odds = np.log((t + 0.5) / (n_tox + 1)) - np.log((c + 0.5) / (n_ok + 1))
         sure = odds - 2.5 * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))        # lower bound of the log-odds
         strong = (sure >= np.log(3)) & (c <= 0.02 * n_ok) & (varied >= np.maximum(3, 0.4 * t))
@@ -190,10 +190,9 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 20, rat
         model.constant = share
         return model
     # begins of zero length keep texts apart even if the first is blank
-    parts = [(c, token_features(c), c.hashes()) for c in W.chunks(pa.array(texts, pa.string()))]
-    feats = np.concatenate([f for _, f, _ in parts], axis=1)
-    doc = np.concatenate([c.doc + c.first for c, _, _ in parts])
-    hashes = np.concatenate([h for _, _, h in parts])
+    parts = [(c.doc + c.first, token_features(c).astype(np.int32), c.hashes()) for c in W.chunks(pa.array(texts, pa.string()))]
+    doc, feats, hashes = (np.concatenate(x, axis=-1) for x in zip(*parts))
+    del parts
     before = np.concatenate([[np.uint64(0)], hashes[:-1]])
     first = np.ones(len(doc), dtype=bool)
     first[1:] = doc[1:] != doc[:-1]
@@ -206,8 +205,8 @@ def fit(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 20, rat
     used_inner = inner[use[inner]]
     pairs = np.bincount(2 * yi[used_inner - 1] + yi[used_inner], minlength=4).reshape(2, 2).astype(float)
     starts = np.bincount(yi[first & use], minlength=2).astype(float)
-    positions, compact = np.unique(feats, return_inverse=True)
-    compact = compact.reshape(feats.shape)
+    positions = np.unique(feats)
+    compact = np.searchsorted(positions, feats).astype(np.int32)
     w = np.zeros(len(positions))
     sq = {k: v for k, v in (("w", np.full(len(positions), 1e-8)), ("b", 1e-8), ("t", np.full((2, 2), 1e-8)), ("s", np.full(2, 1e-8)))}
     for _ in range(epochs):
