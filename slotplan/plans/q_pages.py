@@ -17,19 +17,30 @@ register = Registry()
 
 
 def _pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    """The page table; some pages lose their heading or all their paragraphs, as in a real crawl."""
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    bare = F.regexp_replace("html", "<(/?)h1", "<$1h6")
+    html = F.when(F.col("page_id") % 11 == 5, bare).otherwise(F.col("html"))
+    flat = F.regexp_replace(html, "<(/?)p>", "<$1span>")
+    return p.withColumn("html", F.when(F.col("page_id") % 9 == 4, flat).otherwise(html))
 
 
 def _q(s: str) -> str:
     return s.replace("'", "''")
 
 
-# DuckDB forms of the page extraction expressions
-CLEAN = f"regexp_replace(html, '{_q(P.NOISE)}', '', 'g')"
-_PAGE_X = f"""page_x as (
-select page_id, url, html, {CLEAN} as chtml,
+# DuckDB forms. They cut texts at openings and closings instead of matching whole elements.
+_PAGE_X = r"""page_h as (
+select page_id, url, case when page_id % 11 = 5 then regexp_replace(html, '<(/?)h1', '<\1h6', 'g') else html end as h
+from pages),
+page_g as (
+select page_id, url, case when page_id % 9 = 4 then regexp_replace(h, '<(/?)p>', '<\1span>', 'g') else h end as html from page_h),
+page_x as (
+select page_id, url, html,
+       array_to_string(list_transform(string_split_regex(html, '(?i)<!--|<script|<style'),
+         lambda x, i: case when i = 1 then x else regexp_replace(x, '(?is)^.*?(-->|</script\s*>|</style\s*>)', '') end), '') as chtml,
        regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1) as host0
-from pages)"""
+from page_g)"""
 O.add_cte("page_x", _PAGE_X)
 
 
@@ -39,17 +50,35 @@ def _decode(x: str) -> str:
     return x
 
 
+def _bare(x: str) -> str:
+    """Text outside tags: what follows a '>' in each piece between two '<'."""
+    return (f"array_to_string(list_transform(string_split({x}, '<'), "
+            f"lambda y, i: case when i = 1 then y else substr(y, strpos(y, '>') + 1) end), '')")
+
+
 def _tag_text(x: str) -> str:
-    return f"nullif(trim({_decode(f"regexp_replace({x}, '{P.TAG}', '', 'g')")}), '')"
+    return f"nullif(trim({_decode(_bare(x))}), '')"
+
+
+def _element(src: str, opening: str, closing: str) -> str:
+    """Inside of the first element: after its opening, up to its closing ('' without one)."""
+    tail = f"string_split_regex({src}, '(?i)<{opening}>')[2]"
+    return f"coalesce(case when regexp_matches({tail}, '(?i)</{closing}\s*>') then string_split_regex({tail}, '(?i)</{closing}\s*>')[1] end, '')"
 
 
-_LINK_TEXTS = f"list_transform(regexp_extract_all(n, '{_q(P.LINK)}', 2), lambda z: {_decode('z')})"
+_BLOCKS = (r"list_transform(string_split_regex(chtml, '(?i)<p(\s[^>]*)?>')[2:], lambda b: "
+           r"string_split_regex(b, '(?i)</(p|article|aside|body|div|footer|header|html|li|main|section|td)\s*>')[1])")
+_NAV = _element("chtml", r"nav(\s[^>]*)?", "nav")
+_LINKS = ("list_filter(string_split_regex(n, '(?i)<a(\s|>)')[2:], lambda z: regexp_matches(z, '(?i)</a\s*>'))")
+_LINK_TEXTS = (f"list_transform({_LINKS}, lambda z: "
+               + _decode(_bare("substr(string_split_regex(z, '(?i)</a\s*>')[1], strpos(z, '>') + 1)")) + ")")
+_HREFS = f"""list_transform({_LINKS}, lambda z: nullif(split_part(split_part(split_part(z, '>', 1), 'href="', 2), '"', 1), ''))"""
 
 
 @register("q_pages_blocks", O.with_ctes("page_x") + f"""
 select page_id, cast(unnest(generate_series(1, len(b))) as bigint) as pos,
        unnest(list_transform(b, lambda x: coalesce({_tag_text('x')}, ''))) as text
-from (select page_id, regexp_extract_all(chtml, '{P.PARAGRAPH}', 1) as b from page_x)""")
+from (select page_id, {_BLOCKS} as b from page_x)""")
 def q_pages_blocks(spark, sf_dir):
     """One row per paragraph, in page order (openings counted, not pairs)."""
     return P.page_blocks(_pages(spark, sf_dir))
@@ -57,14 +86,14 @@ def q_pages_blocks(spark, sf_dir):
 
 @register("q_pages_details", O.with_ctes("page_x") + f"""
 select page_id, nullif(host0, '') as host,
-  {_tag_text(f"regexp_extract(html, '{_q(P.TITLE)}', 1)")} as title,
-  {_tag_text(f"regexp_extract(chtml, '{_q(P.H1)}', 1)")} as heading,
-  {_tag_text(f"regexp_extract(html, '{_q(P.AD)}', 1)")} as ad_text,
+  {_tag_text(_element("chtml", "title", "title"))} as title,
+  {_tag_text(_element("chtml", "h1", "h1"))} as heading,
+  {_tag_text(_element("chtml", 'div class="ad"', "div"))} as ad_text,
   texts[1] as first_link,
   case when len(texts) > 1 then texts[len(texts)] end as last_link
 from (select *, {_LINK_TEXTS} as texts
-      from (select *, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))
-where {_tag_text(f"regexp_extract(chtml, '{_q(P.H1)}', 1)")} is not null""")
+      from (select *, {_NAV} as n from page_x))
+where {_tag_text(_element("chtml", "h1", "h1"))} is not null""")
 def q_pages_details(spark, sf_dir):
     """First match text or null; skip pages without a heading."""
     return P.page_details(_pages(spark, sf_dir))
@@ -73,9 +102,9 @@ def q_pages_details(spark, sf_dir):
 @register("q_pages_links", O.with_ctes("page_x") + f"""
 select page_id, cast(unnest(generate_series(1, len(h))) as bigint) as pos,
        unnest(h) as href, unnest(t) as link_text
-from (select page_id, regexp_extract_all(n, '{_q(P.LINK)}', 1) as h,
+from (select page_id, {_HREFS} as h,
              {_LINK_TEXTS} as t
-      from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))""")
+      from (select page_id, {_NAV} as n from page_x))""")
 def q_pages_links(spark, sf_dir):
     """K3: attribute values (href) with their link text, one row per link."""
     p = _pages(spark, sf_dir)
@@ -87,7 +116,7 @@ def q_pages_links(spark, sf_dir):
 @register("q_labels_join", O.with_ctes("page_x") + f"""
 select page_id, array_to_string(list_filter(list_transform(t, lambda x: trim(x)), lambda x: x <> ''), ', ') as labels
 from (select page_id, {_LINK_TEXTS} as t
-      from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x))""")
+      from (select page_id, {_NAV} as n from page_x))""")
 def q_labels_join(spark, sf_dir):
     """The non-empty label texts of a block, joined with ', '."""
     p = _pages(spark, sf_dir)
@@ -98,9 +127,9 @@ def q_labels_join(spark, sf_dir):
 @register("q_distinct_rows", O.with_ctes("page_x") + f"""
 , links as (
 select page_id, unnest(generate_series(1, len(h))) as pos, unnest(h) as href, unnest(t) as link_text
-from (select page_id, regexp_extract_all(n, '{_q(P.LINK)}', 1) as h,
+from (select page_id, {_HREFS} as h,
              {_LINK_TEXTS} as t
-      from (select page_id, regexp_extract(chtml, '{_q(P.NAV)}', 1) as n from page_x)))
+      from (select page_id, {_NAV} as n from page_x)))
 select href, link_text, f.page_id as first_page, f.pos as first_pos
 from (select href, link_text, min(struct_pack(page_id := page_id, pos := pos)) as f from links group by href, link_text)""")
 def q_distinct_rows(spark, sf_dir):
@@ -132,19 +161,22 @@ def q_regex_fields(spark, sf_dir):
 _PAGE_NO = f"try_cast(nullif(regexp_extract(url, '{_q(P.PATH_NUMBER)}', 1), '') as bigint)"
 
 
+#: a page with at most this many blocks ends its site's sequence
+EMPTY_PAGE_BLOCKS = 0
+
+
 @register("q_take_while_pages", O.with_ctes("page_x") + f"""
 , seq as (select page_id, nullif(host0, '') as host, {_PAGE_NO} as page_no,
-                 len(regexp_extract_all(chtml, '{P.PARAGRAPH}', 1)) <= 1 as empty_page
+                 len({_BLOCKS}) <= {EMPTY_PAGE_BLOCKS} as empty_page
           from page_x),
 stops as (select host, min((page_no, page_id)) as stop from seq where empty_page group by host)
 select s.page_id, s.host, s.page_no from seq s left join stops t on t.host is not distinct from s.host
 where t.stop is null or (s.page_no, s.page_id) < t.stop""")
 def q_take_while_pages(spark, sf_dir):
-    """Per site in page order, keep pages before the first empty one
-    (an article with at most one paragraph)."""
+    """Per site in page order, keep pages before the first empty one."""
     p = _pages(spark, sf_dir)
     seq = p.select("page_id", T.url_host("url").alias("host"), P.page_number("url").alias("page_no"),
-                   (P.paragraph_count("html") <= 1).alias("empty_page"))
+                   (P.paragraph_count("html") <= EMPTY_PAGE_BLOCKS).alias("empty_page"))
     kept = take_while(seq, ["host"], ["page_no", "page_id"], F.col("empty_page"))
     return kept.select("page_id", "host", "page_no")
 
@@ -153,7 +185,7 @@ def q_take_while_pages(spark, sf_dir):
 select page_id, nullif(host0, '') as host, {_PAGE_NO} as page_no, cast(n as bigint) as n_blocks,
   cast(sum(n) over (partition by nullif(host0, '') order by {_PAGE_NO} nulls first, page_id
                     rows between unbounded preceding and current row) as bigint) as running_blocks
-from (select *, len(regexp_extract_all(chtml, '{P.PARAGRAPH}', 1)) as n from page_x)""")
+from (select *, len({_BLOCKS}) as n from page_x)""")
 def q_page_counts(spark, sf_dir):
     """Blocks per page and the running total per site in page order."""
     p = _pages(spark, sf_dir)
@@ -200,28 +232,21 @@ def q_json_path(spark, sf_dir):
     return w.select("doc", T.json_html_text("j").alias("html"))
 
 
-_TABLE_RE = r"(?s)<table[^>]*>(.*?)</table>"
-_TH_RE = r"(?s)<th[^>]*>(.*?)</th>"
-_TR_RE = r"(?s)<tr[^>]*>(.*?)</tr>"
-_TD_RE = r"(?s)<td[^>]*>(.*?)</td>"
-
-
 @register("q_html_table_rows", O.with_ctes("fx_wiki", extra=f"""tabs as (
 select doc, unnest(generate_series(1, len(t))) as tpos, unnest(t) as tab
-from (select doc, regexp_extract_all(json_transform(j, '{{"parse":{{"text":"MAP(VARCHAR, VARCHAR)"}}}}').parse.text['*'],
-                                  '{_TABLE_RE}', 1) as t from fx_wiki)),
-heads as (select *, list_transform(regexp_extract_all(tab, '{_TH_RE}', 1), lambda h: lower(trim(h))) as hdr from tabs),
-chosen as (select * from heads
-  where list_has_all(hdr, {list(LEVEL_TABLE_HEADERS)})
+from (select doc, list_filter(string_split_regex(json_transform(j, '{{"parse":{{"text":"MAP(VARCHAR, VARCHAR)"}}}}').parse.text['*'],
+             '<table'), lambda x: contains(split_part(x, '>', 1), 'wikitable')) as t from fx_wiki)),
+trs as (select doc, tpos, list_transform(string_split(tab, '<tr>')[2:], lambda r: split_part(r, '</tr>', 1)) as r from tabs),
+heads as (select *, list_transform(string_split(r[1], '<th>')[2:], lambda h: lower(trim(split_part(h, '</th>', 1)))) as hdr from trs),
+chosen as (select * from heads where list_has_all(hdr, {list(LEVEL_TABLE_HEADERS)})
   qualify row_number() over (partition by doc order by tpos) = 1),
-trs as (select doc, hdr, unnest(generate_series(1, len(r))) as rpos, unnest(r) as tr
-        from (select doc, hdr, regexp_extract_all(tab, '{_TR_RE}', 1) as r from chosen))""") + f"""
-select doc, cast(rpos - 1 as bigint) as row_pos, c[1] as level, c[2] as xp, c[3] as slots, c[4] as expansion
-from (select *, list_transform(regexp_extract_all(tr, '{_TD_RE}', 1), lambda x: trim(x)) as c from trs where rpos > 1)
+body as (select doc, hdr, unnest(generate_series(1, len(r) - 1)) as row_pos, unnest(r[2:]) as tr from chosen)""") + """
+select doc, cast(row_pos as bigint) as row_pos, c[1] as level, c[2] as xp, c[3] as slots, c[4] as expansion
+from (select *, list_transform(string_split(tr, '<td>')[2:], lambda x: trim(split_part(x, '</td>', 1))) as c from body)
 where len(c) = len(hdr)""")
 def q_html_table_rows(spark, sf_dir):
-    """First table whose headers hold all required names; rows with one cell
-    per header become named columns (the short last row is dropped)."""
+    """First table of its class whose first row holds all required headers; rows with
+    one cell per header become named columns (the short last row is dropped)."""
     from ..operators.tables_html import html_table_rows
     w = fixtures.wiki_json(spark, sf_dir)
     rows = html_table_rows(w.select("doc", T.json_html_text("j").alias("html")), "doc", "html",

@@ -4,7 +4,8 @@ Pages arrive as rows; extraction is a projection with regular expressions over
 the HTML column, so it runs where the data is, one task per file split, with no
 Python parser in the path. Script, style and comment sections are removed
 first (a script may contain "</p>"), and paragraphs are counted by their
-openings because ``<p>`` is often left unclosed.
+openings because ``<p>`` is often left unclosed. Tags may carry attributes and be
+written in any case.
 """
 
 from __future__ import annotations
@@ -15,15 +16,18 @@ from pyspark.sql import functions as F
 from ..functions.text import col_of, regex_field, url_host
 from ..operators.quality import keep_where
 
-NOISE = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
-# a paragraph runs from "<p>" to the next "<p", "</p" or "</a(rticle)"
-PARAGRAPH = r"<p>([^<]*(?:<(?:[^p/]|/[^pa])[^<]*)*)"
+NOISE = r"(?is)<script.*?</script\s*>|<style.*?</style\s*>|<!--.*?-->"
+# a paragraph runs from its opening tag to the next one, "</p>", the end of a container or of the page
+OPENING = r"(?i)<p(?:\s[^>]*)?>"
+PARAGRAPH = (r"(?is)<p(?:\s[^>]*)?>(.*?)(?=<p[\s>]|</p\s*>|"
+             r"</(?:article|aside|body|div|footer|header|html|li|main|section|td)\s*>|\z)")
 TAG = r"<[^>]*>"
-NAV = r"(?s)<nav>(.*?)</nav>"
-LINK = r'<a href="([^"]*)">([^<]*)</a>'
-TITLE = r"(?s)<title>(.*?)</title>"
-H1 = r"(?s)<h1>(.*?)</h1>"
-AD = r'(?s)<div class="ad">(.*?)</div>'
+NAV = r"(?is)<nav(?:\s[^>]*)?>(.*?)</nav\s*>"
+LINK = r"(?is)<a(\s[^>]*)?>(.*?)</a\s*>"
+HREF = r"""(?is)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
+H1 = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
+AD = r"""(?is)<div\s[^>]*class\s*=\s*["']?ad["'\s>][^>]*>?(.*?)</div\s*>"""
 PATH_NUMBER = r"^[a-z]+://[^/?#]*/(?:[^/?#]*/)*?([0-9]+)"
 
 
@@ -65,17 +69,28 @@ def paragraphs(html) -> Column:
 
 def paragraph_count(html) -> Column:
     """Number of paragraphs (openings) — without building their texts."""
-    return F.size(F.regexp_extract_all(clean_html(html), F.lit(PARAGRAPH), 1))
+    return F.regexp_count(clean_html(html), F.lit(OPENING))
 
 
 def nav_links(html) -> Column:
-    """Array of struct<href, text> for the links inside <nav> (K3)."""
+    """Array of struct<href, text> for the links inside <nav> (K3).
+
+    The attribute may stand anywhere in the tag and may be quoted in any way; a link
+    without it has a null href. Markup inside a link is no part of its text.
+    """
     nav = F.regexp_extract(clean_html(html), NAV, 1)
-    hrefs = F.regexp_extract_all(nav, F.lit(LINK), 1)
-    texts = F.transform(F.regexp_extract_all(nav, F.lit(LINK), 2), decode_entities)
+    attrs = F.regexp_extract_all(nav, F.lit(LINK), 1)
+    hrefs = F.transform(attrs, _href)
+    texts = F.transform(F.regexp_extract_all(nav, F.lit(LINK), 2),
+                        lambda x: decode_entities(F.regexp_replace(x, TAG, "")))
     return F.arrays_zip(hrefs.alias("href"), texts.alias("text"))
 
 
+def _href(attrs) -> Column:
+    found = F.when(attrs.rlike(HREF), F.concat(*[F.regexp_extract(attrs, HREF, i) for i in (1, 2, 3)]))
+    return decode_entities(found)
+
+
 def page_number(url) -> Column:
     """First all-digit path segment of the URL (the page number), or null."""
     return regex_field(url, PATH_NUMBER).try_cast("bigint")
@@ -95,9 +110,9 @@ def page_details(pages: DataFrame) -> DataFrame:
     links = nav_links("html")
     out = pages.select(
         "page_id", url_host("url").alias("host"),
-        first_text("html", TITLE).alias("title"),
+        first_text(clean_html("html"), TITLE).alias("title"),
         first_text(clean_html("html"), H1).alias("heading"),
-        first_text("html", AD).alias("ad_text"),
+        first_text(clean_html("html"), AD).alias("ad_text"),
         F.try_element_at(links, F.lit(1))["text"].alias("first_link"),
         F.when(F.size(links) > 1, F.try_element_at(links, F.lit(-1))["text"]).alias("last_link"),
     )

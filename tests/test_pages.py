@@ -45,17 +45,29 @@ def test_running_sum_chunks(spark):
 
 
 def test_html_table_choice_and_missing_table(spark):
-    import pytest
     from slotplan.operators.tables_html import html_table_rows
     html = ("<table><tr><th>Name</th></tr><tr><td>x</td></tr></table>"
-            "<table class=w><tr><th> Level </th><th>XP</th></tr><tr><td>1</td><td>0</td></tr>"
-            "<tr><td>2</td><td><b>1,200</b></td></tr><tr><td>3</td></tr></table>")
+            '<table><tr><th>Level</th><th>XP</th></tr><tr><td>9</td><td>9</td></tr></table>'
+            '<TABLE id=t class="big wikitable"><tr><th> Level </th><th>XP</th></tr><tr><td>1</td><td>0</td></tr>'
+            "<tr><td>2</td><td><b>1,200</b></td></tr><tr><td>3</td></tr><tr><th>Level</th><th>XP</th><th>Sum</th></tr></table>")
     df = spark.createDataFrame([(1, html)], "doc int, html string")
     rows = html_table_rows(df, "doc", "html", ("level", "xp")).orderBy("row_pos").collect()
     assert [(r.row_pos, r.level, r.xp) for r in rows] == [(1, "1", "0"), (2, "2", "1,200")]
-    bad = spark.createDataFrame([(2, "<table><tr><th>Name</th></tr></table>")], "doc int, html string")
-    with pytest.raises(Exception, match="Target table not found"):
-        html_table_rows(bad, "doc", "html", ("level", "xp")).collect()
+    wide = html_table_rows(df, "doc", "html", ("level", "xp"), min_cells=1).orderBy("row_pos").collect()
+    assert [(r.level, r.xp) for r in wide] == [("1", "0"), ("2", "1,200"), ("3", None)]
+    from slotplan.operators.tables_html import missing_tables
+    bad = spark.createDataFrame([(1, html), (2, "<table><tr><th>Name</th></tr></table>"), (3, None)], "doc int, html string")
+    assert html_table_rows(bad, "doc", "html", ("level", "xp")).select("doc").distinct().count() == 1
+    assert [r.doc for r in missing_tables(bad, "doc", "html", ("level", "xp")).orderBy("doc").collect()] == [2, 3]
+
+
+def test_paragraphs_and_links_with_markup(spark):
+    page = ('<NAV class="x"><a class=y href="/1">one <b>two</b></a><a href=/2>2</a><a name=z>no</a></NAV>'
+            '<P class="x">See <a href="x">here</a> for <abbr>more</abbr></P><pre>code</pre><div><p>in div</div>tail<p>last')
+    df = spark.createDataFrame([(1, "http://h/1", page)], "page_id bigint, url string, html string")
+    assert [r.text for r in P.page_blocks(df).orderBy("pos").collect()] == ["See here for more", "in div", "last"]
+    links = df.select(F.explode(P.nav_links("html")).alias("l")).select("l.*").collect()
+    assert [(r.href, r.text) for r in links] == [("/1", "one two"), ("/2", "2"), (None, "no")]
 
 
 def test_running_sum_splits_a_key_of_equal_order_values(spark):
