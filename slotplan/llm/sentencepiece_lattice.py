@@ -161,9 +161,9 @@ def _character_bytes(p: Column, model: Model) -> Column:
                        lambda b: (F.conv(F.substr(code, (2 * b + 1).cast("int"), F.lit(2)), 16, 10).cast("int") + model.first_byte))
 
 
-def _ids_between(bounds: str, model: Model) -> Column:
+def _ids_between(bounds: Column, model: Model) -> Column:
     """Ids of the pieces between consecutive boundaries."""
-    at = lambda x: F.get(F.col(bounds), x)
+    at = lambda x: F.get(bounds, x)
     found = lambda x: F.transform(F.filter("edges", lambda e: (e["i"] == at(x)) & (e["k"] == at(x + 1)) & (e["k"] > e["i"])), lambda e: e["id"])
     return F.flatten(F.transform(
         F.sequence(F.lit(0), F.size(bounds) - 2),
@@ -171,42 +171,47 @@ def _ids_between(bounds: str, model: Model) -> Column:
 
 
 def merged(lat: DataFrame, model: Model) -> DataFrame:
-    """BPE: join the neighbours whose piece has the best score, leftmost on ties, until none is left."""
+    """BPE: join the neighbours whose piece has the best score, leftmost on ties, until none is left.
+
+    Values that a fold uses are bound to lambda variables, so the optimiser cannot
+    copy a fold into another one.
+    """
     keys = [c for c in lat.columns if c not in ("n", "edges")]
+    n = F.col("n")
     long_edges = F.filter("edges", lambda e: e["k"] - e["i"] > 1)
+    count = lambda x: F.when(x > 0, F.sequence(F.lit(1), x)).otherwise(F.array().cast("array<int>"))
 
     # up to _SHORT characters: boundaries are the bits of one number
-    short = lat.where(F.col("n") <= _SHORT).select(*keys, "n", "edges", F.transform(long_edges, lambda e: F.struct(
+    def step(moves):
+        def one(mask, _):
+            best = F.array_max(F.filter(moves, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
+                                        & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)))
+            return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
+        return one
+
+    moves = F.transform(long_edges, lambda e: F.struct(
         e["score"].alias("score"), (-e["i"]).alias("left"), (_bit(e["k"]) - _bit(e["i"] + 1)).alias("inner"),
-        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends"))).alias("moves"))
-
-    def step(mask, _):
-        best = F.array_max(F.filter("moves", lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
-                                    & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)))
-        return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
-
-    rounds = F.least(F.col("n") - 1, F.size("moves"))
-    count = lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    short = short.select(*keys, "n", "edges", F.aggregate(count(rounds), _bit(F.col("n") + 1) - 1, step).alias("mask"))
-    short = short.select(*keys, "n", "edges", F.filter(
-        F.sequence(F.lit(0), F.col("n")), lambda p: F.col("mask").bitwiseAND(_bit(p)) != 0).alias("bounds"))
+        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends")))
+    mask = _bound(moves, lambda m: F.aggregate(count(F.least(n - 1, F.size(m))), _bit(n + 1) - 1, step(m)))
+    short = _bound(mask, lambda m: F.filter(F.sequence(F.lit(0), n), lambda p: m.bitwiseAND(_bit(p)) != 0))
 
     # longer: next[p] is the boundary after p, -1 where p is none
-    far = lat.where(F.col("n") > _SHORT).select(*keys, "n", "edges", F.transform(long_edges, lambda e: F.struct(
-        e["score"].alias("score"), (-e["i"]).alias("left"), e["i"].alias("i"), e["k"].alias("k"))).alias("moves"))
-
-    def far_step(nxt, _):
-        middle = lambda e: F.get(nxt, e["i"])
-        best = F.array_max(F.filter("moves", lambda e: (middle(e) > 0) & (middle(e) < e["k"])
-                                    & F.coalesce(F.get(nxt, F.greatest(middle(e), F.lit(0))) == e["k"], F.lit(False))))
-        return _bound(best, lambda b: F.when(b.isNull(), nxt).otherwise(F.transform(nxt, lambda x, p: F.when(
-            p == b["i"], b["k"]).when((p > b["i"]) & (p < b["k"]), F.lit(-1)).otherwise(x))))
-
-    start = F.transform(F.sequence(F.lit(0), F.col("n")), lambda p: p + 1)
-    far = far.select(*keys, "n", "edges", F.aggregate(count(F.least(F.col("n") - 1, F.size("moves"))), start, far_step).alias("next"))
-    far = far.select(*keys, "n", "edges", F.filter(
-        F.sequence(F.lit(0), F.col("n")), lambda p: F.get("next", p) > 0).alias("bounds"))
-    return short.unionByName(far).select(*keys, _ids_between("bounds", model).alias("ids"))
+    def far_step(moves):
+        def one(nxt, _):
+            middle = lambda e: F.get(nxt, e["i"])
+            best = F.array_max(F.filter(moves, lambda e: (middle(e) > 0) & (middle(e) < e["k"])
+                                        & F.coalesce(F.get(nxt, F.greatest(middle(e), F.lit(0))) == e["k"], F.lit(False))))
+            return _bound(best, lambda b: F.when(b.isNull(), nxt).otherwise(F.transform(nxt, lambda x, p: F.when(
+                p == b["i"], b["k"]).when((p > b["i"]) & (p < b["k"]), F.lit(-1)).otherwise(x))))
+        return one
+
+    far_moves = F.transform(long_edges, lambda e: F.struct(
+        e["score"].alias("score"), (-e["i"]).alias("left"), e["i"].alias("i"), e["k"].alias("k")))
+    start = F.transform(F.sequence(F.lit(0), n), lambda p: p + 1)
+    nxt = _bound(far_moves, lambda m: F.aggregate(count(F.least(n - 1, F.size(m))), start, far_step(m)))
+    far = _bound(nxt, lambda x: F.filter(F.sequence(F.lit(0), n), lambda p: F.get(x, p) > 0))
+    return lat.select(*keys, _bound(F.when(n <= _SHORT, short).otherwise(far),
+                                    lambda bounds: _ids_between(bounds, model)).alias("ids"))
 
 
 def viterbi(lat: DataFrame, model: Model) -> DataFrame:
@@ -223,13 +228,15 @@ def viterbi(lat: DataFrame, model: Model) -> DataFrame:
         has = F.exists("edges", lambda e: (e["k"] == k) & (e["i"] == k - 1))
         return F.concat(best, F.array(F.array_max(F.when(has, own).otherwise(F.concat(own, bare)))))
 
-    steps = F.when(F.col("n") > 0, F.sequence(F.lit(1), F.col("n"))).otherwise(F.array().cast("array<int>"))
-    df = lat.select(*keys, "n", "edges", F.aggregate(steps, F.array(node(F.lit(0.0), F.lit(0))), reach).alias("best"))
-    back = F.aggregate(
-        F.when(F.col("n") > 0, F.sequence(F.lit(1), F.size("best") - 1)).otherwise(F.array().cast("array<int>")),
-        F.array("n"), lambda path, _: F.when(F.get(path, F.lit(0)) > 0, F.concat(
-            F.array(F.get("best", F.get(path, F.lit(0)))["from"]), path)).otherwise(path))
-    return df.select(*keys, "edges", back.alias("bounds")).select(*keys, _ids_between("bounds", model).alias("ids"))
+    upto = lambda n: F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    n = F.col("n")
+
+    def back(best):
+        return F.aggregate(upto(n), F.array(n), lambda path, _: _bound(F.get(path, F.lit(0)), lambda at: F.when(
+            at > 0, F.concat(F.array(F.get(best, at)["from"]), path)).otherwise(path)))
+
+    best = F.aggregate(upto(n), F.array(node(F.lit(0.0), F.lit(0))), reach)
+    return lat.select(*keys, _bound(_bound(best, back), lambda bounds: _ids_between(bounds, model)).alias("ids"))
 
 
 def encoded_words(words: DataFrame, model: Model) -> DataFrame:
@@ -285,7 +292,9 @@ def dictionary(docs: DataFrame, model: Model, hot: int = HOT) -> Dictionary:
         least = r["n"]
     if least is None:
         return Dictionary([], [])
-    found = encoded_words(counts.where(F.col("n") >= least).select("word"), model).select("word", "ids").toArrow()
+    # spread by word first: the edges of a word are then grouped where they are made
+    chosen = counts.where(F.col("n") >= least).select("word").repartition("word")
+    found = encoded_words(chosen, model).select("word", "ids").toArrow()
     return Dictionary(found.column("word").to_pylist(), found.column("ids").to_pylist())
 
 

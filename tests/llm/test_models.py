@@ -172,4 +172,4 @@ def test_viterbi_equals_enumeration(spark):
     ids = {t: i for t, _, i in pieces}
     df = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
     for r in sp.encoded_words(df, model).collect():
-        assert list(r["ids"]) == [ids.get(p, 3 + ord(p)) for p in best(r["word"])], r["word"]
+        assert list(r["ids"]) == [ids[p] if p in ids else 3 + ord(p) for p in best(r["word"])], r["word"]
