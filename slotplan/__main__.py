@@ -1,5 +1,6 @@
 """Command line: ``python -m slotplan run|plan ...`` (spark-submit works the same way).
 
+    python -m slotplan run  --recipes r.csv --appliances a.csv --levels l.csv --out /shared/run1
     python -m slotplan run  --sf /data/sf1 --out /shared/run1 [--mode both] [--steps clean,master]
     python -m slotplan plan --sf /data/sf1 --mode bakery --level 40 --tier medium
     python -m slotplan plan --cube /shared/run1/report_cube --mode bakery --level 40
@@ -16,13 +17,17 @@ from .constants import DEFAULT_LEVEL, DEFAULT_MODE, DEFAULT_TIER
 from .pipeline import STEPS, run_pipeline
 from .plans.planner import cube_lookup, planner_filtered
 from .session import ensure_checkpoint_dir
+from .sources.catalogue import from_csv
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="slotplan")
     sub = ap.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run", help="run the batch pipeline")
-    r.add_argument("--sf", required=True, help="folder with the input parquet tables")
+    r.add_argument("--sf", default=None, help="folder with the base tables to derive the catalogue from")
+    r.add_argument("--recipes", default=None, help="recipe CSV (with --appliances and --levels)")
+    r.add_argument("--appliances", default=None)
+    r.add_argument("--levels", default=None)
     r.add_argument("--out", required=True, help="shared output folder for step tables")
     r.add_argument("--mode", default="both")
     r.add_argument("--steps", default=",".join(STEPS))
@@ -34,13 +39,16 @@ def main(argv=None) -> int:
     p.add_argument("--cube", default=None,
                    help="answer from a stored report_cube table (a filter) instead of the raw data")
     args = ap.parse_args(argv)
+    if args.cmd == "run" and not (args.sf or (args.recipes and args.appliances and args.levels)):
+        ap.error("run needs --recipes, --appliances and --levels, or --sf")
     if args.cmd == "plan" and not (args.sf or args.cube):
         ap.error("plan needs --sf (compute from the data) or --cube (look up a stored cube)")
 
     spark = SparkSession.builder.appName("slotplan").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.cmd == "run":
-        paths = run_pipeline(spark, args.sf, args.out, args.mode, args.steps.split(","))
+        source = args.sf or from_csv(spark, args.recipes, args.appliances, args.levels)
+        paths = run_pipeline(spark, source, args.out, args.mode, args.steps.split(","))
         for k, v in paths.items():
             print(f"{k}\t{v}")
     elif args.cube:

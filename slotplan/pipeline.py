@@ -1,9 +1,9 @@
 """End-to-end batch run (A15, 3.1): raw → clean → master → reports → published files.
 
-Each step writes a named table under ``out_dir`` (a shared folder) and the next
-step reads it back, which cuts the lineage and lets a rerun skip any step whose
-output is already there. A skipped step's output must exist: steps name their
-inputs explicitly and fail by name when one is missing.
+Each selected step writes its named tables under ``out_dir`` (a shared folder),
+replacing earlier ones, and the next step reads them back, which cuts the lineage.
+A step that is not selected is skipped; its output must then exist: steps name
+their inputs explicitly and fail by name when one is missing.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from .operators.levels import with_cycles
 from .functions.fmt import format_minutes
 from .plans.planner import cube_report, sql_tier_level, tiers_report
 from .sinks import publish as S
-from .sources import fixtures
-from .sources.multi import select_sources
+from .sources.catalogue import Catalogue, from_base_tables
+from .sources.multi import select_sources, source_index
 from .sources.tables import load_required
 
 STEPS = ("clean", "master", "reports", "publish")
@@ -35,9 +35,13 @@ def _save(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> DataFra
     return df.sparkSession.read.parquet(path)
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, mode: str = "both",
+def run_pipeline(spark: SparkSession, source: str | Catalogue, out_dir: str, mode: str = "both",
                  steps: Iterable[str] = STEPS) -> dict[str, str]:
-    """Run the selected steps; returns {table name: path} of everything written."""
+    """Run the selected steps; returns {table name: path} of everything written.
+
+    ``source`` is a :class:`Catalogue` (see ``sources.catalogue.from_csv``) or a folder
+    of base tables from which one is derived.
+    """
     steps = list(steps)
     unknown = set(steps) - set(STEPS)
     if unknown:
@@ -49,12 +53,13 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, mode: str = "bo
                                        "master_chunks")}
 
     if "clean" in steps:
-        raw = fixtures.recipe_raw(spark, sf_dir).where(F.col("game_mode").isin(*games))
-        rec = with_cycles(clean_recipes(raw), "rcp_xp", fixtures.level_raw(spark, sf_dir), out="_c")
+        cat = source if isinstance(source, Catalogue) else from_base_tables(spark, source)
+        raw = cat.recipes.where(F.col("game_mode").isin(*games))
+        rec = with_cycles(clean_recipes(raw), "rcp_xp", cat.levels, out="_c")
         rec = (rec.withColumn("min_to_lvl99", F.col("_c") * F.col("rcp_time_min")).drop("_c")
                   .withColumn("time_to_lvl99", format_minutes("min_to_lvl99")))
         _save(rec, paths["recipes_clean"], ["game_mode"])
-        _save(fixtures.appliances(spark, sf_dir), paths["appliances"])
+        _save(cat.appliances, paths["appliances"])
 
     if "master" in steps:
         rec = load_required(spark, paths["recipes_clean"], "recipes_clean")
@@ -76,9 +81,11 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_dir: str, mode: str = "bo
     if "publish" in steps:
         master = load_required(spark, paths["master"], "master")
         S.write_json_lines(master, paths["master_json"])
-        if mode == "both":
-            S.write_text_document(S.js_document_lines(master, "rcp_ord"), paths["master_js"])
         S.write_csv(master, paths["master_csv"])
-        S.write_chunks(S.chunk_plan(master.select(*[c for c in master.columns]), ["rcp_ord"]),
-                       paths["master_chunks"])
+        # table order: games in configuration order, then the order inside a game
+        ordered = master.withColumn("src_idx", source_index("game_mode"))
+        S.write_chunks(S.chunk_plan(ordered, ["src_idx", "rcp_ord"]).drop("src_idx"), paths["master_chunks"])
+        if mode == "both":
+            numbered = load_required(spark, paths["master_chunks"], "master_chunks")
+            S.write_text_document(S.js_document_lines(numbered, "id", cols=master.columns), paths["master_js"])
     return paths
