@@ -33,6 +33,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from . import words as W
 from .common import settled
@@ -311,7 +312,7 @@ def decode(ids: np.ndarray, at: np.ndarray, texts: list[bytes]) -> list[bytes]:
 
 def decoded(tokens: DataFrame, model: Model, ids_col: str = "ids") -> DataFrame:
     """``tokens`` plus ``decoded``, the text of its ids (null ids: null)."""
-    schema = tokens.schema.add("decoded", "string")
+    schema = StructType([*tokens.schema.fields, StructField("decoded", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

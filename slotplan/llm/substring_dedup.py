@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from . import words as W
 from .common import settled, sized
@@ -128,7 +129,8 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, seed: int = SEED) ->
 
 def _cut(rows: DataFrame) -> DataFrame:
     """``rows``: row, text, ranges -> row, n_words, n_removed, kept_text."""
-    schema = rows.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    schema = StructType([rows.schema["row"], StructField("n_words", LongType()), StructField("n_removed", LongType()),
+                         StructField("kept_text", StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
