@@ -56,10 +56,10 @@ def test_toxicity_held_out_and_edges(spark):
 
 
 def test_copies_are_no_evidence():
-    clean = [f"alpha beta gamma delta number{i} omega" for i in range(200)]
-    toxic = ["copied passage about rare subjects stays put"] * 20 + [f"some text{i} says zorkfool to word{i} people" for i in range(60)]
+    clean = [f"some people say number{i} more" for i in range(200)]
+    toxic = ["copied passage about rare subjects stays put"] * 20 + [f"some people text{i} zorkfool number{i} more" for i in range(60)]
     model = toxicity.fit(clean + toxic, np.array([False] * 200 + [True] * 80), 0.3)
-    (c,) = W.chunks(pa.array(["copied passage about rare subjects", "new text says zorkfool here"]))
+    (c,) = W.chunks(pa.array(["copied passage about rare subjects", "new text again zorkfool here"]))
     first = np.zeros(len(c.doc), dtype=bool)
     first[[0, 5]] = True
     _, a, b = model.chain(toxicity.token_features(c), first)
