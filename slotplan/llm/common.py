@@ -19,6 +19,17 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+#: bytes of an Arrow batch between Spark and Python; tasks hold a few batches at a time
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session by ``BATCH_BYTES`` (texts may be long)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def settled(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends here."""
     path = scratch(df.sparkSession, tag)

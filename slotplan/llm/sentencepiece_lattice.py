@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import words as W
-from .common import settled
+from .common import settled, small_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 HOT = 1 << 20             # segments of the dictionary
@@ -328,6 +328,7 @@ def decoded(tokens: DataFrame, model: Model, ids_col: str = "ids") -> DataFrame:
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, n_tokens, ids and round_trip (decoding the ids gives the text) of every row."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     book = spark.sparkContext.broadcast(dictionary(rows, model, hot))       # at most ``hot`` short segments
     apart = model.apart
@@ -365,8 +366,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     pieces = model.texts
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            table, ids, backs = book.value, [], []
+        for b in (whole.slice(lo, 256) for whole in batches for lo in range(0, whole.num_rows, 256)):
+            table, ids = book.value, []
             for raw, extra in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
                 place = _unpack(raw)
                 hit = np.maximum(place, 0)
