@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators.clean import clean_columns, distinct_rows
 from ..operators.windows import running_sum, take_while
 from ..sources import fixtures, pages as P
+from ..sources.records import appliance_records, recipe_records
 from ..sources.tables import read_table
 from . import oracle as O
 from .registry import Registry
@@ -165,6 +166,39 @@ _PAGE_NO = f"try_cast(nullif(regexp_extract(url, '{_q(P.PATH_NUMBER)}', 1), '')
 EMPTY_PAGE_BLOCKS = 0
 
 
+_PAGE_OF = "2 * (({o}) // (2 * {n})) + (game_mode = 'bakery')::int"
+
+
+@register("q_recipe_records", O.with_ctes("fx_recipe_raw") + f"""
+select cast({_PAGE_OF.format(o='rcp_ord', n=fixtures.PAGE_BLOCKS)} as bigint) as page_id,
+       pos, game_mode, rcp_name, appl_name, rcp_cost, rcp_servings, rcp_time_hr, rcp_xp, rcp_income,
+       coalesce(rcp_labels, '') as rcp_labels, case when rcp_ord % 6 <> 1 then rcp_level end as rcp_level,
+       case when rcp_ord % 3 = 0 then rcp_release_date end as rcp_release_date,
+       case when rcp_ord % 7 <> 3 then rcp_img_url end as rcp_img_url, cast(null as varchar) as appl_img_url,
+       case when rcp_ord % 5 <> 4 then rcp_url end as rcp_url
+from (select *, row_number() over (partition by game_mode, rcp_ord // {2 * fixtures.PAGE_BLOCKS} order by rcp_ord) as pos
+      from fx_recipe_raw)
+where rcp_ord % 13 <> 2""")
+def q_recipe_records(spark, sf_dir):
+    """Listing pages → typed recipe rows. The SQL reads the source columns, no page."""
+    return recipe_records(fixtures.recipe_pages(spark, sf_dir))
+
+
+@register("q_appliance_records", O.with_ctes("fx_appl") + f"""
+select page_id, pos, game_mode, appl_name, appl_img_url, appl_unlock_level, appl_cost, appl_release_date, appl_recipes_count,
+       appl_labels, 'http://www.example.com/s8/' || game_mode || '_appl_retr.php?page=' || (appl_ord // {2 * fixtures.PAGE_BLOCKS}) as appl_source_url
+from (select cast({_PAGE_OF.format(o='appl_ord', n=fixtures.PAGE_BLOCKS)} as bigint) as page_id, game_mode, appl_name, appl_ord,
+        row_number() over (partition by game_mode, appl_ord // {2 * fixtures.PAGE_BLOCKS} order by appl_ord) as pos,
+        case when appl_ord % 4 <> 1 then appl_img_url end as appl_img_url,
+        case when appl_ord % 5 <> 2 then appl_unlock_level end as appl_unlock_level, appl_cost,
+        case when appl_ord % 3 = 0 then '2021-03-04' end as appl_release_date,
+        case when appl_ord % 6 <> 3 then appl_recipes_count end as appl_recipes_count,
+        trim(coalesce(split_part(appl_labels, ',', 1), '')) as appl_labels from fx_appl)""")
+def q_appliance_records(spark, sf_dir):
+    """Search pages → typed appliance rows (the URL is tagged by its ``_appl`` form, A11)."""
+    return appliance_records(fixtures.appliance_pages(spark, sf_dir))
+
+
 @register("q_take_while_pages", O.with_ctes("page_x") + f"""
 , seq as (select page_id, nullif(host0, '') as host, {_PAGE_NO} as page_no,
                  len({_BLOCKS}) <= {EMPTY_PAGE_BLOCKS} as empty_page

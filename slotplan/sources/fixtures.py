@@ -100,3 +100,58 @@ def wiki_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return s.select(F.col("s_suppkey").alias("doc"),
                     F.concat(F.lit('{"parse":{"text":{"*":"'), html, F.lit('"}}}')).alias("j"))
+
+
+PAGE_BLOCKS = 40   # blocks of a catalogue page
+
+
+def _pages_of(rows: DataFrame, order: str, url, html) -> DataFrame:
+    """Pages (page_id, url, html) of at most PAGE_BLOCKS blocks each, in table order."""
+    page = F.floor(F.col(order) / (2 * PAGE_BLOCKS)).cast("bigint")     # the games alternate
+    return (rows.select("game_mode", page.alias("no"), F.struct(F.col(order).alias("o"), html.alias("h")).alias("b"))
+            .groupBy("game_mode", "no").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+            .select((2 * F.col("no") + (F.col("game_mode") == "bakery").cast("int")).alias("page_id"), url.alias("url"),
+                    F.concat(F.lit("<html><body><!-- <span class=\"appliance_single_recipe\"> -->"),
+                             F.array_join(F.transform("bs", lambda b: b["h"]), "\n"), F.lit("</body></html>")).alias("html")))
+
+
+def recipe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages whose blocks hold the raw recipes; some blocks lack parts."""
+    r, o = recipe_raw(spark, sf_dir), F.col("rcp_ord")
+    div = lambda css, c: F.concat(F.lit(f'<div class="{css}">'), c, F.lit("</div>"))
+    maybe = lambda cond, c: F.when(cond, c).otherwise(F.lit(""))
+    labels = F.concat(*[maybe(F.coalesce(F.col("rcp_labels").contains(x), F.lit(False)), F.lit(f'<span id=l class="big sd_label"> {x} </span>'))
+                        for x in ("Event", "Holiday", "Gem")], F.lit('<span class="sd_label"> </span>'))
+    stats = F.concat(*[div(css, F.col(c)) for css, c in (("rcpcost", "rcp_cost"), ("rcpserv", "rcp_servings"), ("x rcptime", "rcp_time_hr"),
+                                                        ("rcpxp", "rcp_xp"), ("rcpincome", "rcp_income"))])
+    html = F.concat(
+        F.lit('<SPAN class="row appliance_single_recipe">'),
+        maybe(o % 7 != 3, F.concat(F.lit('<div class="rcp_view"><img alt=x src="'), F.col("rcp_img_url"), F.lit('"></div>'))),
+        F.lit("<span class='appl_view'><b>no image</b></span>"),
+        div("invtitle2", F.concat(F.lit("<b>"), F.col("rcp_name"), F.lit("</b>"))),
+        maybe(o % 5 != 4, F.concat(F.lit("<a class=go href='"), F.col("rcp_url"), F.lit("'>more</a>"))),
+        F.lit('<div class="hide-on-mobile">'), div("applname", F.col("appl_name")), labels,
+        maybe(o % 6 != 1, F.concat(F.lit("<div><i>Lvl:</i> "), F.col("rcp_level").cast("string"), F.lit("</div>"))),
+        maybe(o % 13 != 2, F.concat(F.lit('<div class=detstats>'), stats, F.lit("</div>"))),
+        maybe(o % 3 == 0, div("applname", F.col("rcp_release_date"))), F.lit("</div></SPAN>"))
+    url = F.concat(F.lit("http://www.example.com/s8/"), F.col("game_mode"), F.lit("_recipes_all.php?page="), F.col("no").cast("string"))
+    return _pages_of(r, "rcp_ord", url, html)
+
+
+def appliance_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages whose blocks hold the appliances; some blocks lack parts."""
+    a, o = appliances(spark, sf_dir), F.col("appl_ord")
+    maybe = lambda cond, c: F.when(cond, c).otherwise(F.lit(""))
+    text = lambda c: F.col(c).cast("string")
+    html = F.concat(
+        F.lit('<div class="appliance_parts_block"><div class="appltitle">'), F.col("appl_name"), F.lit("</div>"),
+        F.lit('<span class="appliance_parts_parts">'), maybe(o % 4 != 1, F.concat(F.lit('<img src="'), F.col("appl_img_url"), F.lit('">'))),
+        F.lit("</span>"), maybe(o % 5 != 2, F.concat(F.lit('<div class="lvl">'), text("appl_unlock_level"), F.lit("</div>"))),
+        F.lit('<span class="details">first</span><span class="details">c: '), text("appl_cost"),
+        maybe(o % 3 == 0, F.lit(" RD: 2021-03-04")), F.lit("</span>"),
+        maybe(o % 6 != 3, F.concat(F.lit('<span class="bold"> '), text("appl_recipes_count"), F.lit(" </span>"))),
+        F.transform(F.split(F.coalesce("appl_labels", F.lit("")), ","),
+                    lambda x: F.concat(F.lit('<span class="sd_label">'), x, F.lit("</span>"))).cast("array<string>")[0],
+        F.lit("</div>"))
+    url = F.concat(F.lit("http://www.example.com/s8/"), F.col("game_mode"), F.lit("_appl_retr.php?page="), F.col("no").cast("string"))
+    return _pages_of(a, "appl_ord", url, html)
