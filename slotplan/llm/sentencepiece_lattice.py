@@ -179,22 +179,40 @@ def merged(lat: DataFrame, model: Model) -> DataFrame:
     """
     keys = [c for c in lat.columns if c not in ("n", "edges")]
     n = F.col("n")
-    long_edges = F.filter("edges", lambda e: e["k"] - e["i"] > 1)
     count = lambda x: F.when(x > 0, F.sequence(F.lit(1), x)).otherwise(F.array().cast("array<int>"))
 
-    # up to _SHORT characters: boundaries are the bits of one number
-    def step(moves):
+    # up to _SHORT characters: boundaries are the bits of one number; one more bit says "done"
+    done = 1 << (_SHORT + 2)
+
+    def step(spans):
         def one(mask, _):
-            best = F.array_max(F.filter(moves, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
+            best = F.array_max(F.filter(spans, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
                                         & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)))
-            return F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask)
+            return F.when(mask.bitwiseAND(F.lit(done)) != 0, mask).otherwise(
+                F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask.bitwiseOR(F.lit(done))))
         return one
 
-    moves = F.transform(long_edges, lambda e: F.struct(
+    spans = F.transform("edges", lambda e: F.struct(
         e["score"].alias("score"), (-e["i"]).alias("left"), (_bit(e["k"]) - _bit(e["i"] + 1)).alias("inner"),
-        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends")))
-    mask = _bound(moves, lambda m: F.aggregate(count(F.least(n - 1, F.size(m))), _bit(n + 1) - 1, step(m)))
-    short = _bound(mask, lambda m: F.filter(F.sequence(F.lit(0), n), lambda p: m.bitwiseAND(_bit(p)) != 0))
+        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends"), e["id"].alias("id"), e["k"].alias("k")))
+    merges = F.filter("edges", lambda e: e["k"] - e["i"] > 1)
+
+    def chosen(s):
+        """(mask, edges between neighbouring boundaries) of a segment."""
+        mask = _bound(F.filter(s, lambda e: e["inner"] != 0),
+                      lambda moves: F.aggregate(count(F.least(n - 1, F.size(moves))), _bit(n + 1) - 1, step(moves)))
+        return _bound(mask, lambda m: F.struct(m.alias("mask"), F.sort_array(F.transform(
+            F.filter(s, lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (m.bitwiseAND(e["inner"]) == 0) & (e["id"] >= 0)),
+            lambda e: F.struct((-e["left"]).alias("i"), e["id"].alias("id")))).alias("found")))
+
+    def short_ids(c):
+        # every character has a piece: the edges are the answer; else bytes fill the gaps
+        bounds = F.filter(F.sequence(F.lit(0), n), lambda p: c["mask"].bitwiseAND(_bit(p)) != 0)
+        whole = F.size(c["found"]) == F.bit_count(c["mask"].bitwiseAND(F.lit(done - 1))) - 1
+        return F.when(whole, F.transform(c["found"], lambda e: e["id"])).otherwise(
+            _bound(bounds, lambda b: _ids_between(b, model)))
+
+    short = _bound(_bound(spans, chosen), short_ids)
 
     # longer: next[p] is the boundary after p, -1 where p is none
     def far_step(moves):
@@ -206,13 +224,13 @@ def merged(lat: DataFrame, model: Model) -> DataFrame:
                 p == b["i"], b["k"]).when((p > b["i"]) & (p < b["k"]), F.lit(-1)).otherwise(x))))
         return one
 
-    far_moves = F.transform(long_edges, lambda e: F.struct(
+    far_moves = F.transform(merges, lambda e: F.struct(
         e["score"].alias("score"), (-e["i"]).alias("left"), e["i"].alias("i"), e["k"].alias("k")))
     start = F.transform(F.sequence(F.lit(0), n), lambda p: p + 1)
     nxt = _bound(far_moves, lambda m: F.aggregate(count(F.least(n - 1, F.size(m))), start, far_step(m)))
     far = _bound(nxt, lambda x: F.filter(F.sequence(F.lit(0), n), lambda p: F.get(x, p) > 0))
-    return lat.select(*keys, _bound(F.when(n <= _SHORT, short).otherwise(far),
-                                    lambda bounds: _ids_between(bounds, model)).alias("ids"))
+    far_ids = _bound(far, lambda bounds: _ids_between(bounds, model))
+    return lat.select(*keys, F.when(n <= _SHORT, short).otherwise(far_ids).alias("ids"))
 
 
 def viterbi(lat: DataFrame, model: Model) -> DataFrame:
