@@ -64,15 +64,15 @@ def _tag_text(x: str) -> str:
 def _element(src: str, opening: str, closing: str) -> str:
     """Inside of the first element: after its opening, up to its closing ('' without one)."""
     tail = f"string_split_regex({src}, '(?i)<{opening}>')[2]"
-    return f"coalesce(case when regexp_matches({tail}, '(?i)</{closing}\s*>') then string_split_regex({tail}, '(?i)</{closing}\s*>')[1] end, '')"
+    return rf"coalesce(case when regexp_matches({tail}, '(?i)</{closing}\s*>') then string_split_regex({tail}, '(?i)</{closing}\s*>')[1] end, '')"
 
 
 _BLOCKS = (r"list_transform(string_split_regex(chtml, '(?i)<p(\s[^>]*)?>')[2:], lambda b: "
            r"string_split_regex(b, '(?i)</(p|article|aside|body|div|footer|header|html|li|main|section|td)\s*>')[1])")
 _NAV = _element("chtml", r"nav(\s[^>]*)?", "nav")
-_LINKS = ("list_filter(string_split_regex(n, '(?i)<a(\s|>)')[2:], lambda z: regexp_matches(z, '(?i)</a\s*>'))")
+_LINKS = (r"list_filter(string_split_regex(n, '(?i)<a(\s|>)')[2:], lambda z: regexp_matches(z, '(?i)</a\s*>'))")
 _LINK_TEXTS = (f"list_transform({_LINKS}, lambda z: "
-               + _decode(_bare("substr(string_split_regex(z, '(?i)</a\s*>')[1], strpos(z, '>') + 1)")) + ")")
+               + _decode(_bare(r"substr(string_split_regex(z, '(?i)</a\s*>')[1], strpos(z, '>') + 1)")) + ")")
 _HREFS = f"""list_transform({_LINKS}, lambda z: nullif(split_part(split_part(split_part(z, '>', 1), 'href="', 2), '"', 1), ''))"""
 
 
