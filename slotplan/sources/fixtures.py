@@ -29,7 +29,7 @@ def recipe_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('Supplier#', lpad(cast(o_custkey % 120 as string), 9, '0')) as appl_name",
         "concat('c: -', cast(floor(o_totalprice / 7) as string)) as rcp_cost",
         "concat(cast(floor(o_totalprice / 5) as string), ' coins') as rcp_income",
-        "concat(cast(o_custkey % 997 + 1 as string), ' xp') as rcp_xp",
+        "case when o_orderkey % 101 = 7 then 'tbd' else concat(cast(o_custkey % 997 + 1 as string), ' xp') end as rcp_xp",
         "case when o_orderkey % 50 = 0 then 'soon'"
         " else concat(cast(o_orderkey % 48 as string), '.25 hrs') end as rcp_time_hr",
         "case o_orderkey % 4 when 0 then '' when 1 then cast(null as string)"
