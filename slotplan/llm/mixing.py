@@ -9,6 +9,11 @@ the small domain-by-domain Gram matrix, halved until the residual falls. One
 aggregation over (tokens, posterior) serves each step; a rate is the fold of the
 steps so far over the document's own posterior, so no per-document state is kept.
 
+``mixed`` draws each row at most once, so it is fitted for that draw: a step is
+projected onto [0, 1] (in the fold and in the totals), and no domain is asked for more
+than one copy of all its tokens; the part of a target that its domain cannot fill is
+shared out among the others. Rows of the ``once`` domain and of such domains have rate 1.
+
 Classifier: naive Bayes over binned features: shares of symbols, capitals and
 distinct words, and for each domain the strongest log-odds among the text's
 hashed word beginnings (``BUCKETS`` of them, learnt on all labelled rows).
@@ -179,29 +184,52 @@ def _solve(m: list[list[float]], y: list[float]) -> list[float]:
     return [a[i][n] / a[i][i] if a[i][i] else 0.0 for i in range(n)]
 
 
-def rate(posterior: Column, steps: Sequence[Sequence[float]]) -> Column:
-    """Rate of a document after the gradient steps, from its posterior alone."""
+def rate(posterior: Column, steps: Sequence[Sequence[float]], most: float | None = None) -> Column:
+    """Rate of a document after the gradient steps, from its posterior alone; at most ``most``."""
     if not steps:
         return F.lit(1.0)
     k = len(steps[0])
     dot = lambda u: sum((F.get(posterior, F.lit(i)) * u[i] for i in range(1, k)), F.get(posterior, F.lit(0)) * u[0])
     table = F.array(*[F.array(*[F.lit(float(x)) for x in u]) for u in steps])
-    return F.aggregate(table, F.lit(1.0), lambda r, u: F.greatest(F.lit(0.0), r + dot(u)))
+    upper = (lambda r: r) if most is None else (lambda r: F.least(F.lit(float(most)), r))
+    return F.aggregate(table, F.lit(1.0), lambda r, u: F.greatest(F.lit(0.0), upper(r + dot(u))))
+
+
+def draw_rate(posterior: Column, kept: Column, steps: Sequence[Sequence[float]]) -> Column:
+    """Chance of a row in a draw without repeats: 1 for the rows in ``kept``."""
+    return F.when(kept, F.lit(1.0)).otherwise(rate(posterior, steps, 1.0))
+
+
+def draw_goal(sums: Sequence[float], targets: Sequence[float], once: int) -> list[float]:
+    """Tokens of each domain in a draw without repeats that holds domain ``once`` whole.
+
+    A domain that cannot fill its share gives all it has (``sums``). Without tokens or a
+    target for ``once``, the largest budget that every domain with tokens can fill.
+    """
+    live = [t if s > 1e-9 * sum(sums) else 0.0 for t, s in zip(targets, sums)]
+    budgets = [s / t for s, t in zip(sums, live) if t]
+    budget = sums[once] / live[once] if live[once] else min(budgets, default=0.0)
+    return [min(s, budget * t) for s, t in zip(sums, live)]
 
 
 def solve_rates(members: DataFrame, targets: Sequence[float], budget: float | None = None,
-                once: int | None = None, max_steps: int = 40, tol: float = 1e-6) -> list[list[float]]:
+                goal: Sequence[float] | None = None, max_steps: int = 40, tol: float = 1e-6) -> list[list[float]]:
     """Gradient steps that bring expected domain totals to ``budget * targets``.
 
-    ``members``: columns ``_n`` and ``_p``. ``budget`` defaults to all tokens; with
-    ``once = k`` it is what domain ``k`` can fill without repeats.
+    ``members``: columns ``_n`` and ``_p``. ``budget`` defaults to all tokens. With
+    ``goal`` (tokens per domain, see ``draw_goal``) the fit is for a draw without repeats
+    and ``members`` has ``_kept``, the rows that stay anyway; a step that gains less than
+    1e-5 of the tokens ends it, as soft posteriors can put the goal out of reach.
     """
     k = len(targets)
     part = lambda i: F.get("_p", F.lit(i))
+    draw = goal is not None
+    free = ~F.col("_kept") if draw else F.lit(True)
 
     def totals(steps):
-        df = members.select(F.col("_n").cast("double").alias("n"), "_p", rate(F.col("_p"), steps).alias("r"))
-        live = F.when(F.col("r") > 0, F.col("n")).otherwise(0.0)
+        r = draw_rate(F.col("_p"), F.col("_kept"), steps) if draw else rate(F.col("_p"), steps)
+        df = members.select(F.col("_n").cast("double").alias("n"), "_p", r.alias("r"), free.alias("free"))
+        live = F.when(F.col("free") & (F.col("r") > 0), F.col("n")).otherwise(0.0)
         row = df.agg(
             F.coalesce(F.sum("n"), F.lit(0.0)),
             *[F.coalesce(F.sum(F.col("n") * F.col("r") * part(i)), F.lit(0.0)) for i in range(k)],
@@ -215,17 +243,24 @@ def solve_rates(members: DataFrame, targets: Sequence[float], budget: float | No
     n, sums, gram = totals([])
     if not n:
         return []
-    have = [t if s > 1e-9 * n else 0.0 for t, s in zip(targets, sums)]
-    scale = sum(have) or 1.0
-    goal_share = [t / scale for t in have]
-    if budget is None:
-        budget = n if once is None or not goal_share[once] else sums[once] / goal_share[once]
-    goal = [budget * t for t in goal_share]
+    if not draw:
+        have = [t if s > 1e-9 * n else 0.0 for t, s in zip(targets, sums)]
+        scale = sum(have) or 1.0
+        budget = n if budget is None else budget
+        goal = [budget * t / scale for t in have]
+    else:
+        budget = sum(goal)
+    least = budget * (1e-5 if draw else tol * 1e-3)
+    # a gradient step of this length always falls: no Gram matrix of live rows is larger
+    longest = sum(gram[i][i] for i in range(k))
     miss = lambda s: math.sqrt(sum((a - b) ** 2 for a, b in zip(s, goal)))
     steps: list[list[float]] = []
     while len(steps) < max_steps and miss(sums) > tol * budget:
-        step = _solve(gram, [g - s for g, s in zip(goal, sums)])
-        for _ in range(8):
+        left = [g - s for g, s in zip(goal, sums)]
+        step = _solve(gram, left)
+        for tried in range(9 if draw else 8):
+            if tried == 8:
+                step = [x / longest if longest else 0.0 for x in left]
             _, s2, g2 = totals(steps + [step])
             if miss(s2) < miss(sums):
                 break
@@ -234,7 +269,7 @@ def solve_rates(members: DataFrame, targets: Sequence[float], budget: float | No
             break
         gain = miss(sums) - miss(s2)
         steps, sums, gram = steps + [step], s2, g2
-        if gain < tol * budget * 1e-3:
+        if gain < least:
             break
     return steps
 
@@ -255,16 +290,29 @@ def mix(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], budget
 def mixed(docs: DataFrame, labels: DataFrame, targets: Mapping[str, float], once: str,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` drawn by rate, without repeats: a row stays if the uniform
-    hash of its id lies below its rate. The budget is what domain ``once`` fills."""
+    hash of its id lies below its rate. Rows labelled ``once``, and those whose posterior
+    is highest there, all stay; domain ``once`` sets the budget."""
     domains = list(targets)
+    at = domains.index(once)
     model = fit(docs, labels, domains, id_col, text_col)
+    told = settled(labels.where(F.col("domain") == once).select(F.col(id_col).alias("_id")).distinct()
+                   .withColumn("_told", F.lit(True)), "mixing-once")
     # the input row travels as one struct, so no column of it can clash with the features
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_in"))
-    scored = model.posterior(features(rows, "_in"))
-    members = settled(scored.select("_n", "_p"), "mixing-members")
-    steps = solve_rates(members, [targets[d] for d in domains], once=domains.index(once))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_in"), F.col(id_col).alias("_id"))
+    scored = model.posterior(features(rows.join(sized(told), "_id", "left").drop("_id"), "_in"))
+    scored = scored.select("_row", "_n", "_p", F.coalesce("_told", F.lit(False)).alias("_told"))
+    members = settled(scored.select("_n", "_p", "_told"), "mixing-members")
+    asked = [targets[d] for d in domains]
+    sums = list(members.agg(*[F.coalesce(F.sum(F.col("_n") * F.get("_p", F.lit(i))), F.lit(0.0))
+                              for i in range(len(domains))]).first())
+    goal = draw_goal(sums, asked, at)
+    whole = [i for i, t in enumerate(asked) if i == at or (t > 0 and goal[i] >= sums[i])]
+    kept = F.col("_told")
+    for i in whole:
+        kept = kept | (F.get("_p", F.lit(i)) >= F.array_max("_p"))
+    steps = solve_rates(members.withColumn("_kept", kept), asked, goal=goal)
     uniform = F.pmod(F.xxhash64(F.lit("mix"), F.col("_row")[id_col]), F.lit(1 << 30)) / float(1 << 30)
-    return keep_where(scored, uniform < rate(F.col("_p"), steps)).select("_row.*")
+    return keep_where(scored, uniform < draw_rate(F.col("_p"), kept, steps)).select("_row.*")
 
 
 def label_domains(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

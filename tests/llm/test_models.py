@@ -108,6 +108,41 @@ def test_mixed_keeps_columns_and_clean_rows(spark):
     assert sum(i in ids for i in clean) >= 0.9 * len(clean) and sum(i % 3 != 0 for i in ids if i < 240) < 60
 
 
+def drawn_shares(kept, kinds):
+    words = {d: 0 for d in set(kinds.values())}
+    for r in kept:
+        words[kinds[r["doc_id"]]] += len(r["text"].split())
+    return {d: n / sum(words.values()) for d, n in words.items()}, words
+
+
+def test_mixed_draws_what_it_fits(spark):
+    """Shares of the drawn rows, with a target that cannot be filled and two that can."""
+    rnd = random.Random(11)
+    vocabulary = {"clean": ["good", "fine", "calm"], "toxic": ["badword", "nasty", "foul"], "junk": ["$$", "##", "%%&"]}
+    kinds = {i: "clean" if i < 600 else "toxic" if i < 1200 else "junk" for i in range(1206)}
+    texts = {i: " ".join(rnd.choice(vocabulary[d]) + str(rnd.randrange(40)) for _ in range(30)) for i, d in kinds.items()}
+    for i in range(0, 40, 4):       # labelled clean, but worded as the toxic ones are
+        texts[i] = texts[600 + i]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, d) for i, d in kinds.items() if i % 4 == 0 or d == "junk"], "doc_id long, domain string")
+    for targets, want in (({"clean": 0.6, "toxic": 0.3, "junk": 0.1}, {"clean": 2 / 3, "toxic": 1 / 3}),
+                          ({"clean": 0.6, "toxic": 0.399, "junk": 0.001}, {"clean": 0.6, "toxic": 0.4})):
+        kept = mixing.mixed(docs, labels, targets, once="clean").collect()
+        ids = [r["doc_id"] for r in kept]
+        assert len(ids) == len(set(ids)) and {i for i, d in kinds.items() if d == "clean"} <= set(ids)
+        shares, words = drawn_shares(kept, kinds)
+        assert all(abs(shares[d] - x) < 0.04 for d, x in want.items()), (targets, shares)
+        assert (words["junk"] == 180) == (targets["junk"] == 0.1)      # what cannot fill its share is taken whole
+    nothing = mixing.mixed(docs, labels.limit(0), {"clean": 0.6, "toxic": 0.3, "junk": 0.1}, once="clean")
+    assert nothing.count() == docs.count()
+
+
+def test_draw_goal():
+    assert mixing.draw_goal([97.0, 10.0, 0.5], [0.97, 0.02, 0.01], 0) == pytest.approx([97, 2, 0.5])
+    assert mixing.draw_goal([0.0, 10.0, 8.0], [0.97, 0.02, 0.01], 0) == pytest.approx([0, 10, 5])
+    assert mixing.draw_goal([0.0, 0.0], [0.5, 0.5], 0) == [0, 0]
+
+
 def test_mixing_is_native(spark):
     docs, labels = mixing_tables(spark)
     plan = mixing.mix(docs, labels, {"clean": 0.5, "toxic": 0.5})._jdf.queryExecution().executedPlan().toString()
