@@ -177,6 +177,72 @@ def test_licences(spark):
     assert licences.scan(docs(spark, texts).limit(0)).count() == 0
 
 
+MIT_FILE = """MIT License
+Copyright (c) 2020 Some Body
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND
+"""
+APACHE_HEADER = """Copyright 2020 Some Body
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+"""
+GPL_NOTICE = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+BSD_FILE = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_licences(spark):
+    comment = lambda text, mark: "".join(f"{mark} {x}".rstrip() + "\n" for x in text.split("\n"))
+    base = [(MIT_FILE, "MIT"), (APACHE_HEADER, "Apache-2.0"), (GPL_NOTICE, "GPL-3.0-or-later"), (BSD_FILE, "BSD-2-Clause"),
+            (BSD_FILE + BSD_THIRD, "BSD-3-Clause"), (BSD_FILE.replace("1.", "(1)").replace("2.", "b)"), "BSD-2-Clause")]
+    cases = [(shape(t), [lic]) for t, lic in base for shape in (
+        str, lambda t: t.replace("\n", "\r\n"), lambda t: comment(t, "#"), lambda t: comment(t, " *"), lambda t: comment(t, "//"),
+        lambda t: comment(t, "dnl"))]
+    cases += [(" ".join(t[t.index(at):].split()), [lic]) for (t, lic), at in zip(base[1:3], ("Licensed", "This"))]   # on one line, before a URL
+    cases += [("Released under the MIT License\nnext line\nLicensed under CC BY-NC 4.0\nend", ["CC-BY-NC-4.0", "MIT"]),
+              ("a heading\nReleased under\nthe MIT License\nmore", ["MIT"]), (GPL_NOTICE.replace("either", "neither"), []),
+              (MIT_FILE.replace("conditions:", "conditions: none."), []), ("permission\n" * 3000 + " " * 50000 + "\n" * 50000 + "license", []),
+              (APACHE_HEADER * 2, ["Apache-2.0"])]
+    got = {r["doc_id"]: r for r in licences.scan(docs(spark, [t for t, _ in cases])).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert got[i]["licences"] == want and got[i]["n_matches"] == len(want) + (i == len(cases) - 1), (text[:200], got[i])
+
+
 def test_native_operators_run_no_python(spark):
     d = docs(spark, ["some words here"])
     for df in (quality_rules.apply_policy(quality_rules.ledger(d)), licences.scan(d)):
