@@ -30,16 +30,31 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays: the smallest id, once."""
-    groups = jaccard_join.linked_components(docs)
-    drop = settled(groups.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline-drop")
-    kept = docs.join(drop, "doc_id", "left_anti")
-    # rows that share an id: those that share all columns stay once
-    again = settled(groups.groupBy("doc_id").count().where("count > 1").select("doc_id"), "pipeline-again")
+    """One row of each group of linked texts stays: the smallest id (null last), once.
+
+    Rows are judged by id and text together, so rows that share an id fall apart where
+    their texts do, and rows without an id are judged like any other.
+    """
+    key = F.xxhash64("doc_id", "text")
+    named = docs.select(key.alias("_key"), "doc_id", "text")
+    linked = jaccard_join.linked_components(named, id_col="_key")
+    groups = settled(linked.select(F.col("doc_id").alias("_key"), F.col("component_id").alias("_comp")), "pipeline-groups")
+    # of groups with two rows or more only
+    many = settled(groups.groupBy("_comp").count().where("count > 1").select("_comp"), "pipeline-many")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_key").alias("key"))
+    rows = settled(groups.join(many, "_comp", "left_semi").distinct()
+                   .join(named.select("_key", "doc_id").distinct(), "_key").select("_comp", "_key", "doc_id", place.alias("_place")),
+                   "pipeline-rows")
+    first = settled(rows.groupBy("_comp").agg(F.min("_place").alias("_first")), "pipeline-first")
+    drop = settled(rows.join(first, "_comp").where("_place <> _first").select("_key", F.col("doc_id").alias("_id")), "pipeline-drop")
+    kept = docs.withColumn("_key", key)
+    kept = kept.join(drop.withColumnRenamed("_key", "_gone"), (F.col("_key") == F.col("_gone")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    # rows that share id and text: those that share all columns stay once
+    again = settled(groups.groupBy("_key").count().where("count > 1").select("_key"), "pipeline-again")
     if again.isEmpty():
         return kept.select(*docs.columns)
-    return (kept.join(again, "doc_id", "left_anti").select(*docs.columns)
-            .unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).distinct()))
+    return (kept.join(again, "_key", "left_anti").select(*docs.columns)
+            .unionByName(kept.join(again, "_key", "left_semi").select(*docs.columns).distinct()))
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,6 +43,19 @@ def test_stages_take_odd_rows(spark):
     assert corpus_pipeline.near_duplicates(spark, docs.where("doc_id = 2"), SF_SMALL).count() == 1
 
 
+def test_near_duplicates_judge_rows(spark):
+    """Repeated and missing ids: texts that are alone stay, one row of each linked group stays."""
+    one, other, third, alone = (" ".join(f"{w}{i}" for i in range(40)) for w in ("ab", "cd", "ef", "gh"))
+    rows = [(1, one), (2, one + " x"), (2, alone),                   # 2 is linked to 1 by one of its texts only
+            (3, other), (3, other + " y"),                           # linked, unequal, the same smallest id
+            (None, third), (None, third + " z"), (None, third),      # no id
+            (4, "word"), (4, "word"), (None, one + " v"), (None, ""), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()]
+    assert {(1, one), (2, alone), (4, "word"), (None, ""), (5, None)} <= set(got) and len(got) == 7
+    assert sum(d == 3 for d, _ in got) == 1 and sum((t or "").startswith(third) for _, t in got) == 1
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "substring_dedup", "mixing", "sentencepiece"]
