@@ -2,33 +2,52 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .joins import sized_join
 
 
-def range_chunks(df: DataFrame, order: Sequence[str], chunks: int | None = None,
-                 out: str = "_chunk") -> DataFrame:
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def range_count(df: DataFrame) -> int:
+    """Ranges for a written table: a quarter of Spark's advisory partition size each (its files are compressed)."""
+    sizes = df.select("_metadata.file_path", "_metadata.file_size").distinct()
+    total = sizes.agg(F.sum("file_size")).first()[0] or 0
+    advisory = df.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    digits = re.match(r"\d+", advisory)[0]
+    each = int(digits) * unit.get(advisory[len(digits):][:1].lower(), 1) // 4
+    return max(2, -(-total // max(each, 1)))
+
+
+def range_chunks(df: DataFrame, order: Sequence[str | Column], chunks: int | None = None,
+                 out: str = "_chunk", is_written: bool = False) -> DataFrame:
     """``df`` in ``order``, cut into ranges of similar size, with the range number ``out``.
 
-    One range-partitioned write to the shared scratch folder; what follows reads that
-    file, so the rows and their range cannot change between passes. Spark samples the
-    range limits by the number of partitions asked for. The order may have several
-    columns: equal values of the first are split by the next ones.
+    Spark samples its input in a job of its own to set the range limits, so ``df`` is
+    written first (``is_written`` says that it comes straight from a written table): what
+    lies before it runs once. The number of ranges follows the written size. The ranges are
+    written too; what follows reads that file, so the rows and their range cannot change
+    between passes. The order may have several columns: equal values of the first are
+    split by the next ones.
     """
-    spark = df.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ranges-{uuid.uuid4().hex}"
-    cols = [F.col(c) for c in order]
-    cut = (df.repartitionByRange(max(2, n), *cols).sortWithinPartitions(*cols)
+    step = df if is_written else written(df, "range-input")
+    n = chunks or range_count(step)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    cut = (step.repartitionByRange(max(2, n), *cols).sortWithinPartitions(*cols)
            .withColumn(out, F.spark_partition_id().cast("bigint")))
-    cut.write.parquet(path)
-    return spark.read.schema(cut.schema).parquet(path)
+    return written(cut, "ranges")
 
 
 def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
