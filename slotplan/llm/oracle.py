@@ -132,7 +132,28 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p LEFT JOIN f USING (payload_digest)
 """
 
+OP11 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(generate_series(0, len(ls) - 1)) AS pos
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+often AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT k.*, coalesce(k.doc_id <> keeper, false) AS gone FROM k LEFT JOIN often USING (key)),
+runs AS (
+  SELECT doc_id, string_agg(start || '+' || n, ' ' ORDER BY start) AS keep
+  FROM (SELECT doc_id, min(pos) AS start, count(*) AS n
+        FROM (SELECT doc_id, pos, pos - row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS island FROM j WHERE NOT gone)
+        GROUP BY doc_id, island) GROUP BY doc_id)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256,
+       coalesce(any_value(keep), '') AS keep
+FROM j LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+"""
+
 ORACLE: dict[str, str] = {
+    "op11_line_dedup": OP11,
     "op1_jaccard_join": OP1,
     "op4_url_reputation": OP4,
     "op9_exact_topk": OP9,

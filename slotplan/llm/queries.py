@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    exact_topk, jaccard_join, licences, mixing, oracle, quality_rules, sentencepiece_lattice,
-    substring_dedup, toxicity, url_reputation, warc,
+    exact_topk, jaccard_join, licences, line_dedup, mixing, oracle, quality_rules, sentencepiece_lattice,
+    substring_dedup, token_alignment, toxicity, url_reputation, warc, whitening,
 )
 from .common import table
 
@@ -86,6 +86,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``keep``: the runs of kept lines, ``start+length`` each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.restore(docs, line_dedup.keep_bitmaps(docs))
+    runs = F.transform("keep", lambda r: F.concat_ws("+", r["start"].cast("string"), r["length"].cast("string")))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"),
+                      F.array_join(runs, " ").alias("keep"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -97,5 +114,8 @@ QUERIES: dict[str, Query] = {
     "op8_licence_scan": op8_licence_scan,
     "op9_exact_topk": op9_exact_topk,
     "op10_warc": op10_warc,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLE: dict[str, str] = {k: v for k, v in oracle.ORACLE.items() if k in QUERIES}
