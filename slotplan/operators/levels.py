@@ -9,12 +9,13 @@ one sorted array and attached to the large side as a scalar subquery
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import START_SLOTS, TARGET_XP
 from ..functions.text import col_of
 from .clean import clean_columns
+from .windows import fill_forward
 
 
 def typed_levels(raw: DataFrame) -> DataFrame:
@@ -31,22 +32,34 @@ def typed_levels(raw: DataFrame) -> DataFrame:
     return out
 
 
+#: levels up to which a level table may become one array
+MAX_LEVELS = 10_000
+
+
+def filled_levels(raw: DataFrame) -> DataFrame:
+    """Rows (level, xp, raw_slots, slots), ``slots`` filled (F4): missing ones take the last known
+    value in xp order, and 2 before any. Any number of rows: the fill runs over ranges."""
+    t = typed_levels(raw)
+    lvl = F.col("level") if "level" in t.columns else F.lit(None).cast("int")
+    rows = t.select(lvl.alias("level"), "xp", F.col("slots").alias("raw_slots"))
+    return fill_forward(rows, [], ["xp", "level"], "raw_slots", "slots", F.lit(START_SLOTS))
+
+
 def level_array(raw: DataFrame) -> DataFrame:
     """One row, one column ``levels``: array<struct<xp, level, slots>> sorted by xp.
 
-    Missing slots take the last known value in xp order, and 2 before any (F4).
+    For folds that need the whole table per row. A table of more than ``MAX_LEVELS`` rows is an
+    error by name, never cut; ``filled_levels`` gives such a table as rows.
     """
-    t = typed_levels(raw)
+    t = typed_levels(raw).limit(MAX_LEVELS + 1)
     lvl = F.col("level") if "level" in t.columns else F.lit(None).cast("int")
-    arr = F.array_sort(F.collect_list(F.struct(F.col("xp"), lvl.alias("level"),
-                                               F.col("slots").alias("raw_slots"))))
-    filled = F.transform(arr, lambda x, i: F.struct(
-        x["xp"].alias("xp"), x["level"].alias("level"),
-        F.coalesce(F.try_element_at(F.filter(F.slice(arr, 1, i + 1),
-                                             lambda y: y["raw_slots"].isNotNull()),
-                                    F.lit(-1))["raw_slots"],
-                   F.lit(START_SLOTS)).alias("slots")))
-    return t.agg(filled.alias("levels"))
+    upto = Window.orderBy("xp", "level").rowsBetween(Window.unboundedPreceding, Window.currentRow)      # bounded rows
+    rows = t.select("xp", lvl.alias("level"), F.col("slots").alias("raw_slots"))
+    rows = rows.withColumn("slots", F.coalesce(F.last("raw_slots", ignorenulls=True).over(upto), F.lit(START_SLOTS)))
+    arr = F.array_sort(F.collect_list(F.struct("xp", "level", "slots")))
+    too_many = F.raise_error(F.lit(f"TooManyLevels: more than {MAX_LEVELS} rows in the level table"))
+    return rows.agg(F.when(F.count(F.lit(1)) > MAX_LEVELS, too_many.cast(
+        "array<struct<xp:bigint,level:int,slots:int>>")).otherwise(arr).alias("levels"))
 
 
 def slots_at(xp, levels) -> Column:
@@ -98,15 +111,8 @@ def with_cycles(df: DataFrame, rate: str, level_raw: DataFrame, out: str = "cycl
                 target: int = TARGET_XP) -> DataFrame:
     """Add ``out`` = cycles to reach ``target`` for each row's rate.
 
-    The answer depends on the rate alone, so the fold runs once per distinct
-    rate (a grouped distinct, partially aggregated before the shuffle) and is
-    joined back on the rate. The level table rides along as a scalar subquery.
+    The fold runs in place, O(levels) per row: one read of ``df``, no shuffle and no join.
+    The level table rides along as a scalar subquery.
     """
-    from .joins import sized_join
-
     lv = level_array(level_raw).scalar()
-    # no null filter here: it would re-run the rate's parsing; a null rate never joins
-    rates = df.select(rate).distinct()
-    per_rate = (rates.withColumn("_lv", lv)
-                     .select(rate, cycles_to_target(rate, "_lv", target).alias(out)))
-    return sized_join(df, per_rate, on=rate, how="left")
+    return df.withColumn("_lv", lv).withColumn(out, cycles_to_target(rate, "_lv", target)).drop("_lv")

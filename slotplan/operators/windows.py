@@ -1,4 +1,4 @@
-"""Ordered-sequence operators that stay parallel under skew."""
+"""Ordered-sequence operators that stay parallel under skew."""
 
 from __future__ import annotations
 
@@ -50,30 +50,63 @@ def range_chunks(df: DataFrame, order: Sequence[str | Column], chunks: int | Non
     return written(cut, "ranges")
 
 
-def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
-                out: str, chunks: int | None = None) -> DataFrame:
-    """Running total of ``value`` per ``partition`` in ``order`` (which must be unique in a key).
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``right`` with its keys renamed, and the null-safe condition that joins it to ``left``."""
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    return right.withColumnsRenamed(names), [left[k].eqNullSafe(F.col(n)) for k, n in names.items()]
+
+
+def _over_ranges(df: DataFrame, partition: Sequence[str], order: Sequence[str], chunks: int | None,
+                 end: Column, carry, local, combine, out: str) -> DataFrame:
+    """A running value per ``partition`` in ``order`` without a whole key in one task.
 
-    A plain window puts a whole partition key in one task. Here the rows are cut into
-    ranges of (partition, order), so a hot key spreads over several ranges even if
-    its first order column is constant. Range totals are summed first, their running
-    offsets are computed per key (at most ``chunks`` rows per key), and each (key, range)
-    runs its own window, adding its offset.
+    The rows are cut into ranges of (partition, order). ``end`` aggregates each (key, range)
+    to one value; ``carry`` folds the ends of the ranges before, per key (at most one row per
+    range); ``local`` runs inside a (key, range); ``combine`` joins both to ``out``.
     """
     part = list(partition)
     d = range_chunks(df, [*part, *order], chunks)
-    totals = d.groupBy(*part, "_chunk").agg(F.sum(value).alias("_t"))
-    w_off = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")
-    w = (Window.partitionBy(*part, "_chunk").orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = d.withColumn("_local", F.sum(value).over(w))
     keys = [*part, "_chunk"]
-    offs = offsets.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_off")
-    cond = [local[k].eqNullSafe(offs[f"_k{i}"]) for i, k in enumerate(keys)]
-    joined = sized_join(local, offs, on=cond, how="inner").drop(*[f"_k{i}" for i in range(len(keys))])
-    return joined.withColumn(out, (F.col("_local") + F.col("_off")).cast("bigint")).drop(
-        "_chunk", "_local", "_off")
+    ends = d.groupBy(*keys).agg(end.alias("_end"))
+    before = Window.partitionBy(*(part or [F.lit(0)])).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carries, cond = _null_safe(d, ends.withColumn("_carry", carry(F.col("_end"), before)).drop("_end"), keys)
+    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = d.withColumn("_local", local(upto))
+    joined = sized_join(rows, carries, on=cond, how="inner")
+    return joined.withColumn(out, combine(F.col("_carry"), F.col("_local"))).select(
+        *[c for c in df.columns if c != out], out)
+
+
+def running_sum(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
+                out: str, chunks: int | None = None) -> DataFrame:
+    """Running total of ``value`` per ``partition`` in ``order`` (which must be unique in a key).
+
+    A hot key spreads over several ranges even if its first order column is constant.
+    """
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return _over_ranges(df, partition, order, chunks, F.sum(value), lambda e, w: F.sum(e).over(w),
+                        lambda w: F.sum(value).over(w), lambda c, x: (x + zero(c)).cast("bigint"), out)
+
+
+def running_max(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str,
+                out: str, chunks: int | None = None) -> DataFrame:
+    """Largest ``value`` so far (this row's included) per ``partition`` in ``order``; any ordered type."""
+    return _over_ranges(df, partition, order, chunks, F.max(value), lambda e, w: F.max(e).over(w),
+                        lambda w: F.max(value).over(w), lambda c, x: F.when(x.isNull() | (c > x), c).otherwise(x), out)
+
+
+def fill_forward(df: DataFrame, partition: Sequence[str], order: Sequence[str], value: str, out: str,
+                 default: Column | None = None, chunks: int | None = None) -> DataFrame:
+    """``out`` = the last non-null ``value`` up to this row per ``partition`` in ``order``.
+
+    Rows before any value get ``default``. Nulls come first in ``order``. The value that a
+    range ends with is carried into the ranges after it, so no key sits in one task.
+    """
+    here = F.struct(*[F.col(c) for c in order])
+    end = F.max_by(F.col(value), F.when(F.col(value).isNotNull(), here))
+    last = [] if default is None else [default]
+    return _over_ranges(df, partition, order, chunks, end, lambda e, w: F.last(e, ignorenulls=True).over(w),
+                        lambda w: F.last(value, ignorenulls=True).over(w), lambda c, x: F.coalesce(x, c, *last), out)
 
 
 def take_while(df: DataFrame, partition: Sequence[str], order: Sequence[str], bad) -> DataFrame:

@@ -48,7 +48,7 @@ def run_pipeline(spark: SparkSession, source: str | Catalogue, out_dir: str, mod
         raise ValueError(f"unknown steps {sorted(unknown)}; choose from {STEPS}")
     games = select_sources(mode)
     out = out_dir.rstrip("/")
-    paths = {n: f"{out}/{n}" for n in ("recipes_clean", "appliances", "master", "report_tiers",
+    paths = {n: f"{out}/{n}" for n in ("recipes_clean", "appliances", "rejected", "master", "report_tiers",
                                        "report_cube", "master_json", "master_js", "master_csv",
                                        "master_chunks")}
 
@@ -60,6 +60,8 @@ def run_pipeline(spark: SparkSession, source: str | Catalogue, out_dir: str, mod
                   .withColumn("time_to_lvl99", format_minutes("min_to_lvl99")))
         _save(rec, paths["recipes_clean"], ["game_mode"])
         _save(cat.appliances, paths["appliances"])
+        if cat.rejected is not None:
+            _save(cat.rejected, paths["rejected"])
 
     if "master" in steps:
         rec = load_required(spark, paths["recipes_clean"], "recipes_clean")

@@ -18,6 +18,7 @@ QUERIES: dict[str, Query] = {
     "q_planner_tiers": planner.planner_tiers,
     "q_planner_filtered": planner.planner_filtered,
     "q_planner_cube": planner.planner_cube,
+    "q_planner_any_time": planner.planner_any_time,
 }
 ORACLE: dict[str, str] = dict(oracle.ORACLE)
 

@@ -23,6 +23,7 @@ from ..functions.fmt import rate_2dp, rate_js
 from ..functions.text import empty_label_sql
 from ..operators.joins import sized_join
 from ..operators.quality import keep_where
+from ..operators.staircase import best_at, staircase, steps_of
 from ..operators.topk import prefix_best, slots_frame, with_all_slots
 from . import inputs
 
@@ -242,3 +243,61 @@ def cube_lookup(spark, cube_path: str, mode: str = DEFAULT_MODE, level: int = DE
                      & (F.col("recipe_type") == tier)).drop("game_mode", "level", "recipe_type")
     slots = sorted(set(RETURN_SLOTS))
     return with_all_slots(hit, slots_frame(spark, slots))
+
+
+# ------------------------------------------------------------------ any return time
+
+STAIR_CELL = ("game_mode", "level", "recipe_type", "metric")
+_STAIR_PAYLOAD = {"recipe": "rcp_name", "appl": "appl_name", "img": "rcp_img_url", "value": "_metric"}
+
+
+def cell_staircases(master: DataFrame) -> DataFrame:
+    """Staircases of the raw rows per (game, level, score, metric): what a store keeps and new rows merge into."""
+    m = (master.where((F.col("rcp_level") <= 99) & F.col("game_mode").isin(*MODES))
+         .withColumn("_lvl", F.greatest(F.col("rcp_level"), F.lit(1))))
+    # a row's two metrics are two rows of slim cells
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("_metric")) for name, _ in XP_PROFIT]))
+    rows = m.select("*", each.alias("_e")).select(*[c for c in m.columns if c not in ("metric", "_metric")], "_e.*")
+    return staircase(rows, ("game_mode", "_lvl", "rcp_difficulty", "metric"), "rcp_time_min", "_metric", ORD, _STAIR_PAYLOAD)
+
+
+def any_time_staircases(cells: DataFrame) -> DataFrame:
+    """Staircases per (game, level 1..99, tier, metric) from those of :func:`cell_staircases`.
+
+    A step of level l and score s counts for every level from l on and every tier that
+    admits s; only steps are fanned out, never rows.
+    """
+    tiers = F.filter(F.array(*[F.struct(F.lit(n).alias("t"), F.lit(c).alias("c")) for n, c in TIER_MAX_SCORE]),
+                     lambda x: F.when(x["t"] == "easy", F.col("rcp_difficulty") == x["c"]).otherwise(F.col("rcp_difficulty") <= x["c"]))
+    fan = (cells.withColumn("recipe_type", F.explode(F.transform(tiers, lambda x: x["t"])))
+           .withColumn("level", F.explode(F.sequence(F.col("_lvl"), F.lit(99)))))
+    return steps_of(fan.select(*STAIR_CELL, "time", "best"), STAIR_CELL)
+
+
+def planner_at(asks: DataFrame, steps: DataFrame) -> DataFrame:
+    """Report rows for ``asks`` (game_mode, level, recipe_type, return_time): any times, any cells.
+
+    Each ask is one look-up in the staircase of each metric.
+    """
+    keys = ["game_mode", "level", "recipe_type", "return_time"]
+    asks = asks.select(*keys).distinct()
+    each = asks.withColumn("metric", F.explode(F.array(*[F.lit(m) for m, _ in XP_PROFIT])))
+    hit = best_at(each, steps, STAIR_CELL, "return_time")
+    of = lambda metric, field: F.max(F.when(F.col("metric") == metric, F.col("best")[field]))
+    out = hit.groupBy(*keys).agg(*[of(f"rcp_{m}", field).alias(f"best_{m}{suffix}") for m in ("xp", "profit")
+                                   for field, suffix in (("recipe", "_recipe"), ("appl", "_appl"), ("value", ""))])
+    return (out.withColumn("xp_per_hr", rate_js("best_xp", "return_time")).withColumn("profit_per_hr", rate_js("best_profit", "return_time"))
+            .select(*keys, "best_xp_recipe", "best_xp_appl", "best_xp", "xp_per_hr",
+                    "best_profit_recipe", "best_profit_appl", "best_profit", "profit_per_hr"))
+
+
+ANY_TIMES = (1, 2880)      # minutes
+
+
+def planner_any_time(spark, sf_dir) -> DataFrame:
+    """C23/J8/E5 for every minute of ``ANY_TIMES`` and all tiers of the default game and level."""
+    steps = any_time_staircases(cell_staircases(inputs.master(spark, sf_dir)))
+    asks = (spark.range(ANY_TIMES[0], ANY_TIMES[1] + 1).select(
+        F.lit(DEFAULT_MODE).alias("game_mode"), F.lit(DEFAULT_LEVEL).alias("level"),
+        F.explode(F.array(*[F.lit(t) for t in TIERS])).alias("recipe_type"), F.col("id").alias("return_time")))
+    return planner_at(asks, steps)

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ..constants import START_SLOTS, TARGET_XP
 from ..operators.clean import clean_columns
-from ..operators.levels import level_array, slots_at, typed_levels, with_cycles
+from ..operators.asof import asof_merge
+from ..operators.levels import filled_levels, level_array, slots_at, typed_levels, with_cycles
+from ..sinks.publish import dense_ids
 from ..sources import fixtures
+from ..sources.tables import read_table
 from . import inputs, oracle as O
 from .registry import Registry
 
@@ -71,20 +74,15 @@ def q_level_arrays(spark, sf_dir):
 
 
 def _level_rows(spark, sf_dir):
-    t = typed_levels(fixtures.level_raw(spark, sf_dir))
-    arr = t.agg(F.array_sort(F.collect_list(F.struct("xp", "level", F.col("slots").alias("raw_slots"))))
-                .alias("a"))
-    return arr.select(F.posexplode("a").alias("p", "l")).select(
-        (F.col("p") + 1).cast("bigint").alias("pos"), F.col("l.level").alias("level"),
-        F.col("l.xp").alias("xp"), F.col("l.raw_slots").alias("raw_slots"))
+    t = typed_levels(fixtures.level_raw(spark, sf_dir)).select("xp", "level", F.col("slots").alias("raw_slots"))
+    return dense_ids(t, ["xp", "level"], "pos").select("pos", "level", "xp", "raw_slots")
 
 
 @register("q_ffill_slots", O.with_ctes("levels") + """
 select level, xp, slots from levels""")
 def q_ffill_slots(spark, sf_dir):
     """missing slots take the last value in xp order, 2 before any."""
-    arr = level_array(fixtures.level_raw(spark, sf_dir))
-    return arr.select(F.inline("levels")).select("level", "xp", "slots")
+    return filled_levels(fixtures.level_raw(spark, sf_dir)).select("level", "xp", "slots")
 
 
 @register("q_asof_slots", O.with_ctes("recipes", "levels") + f"""
@@ -101,6 +99,30 @@ def q_asof_slots(spark, sf_dir):
     return r.select("rcp_ord", first.alias("first_xp"), slots_at(first, "_lv").alias("slots"))
 
 
+_THRESHOLDS = """thresholds as (
+select c_custkey as ord, case when c_custkey % 2 = 0 then 'restaurant' else 'bakery' end as game_mode,
+       case when c_custkey % 41 = 8 then null else cast(floor(abs(c_acctbal)) as bigint) * 30 end as xp,
+       case when c_custkey % 13 = 5 then null else cast(2 + c_custkey % 9 as int) end as slots
+from customer)"""
+
+
+@register("q_asof_merge", O.with_ctes("recipes", extra=_THRESHOLDS) + f"""
+select r.rcp_ord, r.game_mode, {START_SLOTS} * r.rcp_level * r.rcp_xp as first_xp, t.ord as threshold, t.slots
+from recipes r left join lateral (
+  select ord, slots from thresholds t where t.game_mode = r.game_mode and t.xp <= {START_SLOTS} * r.rcp_level * r.rcp_xp
+  order by t.xp desc, t.ord desc limit 1) t on true""")
+def q_asof_merge(spark, sf_dir):
+    """J9 where both tables grow: the last threshold of the recipe's game at or below its xp."""
+    c = read_table(spark, sf_dir, "customer")
+    thresholds = c.selectExpr(
+        "c_custkey as threshold", "case when c_custkey % 2 = 0 then 'restaurant' else 'bakery' end as game_mode",
+        "case when c_custkey % 41 = 8 then null else cast(floor(abs(c_acctbal)) as bigint) * 30 end as xp",
+        "case when c_custkey % 13 = 5 then null else cast(2 + c_custkey % 9 as int) end as slots")
+    first = (F.lit(START_SLOTS) * F.col("rcp_level") * F.col("rcp_xp")).cast("bigint")
+    rows = inputs.recipes_clean(spark, sf_dir).select("rcp_ord", "game_mode", first.alias("first_xp"))
+    return asof_merge(rows, thresholds, ["game_mode"], "first_xp", ["threshold", "slots"], entry_at="xp", tie=["threshold"])
+
+
 @register("q_cycles_to_target", O.with_ctes("recipes", "fold") + """
 select r.rcp_ord, r.rcp_xp, r.rcp_time_min, f.cycles,
        f.cycles * r.rcp_time_min as min_to_lvl99

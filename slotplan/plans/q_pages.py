@@ -244,6 +244,50 @@ def q_bad_records(spark, sf_dir):
                       ints=("rcp_cost", "rcp_income", "rcp_xp"), hours=("rcp_time_hr",))
 
 
+_BLOCK_NO = "row_number() over (partition by game_mode, {o} // {n} order by {o})"
+
+
+@register("q_bad_rows", O.with_ctes("fx_recipe_raw", "fx_appl", extra=f"""appl_rows as (
+select cast({_PAGE_OF.format(o='appl_ord', n=fixtures.PAGE_BLOCKS)} as bigint) as page_id, appl_ord,
+       {_BLOCK_NO.format(o='appl_ord', n=2 * fixtures.PAGE_BLOCKS)} as pos,
+       case when appl_ord % 23 = 9 then 'no name'
+            when appl_ord % 29 = 4 and appl_ord % 5 <> 2 then 'level is no number' end as own
+from fx_appl),
+first_bad as (select page_id, min(pos) as stop from appl_rows where own is not null group by page_id)""") + f"""
+select 'csv' as input, rcp_ord as place, 0 as pos, 'does not fit the schema' as error
+from fx_recipe_raw where rcp_ord % 53 = 11 or rcp_ord % 59 = 7
+union all
+select 'recipe page', cast({_PAGE_OF.format(o='rcp_ord', n=fixtures.PAGE_BLOCKS)} as bigint), pos, 'recipe image without source'
+from (select *, {_BLOCK_NO.format(o='rcp_ord', n=2 * fixtures.PAGE_BLOCKS)} as pos from fx_recipe_raw)
+where rcp_ord % 17 = 6 and rcp_ord % 7 <> 3
+union all
+select 'appliance page', page_id, pos, case when pos > stop then 'after a bad block' else own end
+from appl_rows join first_bad using (page_id) where pos >= stop""")
+def q_bad_rows(spark, sf_dir):
+    """Rows of CSV files and blocks of pages that cannot be read, each with its place and
+    reason. Good and bad rows come from one written table; a bad row stops no run."""
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from ..sinks.publish import scratch_path
+    from ..sources.catalogue import RECIPES
+    from ..sources.records import appliance_rows, recipe_rows, split_errors
+    from ..sources.tables import BAD_ROW, read_csv
+    cols = ["rcp_ord", *RECIPES.fieldNames()]
+    lines = fixtures.recipe_lines(spark, sf_dir, cols)
+    path = scratch_path(spark, "recipe_lines")
+    lines.select("value").write.text(path)
+    table = read_csv(spark, path, StructType([StructField("rcp_ord", LongType()), *RECIPES.fields]), header=False, nullValue="\\N")
+    table = table.withColumn("error", F.when(F.col(BAD_ROW).isNotNull(), "does not fit the schema"))
+    _, lines_bad = split_errors(table)
+    _, recipes_bad = split_errors(recipe_rows(fixtures.recipe_pages(spark, sf_dir, spoiled=True)))
+    _, appl_bad = split_errors(appliance_rows(fixtures.appliance_pages(spark, sf_dir, spoiled=True)))
+    as_rows = lambda df, name, place, pos: df.select(F.lit(name).alias("input"), place.alias("place"), pos.alias("pos"), "error")
+    first = F.split(BAD_ROW, ",")[0].cast("bigint")
+    return (as_rows(lines_bad, "csv", first, F.lit(0).cast("bigint"))
+            .unionByName(as_rows(recipes_bad, "recipe page", F.col("page_id"), F.col("pos")))
+            .unionByName(as_rows(appl_bad, "appliance page", F.col("page_id"), F.col("pos"))))
+
+
 # ---------------------------------------------------------------- JSON / HTML tables
 
 _FX_WIKI = """fx_wiki as (

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean_columns
+from ..operators.windows import written
 from . import fixtures
-from .tables import load_required
+from .tables import BAD_ROW, in_file_order, read_csv
 
 
 def _schema(text: str, ints: str = "") -> T.StructType:
@@ -34,20 +35,28 @@ class Catalogue:
     recipes: DataFrame       # D1 plus rcp_ord, the table order
     appliances: DataFrame    # D3 plus appl_ord
     levels: DataFrame        # D4, all text
+    rejected: DataFrame | None = None    # rows that do not fit their schema: input, file, row_no, raw
+
+
+def _read(spark: SparkSession, path: str, name: str, schema: T.StructType, order: str) -> tuple[DataFrame, DataFrame]:
+    """(good rows with ``order``, rejected rows) of one file or folder, from one written table."""
+    rows = in_file_order(read_csv(spark, path, schema, name, enforceSchema=False), order)
+    table = written(rows, f"csv-{name}")
+    bad = table.where(F.col(BAD_ROW).isNotNull())
+    return (table.where(F.col(BAD_ROW).isNull()).drop(BAD_ROW, "_file"),
+            bad.select(F.lit(name).alias("input"), F.col("_file").alias("file"), F.col(order).alias("row_no"), F.col(BAD_ROW).alias("raw")))
 
 
 def from_csv(spark: SparkSession, recipes: str, appliances: str, levels: str) -> Catalogue:
-    """Read CSV files with header. Table order is file and line order.
+    """Read CSV files (or folders of them) with header. Table order is file name and line order.
 
-    A missing file raises ``MissingInput`` by name; a row that does not fit the schema
-    raises when it is read.
+    A missing file raises ``MissingInput`` by name. A row that does not fit the schema stops
+    nothing: it is listed in ``rejected`` with its input, file, row number and raw text.
     """
-    def read(path, name, schema, order):
-        df = load_required(spark, path, name, "csv", schema, header=True, mode="FAILFAST", enforceSchema=False)
-        return df.withColumn(order, F.monotonically_increasing_id()) if order else df
-
-    return Catalogue(read(recipes, "recipes", RECIPES, "rcp_ord"), read(appliances, "appliances", APPLIANCES, "appl_ord"),
-                     clean_columns(read(levels, "levels", LEVELS, None)))
+    rec, bad_rec = _read(spark, recipes, "recipes", RECIPES, "rcp_ord")
+    appl, bad_appl = _read(spark, appliances, "appliances", APPLIANCES, "appl_ord")
+    lev, bad_lev = _read(spark, levels, "levels", LEVELS, "_ord")
+    return Catalogue(rec, appl, clean_columns(lev.drop("_ord")), bad_rec.unionByName(bad_appl).unionByName(bad_lev))
 
 
 def from_base_tables(spark: SparkSession, sf_dir: str) -> Catalogue:

@@ -115,39 +115,53 @@ def _pages_of(rows: DataFrame, order: str, url, html) -> DataFrame:
                              F.array_join(F.transform("bs", lambda b: b["h"]), "\n"), F.lit("</body></html>")).alias("html")))
 
 
-def recipe_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listing pages whose blocks hold the raw recipes; some blocks lack parts."""
+def _nested(cond, c):
+    """``c`` with its last part inside an element of the field's own kind."""
+    return F.when(cond, F.regexp_replace(c, r"^(.*?)(\S+)$", "$1<div class=in>$2</div>")).otherwise(c)
+
+
+def recipe_pages(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> DataFrame:
+    """Listing pages whose blocks hold the raw recipes; some blocks lack parts, and some fields
+    hold elements of their own kind. ``spoiled``: some images have no source."""
     r, o = recipe_raw(spark, sf_dir), F.col("rcp_ord")
     div = lambda css, c: F.concat(F.lit(f'<div class="{css}">'), c, F.lit("</div>"))
     maybe = lambda cond, c: F.when(cond, c).otherwise(F.lit(""))
-    labels = F.concat(*[maybe(F.coalesce(F.col("rcp_labels").contains(x), F.lit(False)), F.lit(f'<span id=l class="big sd_label"> {x} </span>'))
+    labels = F.concat(*[maybe(F.coalesce(F.col("rcp_labels").contains(x), F.lit(False)),
+                              F.when(o % 8 == 2, F.lit(f'<span id=l class="big sd_label"><span> </span> {x} </span>'))
+                              .otherwise(F.lit(f'<span id=l class="big sd_label"> {x} </span>')))
                         for x in ("Event", "Holiday", "Gem")], F.lit('<span class="sd_label"> </span>'))
-    stats = F.concat(*[div(css, F.col(c)) for css, c in (("rcpcost", "rcp_cost"), ("rcpserv", "rcp_servings"), ("x rcptime", "rcp_time_hr"),
-                                                        ("rcpxp", "rcp_xp"), ("rcpincome", "rcp_income"))])
+    stats = F.concat(*[div(css, _nested(o % 4 == 1, F.col(c))) for css, c in (("rcpcost", "rcp_cost"), ("rcpserv", "rcp_servings"), ("x rcptime", "rcp_time_hr"),
+                                                                             ("rcpxp", "rcp_xp"), ("rcpincome", "rcp_income"))])
+    image = F.concat(F.lit('<div class="rcp_view"><div>'), F.when(F.lit(spoiled) & (o % 17 == 6), F.lit("<img alt=x>")).otherwise(
+        F.concat(F.lit('<img alt=x src="'), F.col("rcp_img_url"), F.lit('">'))), F.lit("</div></div>"))
     html = F.concat(
-        F.lit('<SPAN class="row appliance_single_recipe">'),
-        maybe(o % 7 != 3, F.concat(F.lit('<div class="rcp_view"><img alt=x src="'), F.col("rcp_img_url"), F.lit('"></div>'))),
+        F.lit('<SPAN class="row appliance_single_recipe">'), maybe(o % 7 != 3, image),
         F.lit("<span class='appl_view'><b>no image</b></span>"),
-        div("invtitle2", F.concat(F.lit("<b>"), F.col("rcp_name"), F.lit("</b>"))),
-        maybe(o % 5 != 4, F.concat(F.lit("<a class=go href='"), F.col("rcp_url"), F.lit("'>more</a>"))),
-        F.lit('<div class="hide-on-mobile">'), div("applname", F.col("appl_name")), labels,
-        maybe(o % 6 != 1, F.concat(F.lit("<div><i>Lvl:</i> "), F.col("rcp_level").cast("string"), F.lit("</div>"))),
+        div("invtitle2", F.when(o % 4 == 3, _nested(F.lit(True), F.col("rcp_name"))).otherwise(F.concat(F.lit("<b>"), F.col("rcp_name"), F.lit("</b>")))),
+        # figures outside the figures' element are no figures
+        maybe(o % 9 == 4, div("rcpcost", F.lit("c: 0"))),
+        maybe(o % 5 != 4, F.concat(F.lit("<a class=go>no</a><a class=go href='"), F.col("rcp_url"), F.lit("'>more</a>"))),
+        F.lit('<div class="hide-on-mobile">'), div("applname", _nested(o % 10 == 7, F.col("appl_name"))), labels,
+        maybe(o % 9 == 5, div("rcpxp", F.lit("0 xp"))),
+        maybe(o % 6 != 1, F.concat(F.lit("<div><div>Lvl: ?</div><i>Lvl:</i> "), F.col("rcp_level").cast("string"), F.lit("</div>"))),
         maybe(o % 13 != 2, F.concat(F.lit('<div class=detstats>'), stats, F.lit("</div>"))),
-        maybe(o % 3 == 0, div("applname", F.col("rcp_release_date"))), F.lit("</div></SPAN>"))
+        maybe(o % 3 == 0, div("applname", F.col("rcp_release_date"))), F.lit("</div><div class=applname>outside</div></SPAN><div class=detstats>after</div>"))
     url = F.concat(F.lit("http://www.example.com/s8/"), F.col("game_mode"), F.lit("_recipes_all.php?page="), F.col("no").cast("string"))
     return _pages_of(r, "rcp_ord", url, html)
 
 
-def appliance_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search pages whose blocks hold the appliances; some blocks lack parts."""
+def appliance_pages(spark: SparkSession, sf_dir: str, spoiled: bool = False) -> DataFrame:
+    """Search pages whose blocks hold the appliances; some blocks lack parts. ``spoiled``: some
+    blocks have no name, or a level that is no number."""
     a, o = appliances(spark, sf_dir), F.col("appl_ord")
     maybe = lambda cond, c: F.when(cond, c).otherwise(F.lit(""))
     text = lambda c: F.col(c).cast("string")
     html = F.concat(
-        F.lit('<div class="appliance_parts_block"><div class="appltitle">'), F.col("appl_name"), F.lit("</div>"),
+        F.lit('<div class="appliance_parts_block">'),
+        maybe(~(F.lit(spoiled) & (o % 23 == 9)), F.concat(F.lit('<div class="appltitle">'), _nested(o % 3 == 1, F.col("appl_name")), F.lit("</div>"))),
         F.lit('<span class="appliance_parts_parts">'), maybe(o % 4 != 1, F.concat(F.lit('<img src="'), F.col("appl_img_url"), F.lit('">'))),
-        F.lit("</span>"), maybe(o % 5 != 2, F.concat(F.lit('<div class="lvl">'), text("appl_unlock_level"), F.lit("</div>"))),
-        F.lit('<span class="details">first</span><span class="details">c: '), text("appl_cost"),
+        F.lit("</span>"), maybe(o % 5 != 2, F.concat(F.lit('<div class="lvl">'), maybe(F.lit(spoiled) & (o % 29 == 4), F.lit("x")), text("appl_unlock_level"), F.lit("</div>"))),
+        F.lit('<span class="details">first</span><span class="details"><span>c:</span> '), text("appl_cost"),
         maybe(o % 3 == 0, F.lit(" RD: 2021-03-04")), F.lit("</span>"),
         maybe(o % 6 != 3, F.concat(F.lit('<span class="bold"> '), text("appl_recipes_count"), F.lit(" </span>"))),
         F.transform(F.split(F.coalesce("appl_labels", F.lit("")), ","),
@@ -155,3 +169,11 @@ def appliance_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</div>"))
     url = F.concat(F.lit("http://www.example.com/s8/"), F.col("game_mode"), F.lit("_appl_retr.php?page="), F.col("no").cast("string"))
     return _pages_of(a, "appl_ord", url, html)
+
+
+def recipe_lines(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
+    """(rcp_ord, value): the raw recipes as CSV lines, some of which do not fit the schema."""
+    o = F.col("rcp_ord")
+    shown = [F.when(o % 59 == 7, F.lit("x1")).otherwise(F.col(c).cast("string")).alias(c) if c == "rcp_level" else F.col(c) for c in cols]
+    line = F.to_csv(F.struct(*shown), {"nullValue": "\\N"})
+    return recipe_raw(spark, sf_dir).select("rcp_ord", F.concat(line, F.when(o % 53 == 11, F.lit(",one,more")).otherwise(F.lit(""))).alias("value"))

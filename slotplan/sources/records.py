@@ -1,114 +1,138 @@
 """Typed records from catalogue pages (A6, A7, D1, D3): one row per block of a page.
 
-A block runs from its opening tag to the next block's. Fields are read inside it by
-tag and class, wherever the class stands among the attributes and in any case; a
-missing part gives null. Everything is one projection per page.
+A block is an element of the block class, read up to the next block's opening. Fields are
+read inside it by tag and class, wherever the class stands among the attributes and in any
+case; an element may hold others of its own kind (``elements``). A missing part gives null.
+Everything is one projection per page.
+
+A block that cannot be read has an ``error`` (K11): a recipe block is left out alone, an
+appliance block ends its page, whose rows before it stay. ``recipe_rows`` and
+``appliance_rows`` give all blocks with their error; ``split_errors`` writes them once and
+gives the good and the bad rows from that table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import regex_field
 from ..operators.quality import keep_where
-from .pages import TAG, clean_html, decode_entities
+from ..operators.windows import written
+from . import elements as E
+from .pages import clean_html
 
+# FIXED VALUES — classes of the catalogue's pages.
 RECIPE_BLOCK = ("span", "appliance_single_recipe")
 APPLIANCE_BLOCK = ("div", "appliance_parts_block")
+STATS = (("rcpcost", "rcp_cost"), ("rcpserv", "rcp_servings"), ("rcptime", "rcp_time_hr"),
+         ("rcpxp", "rcp_xp"), ("rcpincome", "rcp_income"))
 
 
-def opening(tag: str, css_class: str) -> str:
-    """Pattern of an opening tag that carries a class (quoted or not, among others)."""
-    return rf"""(?is)<{tag}\s(?:[^>]*\s)?class\s*=\s*(?:"(?:[^">]*\s)?{css_class}(?:\s[^">]*)?"|'(?:[^'>]*\s)?{css_class}(?:\s[^'>]*)?'|{css_class}(?=[\s>]))[^>]*>"""
-
-
-def blocks(html, tag: str, css_class: str) -> Column:
-    """The blocks of a page, each up to the next one's opening tag."""
-    return F.slice(F.split(clean_html(html), opening(tag, css_class)), 2, 1 << 30)
-
-
-def inside(block: Column, tag: str, css_class: str) -> Column:
-    """Array of the contents of all elements of a class (elements that hold none of their own kind)."""
-    return F.regexp_extract_all(block, F.lit(opening(tag, css_class) + rf"(.*?)</{tag}\s*>"), 1)
-
-
-def text_of(fragment: Column) -> Column:
-    """Text without tags, stripped; null stays null."""
-    return F.trim(decode_entities(F.regexp_replace(fragment, TAG, "")))
-
-
-def first_text(block: Column, tag: str, css_class: str) -> Column:
-    return text_of(F.try_element_at(inside(block, tag, css_class), F.lit(1)))
-
-
-def _attribute(fragment: Column, tag: str, name: str) -> Column:
-    """Attribute of the first tag of a kind, null without it."""
-    pattern = rf"""(?is)<{tag}\s(?:[^>]*\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    return decode_entities(F.when(fragment.rlike(pattern), F.concat(*[F.regexp_extract(fragment, pattern, i) for i in (1, 2, 3)])))
-
-
-def _image(block: Column, tag: str, css_class: str) -> Column:
-    """Source of the first image inside an element of a class."""
-    return _attribute(F.try_element_at(inside(block, tag, css_class), F.lit(1)), "img", "src")
+def _block_rows(pages: DataFrame, tag: str, css_class: str) -> DataFrame:
+    """One row per block: its content, up to its own closing or the next block."""
+    parts = F.slice(F.split(clean_html("html"), E.opening(tag, css_class)), 2, 1 << 30)
+    return (pages.select("page_id", "url", F.posexplode(parts).alias("_p", "_raw"))
+            .withColumn("_b", E.up_to_close(F.col("_raw"), tag)).drop("_raw"))
 
 
 def _labels(block: Column) -> Column:
-    texts = F.transform(inside(block, "span", "sd_label"), text_of)
+    texts = F.transform(E.inside(block, "span", "sd_label"), E.text_of)
     return F.array_join(F.filter(texts, lambda x: x != ""), ", ")
 
 
-def _rest(block: Column, tag: str, css_class: str) -> Column:
-    """What follows the opening of the first element of a class; null without one."""
-    return F.try_element_at(F.split(block, opening(tag, css_class), 2), F.lit(2))
+def _image(element: Column) -> tuple[Column, Column]:
+    """Source of the first image of an element, and whether that image lacks one."""
+    tag = E.first_tag(element, "img")
+    source = E.attribute(tag, "img", "src")
+    return source, tag.isNotNull() & source.isNull()
 
 
-def _block_rows(pages: DataFrame, tag: str, css_class: str) -> DataFrame:
-    return pages.select("page_id", "url", F.posexplode(blocks("html", tag, css_class)).alias("_p", "_b"))
+def _level(details: Column) -> Column:
+    """Number after the label in the first division whose text has both."""
+    texts = F.transform(F.filter(E.inside(details, "div"), lambda d: d.contains("Lvl:")), E.text_of)
+    number = r"Lvl:\s*(\d+)"
+    first = F.try_element_at(F.filter(texts, lambda t: t.rlike(number)), F.lit(1))
+    return F.when(details.contains("Lvl:"), E.bound(first, lambda t: regex_field(t, number).try_cast("int")))
 
 
-def recipe_records(pages: DataFrame) -> DataFrame:
-    """Recipe rows (D1) of pages (page_id, url, html), with page_id and pos.
+def _error(*cases: tuple[Column, str]) -> Column:
+    """The first reason that holds, null without one."""
+    return F.coalesce(*[F.when(cond, F.lit(why)) for cond, why in cases], F.lit(None).cast("string"))
+
 
-    Blocks without a details part or without its figures are skipped (K4). The first
-    appliance name is the appliance; the last of several is the release date (K7).
+def recipe_rows(pages: DataFrame) -> DataFrame:
+    """Recipe rows (D1) of pages (page_id, url, html), with page_id, pos and ``error``.
+
+    Blocks without a details part or without its figures are skipped (K4); figures are read
+    inside the figures' element only. The first appliance name is the appliance; the last of
+    several is the release date (K7).
     """
-    b = _block_rows(pages, *RECIPE_BLOCK).withColumn("_d", _rest(F.col("_b"), "div", "hide-on-mobile"))
-    block, details = F.col("_b"), F.col("_d")
-    names = F.transform(inside(details, "div", "applname"), text_of)
+    b = _block_rows(pages, *RECIPE_BLOCK).withColumn("_d", E.first_inside(F.col("_b"), "div", "hide-on-mobile"))
+    b = b.withColumn("_s", E.first_inside(F.col("_d"), "div", "detstats"))
+    b = b.withColumn("_names", F.transform(E.inside(F.col("_d"), "div", "applname"), E.text_of))
+    b = b.withColumn("_ri", E.first_inside(F.col("_b"), "div", "rcp_view")).withColumn("_ai", E.first_inside(F.col("_b"), "span", "appl_view"))
+    block, details, stats, names = (F.col(c) for c in ("_b", "_d", "_s", "_names"))
+    (rcp_img, rcp_bad), (appl_img, appl_bad) = _image(F.col("_ri")), _image(F.col("_ai"))
+    game = regex_field("url", r"/s8/(\w+)_recipes")
     out = b.select(
-        "page_id", (F.col("_p") + 1).cast("bigint").alias("pos"),
-        regex_field("url", r"/s8/(\w+)_recipes").alias("game_mode"),
-        first_text(block, "div", "invtitle2").alias("rcp_name"),
+        "page_id", (F.col("_p") + 1).cast("bigint").alias("pos"), game.alias("game_mode"),
+        E.first_text(block, "div", "invtitle2").alias("rcp_name"),
         F.try_element_at(names, F.lit(1)).alias("appl_name"),
-        *[first_text(details, "div", css).alias(c) for c, css in (
-            ("rcp_cost", "rcpcost"), ("rcp_servings", "rcpserv"), ("rcp_time_hr", "rcptime"),
-            ("rcp_xp", "rcpxp"), ("rcp_income", "rcpincome"))],
-        _labels(details).alias("rcp_labels"),
-        regex_field(F.regexp_replace(details, TAG, " "), r"Lvl:\s*(\d+)").try_cast("int").alias("rcp_level"),
+        *[E.first_text(stats, "div", css).alias(c) for css, c in STATS],
+        _labels(details).alias("rcp_labels"), _level(details).alias("rcp_level"),
         F.when(F.size(names) > 1, F.try_element_at(names, F.lit(-1))).alias("rcp_release_date"),
-        _image(block, "div", "rcp_view").alias("rcp_img_url"),
-        _image(block, "span", "appl_view").alias("appl_img_url"),
-        _attribute(block, "a", "href").alias("rcp_url"),
-        details.rlike(opening("div", "detstats")).alias("_ok"))
+        rcp_img.alias("rcp_img_url"), appl_img.alias("appl_img_url"),
+        E.attribute(block, "a", "href").alias("rcp_url"),
+        _error((rcp_bad, "recipe image without source"), (appl_bad, "appliance image without source"),
+               (game.isNull(), "no game in the address")).alias("error"),
+        # an image is read before the details are looked for, so its error counts either way
+        (stats.isNotNull() | rcp_bad | appl_bad).alias("_ok"))
     return keep_where(out, F.col("_ok")).drop("_ok")
 
 
-def appliance_records(pages: DataFrame) -> DataFrame:
-    """Appliance rows (D3) of pages (page_id, url, html), with page_id and pos."""
+def appliance_rows(pages: DataFrame) -> DataFrame:
+    """Appliance rows (D3) of pages (page_id, url, html), with page_id, pos and ``error``.
+
+    Blocks after a page's first bad one have the error 'after a bad block'.
+    """
     b = _block_rows(pages, *APPLIANCE_BLOCK)
     block = F.col("_b")
-    details = text_of(F.try_element_at(inside(block, "span", "details"), F.lit(-1)))
-    number = lambda tag, css: F.nullif(first_text(block, tag, css), F.lit("")).try_cast("int")
+    b = (b.withColumn("_i", E.first_inside(block, "span", "appliance_parts_parts"))
+         .withColumn("_ds", E.inside(block, "span", "details"))
+         .withColumn("_lvl", E.first_text(block, "div", "lvl")).withColumn("_n", E.first_text(block, "span", "bold")))
+    image, image_bad = _image(F.col("_i"))
+    details = E.text_of(F.try_element_at(F.col("_ds"), F.lit(-1)))
+    game = regex_field("url", r"/s8/(\w+)_appl")
+    name = E.first_text(block, "div", "appltitle")
+    not_int = lambda c: F.col(c).isNotNull() & F.col(c).try_cast("int").isNull()
     out = b.select(
-        "page_id", (F.col("_p") + 1).cast("bigint").alias("pos"),
-        regex_field("url", r"/s8/(\w+)_appl").alias("game_mode"),
-        first_text(block, "div", "appltitle").alias("appl_name"),
-        _image(block, "span", "appliance_parts_parts").alias("appl_img_url"),
-        number("div", "lvl").alias("appl_unlock_level"),
+        "page_id", (F.col("_p") + 1).cast("bigint").alias("pos"), game.alias("game_mode"), name.alias("appl_name"),
+        image.alias("appl_img_url"), F.col("_lvl").try_cast("int").alias("appl_unlock_level"),
         regex_field(details, r"c:\s*(\d+)").try_cast("int").alias("appl_cost"),
         regex_field(details, r"RD:\s*([\d-]+)").alias("appl_release_date"),
-        number("span", "bold").alias("appl_recipes_count"),
-        _labels(block).alias("appl_labels"),
-        F.col("url").alias("appl_source_url"))
-    return keep_where(out, F.col("appl_name").isNotNull())
+        F.col("_n").try_cast("int").alias("appl_recipes_count"), _labels(block).alias("appl_labels"),
+        F.col("url").alias("appl_source_url"),
+        _error((name.isNull(), "no name"), (F.col("_i").isNull(), "no image part"), (image_bad, "image without source"),
+               (not_int("_lvl"), "level is no number"), (F.size("_ds") == 0, "no details"),
+               (not_int("_n"), "number of recipes is no number"), (game.isNull(), "no game in the address")).alias("error"))
+    # the blocks of one page, in order
+    before = Window.partitionBy("page_id", "appl_source_url").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    late = F.coalesce(F.max(F.col("error").isNotNull()).over(before), F.lit(False))
+    return out.withColumn("error", F.when(late, "after a bad block").otherwise(F.col("error")))
+
+
+def split_errors(rows: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
+    """(good rows without the error column, bad rows) of a table that is written once."""
+    table = written(rows, "rows")
+    return table.where(F.col(error).isNull()).drop(error), table.where(F.col(error).isNotNull())
+
+
+def recipe_records(pages: DataFrame) -> DataFrame:
+    """The good rows of :func:`recipe_rows`."""
+    return keep_where(recipe_rows(pages), F.col("error").isNull()).drop("error")
+
+
+def appliance_records(pages: DataFrame) -> DataFrame:
+    """The good rows of :func:`appliance_rows`: each page up to its first bad block."""
+    return keep_where(appliance_rows(pages), F.col("error").isNull()).drop("error")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 
@@ -39,10 +40,32 @@ def load_required(spark: SparkSession, path: str, name: str, fmt: str = "parquet
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with header and a declared schema (A1); types are not inferred and a bad row raises."""
-    return (spark.read.schema(schema).option("header", True)
-            .option("mode", "FAILFAST").csv(path))
+#: column that holds the raw text of a CSV row that does not fit the schema
+BAD_ROW = "_bad_row"
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, name: str | None = None, **options) -> DataFrame:
+    """CSV with header and a declared schema (A1); types are not inferred.
+
+    A row that does not fit the schema keeps its raw text in ``BAD_ROW`` (null for good
+    rows). A missing path raises ``MissingInput`` by name.
+    """
+    whole = StructType([*schema.fields, StructField(BAD_ROW, StringType())])
+    return load_required(spark, path, name or path, "csv", whole,
+                         **{"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, **options})
+
+
+def in_file_order(df: DataFrame, order: str) -> DataFrame:
+    """``df``, straight from a file reader, with ``order`` = 1..N by file name and place in the file.
+
+    Spark may read large files first and cut a file into several splits; the rows are
+    numbered by file, start of the split and place in it, from one written table.
+    """
+    from ..sinks.publish import dense_ids
+
+    at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                   F.monotonically_increasing_id().alias("_row"))
+    return dense_ids(at, ["_file", "_start", "_row"], order).drop("_start", "_row")
 
 
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
