@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over a corpus, in Arrow.
 
 Both vocabularies spell a text in bytes, so their tokens tile the same byte range. A batch of
-documents goes through Arrow kernels only:
+documents (about ``SLICE_BYTES`` of text) goes through Arrow kernels only:
 
 * the token lists are flattened, with the parent index of every token; byte ends are segmented
   cumulative sums of token lengths;
@@ -48,6 +48,7 @@ from .common import settled, small_batches
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = "▁"
+SLICE_BYTES = 2 << 20    # texts that are aligned together; a longer text stands alone
 # FIXED VALUE: how byte-level BPE files of this kind cut a text before merging
 _CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -254,14 +255,22 @@ def _batch_schema(kind) -> StructType:
         StructField("held", ArrayType(IntegerType())), StructField("links", BinaryType())])
 
 
+def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about ``most`` bytes of text (column 1)."""
+    size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(size) - size) // most
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]])
+    for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
 def aligned_batches(docs: DataFrame, files: Broadcast, id_col: str, text_col: str) -> DataFrame:
-    """One row per Arrow batch of documents (see the module)."""
+    """One row per slice of an Arrow batch of documents (see the module)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         side_a, side_b = sides(*files.value)
         part, at = TaskContext.get().partitionId(), 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (piece for whole in batches for piece in slices(whole, SLICE_BYTES)):
             r = aligned(b.column(1).to_pylist(), side_a, side_b)
             one = lambda x, t: pa.array([x], pa.list_(t))
             ids = pa.ListArray.from_arrays(pa.array([0, b.num_rows], pa.int32()), b.column(0))
