@@ -17,7 +17,7 @@ from .constants import DEFAULT_LEVEL, DEFAULT_MODE, DEFAULT_TIER
 from .pipeline import STEPS, run_pipeline
 from .plans.planner import cube_lookup, planner_filtered
 from .session import ensure_checkpoint_dir
-from .sources.catalogue import from_csv
+from .sources.catalogue import CsvFiles
 
 
 def main(argv=None) -> int:
@@ -31,6 +31,7 @@ def main(argv=None) -> int:
     r.add_argument("--out", required=True, help="shared output folder for step tables")
     r.add_argument("--mode", default="both")
     r.add_argument("--steps", default=",".join(STEPS))
+    r.add_argument("--force", action="store_true", help="run steps that are up to date too")
     p = sub.add_parser("plan", help="print the planner report for one game/level/tier")
     p.add_argument("--sf", default=None)
     p.add_argument("--mode", default=DEFAULT_MODE)
@@ -47,8 +48,8 @@ def main(argv=None) -> int:
     spark = SparkSession.builder.appName("slotplan").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.cmd == "run":
-        source = args.sf or from_csv(spark, args.recipes, args.appliances, args.levels)
-        paths = run_pipeline(spark, source, args.out, args.mode, args.steps.split(","))
+        source = args.sf or CsvFiles(args.recipes, args.appliances, args.levels)
+        paths = run_pipeline(spark, source, args.out, args.mode, args.steps.split(","), force=args.force)
         for k, v in paths.items():
             print(f"{k}\t{v}")
     elif args.cube:

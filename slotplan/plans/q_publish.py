@@ -115,10 +115,41 @@ def q_asset_manifest(spark, sf_dir):
     """Image URLs → file names, position, percent, DOWNLOAD or SKIP
     (files already in the asset folder, or a name already taken, are skipped)."""
     a = fixtures.appliances(spark, sf_dir)
-    # the folder's files: what an earlier run has left (names that end in 7)
+    # what an earlier run has left: whole files for the names that end in 7, broken ones for those in 3
     name = url_basename_png("appl_img_url")
-    have = a.select(name.alias("filename")).where(F.col("filename").endswith("7.png"))
-    return S.asset_plan(a, "appl_img_url", "appl_ord", have)
+    left = (a.where(F.col("appl_img_url").isNotNull()).select(name.alias("filename")).distinct()
+            .where(F.col("filename").rlike("[37][.]png$")))
+    folder = S.scratch_path(spark, "assets")
+    body = F.when(F.col("filename").endswith("7.png"), F.lit("image " * 8)).otherwise(F.lit("x"))
+    left.select(body.alias("value"), "filename").write.partitionBy("filename").text(folder)
+    return S.asset_plan(a, "appl_img_url", "appl_ord", S.existing_files(spark, folder, min_bytes=16))
+
+
+_CHUNK_OF = "(row_number() over (order by case game_mode when 'restaurant' then 0 else 1 end, rcp_ord)) as id"
+
+
+@register("q_chunk_changes", O.with_ctes("master", extra=f"""before as (
+select id, id // 1000 as chunk_id, rcp_ord, rcp_name, rcp_profit from (select *, {_CHUNK_OF} from master)),
+after as (
+select id, id // 1000 as chunk_id, rcp_ord, case when rcp_ord % 4999 = 42 then 'renamed' else rcp_name end as rcp_name, rcp_profit
+from (select *, {_CHUNK_OF} from master where rcp_ord < (select max(o_orderkey) from orders) - 2500)),
+b as (select chunk_id, count(*) as n, string_agg(id || '|' || rcp_ord || '|' || rcp_name || '|' || coalesce(rcp_profit::varchar, '?'), ';' order by id) as t
+      from before group by chunk_id),
+a as (select chunk_id, count(*) as n, string_agg(id || '|' || rcp_ord || '|' || rcp_name || '|' || coalesce(rcp_profit::varchar, '?'), ';' order by id) as t
+      from after group by chunk_id)""") + """
+select coalesce(a.chunk_id, b.chunk_id) as chunk_id,
+       case when a.chunk_id is null then 'REMOVE' when a.t = b.t then 'KEEP' else 'WRITE' end as action, coalesce(a.n, 0) as n_rows
+from a full join b on a.chunk_id = b.chunk_id""")
+def q_chunk_changes(spark, sf_dir):
+    """Chunks that a second publication writes, keeps or removes. Some rows have another
+    name, and the table ends earlier; nothing else changes."""
+    from ..sinks.store import chunk_changes, chunk_digests
+    m = inputs.master(spark, sf_dir).select(source_index("game_mode").alias("src_idx"), "rcp_ord", "rcp_name", "rcp_profit")
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("last"))
+    after = (m.join(last, F.col("rcp_ord") < F.col("last") - 2500).drop("last")
+             .withColumn("rcp_name", F.when(F.col("rcp_ord") % 4999 == 42, "renamed").otherwise(F.col("rcp_name"))))
+    digests = lambda df: chunk_digests(S.chunk_plan(df, ["src_idx", "rcp_ord"]).select("id", "chunk_id", "rcp_ord", "rcp_name", "rcp_profit"))
+    return chunk_changes(digests(after), digests(m)).select("chunk_id", "action", "n_rows")
 
 
 @register("q_multi_source_union", O.with_ctes("fx_recipe_raw") + """

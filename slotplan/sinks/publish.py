@@ -190,38 +190,56 @@ def write_jdbc(df: DataFrame, url: str, table: str, batchsize: int = 1000, **ext
 
 
 def archive_and_replace(spark: SparkSession, df: DataFrame, table: str, ts) -> str | None:
-    """Rename the current table to ``<table>_YYYYmmdd_HHMMSS`` and save the new one.
+    """Rename the current table to ``<table>_YYYYmmdd_HHMMSS`` and put the new one in its place.
 
-    ``ts`` is passed in (a datetime), so reruns are reproducible. Returns the
-    archive name, or None when there was nothing to archive.
+    The new table is saved under another name first; two renames follow. A save that fails
+    leaves the current table as it was. ``ts`` is passed in (a datetime), so reruns are
+    reproducible. Returns the archive name, or None when there was nothing to archive.
     """
+    stage = f"{table}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {stage}")
+    df.write.mode("errorifexists").saveAsTable(stage)
     archived = None
     if spark.catalog.tableExists(table):
         archived = spark.range(1).select(archive_name(F.lit(table), F.lit(ts))).first()[0]
         spark.sql(f"ALTER TABLE {table} RENAME TO {archived}")
-    df.write.mode("overwrite").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {stage} RENAME TO {table}")
     return archived
 
 
-# ------------------------------------------------------------------ assets
-
 def publish(df: DataFrame, table: str, ts, order_cols: Sequence[str],
             chunk_rows: int = EXPORT_CHUNK_ROWS) -> str | None:
     """The export of ``df`` as a table, in chunks; the current table is archived first.
 
-    Returns the archive's name, or None when there was nothing to archive.
+    Returns the archive's name, or None when there was nothing to archive. ``store.Store``
+    does the same in a folder, writing changed chunks only.
     """
     return archive_and_replace(df.sparkSession, chunk_plan(df, order_cols, chunk_rows), table, ts)
 
 
-def existing_files(spark: SparkSession, folder: str) -> DataFrame:
-    """File names already present in a folder (B14); empty when the folder is absent."""
+# ------------------------------------------------------------------ assets
+
+#: files shorter than this count as not there (a download that broke off)
+MIN_ASSET_BYTES = 1
+
+
+def existing_files(spark: SparkSession, folder: str, min_bytes: int = MIN_ASSET_BYTES) -> DataFrame:
+    """(filename, length) of the files of a folder (B14), from its listing: no content is read.
+
+    Files shorter than ``min_bytes`` count as absent. A folder ``filename=<name>``, as Spark's
+    partitioned writers make it, counts as the file <name> with the length of its parts.
+    Empty when the folder is absent.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
-        files = spark.read.format("binaryFile").load(folder).select("path")
+        files = files.load(folder).select("path", "length")
         files.schema
     except AnalysisException:
-        return spark.createDataFrame([], "filename string")
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("filename"))
+        return spark.createDataFrame([], "filename string, length bigint")
+    part = F.regexp_extract("path", r"/filename=([^/]+)/[^/]+$", 1)
+    name = F.when(part != "", F.url_decode(part)).otherwise(F.element_at(F.split("path", "/"), -1))
+    sizes = files.groupBy(name.alias("filename")).agg(F.sum("length").alias("length"))
+    return sizes.where(F.col("length") >= min_bytes)
 
 
 def asset_plan(urls: DataFrame, url_col: str, order_col: str, existing: DataFrame) -> DataFrame:

@@ -36,6 +36,18 @@ class Catalogue:
     appliances: DataFrame    # D3 plus appl_ord
     levels: DataFrame        # D4, all text
     rejected: DataFrame | None = None    # rows that do not fit their schema: input, file, row_no, raw
+    inputs: list[str] | None = None      # the files it was read from
+
+
+@dataclass
+class CsvFiles:
+    """Three CSV files (or folders of them), read when a step needs them."""
+    recipes: str
+    appliances: str
+    levels: str
+
+    def load(self, spark: SparkSession) -> Catalogue:
+        return from_csv(spark, self.recipes, self.appliances, self.levels)
 
 
 def _read(spark: SparkSession, path: str, name: str, schema: T.StructType, order: str) -> tuple[DataFrame, DataFrame]:
@@ -56,7 +68,8 @@ def from_csv(spark: SparkSession, recipes: str, appliances: str, levels: str) ->
     rec, bad_rec = _read(spark, recipes, "recipes", RECIPES, "rcp_ord")
     appl, bad_appl = _read(spark, appliances, "appliances", APPLIANCES, "appl_ord")
     lev, bad_lev = _read(spark, levels, "levels", LEVELS, "_ord")
-    return Catalogue(rec, appl, clean_columns(lev.drop("_ord")), bad_rec.unionByName(bad_appl).unionByName(bad_lev))
+    return Catalogue(rec, appl, clean_columns(lev.drop("_ord")), bad_rec.unionByName(bad_appl).unionByName(bad_lev),
+                     [recipes, appliances, levels])
 
 
 def from_base_tables(spark: SparkSession, sf_dir: str) -> Catalogue:

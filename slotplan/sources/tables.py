@@ -1,9 +1,7 @@
-"""Base table readers (A1, A2, A3, A4)."""
+"""Base table readers (A1, A2, A4)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -66,16 +64,3 @@ def in_file_order(df: DataFrame, order: str) -> DataFrame:
     at = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
                    F.monotonically_increasing_id().alias("_row"))
     return dense_ids(at, ["_file", "_start", "_row"], order).drop("_start", "_row")
-
-
-def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame],
-                  fmt: str = "parquet") -> DataFrame:
-    """Read a saved table if present, otherwise build it, save it, and read it back (A3).
-
-    Reading back cuts the lineage: later steps start from the written table.
-    """
-    try:
-        return load_required(spark, path, path, fmt=fmt)
-    except MissingInput:
-        build().write.mode("overwrite").format(fmt).save(path)
-        return spark.read.format(fmt).load(path)

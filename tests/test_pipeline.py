@@ -5,6 +5,7 @@ import os
 import pytest
 
 from slotplan.pipeline import run_pipeline
+from slotplan.sinks.store import Store
 from slotplan.sources.tables import MissingInput
 from tests.conftest import SF_SMALL
 
@@ -72,7 +73,7 @@ def test_pipeline_from_plain_csv(spark, tmp_path):
     assert (bun["rcp_cost"], bun["rcp_income"], bun["rcp_profit"], bun["rcp_time_min"]) == (5, 1000, 995, 120)
     assert bun["appl_labels"] == "Build, Gem" and bun["appl_source_url"] == "http://s/b" and bun["appl_img_url"] is None
     assert rows["Soup"]["min_to_lvl99"] > 0
-    chunks = spark.read.parquet(paths["master_chunks"]).orderBy("id").collect()
+    chunks = Store(spark, paths["master_chunks"]).read().orderBy("id").collect()
     assert [r["rcp_name"] for r in chunks] == ["Soup", "Roast", "Bun"]
     js = "".join(open(os.path.join(paths["master_js"], p)).read() for p in sorted(os.listdir(paths["master_js"])) if p.startswith("part-"))
     assert js.index("Soup") < js.index("Roast") < js.index("Bun") and js.rstrip().endswith("];")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from slotplan.operators.clean import clean_columns, priority_order
 from slotplan.sinks import publish as S
 from slotplan.sources.multi import select_sources, union_sources
-from slotplan.sources.tables import MissingInput, load_required, read_or_build
+from slotplan.sources.manifest import read_or_build
+from slotplan.sources.tables import MissingInput, load_required
 
 import pytest
 
