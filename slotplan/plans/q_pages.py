@@ -18,12 +18,18 @@ register = Registry()
 
 
 def _pages(spark, sf_dir):
-    """The page table; some pages lose their heading or all their paragraphs, as in a real crawl."""
+    """The page table as given, and extra pages made from some of them, under new ids and sites.
+
+    The extra pages have no heading, or no paragraphs, as some pages of a real crawl do; the
+    given pages are not touched.
+    """
     p = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    bare = F.regexp_replace("html", "<(/?)h1", "<$1h6")
-    html = F.when(F.col("page_id") % 11 == 5, bare).otherwise(F.col("html"))
-    flat = F.regexp_replace(html, "<(/?)p>", "<$1span>")
-    return p.withColumn("html", F.when(F.col("page_id") % 9 == 4, flat).otherwise(html))
+    site = F.replace("url", F.lit("://"), F.lit("://extra."))
+    bare = p.where("page_id % 11 = 5").select((-2 * F.col("page_id") - 1).alias("page_id"), site.alias("url"),
+                                              F.regexp_replace("html", "<(/?)h1", "<$1h6").alias("html"))
+    flat = p.where("page_id % 9 = 4").select((-2 * F.col("page_id") - 2).alias("page_id"), site.alias("url"),
+                                             F.regexp_replace("html", "<(/?)p>", "<$1span>").alias("html"))
+    return p.unionByName(bare).unionByName(flat)
 
 
 def _q(s: str) -> str:
@@ -31,11 +37,10 @@ def _q(s: str) -> str:
 
 
 # DuckDB forms. They cut texts at openings and closings instead of matching whole elements.
-_PAGE_X = r"""page_h as (
-select page_id, url, case when page_id % 11 = 5 then regexp_replace(html, '<(/?)h1', '<\1h6', 'g') else html end as h
-from pages),
-page_g as (
-select page_id, url, case when page_id % 9 = 4 then regexp_replace(h, '<(/?)p>', '<\1span>', 'g') else h end as html from page_h),
+_PAGE_X = r"""page_g as (
+select page_id, url, html from pages
+union all select -2 * page_id - 1, replace(url, '://', '://extra.'), regexp_replace(html, '<(/?)h1', '<\1h6', 'g') from pages where page_id % 11 = 5
+union all select -2 * page_id - 2, replace(url, '://', '://extra.'), regexp_replace(html, '<(/?)p>', '<\1span>', 'g') from pages where page_id % 9 = 4),
 page_x as (
 select page_id, url, html,
        array_to_string(list_transform(string_split_regex(html, '(?i)<!--|<script|<style'),
@@ -342,7 +347,7 @@ def _source_urls(spark, sf_dir):
                    F.concat(F.lit("http://www.example.com/s8/"), F.col("game_mode"),
                             F.lit("_recipes_all.php?page="),
                             (F.floor(F.col("rcp_ord") / 40) + 1).cast("string")).alias("url"))
-    pg = _pages(spark, sf_dir).select(F.lit("page").alias("src"), F.col("page_id").alias("id"), "url")
+    pg = read_table(spark, sf_dir, "pages").select(F.lit("page").alias("src"), F.col("page_id").alias("id"), "url")
     return rec.unionByName(pg)
 
 

@@ -78,7 +78,12 @@ def nav_links(html) -> Column:
     The attribute may stand anywhere in the tag and may be quoted in any way; a link
     without it has a null href. Markup inside a link is no part of its text.
     """
-    nav = F.regexp_extract(clean_html(html), NAV, 1)
+    return links_inside(clean_html(html))
+
+
+def links_inside(cleaned) -> Column:
+    """:func:`nav_links` of HTML that :func:`clean_html` has been through."""
+    nav = F.regexp_extract(col_of(cleaned), NAV, 1)
     attrs = F.regexp_extract_all(nav, F.lit(LINK), 1)
     hrefs = F.transform(attrs, _href)
     texts = F.transform(F.regexp_extract_all(nav, F.lit(LINK), 2),
@@ -107,12 +112,15 @@ def page_details(pages: DataFrame) -> DataFrame:
 
     Pages without a heading are skipped (K4); missing parts are null (K2, K7, G5).
     """
-    links = nav_links("html")
-    out = pages.select(
+    # cleaned once, and the links read once from that
+    clean = pages.select("page_id", "url", clean_html("html").alias("_html"))
+    clean = clean.withColumn("_links", links_inside("_html"))
+    links = F.col("_links")
+    out = clean.select(
         "page_id", url_host("url").alias("host"),
-        first_text(clean_html("html"), TITLE).alias("title"),
-        first_text(clean_html("html"), H1).alias("heading"),
-        first_text(clean_html("html"), AD).alias("ad_text"),
+        first_text("_html", TITLE).alias("title"),
+        first_text("_html", H1).alias("heading"),
+        first_text("_html", AD).alias("ad_text"),
         F.try_element_at(links, F.lit(1))["text"].alias("first_link"),
         F.when(F.size(links) > 1, F.try_element_at(links, F.lit(-1))["text"]).alias("last_link"),
     )

@@ -19,9 +19,15 @@ def test_flag_has_two_values(spark, name, col):
 
 
 def test_rows_are_dropped_and_kept(spark):
-    pages = spark.read.parquet(f"{SF_MID}/pages.parquet").count()
+    """The given pages are read as they are; the extra ones (negative ids) lack parts."""
+    given = spark.read.parquet(f"{SF_MID}/pages.parquet")
+    extra = given.where("page_id % 11 = 5").count() + given.where("page_id % 9 = 4").count()
     for name in ("q_pages_details", "q_take_while_pages"):
-        assert 0 < QUERIES[name](spark, SF_MID).count() < pages
+        kept = QUERIES[name](spark, SF_MID)
+        assert kept.where("page_id >= 0").count() == given.count()
+        assert 0 < kept.where("page_id < 0").count() < extra
+    counts = QUERIES["q_page_counts"](spark, SF_MID)
+    assert counts.where("n_blocks = 0").count() == given.where("page_id % 9 = 4").count() and counts.count() == given.count() + extra
     orders = spark.read.parquet(f"{SF_MID}/orders.parquet").count()
     assert 0 < QUERIES["q_recipe_records"](spark, SF_MID).count() < orders
 
