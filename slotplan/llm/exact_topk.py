@@ -17,7 +17,9 @@ A task holds one query block and one candidate block; blocks have a fixed size.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite
 components take no part; shorter vectors count as padded with zeros; rows that
-share an id count once, with the smallest vector; ties go to the smaller id;
+share an id are rows of their own: each is a candidate of the others, and each query row has
+its own ranking; rows without an id are candidates (and queries where ``is_query`` says so);
+ties go to the smaller id (null last), then to the smaller vector;
 fewer than k candidates give them all; an empty table gives no rows; extra columns
 are ignored. Scores are 64-bit integers, as long as the true sums are.
 """
@@ -32,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotplan.sinks.publish import dense_ids
+
 from .common import settled
 
 BLOCK_ROWS = 8192
@@ -41,12 +45,16 @@ _SLACK = 1e-6        # relative slack of floating-point bounds; scores are exact
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
-    """(vec_id, v): one row per id, components ``floor(scale * x)``."""
+    """(row, vec_id, v): usable rows under a key of their own, components ``floor(scale * x)``.
+
+    ``row`` counts from 1 in the order of (vec_id, null last; vector), so ties by ``row`` are
+    ties by id.
+    """
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     raw = df.select(F.col(id_col).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("x"))
-    good = raw.where(F.col("vec_id").isNotNull() & F.coalesce((F.size("x") > 0) & F.forall("x", finite), F.lit(False)))
-    return (good.groupBy("vec_id").agg(F.min("x").alias("x"))
-            .select("vec_id", F.transform("x", lambda x: F.floor(x * scale).cast("long")).alias("v")))
+    good = raw.where(F.coalesce((F.size("x") > 0) & F.forall("x", finite), F.lit(False)))
+    vecs = good.select("vec_id", F.transform("x", lambda x: F.floor(x * scale).cast("long")).alias("v"), F.col("vec_id").isNull().alias("_none"))
+    return dense_ids(vecs, ["_none", "vec_id", "v"], "row").select("row", "vec_id", "v")
 
 
 def _matrix(col, dims: int) -> np.ndarray:
@@ -210,11 +218,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     candidates.
     """
     spark = vectors.sparkSession
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rows = settled(usable(vectors, id_col, vec_col, scale), "topk-vectors")
-    n, dims, asked = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count(F.when(is_query, 1))).first()
+    named = settled(usable(vectors, id_col, vec_col, scale).withColumn("asked", F.coalesce(is_query, F.lit(False))), "topk-vectors")
+    kind = named.schema["vec_id"].dataType.simpleString()
+    n, dims, asked = named.agg(F.count(F.lit(1)), F.max(F.size("v")), F.count_if("asked")).first()
     if not n or not asked:
-        return empty
+        return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score long")
+    names = named.select("row", "vec_id")
+    rows, is_query = named.select(F.col("row").alias("vec_id"), "v", "asked"), F.col("asked")
     rot, head = rotation(rows, dims), max(1, dims // 4)
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     blocks = settled(_packed(
@@ -244,13 +254,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         ready = settled(queries.join(thetas, "qb", "left").mapInArrow(
             _with_thetas(dims), "qb long, q_ids binary, q_vecs binary, q_theta binary, need double"), "topk-ready")
         # pairs of block names first; pairs that the length bound rules out move no vectors
-        names = (ready.select("qb", "need", F.explode(F.sequence(F.lit(1), F.lit(n_blocks - 1))).alias("nr"))
+        block_names = (ready.select("qb", "need", F.explode(F.sequence(F.lit(1), F.lit(n_blocks - 1))).alias("nr"))
                  .join(numbers, "nr").where("longest >= need").select("qb", "block"))
-        pairs = names.join(blocks, "block").join(ready, "qb")
+        pairs = block_names.join(blocks, "block").join(ready, "qb")
         found = first.unionByName(_scored(pairs, dims, rot, head, k))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    # back from row keys to ids
+    asker = names.select(F.col("row").alias("query_id"), F.col("vec_id").alias("_q"))
+    return (ranked.join(asker, "query_id").select(F.col("_q").alias("query_id"), "rank", F.col("vec_id").alias("row"), "score")
+            .join(names, "row").select("query_id", "rank", "vec_id", "score"))
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

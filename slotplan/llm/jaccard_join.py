@@ -23,7 +23,8 @@ approximate and is bounded (``MAX_FREQUENT``). Shingles are 64-bit hashes.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing;
 a text of fewer than five words is one shingle; repeated rows and ids are separate
-rows of one class; ties need no rule; an empty table gives an empty result; extra
+rows of one class; rows without an id link like any other (their component is the smallest
+id of the linked rows that have one, null where none has); ties need no rule; an empty table gives an empty result; extra
 columns are ignored.
 """
 
@@ -99,7 +100,7 @@ def _frequent(rows) -> Frequency:
 
 
 def _members(docs: DataFrame) -> DataFrame:
-    """One pass over the texts: rows (kind 0, doc_id, n, cls) and (kind 1, null, count, shingle).
+    """One pass over the texts: rows (kind 0, doc_id, n, cls, rid) and (kind 1, null, count, shingle, null).
 
     Kind 1 is each task's mergeable heavy-hitter summary: counts fall short by at
     most the task's shingles divided by ``SUMMARY``.
@@ -119,13 +120,14 @@ def _members(docs: DataFrame) -> DataFrame:
                     total -= np.partition(total, len(total) - SUMMARY - 1)[len(total) - SUMMARY - 1]
                 keys, counts = both[total > 0], total[total > 0]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([0] * len(n), pa.int32()), b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64())],
-                ["kind", "doc_id", "n", "cls"])
+                [pa.array([0] * len(n), pa.int32()), b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), b.column(2)],
+                ["kind", "doc_id", "n", "cls", "rid"])
+        none = pa.nulls(len(keys), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([1] * len(keys), pa.int32()), pa.nulls(len(keys), pa.int64()), pa.array(counts), pa.array(keys.view(np.int64))],
-            ["kind", "doc_id", "n", "cls"])
+            [pa.array([1] * len(keys), pa.int32()), none, pa.array(counts), pa.array(keys.view(np.int64)), none],
+            ["kind", "doc_id", "n", "cls", "rid"])
 
-    return settled(docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, n long, cls long"), "jaccard-members")
+    return settled(docs.select("doc_id", "text", "rid").mapInArrow(run, "kind int, doc_id long, n long, cls long, rid long"), "jaccard-members")
 
 
 def _first_shingles(docs: DataFrame, order: Frequency) -> DataFrame:
@@ -173,7 +175,7 @@ def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
                         [pa.array([want[c.first + i] for i in good], pa.int64()), pa.array(sizes, pa.int64()),
                          pa.ListArray.from_arrays(offsets, flat)], ["cls", "n", "tokens"])
 
-    rows = docs.select(F.col("doc_id").alias("rep"), "text").join(sized(chosen.select("rep", "cls")), "rep")
+    rows = docs.select(F.col("rid").alias("rep"), "text").join(sized(chosen.select("rep", "cls")), "rep")
     return settled(rows.select("text", "cls").mapInArrow(run, "cls long, n long, tokens array<long>"), "jaccard-sets")
 
 
@@ -432,9 +434,11 @@ def _by_size(member: DataFrame) -> tuple[DataFrame, DataFrame]:
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, class_id (null without words) and component_id, one row per input row."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    # finds a class's text again: rows without an id go by their text
+    docs = docs.withColumn("rid", F.coalesce("doc_id", F.xxhash64("text")))
     both = _members(docs)
     rows = both.where("kind = 0")
-    classes = rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"))
+    classes = rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("rid").alias("rep"), F.min("doc_id").alias("least_id"))
     total = rows.agg(F.sum("n")).first()[0] or 0
     heavy = (both.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("c"))
              .where(F.col("c") * 100_000 >= total).orderBy(F.desc("c"), "cls").limit(MAX_FREQUENT).collect())
@@ -462,8 +466,8 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     trees = settled(_groups(sets.join(sized(groups), "cls"), exact=True), "jaccard-links")
     roots = components(trees if found is None else trees.unionByName(found))
     whole = settled(classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-                    .select("cls", "rep", F.coalesce("root", "cls").alias("root")), "jaccard-roots")
-    least = settled(whole.groupBy("root").agg(F.min("rep").alias("component_id")), "jaccard-least")
+                    .select("cls", "least_id", F.coalesce("root", "cls").alias("root")), "jaccard-roots")
+    least = settled(whole.groupBy("root").agg(F.min("least_id").alias("component_id")), "jaccard-least")
     named = settled(whole.join(least, "root").select("cls", "component_id"), "jaccard-named")
     return (rows.join(named, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.col("cls").alias("class_id"),

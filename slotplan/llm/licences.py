@@ -172,14 +172,21 @@ def matches(found: DataFrame, steps: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, rules=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_matches, licences (sorted, distinct) and rules with their first sentence."""
+    """Per row: doc_id, n_matches, licences (sorted, distinct) and rules with their first sentence.
+
+    Texts are matched row by row: rows that share an id are texts of their own, and a row
+    without an id is matched like any other. Equal rows have equal finds.
+    """
     known, steps = rule_tables(docs.sparkSession, rules)
-    finds = matches(recognised(docs, known, id_col, text_col), steps)
-    per_doc = finds.groupBy("doc_id").agg(
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.struct(
+        F.col(id_col).alias("id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")).alias("_key"), text.alias("_in"))
+    finds = matches(recognised(keyed.select("_key", "_in"), known, "_key", "_in"), steps)
+    per_text = finds.groupBy(F.col("doc_id").alias("_of")).agg(
         F.count(F.lit(1)).alias("n_matches"), F.sort_array(F.collect_set("licence")).alias("licences"),
         F.sort_array(F.collect_list(F.struct("start", "rule"))).alias("finds"))
     empty = F.array().cast("array<string>")
-    return (docs.select(F.col(id_col).alias("doc_id")).join(per_doc, "doc_id", "left")
+    return (keyed.select("doc_id", "_key").join(per_text, F.col("_key").eqNullSafe(F.col("_of")), "left")
             .select("doc_id", F.coalesce("n_matches", F.lit(0).cast("long")).alias("n_matches"),
                     F.coalesce("licences", empty).alias("licences"),
                     F.coalesce("finds", F.array().cast("array<struct<start:int,rule:string>>")).alias("finds")))

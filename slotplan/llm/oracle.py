@@ -111,14 +111,14 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 OP9 = """
 WITH good AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM good q JOIN good c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
-SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+  FROM good q JOIN good c ON q.vec_id % 100 = 0 AND q.r <> c.r)
+SELECT query_id, (row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 10
 """
 

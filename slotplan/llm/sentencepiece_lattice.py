@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -269,15 +270,22 @@ def encoded_words(words: DataFrame, model: Model) -> DataFrame:
 class Dictionary:
     """Frequent segments by hash; position = place in the table."""
 
-    def __init__(self, words: list[str], ids: list[list[int]]):
-        data = "".join(words).encode()
-        size = np.array([len(w.encode()) for w in words], dtype=np.int64)
-        end = np.cumsum(size)
-        hashes = W._word_hashes(np.frombuffer(data, dtype=np.uint8), end - size, end) if words else np.zeros(0, np.uint64)
+    def __init__(self, hashes: np.ndarray, ids: np.ndarray, at: np.ndarray):
+        """``hashes`` of the segments; the ids of segment i are ``ids[at[i]:at[i + 1]]``."""
         self.order = np.argsort(hashes).astype(np.int32)
         self.hashes = hashes[self.order]
-        self.ids = np.array([i for x in ids for i in x], dtype=np.int32)
-        self.at = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int64)
+        self.ids, self.at = ids, at
+
+    @classmethod
+    def of(cls, batches: list[pa.RecordBatch]) -> Dictionary:
+        """From (hash, ids) batches; each is let go once its numbers are copied."""
+        hashes, ids, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        while batches:
+            b = batches.pop()
+            hashes.append(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            ids.append(b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.int32))
+            sizes.append(pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False).astype(np.int64))
+        return cls(np.concatenate(hashes), np.concatenate(ids), np.cumsum(np.concatenate(sizes)))
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each segment, -1 where it is not in the table."""
@@ -310,11 +318,18 @@ def dictionary(docs: DataFrame, model: Model, hot: int = HOT) -> Dictionary:
             break
         least = r["n"]
     if least is None:
-        return Dictionary([], [])
+        return Dictionary.of([])
     # spread by word first: the edges of a word are then grouped where they are made
     chosen = counts.where(F.col("n") >= least).select("word").repartition("word")
-    found = encoded_words(chosen, model).select("word", "ids").toArrow()
-    return Dictionary(found.column("word").to_pylist(), found.column("ids").to_pylist())
+    return Dictionary.of(encoded_words(chosen, model).select("word", "ids").mapInArrow(_hashed, "h long, ids array<int>").toArrow().to_batches())
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hash, ids) of (word, ids): words stay on the executors."""
+    for b in batches:
+        offsets, data = W._string_parts(b.column(0))
+        h = W._word_hashes(data[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0]) if b.num_rows else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(1)], ["h", "ids"])
 
 
 def decode(ids: np.ndarray, at: np.ndarray, texts: list[bytes]) -> list[bytes]:

@@ -248,3 +248,24 @@ def test_native_operators_run_no_python(spark):
     for df in (quality_rules.apply_policy(quality_rules.ledger(d)), licences.scan(d)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_licences_are_found_row_by_row(spark):
+    """Halves under one id make no licence; rows without an id keep their finds."""
+    whole = "\n\n".join(licences.LICENCE_RULES["mit-text"][1])
+    sentences = licences.LICENCE_RULES["mit-text"][1]
+    half = len(sentences) // 2
+    rows = [(1, "\n\n".join(sentences[:half])), (1, "\n\n".join(sentences[half:])), (None, whole), (2, whole), (2, "plain words"), (2, whole)]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r["doc_id"] or 0, "MIT" in "".join(r["licences"])) for r in got)) == [
+        (0, True), (1, False), (1, False), (2, False), (2, True), (2, True)]
+
+
+def test_jaccard_links_rows_without_an_id(spark):
+    one, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("a", "b"))
+    rows = [(None, one), (None, one + " x"), (None, other), (7, other + " y"), (9, other), (None, "alone here"), (None, None)]
+    got = jaccard_join.linked_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr)
+    assert by == sorted([(None, 56, None), (None, 57, None), (None, 56, 7), (7, 57, 7), (9, 56, 7), (None, 1, None), (None, 0, None)], key=repr)
+    classes = {(r["n_shingles"], r["class_id"]) for r in got}
+    assert len(classes) == 6

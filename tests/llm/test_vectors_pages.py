@@ -12,18 +12,14 @@ from slotplan.llm import exact_topk, url_reputation, warc
 
 
 def brute_top(rows, k, scale=1024.0):
-    best = {}
-    for i, v in rows:
-        if i is None or not v or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        best[i] = min(best.get(i, v), v)
-    vecs = {i: [math.floor(scale * x) for x in v] for i, v in best.items()}
+    """Every usable row is a candidate of every other; each query row has its own ranking."""
+    vecs = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, x in vecs.items():
-        if q % 100 == 0:
-            scored = sorted(((-sum(a * b for a, b in zip(x, y)), c) for c, y in vecs.items() if c != q))[:k]
-            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored)]
-    return sorted(out)
+    for at, (q, x) in enumerate(vecs):
+        if q is not None and q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(x, y)), c is None, c or 0, c) for other, (c, y) in enumerate(vecs) if other != at)[:k]
+            out += [(q, r + 1, c, -s) for r, (s, _, _, c) in enumerate(scored)]
+    return sorted(out, key=repr)
 
 
 @pytest.mark.parametrize("block,k", [(8192, 10), (7, 3)])
@@ -31,11 +27,18 @@ def test_top_k_equals_brute_force(spark, block, k):
     rnd = random.Random(block)
     rows = [(i, [rnd.gauss(0, 1) * (1 + i % 5) for _ in range(6)]) for i in range(150)]
     rows += [(200, rows[3][1]), (201, rows[3][1]), (202, rows[3][1]), (300, [0.0] * 6), (3, [0.5] * 6)]      # ties, zeros, a repeated id
-    rows += [(400, None), (401, []), (500, [1.0, None]), (501, [float("nan")] * 6), (502, [float("inf")] * 6), (600, [1.0, -2.0]), (None, [1.0])]
+    rows += [(400, None), (401, []), (500, [1.0, None]), (501, [float("nan")] * 6), (502, [float("inf")] * 6), (600, [1.0, -2.0]), (None, [1.0]),
+             (None, [9.0] * 6), (600, [1.0, -2.0]), (100, [5.0] * 6)]                     # rows without an id, repeated query rows
     df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, qb string, rank int")
     rows = [(r["vec_id"], r["embedding"]) for r in df.collect()]
     got = exact_topk.top_k(df, F.col("vec_id") % 100 == 0, k=k, block_rows=block, query_rows=2)
-    assert sorted(map(tuple, got.collect())) == brute_top(rows, k)
+    assert sorted(map(tuple, got.collect()), key=repr) == brute_top(rows, k)
+
+
+def test_top_k_of_two_rows_with_one_id(spark):
+    df = spark.createDataFrame([(1, [1.0]), (1, [5.0]), (100, [1.0])], "vec_id long, embedding array<float>")
+    got = exact_topk.top_k(df, F.col("vec_id") % 100 == 0, k=2)
+    assert sorted(map(tuple, got.collect())) == [(100, 1, 1, 5 << 20), (100, 2, 1, 1 << 20)]
 
 
 def test_top_k_small_tables(spark):
