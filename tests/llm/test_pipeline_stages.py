@@ -41,6 +41,17 @@ def test_stages_take_odd_rows(spark):
         assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
     assert [r["doc_id"] for r in corpus_pipeline.quality(spark, docs, SF_SMALL).collect()] == [2, 2]
     assert corpus_pipeline.near_duplicates(spark, docs.where("doc_id = 2"), SF_SMALL).count() == 1
+    final = corpus_pipeline.encoding(spark, docs, SF_SMALL).collect()
+    assert len(final) == len(rows) and all(r["round_trip"] for r in final) and {r["n_tokens"] == 0 for r in final} == {True, False}
+    assert corpus_pipeline.encoding(spark, docs.limit(0), SF_SMALL).count() == 0
+
+
+def test_near_duplicates_with_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text, 7, "k", "c"), (2, text + " x", 8, "l", "d"), (3, "alone", 9, "m", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id int, _key string, _comp string")
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
 
 
 def test_near_duplicates_judge_rows(spark):
@@ -59,4 +70,4 @@ def test_near_duplicates_judge_rows(spark):
 def test_every_operator_is_registered():
     names = entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "substring_dedup", "mixing", "sentencepiece"]
-    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 11))
+    assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 14))
