@@ -19,6 +19,8 @@ QUERIES: dict[str, Query] = {
     "q_planner_filtered": planner.planner_filtered,
     "q_planner_cube": planner.planner_cube,
     "q_planner_any_time": planner.planner_any_time,
+    "q_planner_sql_function": planner.planner_sql_function,
+    "q_planner_images": planner.planner_images,
 }
 ORACLE: dict[str, str] = dict(oracle.ORACLE)
 

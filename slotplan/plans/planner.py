@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..constants import (DEFAULT_LEVEL, DEFAULT_MODE, DEFAULT_TIER, MODES, RETURN_SLOTS,
                          RETURN_SLOTS_TIERS, TIER_MAX_SCORE, TIERS)
-from ..functions.fmt import rate_2dp, rate_js
+from ..functions.fmt import display, format_short as format_slot, rate_2dp, rate_js
 from ..functions.text import empty_label_sql
 from ..operators.joins import sized_join
 from ..operators.quality import keep_where
@@ -301,3 +301,26 @@ def planner_any_time(spark, sf_dir) -> DataFrame:
         F.lit(DEFAULT_MODE).alias("game_mode"), F.lit(DEFAULT_LEVEL).alias("level"),
         F.explode(F.array(*[F.lit(t) for t in TIERS])).alias("recipe_type"), F.col("id").alias("return_time")))
     return planner_at(asks, steps)
+
+
+def planner_sql_function(spark, sf_dir) -> DataFrame:
+    """The interactive planner called from SQL, as a table function over the master table."""
+    from ..functions.sql import register_planner
+
+    register_planner(spark, inputs.master(spark, sf_dir))
+    return spark.sql(f"SELECT * FROM planner('{DEFAULT_MODE}', {DEFAULT_LEVEL}, '{DEFAULT_TIER}')")
+
+
+def planner_images(spark, sf_dir) -> DataFrame:
+    """The interactive report with its image columns ('' where there is none), every slot kept."""
+    pick = lambda m, what: (m, {f"best_{what}_recipe": "rcp_name", f"best_{what}_appl": "appl_name", f"best_{what}": m, f"best_{what}_img": "rcp_img_url"})
+    best = prefix_best(score_candidates(inputs.master(spark, sf_dir), DEFAULT_MODE, DEFAULT_LEVEL, DEFAULT_TIER),
+                       time="rcp_time_min", slots=RETURN_SLOTS, metrics=(pick("rcp_xp", "xp"), pick("rcp_profit", "profit")), ord_cols=ORD)
+    rows = with_all_slots(best, slots_frame(spark, RETURN_SLOTS))
+    text = lambda c: display(F.nullif(F.col(c).cast("string"), F.lit("")))
+    per_hour = lambda c: display(rate_js(c, "return_time").cast("string"))
+    return rows.select(
+        format_slot("return_time").alias("return_time"), text("best_xp_recipe").alias("best_xp_recipe"), text("best_xp_appl").alias("best_xp_appl"),
+        text("best_xp").alias("best_xp"), per_hour("best_xp").alias("xp_per_hr"), F.coalesce("best_xp_img", F.lit("")).alias("best_xp_img"),
+        text("best_profit_recipe").alias("best_profit_recipe"), text("best_profit_appl").alias("best_profit_appl"),
+        text("best_profit").alias("best_profit"), per_hour("best_profit").alias("profit_per_hr"), F.coalesce("best_profit_img", F.lit("")).alias("best_profit_img"))

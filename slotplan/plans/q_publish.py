@@ -145,8 +145,8 @@ def q_chunk_changes(spark, sf_dir):
     name, and the table ends earlier; nothing else changes."""
     from ..sinks.store import chunk_changes, chunk_digests
     m = inputs.master(spark, sf_dir).select(source_index("game_mode").alias("src_idx"), "rcp_ord", "rcp_name", "rcp_profit")
-    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("last"))
-    after = (m.join(last, F.col("rcp_ord") < F.col("last") - 2500).drop("last")
+    last = read_table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).scalar()
+    after = (m.where(F.col("rcp_ord") < last - 2500)
              .withColumn("rcp_name", F.when(F.col("rcp_ord") % 4999 == 42, "renamed").otherwise(F.col("rcp_name"))))
     digests = lambda df: chunk_digests(S.chunk_plan(df, ["src_idx", "rcp_ord"]).select("id", "chunk_id", "rcp_ord", "rcp_name", "rcp_profit"))
     return chunk_changes(digests(after), digests(m)).select("chunk_id", "action", "n_rows")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import MODES, RETURN_SLOTS, TIERS
+from ..constants import MODES, PRIORITY_COLUMNS, RETURN_SLOTS, TIERS
 from ..functions import fmt
 from ..functions import text as T
 from ..operators.clean import build_master, lookup_first, nulls_for_nan, override_time
@@ -223,6 +223,17 @@ def q_priority_columns(spark, sf_dir):
     return inputs.master(spark, sf_dir)
 
 
+@register("q_master_levels", O.with_ctes("master", "fold") + """
+select m.game_mode, m.rcp_name, m.appl_name, m.rcp_level, m.rcp_time_min, m.rcp_xp, m.rcp_profit, m.rcp_difficulty,
+       f.cycles * m.rcp_time_min as min_to_lvl99, m.rcp_ord
+from master m left join fold f on f.rcp_ord = m.rcp_ord""")
+def q_master_levels(spark, sf_dir):
+    """C10 with the level columns: the master table begins with all ten priority columns."""
+    m = inputs.master(spark, sf_dir, with_levels=True)
+    assert tuple(m.columns[:len(PRIORITY_COLUMNS)]) == PRIORITY_COLUMNS
+    return m.select(*[c for c in PRIORITY_COLUMNS if c != "time_to_lvl99"], "rcp_ord")
+
+
 # ---------------------------------------------------------------- joins / aggregates
 
 @register("q_theta_slots", O.with_ctes("sql_cand") + f"""
