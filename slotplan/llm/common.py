@@ -23,11 +23,11 @@ def scratch(spark: SparkSession, tag: str) -> str:
 BATCH_BYTES = 8 << 20
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session by ``BATCH_BYTES`` (texts may be long)."""
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Bound the Arrow batches of this session by ``most`` bytes (texts may be long)."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if int(spark.conf.get(key).rstrip("b")) > most:
+        spark.conf.set(key, str(most))
 
 
 def settled(df: DataFrame, tag: str) -> DataFrame:

@@ -42,6 +42,7 @@ from .common import settled, small_batches
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 HOT = 1 << 20             # segments of the dictionary
 HOT_BYTES = 64            # longest segment of the dictionary
+CUT_BYTES = 1 << 19       # texts that are cut together in a task
 _SHORT = 60               # characters whose boundaries fit in one 64-bit mask
 _MARK = "▁"
 
@@ -110,7 +111,7 @@ def segments(chunk_data: np.ndarray, base: np.ndarray, apart: np.ndarray):
 
 
 def _cuts(column, apart):
-    for c in W.chunks(column):
+    for c in W.chunks(column, CUT_BYTES):
         data, lo, hi, row, _, _ = segments(c.data, c.base, apart)
         yield c, data, lo, hi, row, W._word_hashes(data, lo, hi)
 
@@ -361,7 +362,7 @@ def decoded(tokens: DataFrame, model: Model, ids_col: str = "ids") -> DataFrame:
 def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """doc_id, n_tokens, ids and round_trip (decoding the ids gives the text) of every row."""
     spark = docs.sparkSession
-    small_batches(spark)
+    small_batches(spark, 4 * CUT_BYTES)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     book = spark.sparkContext.broadcast(dictionary(rows, model, hot))       # at most ``hot`` short segments
     apart = model.apart
