@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import words as W
-from .common import settled, small_batches
+from .common import lean, settled, small_batches
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 HOT = 1 << 20             # segments of the dictionary
@@ -127,7 +127,7 @@ def counted(docs: DataFrame, apart: np.ndarray) -> DataFrame:
                     [pa.array([raw[x:y].decode() for x, y in zip(lo[at].tolist(), hi[at].tolist())], pa.string()), pa.array(n, pa.int64())],
                     ["word", "n"])
 
-    return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 # ---- lattice and folds -------------------------------------------------------
@@ -322,7 +322,7 @@ def dictionary(docs: DataFrame, model: Model, hot: int = HOT) -> Dictionary:
         return Dictionary.of([])
     # spread by word first: the edges of a word are then grouped where they are made
     chosen = counts.where(F.col("n") >= least).select("word").repartition("word")
-    return Dictionary.of(encoded_words(chosen, model).select("word", "ids").mapInArrow(_hashed, "h long, ids array<int>").toArrow().to_batches())
+    return Dictionary.of(encoded_words(chosen, model).select("word", "ids").mapInArrow(lean(_hashed), "h long, ids array<int>").toArrow().to_batches())
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,11 +391,11 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                                              ["key", "doc_id", "mark", "packed"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    others = encoded_words(keyed.select("key", "text").mapInArrow(cold, "key long, pos int, word string").repartition("key"), model)
+    others = encoded_words(keyed.select("key", "text").mapInArrow(lean(cold), "key long, pos int, word string").repartition("key"), model)
     # repeated rows share a key and bring the same segments
     per_text = others.groupBy("key").agg(F.sort_array(F.collect_set(F.struct("pos", "ids"))).alias("cold"))
     texts = keyed.select("key", "doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(
-        packed, f"key long, doc_id {kind}, mark long, packed binary")
+        lean(packed), f"key long, doc_id {kind}, mark long, packed binary")
     joined = texts.join(per_text, "key", "left").select("doc_id", "mark", "packed", "cold")
     pieces = model.texts
 
@@ -429,5 +429,5 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                  pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(backs, pa.string())],
                 ["doc_id", "mark", "n_tokens", "ids", "back"])
 
-    done = joined.mapInArrow(assemble, f"doc_id {kind}, mark long, n_tokens long, ids array<int>, back string")
+    done = joined.mapInArrow(lean(assemble), f"doc_id {kind}, mark long, n_tokens long, ids array<int>, back string")
     return done.select("doc_id", "n_tokens", "ids", (F.xxhash64("back") == F.col("mark")).alias("round_trip"))
