@@ -4,14 +4,17 @@ Reputation: the share of bad pages of a host is shrunk towards its registered
 domain, the domain towards its suffix, the suffix towards the whole table. Each
 level is a beta-binomial whose strength is fitted by moments over all nodes of the
 level (``fit_strength``). A host is blocked where the lower bound of its
-posterior bad rate lies above ``threshold``.
+posterior bad rate lies above ``threshold``. The suffix is the longest one of the table
+``suffixes`` that ends the host (a parameter; else the last label), the registered domain
+has one label more. Port, user part and closing dots count for neither; an address (IPv4 or in
+brackets) is its own domain under the common suffix ``(address)``.
 
 Rules: a rule fits its host and all subdomains if the url's path starts with the
 rule's path; the longest fitting rule wins. Rules meet hosts by an equi-join on
 the suffixes of the distinct hosts, so long rule lists never meet every page.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and
-forms one host of its own; repeated pages count once each; a page with several
+forms one host of its own; a host that is a suffix is its own domain; repeated pages count once each; a page with several
 label rows is bad if any of them is; null outcomes are no label; hosts without
 labels take their domain's posterior; empty tables give empty results; extra
 columns are ignored.
@@ -29,6 +32,15 @@ from .common import settled
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Rule = tuple[str, str, str]   # host, path, verdict
 
+# Common public suffixes of several labels; longer tables are passed as ``suffixes``.
+PUBLIC_SUFFIXES = (
+    "co.uk", "org.uk", "me.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz",
+    "co.jp", "ne.jp", "or.jp", "ac.jp", "go.jp", "co.kr", "or.kr", "co.in", "net.in", "org.in", "co.za", "org.za",
+    "com.br", "net.br", "org.br", "com.ar", "com.mx", "com.co", "com.cn", "net.cn", "org.cn", "com.tw", "org.tw",
+    "com.hk", "com.sg", "com.my", "com.tr", "com.ua", "com.pl", "co.il", "co.id", "co.th", "com.vn", "com.eg",
+    "github.io", "gitlab.io", "blogspot.com", "herokuapp.com", "netlify.app", "vercel.app", "pages.dev", "web.app",
+)
+
 
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end; A-Z lower-cased."""
@@ -40,8 +52,25 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def _last_labels(host: Column, n: int) -> Column:
-    return F.substring_index(host, ".", -n)
+def registered(hosts: DataFrame, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> DataFrame:
+    """``hosts`` (distinct column ``host``) with ``domain`` and ``suffix``.
+
+    The endings of the hosts meet the table by an equi-join, so it may be long.
+    """
+    bare = F.regexp_replace(F.regexp_replace("host", r"^.*@|:[0-9]*$", ""), r"\.+$", "")
+    rows = hosts.withColumn("_bare", bare)
+    labels = F.split("_bare", r"\.")
+    endings = (rows.select("host", "_bare", F.size(labels).alias("_all")).where("_all > 1")
+               .select("host", "_bare", F.explode(F.sequence(F.lit(2), F.col("_all"))).alias("_labels"))
+               .select("host", "_labels", F.expr("substring_index(_bare, '.', -_labels)").alias("_ending")))
+    listed = hosts.sparkSession.createDataFrame([(x.lower(),) for x in sorted(set(suffixes))], "_ending string")
+    longest = endings.join(listed, "_ending").groupBy("host").agg(F.max("_labels").alias("_labels"))
+    address = F.col("_bare").rlike(r"^(?:[0-9]{1,3}\.){3}[0-9]{1,3}$|^\[")
+    rows = rows.join(longest, "host", "left").withColumn("_labels", F.coalesce("_labels", F.lit(1)))
+    return rows.withColumns({
+        "domain": F.when(address, F.col("_bare")).otherwise(F.expr("substring_index(_bare, '.', -_labels - 1)")),
+        "suffix": F.when(address, F.lit("(address)")).otherwise(F.expr("substring_index(_bare, '.', -_labels)")),
+    }).drop("_bare", "_labels")
 
 
 def host_counts(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -79,10 +108,11 @@ def _shrunk(nodes: DataFrame, parents: DataFrame, on: str) -> DataFrame:
     return joined.withColumns({"a": a, "b": b, "mean": a / (a + b)})
 
 
-def reputation(counts: DataFrame, z: float = 1.645, threshold: float = 0.3) -> DataFrame:
+def reputation(counts: DataFrame, z: float = 1.645, threshold: float = 0.3,
+               suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> DataFrame:
     """Per host: posterior mean, lower bound of the bad rate, and ``blocked``."""
-    hosts = settled(counts.withColumns({"domain": _last_labels(F.col("host"), 2),
-                                        "suffix": _last_labels(F.col("host"), 1)}), "host-counts")
+    # written first: the endings and the rows below read the counts, not the pages
+    hosts = settled(registered(settled(counts, "host-counts"), suffixes), "host-names")
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).first()
     root = (total["bad"] + 0.5) / (total["n"] + 1.0)
     sums = lambda *keys: hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -112,10 +142,10 @@ def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule],
-          z: float = 1.645, threshold: float = 0.3) -> DataFrame:
+          z: float = 1.645, threshold: float = 0.3, suffixes: Sequence[str] = PUBLIC_SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict (allow or block), mean and low of the host."""
     spark = pages.sparkSession
-    scores = settled(reputation(host_counts(pages, outcomes), z, threshold), "host-scores")
+    scores = settled(reputation(host_counts(pages, outcomes), z, threshold, suffixes), "host-scores")
     known = spark.createDataFrame(list(rules), "rule_host string, rule_path string, rule_verdict string")
     # written first: a plain table of known size, so that Spark can split a hot host in the join
     per_host = settled(scores.join(host_rules(scores.select("host"), known), "host", "left"), "host-verdicts")

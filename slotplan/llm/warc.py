@@ -11,13 +11,16 @@ its header and declared length). A magic line inside a payload gives a candidate
 too. Pointer jumping from offset 0 of each file (reach doubles every round) keeps
 only candidates on the chain of true records. A payload that holds the magic is
 put together again from its cuts. Text never passes through a window: only
-offsets and lengths do.
+offsets and lengths do. Files of other writers are read too: ``version`` names theirs, ids of any
+kind come back as ``record_id``, a block that is no HTTP message is its own payload, and ``.gz``
+files (one member per record, as is the custom) are read through Spark's codec.
 
 Defined cases: null html is an empty payload; null url writes no target header;
 CR and LF inside a url are written as %0D and %0A; a null page id writes an empty
 id and reads back as null; repeated rows with the smallest id are all responses;
 an empty table gives no records; extra columns are ignored. A file whose first
-bytes are not the magic has no reachable record.
+bytes are not the magic has no reachable record. A folder of several versions is read
+once for each.
 """
 
 from __future__ import annotations
@@ -81,9 +84,9 @@ def write_archives(pages: DataFrame, path: str, min_dup_bytes: int = 100, record
      .write.option("maxRecordsPerFile", records_per_file).text(path))
 
 
-def _cuts(spark: SparkSession, path: str) -> DataFrame:
+def _cuts(spark: SparkSession, path: str, magic: str) -> DataFrame:
     """The files cut at every magic line, in file order by (file, block, row)."""
-    raw = spark.read.option("lineSep", MAGIC).text(path)
+    raw = spark.read.option("lineSep", magic).text(path)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("row"), F.col("value"))
 
@@ -100,20 +103,22 @@ def _parsed(cuts: DataFrame) -> DataFrame:
     return df.withColumn("whole", F.coalesce(F.col("head_n") + 4 + F.col("length") <= F.col("value_n"), F.lit(False)))
 
 
-def _payload(value: Column) -> tuple[Column, Column, Column]:
-    """(payload bytes, HTTP header, its size) of a whole record that begins after the magic."""
-    http = F.substring_index(F.substr(value, F.length("head") + 5), BLANK, 1)
-    http_n = F.octet_length(http)
-    body = F.substr(value.cast("binary"), (F.col("head_n") + 4 + http_n + 4 + 1).cast("int"),
-                    F.greatest(F.col("length") - http_n - 4, F.lit(0)).cast("int"))
-    return body, http, http_n
+def _payload(value: Column) -> tuple[Column, Column]:
+    """(payload bytes, HTTP header) of a whole record that begins after the magic; no HTTP block: null header."""
+    http = F.when(F.lower(_header("Content-Type")).startswith("application/http"),
+                  F.substring_index(F.substr(value, F.length("head") + 5), BLANK, 1))
+    http_n = F.coalesce(F.octet_length(http) + 4, F.lit(0))
+    body = F.substr(value.cast("binary"), (F.col("head_n") + 4 + http_n + 1).cast("int"),
+                    F.greatest(F.col("length") - http_n, F.lit(0)).cast("int"))
+    return body, http
 
 
 def _described(df: DataFrame) -> DataFrame:
-    body, http, _ = _payload(F.col("value"))
+    body, http = _payload(F.col("value"))
     return df.select(
         "path", "block", "row", "off", "value_n", "head_n", "length", "whole", "key",
         _header("WARC-Type").alias("record_type"),
+        F.nullif(F.regexp_extract("head", r"(?im)^WARC-Record-ID:[ \t]*<([^>]*)>", 1), F.lit("")).alias("record_id"),
         F.expr("try_cast(nullif(regexp_extract(head, 'WARC-Record-ID:[ \\\\t]*<urn:page:([^>]*)>', 1), '') as bigint)").alias("page_id"),
         F.expr("try_cast(nullif(regexp_extract(head, 'WARC-Refers-To:[ \\\\t]*<urn:page:([^>]*)>', 1), '') as bigint)").alias("refers_to"),
         F.nullif(_header("WARC-Target-URI"), F.lit("")).alias("url"),
@@ -123,17 +128,17 @@ def _described(df: DataFrame) -> DataFrame:
         F.when(F.col("whole"), F.sha2(body, 256)).alias("stored_digest"))
 
 
-def candidates(spark: SparkSession, path: str) -> DataFrame:
+def candidates(spark: SparkSession, path: str, magic: str = MAGIC) -> DataFrame:
     """Every magic line with its file offset, successor and record fields (settled)."""
-    cuts = _parsed(_cuts(spark, path)).withColumn("off", F.lit(None).cast("long")).withColumn("key", F.md5("value"))
+    cuts = _parsed(_cuts(spark, path, magic)).withColumn("off", F.lit(None).cast("long")).withColumn("key", F.md5("value"))
     rows = settled(_described(cuts), "warc-cuts")
     # a cut's offset is the sum of the lengths before it in its file; rows carry no text here
     order = Window.partitionBy("path").orderBy("block", "row")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     rows = (rows.withColumn("off", F.coalesce(F.sum("value_n").over(before), F.lit(0).cast("long"))
-                            + (F.row_number().over(order) - 2) * len(MAGIC))
+                            + (F.row_number().over(order) - 2) * len(magic))
             .where("off >= 0"))
-    succ = F.col("off") + len(MAGIC) + F.col("head_n") + 4 + F.col("length") + 4
+    succ = F.col("off") + len(magic) + F.col("head_n") + 4 + F.col("length") + 4
     return settled(rows.withColumn("file", F.xxhash64("path")).withColumn("succ", succ), "warc-candidates")
 
 
@@ -155,46 +160,51 @@ def reachable(cand: DataFrame, rounds_per_write: int = 3) -> DataFrame:
     return seen
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The true records of a folder of WARC files.
+def read_archives(spark: SparkSession, path: str, version: str = "1.0") -> DataFrame:
+    """The true records of a folder of WARC files of one version.
 
-    Columns: page_id, url, record_type, refers_to, payload_bytes, payload_digest,
-    verified (the stored payload has the told digest; true for revisits).
+    Columns: record_id, page_id (null for ids of other writers), url, record_type, refers_to,
+    payload_bytes, payload_digest, verified (the stored payload has the told digest; true for
+    revisits, null where no SHA-256 is told).
     """
-    cand = candidates(spark, path)
+    magic = f"WARC/{version}\r\n"
+    cand = candidates(spark, path, magic)
     seen = reachable(cand).withColumn("hit", F.lit(True))
     found = settled(cand.join(seen, ["file", "off"], "left").withColumn("hit", F.coalesce("hit", F.lit(False))), "warc-found")
     records = found.where("hit and whole")
     broken = found.where("hit and not whole")
     if not broken.isEmpty():
-        records = records.unionByName(_mended(spark, path, found), allowMissingColumns=True)
+        records = records.unionByName(_mended(spark, path, found, magic), allowMissingColumns=True)
     revisit = F.col("record_type") == "revisit"
     told_bytes = F.expr("try_cast(nullif(http_length, '') as bigint)")
+    told = F.nullif(F.col("told"), F.lit(""))
     return records.select(
-        "page_id", "url", "record_type", F.when(revisit, F.col("refers_to")).alias("refers_to"),
+        "record_id", "page_id", "url", "record_type", F.when(revisit, F.col("refers_to")).alias("refers_to"),
         F.when(revisit, told_bytes).otherwise(F.col("stored_bytes")).alias("payload_bytes"),
-        F.when(revisit, F.col("told")).otherwise(F.col("stored_digest")).alias("payload_digest"),
-        (revisit | (F.col("told") == F.col("stored_digest"))).alias("verified"))
+        F.when(revisit, told).otherwise(F.col("stored_digest")).alias("payload_digest"),
+        (revisit | (told == F.col("stored_digest"))).alias("verified"))
 
 
-def _mended(spark: SparkSession, path: str, found: DataFrame) -> DataFrame:
+def _mended(spark: SparkSession, path: str, found: DataFrame, magic: str) -> DataFrame:
     """Records whose payload holds the magic, joined again from their cuts.
 
     The cuts are found by file and content hash, so a second read may split the
-    files in another way.
+    files in another way. Only cuts of such records are shuffled.
     """
     order = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, 0)
-    parts = found.select(
+    parts = settled(found.select(
         "path", "file", "off", "key", F.max(F.when(F.col("hit"), F.col("off"))).over(order).alias("owner"),
         F.last(F.when(F.col("hit"), F.col("whole")), ignorenulls=True).over(order).alias("complete")
-    ).where("not complete")
-    text = _cuts(spark, path).select("path", F.md5("value").alias("key"), "value").dropDuplicates(["path", "key"])
+    ).where("not complete"), "warc-parts")
+    wanted = settled(parts.select("path", "key").distinct(), "warc-wanted")
+    text = (_cuts(spark, path, magic).select("path", F.md5("value").alias("key"), "value")
+            .join(wanted, ["path", "key"], "left_semi").dropDuplicates(["path", "key"]))
     whole = (parts.join(text, ["path", "key"])
              .groupBy("path", "file", "owner")
              .agg(F.sort_array(F.collect_list(F.struct("off", "value"))).alias("cuts"))
              .select("path", "file", F.col("owner").alias("off"), F.lit(0).cast("long").alias("block"),
                      F.lit(0).cast("long").alias("row"), F.lit("").alias("key"),
-                     F.array_join(F.transform("cuts", lambda c: c["value"]), MAGIC).alias("value")))
+                     F.array_join(F.transform("cuts", lambda c: c["value"]), magic).alias("value")))
     return _described(_parsed(whole)).where("whole")
 
 

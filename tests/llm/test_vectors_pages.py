@@ -1,5 +1,6 @@
 """Exact top-k, WARC archives and URL reputation."""
 
+import gzip
 import hashlib
 import math
 import random
@@ -102,6 +103,31 @@ def test_warc_files_are_warc_and_empty_table(spark, tmp_path):
     assert warc.archive_round_trip(pages.limit(0)).count() == 0
 
 
+def record(version, kind, ident, content, block, more=b""):
+    return (b"WARC/%s\r\nWARC-Type: %s\r\nWARC-Record-ID: <%s>\r\n%sContent-Type: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+            % (version, kind, ident, more, content, len(block), block))
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_warc_files_of_other_writers(spark, tmp_path, zipped):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    body = b"<p>caf\xc3\xa9</p> WARC/1.1\r\nContent-Length: 4\r\n\r\nfake"
+    told = b"WARC-Payload-Digest: sha256:" + hashlib.sha256(body).hexdigest().encode() + b"\r\nWARC-Target-URI: http://x/\r\n"
+    info = b"software: x\r\n\r\nformat: y"
+    recs = [record(b"1.1", b"warcinfo", b"urn:uuid:a-0", b"application/warc-fields", info),
+            record(b"1.1", b"response", b"urn:uuid:a-1", b"application/http; msgtype=response", http + body, told),
+            record(b"1.1", b"response", b"urn:uuid:a-2", b"application/http; msgtype=response", http, b"WARC-Payload-Digest: sha1:ABC\r\n")]
+    path = tmp_path / ("a.warc.gz" if zipped else "a.warc")
+    path.write_bytes(b"".join(gzip.compress(r) if zipped else r for r in recs))
+    got = {r["record_id"]: r for r in warc.read_archives(spark, str(tmp_path), version="1.1").collect()}
+    assert sorted(got) == ["urn:uuid:a-0", "urn:uuid:a-1", "urn:uuid:a-2"]
+    assert [got[f"urn:uuid:a-{i}"]["payload_bytes"] for i in range(3)] == [len(info), len(body), 0]
+    assert [got[f"urn:uuid:a-{i}"]["verified"] for i in range(3)] == [None, True, None]
+    assert got["urn:uuid:a-1"]["payload_digest"] == hashlib.sha256(body).hexdigest()
+    assert got["urn:uuid:a-1"]["url"] == "http://x/" and got["urn:uuid:a-1"]["page_id"] is None
+    assert warc.read_archives(spark, str(tmp_path)).count() == 0
+
+
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
 
@@ -142,3 +168,28 @@ def test_reputation_shrinks_and_blocks(spark):
     assert judged(spark, rows[:1]).limit(0).count() == 0
     empty = spark.createDataFrame([], "page_id long, url string")
     assert url_reputation.judge(empty, spark.createDataFrame(known, "page_id long, bad boolean"), RULES).count() == 0
+
+
+def test_registered_domains(spark):
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "uk": ("uk", "uk"),
+            "x.y.com": ("y.com", "com"), "y.com:8080": ("y.com", "com"), "me@y.com.": ("y.com", "com"), "u.github.io": ("u.github.io", "github.io"),
+            "10.1.2.7": ("10.1.2.7", "(address)"), "10.1.2.7:80": ("10.1.2.7", "(address)"), "[::1]:80": ("[::1]", "(address)"),
+            "localhost": ("localhost", "localhost"), "": ("", ""), "a.deep.x.y": ("a.deep.x.y", "deep.x.y")}
+    hosts = spark.createDataFrame([(h,) for h in want], "host string")
+    got = url_reputation.registered(hosts, [*url_reputation.PUBLIC_SUFFIXES, "Deep.x.y", "x.y"])
+    assert {r["host"]: (r["domain"], r["suffix"]) for r in got.collect()} == want
+    assert url_reputation.registered(hosts.limit(0)).count() == 0
+    assert {r["suffix"] for r in url_reputation.registered(hosts, []).where("host = 'b.co.uk'").collect()} == {"uk"}
+
+
+def test_strangers_under_a_public_suffix_are_apart(spark):
+    """A clean registrant of co.uk is not shrunk to the spam of another one, as a host of that other one is."""
+    rows, known = [], []
+    for host, n, bad in [("a.spam.co.uk", 80, 78), ("b.spam.co.uk", 1, 0), ("c.fine.co.uk", 1, 0), ("d.fine.co.uk", 80, 1)]:
+        for i in range(n):
+            rows.append((len(rows), f"https://{host}/{i}"))
+            known.append((rows[-1][0], i < bad))
+    by = {r["host"]: r for r in judged(spark, rows, known).collect()}
+    assert by["c.fine.co.uk"]["mean"] < by["b.spam.co.uk"]["mean"]
+    flat = {r["host"]: r for r in judged(spark, rows, known, suffixes=()).collect()}
+    assert by["c.fine.co.uk"]["mean"] < flat["c.fine.co.uk"]["mean"]
