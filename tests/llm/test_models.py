@@ -1,6 +1,7 @@
 """Toxicity, mixing and SentencePiece against brute force, the library and held-out labels."""
 
 import itertools
+import math
 import random
 import re
 
@@ -8,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import sentencepiece as spm
+import xxhash
 from pyspark.sql import functions as F
 
 from slotplan.llm import mixing, sentencepiece_lattice as sp, toxicity
@@ -208,3 +210,90 @@ def test_viterbi_equals_enumeration(spark):
     df = spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "word string")
     for r in sp.encoded_words(df, model).collect():
         assert list(r["ids"]) == [ids[p] if p in ids else 3 + ord(p) for p in best(r["word"])], r["word"]
+
+
+def plain_features(text):
+    text = text or ""
+    words = [w for w in re.split(r"[\x20\x09-\x0d]+", text.lower().strip(" \t\n\x0b\f\r")) if w]
+    below = lambda x, ends: next((i for i, e in enumerate(ends) if x <= e), len(ends))
+    n = max(len(words), 1)
+    bins = [below(len(re.findall(r"[#*$%&|<>!]", text)) / n, mixing._SYMBOL_BINS),
+            below(len(re.findall(r"[A-Z]", text)) / n / 5.0, mixing._CAPITAL_BINS),
+            below(len(set(words)) / n, mixing._DISTINCT_BINS)]
+    buckets = {xxhash.xxh64_intdigest(w[:mixing.PREFIX].encode(), seed=42) % mixing.BUCKETS for w in words}
+    return len(words), bins, buckets
+
+
+def plain_posteriors(texts, told, domains):
+    """The classifier fitted row by row in plain Python: id -> posterior."""
+    feats = {i: plain_features(t) for i, t in texts.items()}
+    size = [sum(d == x for _, d in told) for x in domains]
+    total = len(told)
+    seen = {}
+    for i, d in told:
+        for b in feats[i][2]:
+            seen.setdefault(b, [0] * len(domains))[domains.index(d)] += 1
+
+    def strongest(buckets, k):
+        best = 0
+        for b in buckets:
+            c = seen.get(b, [0] * len(domains))
+            odds = 0.0
+            if sum(c) >= mixing.MIN_DOCS:
+                odds = (math.log((c[k] + 0.5) / (size[k] + 1.0))
+                        - math.log((sum(c) - c[k] + 0.5) / (total - size[k] + 1.0)))
+            best = max(best, next((i for i, e in enumerate(mixing._ODDS_BINS) if odds <= e), len(mixing._ODDS_BINS)))
+        return best
+
+    bins = {i: f[1] + [strongest(f[2], k) for k in range(len(domains))] for i, f in feats.items()}
+    n_bins = [len(mixing._SYMBOL_BINS) + 1, len(mixing._CAPITAL_BINS) + 1, len(mixing._DISTINCT_BINS) + 1] \
+        + [len(mixing._ODDS_BINS) + 1] * len(domains)
+    out = {}
+    for i, own in bins.items():
+        logs = []
+        for k, d in enumerate(domains):
+            mine = [bins[j] for j, x in told if x == d]
+            logs.append(math.log((size[k] or 1e-12) / total) + sum(
+                math.log((sum(m[f] == v for m in mine) + 1.0) / (size[k] + n_bins[f])) for f, v in enumerate(own)))
+        top = [math.exp(x - max(logs)) for x in logs]
+        out[i] = [x / sum(top) for x in top]
+    return out
+
+
+def test_classifier_equals_a_plain_fit(spark):
+    rnd = random.Random(5)
+    kinds = {"clean": "river stone garden window", "toxic": "idiot stupid trash hate", "junk": "### $$$ click BUY <<"}
+    texts = {}
+    for i in range(120):
+        own = rnd.choice(list(kinds))
+        texts[i] = " ".join(rnd.choice((kinds[own] + " the and of it Über").split()) for _ in range(rnd.randrange(1, 30)))
+    texts |= {120: None, 121: "", 122: " \t\n", 123: "one " * 500}
+    told = [(i, rnd.choice(list(kinds)) if i % 9 == 0 else max(kinds, key=lambda k: sum(w in kinds[k].split() for w in texts[i].split())))
+            for i in range(80)] + [(3, "junk"), (120, "clean")]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([*told, (5, None), (None, "clean"), (6, "other")], "doc_id long, domain string")
+    targets = {"clean": 0.6, "toxic": 0.3, "junk": 0.1}
+    got = {r["doc_id"]: r for r in mixing.mix(docs, labels, targets).collect()}
+    want = plain_posteriors(texts, told, list(targets))
+    assert set(got) == set(texts)
+    for i, p in want.items():
+        assert got[i]["n_tokens"] == plain_features(texts[i])[0]
+        assert [got[i]["posterior"][d] for d in targets] == pytest.approx(p, abs=1e-9)
+    # the rates reach the targets on the plainly fitted posteriors
+    tokens = sum(plain_features(t)[0] for t in texts.values())
+    for k, (d, t) in enumerate(targets.items()):
+        assert sum(got[i]["n_tokens"] * got[i]["rate"] * p[k] for i, p in want.items()) == pytest.approx(t * tokens, rel=1e-4)
+    assert min(r["rate"] for r in got.values()) >= 0
+
+
+def test_classifier_on_held_out_labels(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    labels = mixing.label_domains(spark.read.parquet(f"{SF_MID}/labels.parquet"))
+    out = toxicity.held_out(F.col("doc_id"))
+    domains = ["clean", "toxic", "junk"]
+    model = mixing.fit(docs, labels.where(~out), domains)
+    rows = (docs.select("doc_id", "text").join(labels.where(out).where("domain is not null"), "doc_id"))
+    judged = model.posterior(mixing.features(rows)).select("domain", F.expr("array_position(_p, array_max(_p))").alias("at")).collect()
+    right = sum(domains[r["at"] - 1] == r["domain"] for r in judged)
+    print("held out:", right, "of", len(judged))
+    assert len(judged) > 30 and right >= 0.9 * len(judged)

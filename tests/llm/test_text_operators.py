@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotplan.llm import jaccard_join, licences, quality_rules, substring_dedup
+from tests.conftest import SF_MID
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, key string, n string, _text string, n_words string, row string, cls string"
@@ -269,3 +270,66 @@ def test_jaccard_links_rows_without_an_id(spark):
     assert by == sorted([(None, 56, None), (None, 57, None), (None, 56, 7), (7, 57, 7), (9, 56, 7), (None, 1, None), (None, 0, None)], key=repr)
     classes = {(r["n_shingles"], r["class_id"]) for r in got}
     assert len(classes) == 6
+
+
+def plain_lines(text):
+    """(normalised line, number of its sentence) of a text, cut place by place."""
+    text = "\n".join(re.sub(r"(?i)^[ \t]*(?:rem|dnl)\b[ \t]*", "", x) for x in (text or "").split("\n"))
+    sentences, now = [], []
+    rows = text.split("\n")
+    for at, row in enumerate(rows):
+        if at and not re.search(r"[^\W_]", row) and at + 1 < len(rows):        # a line without letters and digits
+            sentences.append(now)
+            now = []
+            continue
+        parts = re.split(r"(?<=[.!?:])\s+|\s+(?=https?://)", row)
+        for k, part in enumerate(parts):
+            if k:
+                sentences.append(now)
+                now = []
+            now.append(part)
+        if re.search(r"[.!?:][ \t\r]*$", row):
+            sentences.append(now)
+            now = []
+    sentences.append(now)
+    out = []
+    for n, parts in enumerate(sentences):
+        if not any(re.search(r"[^\W\d_]", x) for x in parts):
+            continue
+        for x in parts:
+            x = re.sub(r"^[^\w(]*\(?(?:[0-9]{1,3}[.)]|[A-Za-z]\))\s+", "", x)
+            x = re.sub(r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+", " ", x.lower()).strip(" ")
+            if x:
+                out.append((x, n))
+    return out
+
+
+def brute_finds(text, rules):
+    """Every rule tried at every line, each sentence over every number of lines; contained finds go."""
+    here = plain_lines(text)
+
+    def ends(at, want):
+        return [to for to in range(at + 1, len(here) + 1)
+                if here[to - 1][1] == here[at][1] and " ".join(x for x, _ in here[at:to]) == want]
+
+    found = set()
+    for name, steps in rules.items():
+        for start in range(len(here)):
+            reach = {start}
+            for want in steps:
+                reach = {e for at in reach if at < len(here) for e in ends(at, want)}
+            found |= {(name, len(steps), start, e) for e in reach}
+    return sorted(f[0] for f in found if not any(o[1] > f[1] and o[2] <= f[2] and o[3] >= f[3] for o in found))
+
+
+def test_licences_of_the_small_table_equal_brute_force(spark):
+    rules = {name: [" ".join(re.sub(r"[^a-z0-9]+", " ", s.lower()).split()) for s in seq]
+             for name, (_, seq) in licences.LICENCE_RULES.items()}
+    table = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text")
+    short = table.where("length(text) < 20000")
+    texts = {r["doc_id"]: r["text"] for r in short.collect()}
+    got = {r["doc_id"]: sorted(f["rule"] for f in r["finds"]) for r in licences.scan(table).collect()}
+    want = {i: brute_finds(t, rules) for i, t in texts.items()}
+    assert {i: got[i] for i in want} == want
+    assert sum(map(len, want.values())) > 0
+    assert len(got) == table.count()
