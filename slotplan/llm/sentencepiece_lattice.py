@@ -43,6 +43,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 HOT = 1 << 20             # segments of the dictionary
 HOT_BYTES = 64            # longest segment of the dictionary
 CUT_BYTES = 1 << 19       # texts that are cut together in a task
+GROUPED = 1 << 17         # segments whose edges a task groups in memory, without a sort
 _SHORT = 60               # characters whose boundaries fit in one 64-bit mask
 _MARK = "▁"
 
@@ -59,6 +60,13 @@ class Model:
     def longest(self) -> int:
         return max(len(p) for p, _, _ in self.pieces)
 
+    @property
+    def edge_bits(self) -> tuple[int, int, int] | None:
+        """Bits of length, id and rank of an edge in one number (merges need no scores, only their order);
+        None where they leave fewer than 28 for its place."""
+        bits = self.longest.bit_length(), len(self.texts).bit_length(), len(self.pieces).bit_length()
+        return bits if self.bpe and sum(bits) <= 35 else None
+
     @property
     def apart(self) -> np.ndarray:
         """Bytes (of one-byte characters) that no longer piece holds."""
@@ -133,8 +141,13 @@ def counted(docs: DataFrame, apart: np.ndarray) -> DataFrame:
 # ---- lattice and folds -------------------------------------------------------
 
 def lattice(words: DataFrame, model: Model) -> DataFrame:
-    """``words`` (column ``word`` and keys) with ``n`` characters and ``edges`` (i, k, score, id) of its pieces."""
-    table = words.sparkSession.createDataFrame(model.pieces + [("", 0.0, -1)], "piece string, score double, id int")
+    """``words`` (column ``word`` and keys) with ``n`` characters and ``edges`` (i, k, score, id) of its pieces.
+
+    For BPE models the edges come in the order of merges: best score first, then leftmost.
+    """
+    spark = words.sparkSession
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GROUPED))
+    table = spark.createDataFrame(model.pieces + [("", 0.0, -1)], "piece string, score double, id int")
     keys = words.columns
     n, i = F.length("word"), F.col("i")
     parts = (words.withColumn("n", n)
@@ -142,8 +155,34 @@ def lattice(words: DataFrame, model: Model) -> DataFrame:
              # the empty substring at 0 keeps words that hold no piece
              .withColumn("k", F.explode(F.sequence(F.when(i == 0, 0).otherwise(i + 1), F.least(F.col("n"), i + model.longest))))
              .withColumn("piece", F.substr("word", i + 1, F.col("k") - i)))
-    return (parts.join(F.broadcast(table), "piece")
-            .groupBy(*keys, "n").agg(F.collect_list(F.struct("i", "k", "score", "id")).alias("edges")))
+    if model.edge_bits is None:
+        grouped = parts.join(F.broadcast(table), "piece").groupBy(*keys, "n")
+        if not model.bpe:
+            return grouped.agg(F.collect_list(F.struct("i", "k", "score", "id")).alias("edges"))
+        best_first = F.sort_array(F.collect_list(F.struct("score", (-i).alias("left"), "k", "id")), asc=False)
+        return grouped.agg(best_first.alias("edges")).withColumn("edges", F.transform("edges", lambda e: F.struct(
+            (-e["left"]).alias("i"), e["k"].alias("k"), e["score"].alias("score"), e["id"].alias("id"))))
+    # an edge is one number (rank of the score, places to the right, length, id + 1): a group is a
+    # list of numbers, and their falling order is the order of merges
+    lengths, ids, ranks = model.edge_bits
+    places = 28
+    right = (1 << places) - 1
+    rank = {s: r for r, s in enumerate(sorted({s for _, s, _ in model.pieces}))}
+    packed = [(p, (((((rank[s] << places) + right) << lengths) + len(p)) << ids) + id_ + 1) for p, s, id_ in model.pieces]
+    coded = spark.createDataFrame(packed + [("", right << (lengths + ids))], "piece string, e long")
+    grouped = (parts.join(F.broadcast(coded), "piece")
+               .withColumn("e", F.col("e") - F.call_function("shiftleft", i.cast("long"), F.lit(lengths + ids)))
+               .groupBy(*keys, "n").agg(F.collect_list("e").alias("edges")))
+
+    def field(e, below, bits):
+        return F.call_function("shiftright", e, F.lit(below)).bitwiseAND(F.lit((1 << bits) - 1).cast("long")).cast("int")
+
+    def edge(e):
+        at = F.lit(right) - field(e, lengths + ids, places)
+        return F.struct(at.alias("i"), (at + field(e, ids, lengths)).alias("k"),
+                        field(e, lengths + ids + places, ranks).cast("double").alias("score"), (field(e, 0, ids) - 1).alias("id"))
+
+    return grouped.withColumn("edges", F.transform(F.sort_array("edges", asc=False), edge))
 
 
 def _bit(p: Column) -> Column:
@@ -176,6 +215,10 @@ def _ids_between(bounds: Column, model: Model) -> Column:
 def merged(lat: DataFrame, model: Model) -> DataFrame:
     """BPE: join the neighbours whose piece has the best score, leftmost on ties, until none is left.
 
+    One pass over the merges in their order does it unless a merge comes up while its span is
+    still in three parts or more (it may fit later): such a segment is folded step by step.
+    Boundaries are only taken away, so any other merge that does not fit never will.
+
     Values that a fold uses are bound to lambda variables, so the optimiser cannot
     copy a fold into another one.
     """
@@ -183,29 +226,40 @@ def merged(lat: DataFrame, model: Model) -> DataFrame:
     n = F.col("n")
     count = lambda x: F.when(x > 0, F.sequence(F.lit(1), x)).otherwise(F.array().cast("array<int>"))
 
-    # up to _SHORT characters: boundaries are the bits of one number; one more bit says "done"
+    # up to _SHORT characters: boundaries are the bits of one number; one more bit says "done",
+    # in the single pass "a merge may fit later"
     done = 1 << (_SHORT + 2)
 
-    def step(spans):
+    def sweep(mask, e):
+        inside = mask.bitwiseAND(e["inner"])
+        return (F.when((mask.bitwiseAND(e["ends"]) != e["ends"]) | (inside == 0), mask)
+                .when(F.bit_count(inside) == 1, mask.bitwiseAND(F.bitwise_not(e["inner"])))
+                .otherwise(mask.bitwiseOR(F.lit(done))))
+
+    def step(moves):
         def one(mask, _):
-            best = F.array_max(F.filter(spans, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
-                                        & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1)))
+            fits = F.filter(moves, lambda e: (mask.bitwiseAND(e["ends"]) == e["ends"])
+                            & (F.bit_count(mask.bitwiseAND(e["inner"])) == 1))
             return F.when(mask.bitwiseAND(F.lit(done)) != 0, mask).otherwise(
-                F.coalesce(mask.bitwiseAND(F.bitwise_not(best["inner"])), mask.bitwiseOR(F.lit(done))))
+                F.coalesce(mask.bitwiseAND(F.bitwise_not(F.get(fits, F.lit(0))["inner"])), mask.bitwiseOR(F.lit(done))))
         return one
 
+    def joined(moves):
+        every = _bit(n + 1) - 1
+        return _bound(F.aggregate(moves, every, sweep), lambda m: F.when(m.bitwiseAND(F.lit(done)) == 0, m).otherwise(
+            F.aggregate(count(F.least(n - 1, F.size(moves))), every, step(moves))))
+
     spans = F.transform("edges", lambda e: F.struct(
-        e["score"].alias("score"), (-e["i"]).alias("left"), (_bit(e["k"]) - _bit(e["i"] + 1)).alias("inner"),
-        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends"), e["id"].alias("id"), e["k"].alias("k")))
+        e["i"].alias("i"), (_bit(e["k"]) - _bit(e["i"] + 1)).alias("inner"),
+        (_bit(e["i"]).bitwiseOR(_bit(e["k"]))).alias("ends"), e["id"].alias("id")))
     merges = F.filter("edges", lambda e: e["k"] - e["i"] > 1)
 
     def chosen(s):
         """(mask, edges between neighbouring boundaries) of a segment."""
-        mask = _bound(F.filter(s, lambda e: e["inner"] != 0),
-                      lambda moves: F.aggregate(count(F.least(n - 1, F.size(moves))), _bit(n + 1) - 1, step(moves)))
+        mask = _bound(F.filter(s, lambda e: e["inner"] > 0), joined)     # not the empty edge
         return _bound(mask, lambda m: F.struct(m.alias("mask"), F.sort_array(F.transform(
             F.filter(s, lambda e: (m.bitwiseAND(e["ends"]) == e["ends"]) & (m.bitwiseAND(e["inner"]) == 0) & (e["id"] >= 0)),
-            lambda e: F.struct((-e["left"]).alias("i"), e["id"].alias("id")))).alias("found")))
+            lambda e: F.struct(e["i"].alias("i"), e["id"].alias("id")))).alias("found")))
 
     def short_ids(c):
         # every character has a piece: the edges are the answer; else bytes fill the gaps

@@ -212,6 +212,38 @@ def test_viterbi_equals_enumeration(spark):
         assert list(r["ids"]) == [ids[p] if p in ids else 3 + ord(p) for p in best(r["word"])], r["word"]
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_merges_equal_a_plain_loop(spark, monkeypatch, packed):
+    """Scores in any order and with ties: some merges fit only after worse ones."""
+    if not packed:
+        monkeypatch.setattr(sp.Model, "edge_bits", None)
+    rnd = random.Random(11)
+    alphabet = "abcd"
+    texts = {"".join(rnd.choice(alphabet) for _ in range(rnd.randrange(2, 6))) for _ in range(60)} | {"a", "b", "c"}
+    pieces = [(t, -float(rnd.randrange(1, 25)), i + 300) for i, t in enumerate(sorted(texts))]
+    model = sp.Model(pieces, 3, 0, True, [b""] * 1000)
+    assert (model.edge_bits is not None) == packed
+    score, ids = {t: s for t, s, _ in pieces}, {t: i for t, _, i in pieces}
+    words = dict.fromkeys("".join(rnd.choice(alphabet) for _ in range(rnd.choice([1, 2, 5, 9, 14, 60, 61, 75]))) for _ in range(150))
+    late = 0
+
+    def plain(word):
+        parts, worst, again = list(word), 0.0, False       # again: a merge better than one before it
+        while True:
+            fits = [(score[parts[i] + parts[i + 1]], -i) for i in range(len(parts) - 1) if parts[i] + parts[i + 1] in score]
+            if not fits:
+                return parts, again
+            s, i = max(fits)
+            again, worst = again or s > worst, min(worst, s)
+            parts[-i:-i + 2] = [parts[-i] + parts[-i + 1]]
+
+    for r in sp.encoded_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect():
+        parts, again = plain(r["word"])
+        late += again
+        assert list(r["ids"]) == [ids[p] if p in ids else 3 + ord(p) for p in parts], r["word"]
+    assert late > 0
+
+
 def plain_features(text):
     text = text or ""
     words = [w for w in re.split(r"[\x20\x09-\x0d]+", text.lower().strip(" \t\n\x0b\f\r")) if w]
