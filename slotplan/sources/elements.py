@@ -88,9 +88,14 @@ def first_text(fragment: Column, tag: str, css_class: str) -> Column:
     return text_of(first_inside(fragment, tag, css_class))
 
 
+def attribute_pattern(tag: str, name: str) -> str:
+    """Pattern of a tag of a kind that has an attribute, up to its value (one of three groups)."""
+    return rf"""(?is)<{tag}\s(?:[^>]*\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+
+
 def attribute(fragment: Column, tag: str, name: str) -> Column:
     """Attribute of the first tag of a kind that has it, null without one."""
-    pattern = rf"""(?is)<{tag}\s(?:[^>]*\s)?{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    pattern = attribute_pattern(tag, name)
     value = lambda m: decode_entities(F.concat(*[F.regexp_extract(m, pattern, i) for i in (1, 2, 3)]))
     return bound(F.regexp_extract(fragment, pattern, 0), lambda m: F.when(m != "", value(m)))
 

@@ -3,7 +3,7 @@
 A block is an element of the block class, read up to the next block's opening. Fields are
 read inside it by tag and class, wherever the class stands among the attributes and in any
 case; an element may hold others of its own kind (``elements``). A missing part gives null.
-Everything is one projection per page.
+Everything is one pass per page: a projection for appliances, one Arrow function for recipes.
 
 A block that cannot be read has an ``error`` (K11): a recipe block is left out alone, an
 appliance block ends its page, whose rows before it stay. ``recipe_rows`` and
@@ -13,13 +13,18 @@ gives the good and the bad rows from that table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import regex_field
 from ..operators.quality import keep_where
 from ..operators.windows import written
 from . import elements as E
+from . import fragments as P
 from .pages import clean_html
 
 # FIXED VALUES — classes of the catalogue's pages.
@@ -48,47 +53,94 @@ def _image(element: Column) -> tuple[Column, Column]:
     return source, tag.isNotNull() & source.isNull()
 
 
-def _level(details: Column) -> Column:
-    """Number after the label in the first division whose text has both."""
-    texts = F.transform(F.filter(E.inside(details, "div"), lambda d: d.contains("Lvl:")), E.text_of)
-    number = r"Lvl:\s*(\d+)"
-    first = F.try_element_at(F.filter(texts, lambda t: t.rlike(number)), F.lit(1))
-    return F.when(details.contains("Lvl:"), E.bound(first, lambda t: regex_field(t, number).try_cast("int")))
-
-
 def _error(*cases: tuple[Column, str]) -> Column:
     """The first reason that holds, null without one."""
     return F.coalesce(*[F.when(cond, F.lit(why)) for cond, why in cases], F.lit(None).cast("string"))
 
 
+#: bytes of the pages that a task hands to Python at once
+BATCH_BYTES = 8 << 20
+#: recipe figures of one block, as text
+_TEXTS = ("rcp_name", "appl_name", *(name for _, name in STATS), "rcp_labels")
+
+
+def _level_of(s: str, details: P.Span) -> int | None:
+    """Number after the label in the first division whose text has both."""
+    if s.find("Lvl:", *details) < 0:
+        return None
+    for d in P.inside(s, details, "div"):
+        m = s.find("Lvl:", *d) >= 0 and P.pattern(r"Lvl:\s*(\d+)").search(P.text_of(s, d))
+        if m:
+            digits = m[1].lstrip("0") or "0"
+            return int(digits) if len(digits) < 11 and int(digits) < 1 << 31 else None
+    return None
+
+
+def _image_of(s: str, element: P.Span | None) -> tuple[str | None, bool]:
+    """Source of the first image of an element, and whether that image lacks one."""
+    tag = P.first_tag(s, element, "img")
+    source = P.attribute(s, tag, "img", "src")
+    return source, tag is not None and source is None
+
+
+def _recipe_blocks(html: str) -> Iterator[tuple]:
+    """(pos, fields, image errors) of the blocks of a page that have figures or a bad image."""
+    s = P.clean(html)
+    starts = list(P.opening(*RECIPE_BLOCK).finditer(s))
+    for pos, (m, after) in enumerate(zip(starts, [*starts[1:], None]), 1):
+        block = P.up_to_close(s, RECIPE_BLOCK[0], m.end(), after.start() if after else len(s))
+        details = P.first_inside(s, block, "div", "hide-on-mobile")
+        stats = P.first_inside(s, details, "div", "detstats")
+        rcp_img, rcp_bad = _image_of(s, P.first_inside(s, block, "div", "rcp_view"))
+        appl_img, appl_bad = _image_of(s, P.first_inside(s, block, "span", "appl_view"))
+        # an image is read before the details are looked for, so its error counts either way
+        if stats is None and not rcp_bad and not appl_bad:
+            continue
+        names = [P.text_of(s, x) for x in P.inside(s, details, "div", "applname")] if details else []
+        labels = ", ".join(filter(None, (P.text_of(s, x) for x in P.inside(s, details, "span", "sd_label")))) if details else None
+        yield (pos, P.first_text(s, block, "div", "invtitle2"), names[0] if names else None,
+               *(P.first_text(s, stats, "div", css) for css, _ in STATS), labels,
+               _level_of(s, details) if details else None, names[-1] if len(names) > 1 else None,
+               rcp_img, appl_img, P.attribute(s, block, "a", "href"), rcp_bad, appl_bad)
+
+
 def recipe_rows(pages: DataFrame) -> DataFrame:
     """Recipe rows (D1) of pages (page_id, url, html), with page_id, pos and ``error``.
 
     Blocks without a details part or without its figures are skipped (K4); figures are read
     inside the figures' element only. The first appliance name is the appliance; the last of
-    several is the release date (K7).
+    several is the release date (K7). Many fields of one block are read, so its page is read
+    once, in Python, by the rules of ``elements`` (``fragments``); all else is native.
     """
-    b = _block_rows(pages, *RECIPE_BLOCK).withColumn("_d", E.first_inside(F.col("_b"), "div", "hide-on-mobile"))
-    b = b.withColumn("_s", E.first_inside(F.col("_d"), "div", "detstats"))
-    b = b.withColumn("_names", F.transform(E.inside(F.col("_d"), "div", "applname"), E.text_of))
-    b = b.withColumn("_ri", E.first_inside(F.col("_b"), "div", "rcp_view")).withColumn("_ai", E.first_inside(F.col("_b"), "span", "appl_view"))
-    block, details, stats, names = (F.col(c) for c in ("_b", "_d", "_s", "_names"))
-    (rcp_img, rcp_bad), (appl_img, appl_bad) = _image(F.col("_ri")), _image(F.col("_ai"))
+    conf, key = pages.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(key).rstrip("b")) > BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    fields = T.StructType([
+        pages.schema["page_id"], pages.schema["url"], T.StructField("pos", T.LongType()),
+        *(T.StructField(c, T.StringType()) for c in _TEXTS), T.StructField("rcp_level", T.IntegerType()),
+        *(T.StructField(c, T.StringType()) for c in ("rcp_release_date", "rcp_img_url", "appl_img_url", "rcp_url")),
+        *(T.StructField(c, T.BooleanType()) for c in ("_rcp_bad", "_appl_bad"))])
+    names = fields.fieldNames()
+    types = [pa.int64(), *[pa.string()] * len(_TEXTS), pa.int32(), *[pa.string()] * 4, *[pa.bool_()] * 2]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, rows = [], []
+            for i, html in enumerate(b.column(2).to_pylist()):
+                found = list(_recipe_blocks(html)) if html else []
+                rows += found
+                at += [i] * len(found)
+            place = pa.array(at, pa.int64())
+            columns = zip(*rows) if rows else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(place), b.column(1).take(place),
+                                              *[pa.array(c, t) for c, t in zip(columns, types)]], names)
+
+    rows = pages.select("page_id", "url", "html").mapInArrow(run, fields)
     game = regex_field("url", r"/s8/(\w+)_recipes")
-    out = b.select(
-        "page_id", (F.col("_p") + 1).cast("bigint").alias("pos"), game.alias("game_mode"),
-        E.first_text(block, "div", "invtitle2").alias("rcp_name"),
-        F.try_element_at(names, F.lit(1)).alias("appl_name"),
-        *[E.first_text(stats, "div", css).alias(c) for css, c in STATS],
-        _labels(details).alias("rcp_labels"), _level(details).alias("rcp_level"),
-        F.when(F.size(names) > 1, F.try_element_at(names, F.lit(-1))).alias("rcp_release_date"),
-        rcp_img.alias("rcp_img_url"), appl_img.alias("appl_img_url"),
-        E.attribute(block, "a", "href").alias("rcp_url"),
-        _error((rcp_bad, "recipe image without source"), (appl_bad, "appliance image without source"),
-               (game.isNull(), "no game in the address")).alias("error"),
-        # an image is read before the details are looked for, so its error counts either way
-        (stats.isNotNull() | rcp_bad | appl_bad).alias("_ok"))
-    return keep_where(out, F.col("_ok")).drop("_ok")
+    return rows.select(
+        "page_id", "pos", game.alias("game_mode"), *_TEXTS, "rcp_level", "rcp_release_date", "rcp_img_url", "appl_img_url", "rcp_url",
+        _error((F.col("_rcp_bad"), "recipe image without source"), (F.col("_appl_bad"), "appliance image without source"),
+               (game.isNull(), "no game in the address")).alias("error"))
 
 
 def appliance_rows(pages: DataFrame) -> DataFrame:
@@ -130,7 +182,7 @@ def split_errors(rows: DataFrame, error: str = "error") -> tuple[DataFrame, Data
 
 def recipe_records(pages: DataFrame) -> DataFrame:
     """The good rows of :func:`recipe_rows`."""
-    return keep_where(recipe_rows(pages), F.col("error").isNull()).drop("error")
+    return recipe_rows(pages).where(F.col("error").isNull()).drop("error")
 
 
 def appliance_records(pages: DataFrame) -> DataFrame:

@@ -153,3 +153,29 @@ def test_too_many_levels_is_an_error_by_name(spark, monkeypatch):
     monkeypatch.setattr(levels, "MAX_LEVELS", 29)
     with pytest.raises(Exception, match="TooManyLevels"):
         levels.level_array(raw).collect()
+
+
+def _odd_fragments():
+    import random
+    rnd = random.Random(11)
+    bits = ["<div>", "<DIV class=n>", "<div class='a n b'>", '<div id=1 class="n">', "</div>", "</div >", "</div/>", "</div x>", "<div <div class=n>",
+            "<divx>", "<span class=n>", "</span>", "<img>", "<img alt=x src=a.png>", "<img src='b c'>", "<a href=\"u&amp;v\">", "Lvl: 3", " t ", "&lt;", "<", ">",
+            "<div class=n", "</div", "<!-- <div class=n> -->", "\t", "\u00a0x", "\u0130"]
+    return ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14))) for _ in range(1500)]
+
+
+def test_fragments_in_python_follow_the_native_rules(spark):
+    from slotplan.sources import fragments as P
+    texts = _odd_fragments()
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, h string").repartition(4)
+    h = F.col("h")
+    native = df.select("i", E.inside(h, "div", "n").alias("cls"), E.inside(h, "div").alias("all"), E.first_inside(h, "div", "n").alias("first"),
+                       E.first_text(h, "span", "n").alias("text"), E.first_tag(h, "img").alias("tag"),
+                       E.attribute(h, "img", "src").alias("src"), E.attribute(h, "a", "href").alias("href")).collect()
+    assert len(native) == len(texts)
+    for r in native:
+        s = texts[r.i]
+        whole, cut = (0, len(s)), lambda x: None if x is None else s[x[0]:x[1]]
+        got = ([cut(x) for x in P.inside(s, whole, "div", "n")], [cut(x) for x in P.inside(s, whole, "div")], cut(P.first_inside(s, whole, "div", "n")),
+               P.first_text(s, whole, "span", "n"), cut(P.first_tag(s, whole, "img")), P.attribute(s, whole, "img", "src"), P.attribute(s, whole, "a", "href"))
+        assert got == (r.cls, r["all"], r["first"], r.text, r.tag, r.src, r.href), s
