@@ -69,6 +69,21 @@ def slots_at(xp, levels) -> Column:
         F.coalesce(hit["slots"], F.lit(START_SLOTS)))
 
 
+def slot_changes(levels: Column) -> Column:
+    """The levels of a sorted array that change the slots in force; those without xp all stay.
+
+    Cycles to a target need no others: between two changes every cycle adds the same, so
+    stopping at a level in between takes as many.
+    """
+    def step(acc, lv):
+        same = lv["xp"].isNotNull() & (lv["slots"] == acc["st"])
+        st = F.when(lv["xp"].isNull(), acc["st"]).otherwise(lv["slots"])
+        return F.struct(st.alias("st"), F.when(same, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(lv))).alias("kept"))
+
+    kind = "array<struct<xp:bigint,level:int,slots:int>>"
+    return F.aggregate(levels, F.struct(F.lit(START_SLOTS).alias("st"), F.array().cast(kind).alias("kept")), step, lambda acc: acc["kept"])
+
+
 def _ceil_div(a: Column, b: Column) -> Column:
     """ceil(a / b) for b > 0, 0 when a <= 0; null when b <= 0 (no progress is possible)."""
     return (F.when(b <= 0, F.lit(None).cast("bigint"))
@@ -94,9 +109,13 @@ def cycles_to_target(rate, levels, target: int = TARGET_XP) -> Column:
         goal = F.least(lv["xp"], tgt)
         k = _ceil_div(goal - acc["xp"], acc["st"] * r)
         k = F.when(acc["xp"] >= tgt, F.lit(0).cast("bigint")).otherwise(k)
-        xp = acc["xp"] + k * acc["st"] * r
-        st = F.when(xp >= lv["xp"], lv["slots"].cast("bigint")).otherwise(acc["st"])
-        return F.struct(xp.alias("xp"), (acc["c"] + k).alias("c"), st.alias("st"))
+
+        def after(n):
+            xp = acc["xp"] + n * acc["st"] * r
+            st = F.when(xp >= lv["xp"], lv["slots"].cast("bigint")).otherwise(acc["st"])
+            return F.struct(xp.alias("xp"), (acc["c"] + n).alias("c"), st.alias("st"))
+
+        return F.get(F.transform(F.array(k), after), F.lit(0))      # the division is worked out once
 
     def finish(acc):
         return acc["c"] + _ceil_div(tgt - acc["xp"], acc["st"] * r)
@@ -111,8 +130,8 @@ def with_cycles(df: DataFrame, rate: str, level_raw: DataFrame, out: str = "cycl
                 target: int = TARGET_XP) -> DataFrame:
     """Add ``out`` = cycles to reach ``target`` for each row's rate.
 
-    The fold runs in place, O(levels) per row: one read of ``df``, no shuffle and no join.
-    The level table rides along as a scalar subquery.
+    The fold runs in place, O(changes of slots) per row: one read of ``df``, no shuffle and no
+    join. The level table rides along as a scalar subquery, cut to those changes once.
     """
-    lv = level_array(level_raw).scalar()
+    lv = level_array(level_raw).select(slot_changes(F.col("levels")).alias("levels")).scalar()
     return df.withColumn("_lv", lv).withColumn(out, cycles_to_target(rate, "_lv", target)).drop("_lv")

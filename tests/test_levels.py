@@ -5,8 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from slotplan.operators.levels import (cycles_to_target, level_array, slots_at, typed_levels,
-                                       with_cycles)
+from slotplan.operators.levels import (cycles_to_target, level_array, slot_changes, slots_at,
+                                       typed_levels, with_cycles)
 
 
 def loop_cycles(rate, thresholds, slots, target):
@@ -88,3 +88,23 @@ def test_truncation(spark):
     lv = levels_df(spark, [("1,200.7", "2.9"), ("10", "-1.5")])
     got = sorted((r.xp, r.slots) for r in typed_levels(lv).collect())
     assert got == [(10, -1), (1200, 2)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_only_changes_of_slots_are_folded(spark, seed):
+    """The fold over the changes equals the fold over all levels, odd levels included."""
+    rnd = random.Random(seed)
+    slots = [None, "1", "2", "2", "3", "x"] + (["0", "-1"] if seed == 3 else [])
+    rows = [(None if seed == 2 and rnd.random() < 0.1 else str(rnd.randint(0, 3000)), rnd.choice(slots)) for _ in range(30)]
+    df = spark.createDataFrame([(None,), (0,), (-2,), *[(rnd.randint(1, 900),) for _ in range(60)]], "r bigint")
+    arr = level_array(levels_df(spark, rows))
+    both = df.withColumn("all", arr.scalar()).withColumn("few", arr.select(slot_changes(F.col("levels"))).scalar())
+    got = both.select("r", F.size("few").alias("n"), cycles_to_target("r", "all", 2500).alias("a"), cycles_to_target("r", "few", 2500).alias("b")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and (seed == 3 or any(r.a is not None for r in got))
+    assert got[0].n < 30
+
+
+def test_levels_of_equal_slots_become_one_step(spark):
+    lv = levels_df(spark, [(str(100 * i), str(2 + i // 10)) for i in range(99)])
+    steps = level_array(lv).select(slot_changes(F.col("levels")).alias("s")).first().s
+    assert [(x.xp, x.slots) for x in steps] == [(1000 * k, 2 + k) for k in range(1, 10)]
