@@ -103,13 +103,18 @@ def wiki_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAGE_BLOCKS = 40   # blocks of a catalogue page
+PART_BLOCKS = 50_000   # blocks of the pages that one task builds
 
 
 def _pages_of(rows: DataFrame, order: str, url, html) -> DataFrame:
     """Pages (page_id, url, html) of at most PAGE_BLOCKS blocks each, in table order."""
     page = F.floor(F.col(order) / (2 * PAGE_BLOCKS)).cast("bigint")     # the games alternate
+    # a stated number of parts: Spark would merge them by their compressed size
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = rows.count()
+    parts = max(min(most, n // 25_000), n // PART_BLOCKS, 1)
     return (rows.select("game_mode", page.alias("no"), F.struct(F.col(order).alias("o"), html.alias("h")).alias("b"))
-            .groupBy("game_mode", "no").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+            .repartition(parts, "game_mode", "no").groupBy("game_mode", "no").agg(F.array_sort(F.collect_list("b")).alias("bs"))
             .select((2 * F.col("no") + (F.col("game_mode") == "bakery").cast("int")).alias("page_id"), url.alias("url"),
                     F.concat(F.lit("<html><body><!-- <span class=\"appliance_single_recipe\"> -->"),
                              F.array_join(F.transform("bs", lambda b: b["h"]), "\n"), F.lit("</body></html>")).alias("html")))

@@ -13,8 +13,9 @@ gives the good and the bad rows from that table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from ..operators.quality import keep_where
 from ..operators.windows import written
 from . import elements as E
 from . import fragments as P
+from .markup import Markup
 from .pages import clean_html
 
 # FIXED VALUES — classes of the catalogue's pages.
@@ -59,17 +61,15 @@ def _error(*cases: tuple[Column, str]) -> Column:
 
 
 #: bytes of the pages that a task hands to Python at once
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: recipe figures of one block, as text
 _TEXTS = ("rcp_name", "appl_name", *(name for _, name in STATS), "rcp_labels")
 
 
-def _level_of(s: str, details: P.Span) -> int | None:
+def _level_of_texts(divisions: Iterable[str]) -> int | None:
     """Number after the label in the first division whose text has both."""
-    if s.find("Lvl:", *details) < 0:
-        return None
-    for d in P.inside(s, details, "div"):
-        m = s.find("Lvl:", *d) >= 0 and P.pattern(r"Lvl:\s*(\d+)").search(P.text_of(s, d))
+    for d in divisions:
+        m = P.pattern(r"Lvl:\s*(\d+)").search(P.text_of(d, (0, len(d)))) if "Lvl:" in d else None
         if m:
             digits = m[1].lstrip("0") or "0"
             return int(digits) if len(digits) < 11 and int(digits) < 1 << 31 else None
@@ -83,9 +83,8 @@ def _image_of(s: str, element: P.Span | None) -> tuple[str | None, bool]:
     return source, tag is not None and source is None
 
 
-def _recipe_blocks(html: str) -> Iterator[tuple]:
-    """(pos, fields, image errors) of the blocks of a page that have figures or a bad image."""
-    s = P.clean(html)
+def _recipe_blocks(s: str) -> Iterator[tuple]:
+    """(pos, fields, image errors) of the blocks of a cleaned page that have figures or a bad image."""
     starts = list(P.opening(*RECIPE_BLOCK).finditer(s))
     for pos, (m, after) in enumerate(zip(starts, [*starts[1:], None]), 1):
         block = P.up_to_close(s, RECIPE_BLOCK[0], m.end(), after.start() if after else len(s))
@@ -100,17 +99,74 @@ def _recipe_blocks(html: str) -> Iterator[tuple]:
         labels = ", ".join(filter(None, (P.text_of(s, x) for x in P.inside(s, details, "span", "sd_label")))) if details else None
         yield (pos, P.first_text(s, block, "div", "invtitle2"), names[0] if names else None,
                *(P.first_text(s, stats, "div", css) for css, _ in STATS), labels,
-               _level_of(s, details) if details else None, names[-1] if len(names) > 1 else None,
+               _level_of_texts(s[x:y] for x, y in P.inside(s, details, "div")) if details else None, names[-1] if len(names) > 1 else None,
                rcp_img, appl_img, P.attribute(s, block, "a", "href"), rcp_bad, appl_bad)
 
 
+_KINDS = {"div": ("hide-on-mobile", "detstats", "rcp_view", "invtitle2", "applname", *(css for css, _ in STATS)),
+          "span": (RECIPE_BLOCK[1], "appl_view", "sd_label")}
+
+
+def _plain_recipes(html: list[str]) -> tuple[list[int], list[list], np.ndarray]:
+    """(pages, columns, odd pages): the rows of :func:`_recipe_blocks` of all pages but the odd ones."""
+    pages = [x.encode() for x in html]
+    limits = np.concatenate([[0], np.cumsum([len(x) for x in pages], dtype=np.int64)])
+    raw = b"".join(pages)
+    m = Markup(raw, limits, _KINDS)
+    at, lo = m.kinds["span"].places[RECIPE_BLOCK[1]]
+    page = np.searchsorted(limits, at, side="right") - 1
+    pos = np.arange(len(at)) - np.searchsorted(page, page) + 1
+    hi = m.kinds["span"].closing(lo, np.minimum(np.append(at[1:], len(raw)), limits[page + 1]))
+    mine = ~m.odd[page]
+    page, pos, block = page[mine], pos[mine], (lo[mine], hi[mine])
+    details = m.first(*block, "div", "hide-on-mobile")
+    stats = m.first(*details, "div", "detstats")
+
+    def images(found):
+        some = [_image_of(raw[x:y].decode(), (0, y - x)) if x >= 0 else (None, False) for x, y in zip(*(v.tolist() for v in found))]
+        return [x for x, _ in some], np.array([bad for _, bad in some], dtype=bool)
+
+    rcp_img, rcp_bad = images(m.first(*block, "div", "rcp_view"))
+    appl_img, appl_bad = images(m.first(*block, "span", "appl_view"))
+    keep = np.flatnonzero((stats[0] >= 0) | rcp_bad | appl_bad)
+    block, details, stats = ((x[keep], y[keep]) for x, y in (block, details, stats))
+
+    def texts(found):
+        spans = ((raw[x:y].decode() if x >= 0 else None) for x, y in zip(*(v.tolist() for v in found)))
+        return [x if x is None else P.text_of(x, (0, len(x))) for x in spans]
+
+    def lists(tag, css):
+        offsets, *found = m.every(*details, tag, css)
+        all_, offsets = texts(found), offsets.tolist()
+        return [all_[x:y] for x, y in zip(offsets[:-1], offsets[1:])]
+
+    def levels():
+        offsets, starts, ends = (v.tolist() for v in m.every(*details, "div", None))
+        for k, (x, y) in enumerate(zip(*(v.tolist() for v in details))):
+            yield _level_of_texts(raw[u:v].decode() for u, v in zip(starts[offsets[k]:offsets[k + 1]], ends[offsets[k]:offsets[k + 1]])
+                                  if raw.find(b"Lvl:", u, v) >= 0) if x >= 0 else None
+
+    def links():
+        for x, y in zip(*(v.tolist() for v in block)):
+            s = raw[x:y].decode()
+            yield P.attribute(s, (0, y - x), "a", "href")
+
+    names, labels = lists("div", "applname"), lists("span", "sd_label")
+    return page[keep].tolist(), [
+        pos[keep].tolist(), texts(m.first(*block, "div", "invtitle2")), [x[0] if x else None for x in names],
+        *(texts(m.first(*stats, "div", css)) for css, _ in STATS),
+        [", ".join(filter(None, x)) if d >= 0 else None for x, d in zip(labels, details[0].tolist())],
+        list(levels()), [x[-1] if len(x) > 1 else None for x in names],
+        [rcp_img[k] for k in keep], [appl_img[k] for k in keep], list(links()), rcp_bad[keep].tolist(), appl_bad[keep].tolist()], m.odd
+
+
 def recipe_rows(pages: DataFrame) -> DataFrame:
     """Recipe rows (D1) of pages (page_id, url, html), with page_id, pos and ``error``.
 
     Blocks without a details part or without its figures are skipped (K4); figures are read
     inside the figures' element only. The first appliance name is the appliance; the last of
     several is the release date (K7). Many fields of one block are read, so its page is read
-    once, in Python, by the rules of ``elements`` (``fragments``); all else is native.
+    once, in Python, by the rules of ``elements`` (``markup``; odd pages: ``fragments``); all else is native.
     """
     conf, key = pages.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(conf.get(key).rstrip("b")) > BATCH_BYTES:
@@ -125,13 +181,14 @@ def recipe_rows(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, rows = [], []
-            for i, html in enumerate(b.column(2).to_pylist()):
-                found = list(_recipe_blocks(html)) if html else []
-                rows += found
+            html = [P.clean(x) if x else "" for x in b.column(2).to_pylist()]
+            at, columns, odd = _plain_recipes(html)
+            for i in np.flatnonzero(odd).tolist():
+                found = list(_recipe_blocks(html[i]))
                 at += [i] * len(found)
+                for column, values in zip(columns, zip(*found)):
+                    column += values
             place = pa.array(at, pa.int64())
-            columns = zip(*rows) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([b.column(0).take(place), b.column(1).take(place),
                                               *[pa.array(c, t) for c, t in zip(columns, types)]], names)
 

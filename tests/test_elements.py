@@ -179,3 +179,40 @@ def test_fragments_in_python_follow_the_native_rules(spark):
         got = ([cut(x) for x in P.inside(s, whole, "div", "n")], [cut(x) for x in P.inside(s, whole, "div")], cut(P.first_inside(s, whole, "div", "n")),
                P.first_text(s, whole, "span", "n"), cut(P.first_tag(s, whole, "img")), P.attribute(s, whole, "img", "src"), P.attribute(s, whole, "a", "href"))
         assert got == (r.cls, r["all"], r["first"], r.text, r.tag, r.src, r.href), s
+
+
+def test_array_reader_of_recipes_equals_the_page_reader():
+    """Odd pages are named, all others give the rows of one page at a time."""
+    import random
+
+    from slotplan.sources import fragments as P
+    from slotplan.sources import records as R
+    rnd = random.Random(3)
+    bits = ["<div>", "<DIV class=hide-on-mobile>", "<div class='applname x'>", '<div class="detstats">', "</div>", "</div>", "</div >", "</div\n>",
+            "<span class=appl_view>", "<img>", "<img alt=x src=a.png>", "<img src='b>c'>", "<a class=go>", '<a href="u&amp;>v">', "Lvl: 3", "Lvl:\t0012", "Lvl: 99999999999",
+            " t ", "&lt;", '<span class="row appliance_single_recipe">', "<SPAN class=appliance_single_recipe>", "</span>", "<span class=sd_label>",
+            "<div class=rcp_view>", "<div class=rcpcost>", "<div class=invtitle2>", "é", "<div/>", "<br/>"]
+    odd = ["</div/>", "</div x>", "<div <div class=applname>", "<", "<div class=detstats", "</div", "<!-- x", "a<b", ">"]
+    rows = odd_pages = 0
+    for _ in range(400):
+        pages = []
+        for _ in range(rnd.randint(1, 6)):
+            pool = bits + (odd if rnd.random() < 0.4 else [])
+            some = [rnd.choice(pool) for _ in range(rnd.randint(0, 60))]
+            half = len(some) // 2
+            pages.append(P.clean("".join(['<span class="appliance_single_recipe"><div class=hide-on-mobile>', *some[:half],
+                                          "<div class=detstats>" if rnd.random() < 0.7 else "", *some[half:]])))
+        at, columns, strange = R._plain_recipes(pages)
+        want = [(i, *r) for i, s in enumerate(pages) if not strange[i] for r in R._recipe_blocks(s)]
+        assert list(zip(at, *columns)) == want
+        rows, odd_pages = rows + len(want), odd_pages + int(strange.sum())
+    assert rows > 300 and odd_pages > 100
+    assert R._plain_recipes([])[0] == [] and R._plain_recipes(["", "x"])[0] == []
+
+
+def test_recipe_pages_are_dealt_evenly(spark):
+    """Large pages are not merged into few tasks by their compressed size."""
+    from slotplan.sources import fixtures
+    table = fixtures.recipe_pages(spark, "/root/testdata/sf0.1")
+    sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
