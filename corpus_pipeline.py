@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotplan.llm import jaccard_join, mixing, quality_rules, sentencepiece_lattice, substring_dedup
-from slotplan.llm.common import settled, table
+from slotplan.llm.common import settled, table, touched
 from slotplan.operators.quality import keep_where
 
 #: target token shares; the budget is what the clean documents fill without repeats
@@ -55,12 +55,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                    "pipeline-rows")
     first = settled(rows.groupBy("_comp").agg(F.min("_place").alias("_first")), "pipeline-first")
     drop = settled(rows.join(first, "_comp").where("_place <> _first").select(F.col("_key").alias("_gone"), F.col("_id").alias("_gone_id")), "pipeline-drop")
-    kept = rows_in.join(drop, (F.col("_key") == F.col("_gone")) & F.col("_id").eqNullSafe(F.col("_gone_id")), "left_anti")
     # rows that share id and text: those that share all columns stay once
     again = settled(groups.groupBy("_key").count().where("count > 1").select("_key"), "pipeline-again")
+    # texts that neither list names stay where they are; only the others are shuffled
+    alone, rest = touched(rows_in, drop.select(F.col("_gone").alias("_key")).unionByName(again), "_key")
+    kept = rest.join(drop, (F.col("_key") == F.col("_gone")) & F.col("_id").eqNullSafe(F.col("_gone_id")), "left_anti")
     if again.isEmpty():
-        return kept.select("_row.*")
-    return (kept.join(again, "_key", "left_anti").select("_row.*")
+        return alone.unionByName(kept).select("_row.*")
+    return (alone.unionByName(kept.join(again, "_key", "left_anti")).select("_row.*")
             .unionByName(kept.join(again, "_key", "left_semi").select("_row.*").distinct()))
 
 

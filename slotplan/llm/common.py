@@ -73,3 +73,25 @@ def sized(df: DataFrame, entries: str | None = None) -> DataFrame:
     total = F.coalesce(F.sum(F.size(entries)), F.lit(0)) if entries else F.lit(0)
     rows, inner = df.agg(F.count(F.lit(1)), total).first()
     return F.broadcast(df) if max(rows, inner) <= BROADCAST_ROWS else df
+
+
+#: bits of the largest filter that is broadcast (32 MB); one row of it holds as many as ``bitmap_construct_agg`` takes
+FILTER_BITS = 1 << 28
+_FILTER_ROW = 1 << 15
+
+
+def touched(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``key`` is surely not in ``keys``, and the others: all that are in it, and few more.
+
+    ``key`` is a 64-bit hash without nulls. Its low bits go into a bitmap of 16 bits a key, bounded by
+    ``FILTER_BITS`` (beyond it more rows count as touched). Rows apart from the keys meet no shuffle.
+    """
+    n = keys.count()
+    bits = max(_FILTER_ROW, min(FILTER_BITS, 1 << (16 * n).bit_length()))
+    slot = F.pmod(F.col(key), F.lit(bits))
+    line, place = (slot / _FILTER_ROW).cast("long"), slot % _FILTER_ROW
+    bitmap = settled(keys.groupBy(line.alias("_line")).agg(F.bitmap_construct_agg(place).alias("_bits")), "touched-bits")
+    byte = F.conv(F.hex(F.substr("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    found = rows.join(F.broadcast(bitmap), line == F.col("_line"), "left")
+    return found.where(~hit).select(*rows.columns), found.where(hit).select(*rows.columns)

@@ -3,6 +3,7 @@
 import __spark_entry__ as entry
 import corpus_pipeline
 from slotplan.llm import quality_rules
+from slotplan.llm.common import touched
 from tests.conftest import SF_SMALL
 from tests.llm.test_text_operators import brute_components, brute_cut
 
@@ -71,3 +72,36 @@ def test_every_operator_is_registered():
     names = entry.queries()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "substring_dedup", "mixing", "sentencepiece"]
     assert "pipeline" in names and all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 14))
+
+
+def test_near_duplicates_leave_lone_texts_in_place(spark):
+    """Only rows that a list of dropped or repeated rows may name are shuffled with their texts."""
+    texts = [" ".join(f"w{d}x{i}" for i in range(12)) for d in range(400)]
+    rows = [*enumerate(texts), (400, texts[7] + " more"), (401, texts[8]), (9, texts[9]), (None, "lone"), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+            if spark.conf.get(name, None) is not None}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        # the first branch meets the bitmap only, by a broadcast; the joins with the lists are in the others
+        first = plan.split("Join LeftAnti")[0]
+        assert "Union" in plan and "Join LeftOuter" in first and "strategy=broadcast" in first
+        got = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    want = [*enumerate(texts), (None, "lone"), (None, None)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_touched_finds_every_key(spark):
+    rows = spark.range(20_000).selectExpr("xxhash64(id) as key", "id")
+    keys = spark.range(0, 20_000, 50).selectExpr("xxhash64(id) as key")
+    apart, near = touched(rows, keys, "key")
+    assert near.join(keys, "key").count() == keys.count() and near.count() < 3000
+    assert apart.count() + near.count() == 20_000 and apart.join(keys, "key").isEmpty()
+    apart, near = touched(rows, keys.limit(0), "key")
+    assert apart.count() == 20_000 and near.isEmpty()
