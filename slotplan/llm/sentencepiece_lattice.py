@@ -10,8 +10,10 @@ encoded apart, each distinct frequent one once:
    models the merges in order of score (a BPE score is a merge rank, for which the
    best-sum path is not the encoding). Characters without a piece become bytes;
 3. the ``hot`` most frequent segments form a dictionary of bounded size that every
-   task gets. Segments outside it go through the same lattice under their text's
-   key, so no text is sent more than once, in packed form.
+   task gets. Of BPE models, segments outside it go through the same lattice and fold
+   where they stand, many at a time as arrays (``Lattice``), so no text is shuffled; of
+   unigram models they go through the tables under their text's key, so no text is sent
+   more than once, in packed form.
 
 ``decode`` maps pieces back to bytes; ``encode`` tells whether decoding gives the text.
 
@@ -25,6 +27,7 @@ that it comes back; an empty table gives an empty result; extra columns are igno
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -320,6 +323,148 @@ def encoded_words(words: DataFrame, model: Model) -> DataFrame:
     return merged(lat, model) if model.bpe else viterbi(lat, model)
 
 
+# ---- the same lattice and fold as arrays, many segments at a time ----------------
+
+def _ramp(n: np.ndarray) -> np.ndarray:
+    """0, 1, .. n[0] - 1, 0, 1, .. n[1] - 1, .."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+class Lattice:
+    """Edges and merges of a BPE model over spans of bytes.
+
+    Substrings are grown byte by byte while some piece begins with them: ``steps`` holds the
+    beginnings of all pieces as sorted numbers (place of the beginning one byte shorter, byte).
+    """
+
+    def __init__(self, model: Model):
+        pieces = [p.encode() for p, _, _ in model.pieces]
+        size = np.array([len(p) for p in pieces], dtype=np.int64)
+        text = np.zeros((len(pieces), int(size.max(initial=0))), dtype=np.uint8)
+        for r, p in enumerate(pieces):
+            text[r, :len(p)] = np.frombuffer(p, dtype=np.uint8)
+        node, steps, ends, count = np.zeros(len(pieces), np.int64), [], [], 0
+        for d in range(text.shape[1]):
+            on = np.flatnonzero(size > d)
+            step, back = np.unique((node[on] << 8) + text[on, d], return_inverse=True)
+            node[on] = count + 1 + back.reshape(-1)
+            count += len(step)
+            steps.append(step)
+            ends.append(on[size[on] == d + 1])
+        self.steps = np.concatenate([*steps, [np.iinfo(np.int64).max]])
+        self.piece = np.full(count + 1, -1, dtype=np.int64)           # of a beginning that is one
+        for on in ends:
+            self.piece[node[on]] = on
+        rank = {s: r for r, s in enumerate(sorted({s for _, s, _ in model.pieces}, reverse=True))}
+        self.rank = np.array([rank[s] for _, s, _ in model.pieces], dtype=np.int64)     # 0 is the best score
+        self.ids = np.array([i for _, _, i in model.pieces], dtype=np.int32)
+        self.first_byte, self.unknown = model.first_byte, model.unknown
+
+    def edges(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, end, piece) of every piece that lies at one of the places ``start`` before its ``stop``."""
+        at, node, found, d = start, np.zeros(len(start), np.int64), [], 0
+        while len(at):
+            key = (node << 8) + data[at + d]
+            k = np.searchsorted(self.steps, key)
+            d += 1
+            good = np.flatnonzero(self.steps[k] == key)
+            at, stop, node = at[good], stop[good], k[good] + 1
+            hit = np.flatnonzero(self.piece[node] >= 0)
+            found.append((at[hit], at[hit] + d, self.piece[node[hit]]))
+            on = np.flatnonzero(at + d < stop)
+            at, stop, node = at[on], stop[on], node[on]
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+
+    def encode(self, source: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the spans ``source[lo:hi]``, end to end, and how many each has."""
+        n = hi - lo
+        data = source[np.repeat(lo, n) + _ramp(n)]
+        begin = np.cumsum(n) - n
+        end = begin + n
+        segment = np.repeat(np.arange(len(n)), n)
+        bound = (data & 0xC0) != 0x80                                    # characters begin here
+        start = np.flatnonzero(bound)
+        i, k, piece = self.edges(data, start, end[segment[start]])
+        longer = np.flatnonzero(np.append(np.cumsum(bound), bound.sum())[k - 1] - np.cumsum(bound)[i] > 0)
+        seg = segment[i[longer]]
+        order = longer[np.lexsort((i[longer], self.rank[piece[longer]], seg))]
+        seg = segment[i[order]]
+        first = np.searchsorted(seg, np.arange(len(n) + 1))
+        stays = self._swept(bound, begin, n, i[order], k[order], first)
+        for s in np.flatnonzero(~stays[1]).tolist():
+            moves = order[first[s]:first[s + 1]]
+            stays[0][begin[s]:end[s]] = self._folded(bound[begin[s]:end[s]], i[moves] - begin[s], k[moves] - begin[s], self.rank[piece[moves]])
+        left = stays[0]
+        # an edge between neighbouring bounds is a token; characters left over become bytes
+        after = np.cumsum(left)
+        last = np.append(after, 0)[k - 1]
+        whole = np.flatnonzero(left[i] & (last == after[i]) & ((k == end[segment[i]]) | np.append(left, True)[k]))
+        ids = np.full(len(data), -1, dtype=np.int32)
+        ids[i[whole]] = self.ids[piece[whole]]
+        bare = left & (ids < 0)
+        if self.first_byte is None:
+            ids[bare] = self.unknown
+        else:
+            char = np.cumsum(bound) - 1
+            out = np.flatnonzero(bare[start][char])
+            ids[out] = self.first_byte + data[out].astype(np.int32)
+        some = ids >= 0
+        return ids[some], np.bincount(segment[some], minlength=len(n))
+
+    @staticmethod
+    def _swept(bound, begin, n, i, k, first) -> tuple[np.ndarray, np.ndarray]:
+        """Bounds after one pass over the merges of each segment in their order, and whether it settles the segment:
+        not if a merge comes up while its span is in three parts or more, nor where bounds do not fit in 64 bits."""
+        one, many = np.uint64(1), np.diff(first)
+        small = n < 64
+        place = np.arange(len(bound)) - np.repeat(begin, n)
+        bit = np.where(bound, one << (place & 63).astype(np.uint64), np.uint64(0))
+        mask = np.bitwise_or.reduceat(bit, begin) if len(n) else np.zeros(0, np.uint64)
+        mask = mask | (one << (n & 63).astype(np.uint64))
+        sure = small.copy()
+        rows = np.flatnonzero(small & (many > 0))
+        base = np.repeat(begin, many)
+        x, y = (i - base) & 63, (k - base) & 63
+        ends = (one << x.astype(np.uint64)) | (one << y.astype(np.uint64))
+        inner = (one << y.astype(np.uint64)) - (one << (x + 1).astype(np.uint64))
+        t = 0
+        while len(rows):
+            e = first[rows] + t
+            m = mask[rows]
+            parts = np.bitwise_count(m & inner[e])
+            fits = (m & ends[e]) == ends[e]
+            mask[rows] = np.where(fits & (parts == 1), m & ~inner[e], m)
+            later = fits & (parts > 1)
+            sure[rows[later]] = False
+            t += 1
+            rows = rows[~later & (many[rows] > t)]
+        left = bound & ((np.repeat(mask, n) >> (place & 63).astype(np.uint64) & one) == 1)
+        return left, sure
+
+    @staticmethod
+    def _folded(bound, i, k, rank) -> np.ndarray:
+        """Bounds of one segment after its merges, step by step: best first, then leftmost."""
+        n = len(bound)
+        marks = [*np.flatnonzero(bound).tolist(), n]
+        after, before = dict(zip(marks, marks[1:])), dict(zip(marks[1:], marks))
+        best = {(x, y): r for x, y, r in zip(i.tolist(), k.tolist(), rank.tolist())}
+        heap = [(best[x, z], x, z) for x, z in zip(marks, marks[2:]) if (x, z) in best]
+        heapq.heapify(heap)
+        while heap:
+            _, x, z = heapq.heappop(heap)
+            y = after.get(x)
+            if y is None or after.get(y) != z:
+                continue
+            del after[y], before[y]
+            after[x], before[z] = z, x
+            for pair in ((before.get(x), z), (x, after.get(z))):
+                if pair in best:
+                    heapq.heappush(heap, (best[pair], *pair))
+        out = np.zeros(n, dtype=bool)
+        out[list(after)] = True
+        return out
+
+
 # ---- texts -------------------------------------------------------------------
 
 class Dictionary:
@@ -419,6 +564,8 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     small_batches(spark, 4 * CUT_BYTES)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     book = spark.sparkContext.broadcast(dictionary(rows, model, hot))       # at most ``hot`` short segments
+    if model.bpe:
+        return _encoded_in_place(rows, model, book)
     apart = model.apart
     keyed = rows.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
@@ -485,3 +632,35 @@ def encode(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     done = joined.mapInArrow(lean(assemble), f"doc_id {kind}, mark long, n_tokens long, ids array<int>, back string")
     return done.select("doc_id", "n_tokens", "ids", (F.xxhash64("back") == F.col("mark")).alias("round_trip"))
+
+
+def _encoded_in_place(rows: DataFrame, model: Model, book) -> DataFrame:
+    """``encode`` in one pass over the texts: ids from the dictionary, all other segments by their lattice."""
+    apart, pieces = model.apart, model.texts
+    rules = rows.sparkSession.sparkContext.broadcast(Lattice(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, lat = book.value, rules.value
+        for b in batches:
+            for c, data, lo, hi, row, h in _cuts(b.column(1), apart):
+                place = table.find(h)
+                known, cold = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+                size = np.zeros(len(h), dtype=np.int64)
+                size[known] = np.diff(table.at)[place[known]]
+                more, size[cold] = lat.encode(data, lo[cold], hi[cold])
+                end = np.concatenate([[0], np.cumsum(size)])
+                flat = np.empty(int(end[-1]), dtype=np.int32)
+                for part, source, begin in ((known, table.ids, table.at[place[known]]),
+                                            (cold, more, np.cumsum(size[cold]) - size[cold])):
+                    n, step = size[part], _ramp(size[part])
+                    flat[np.repeat(end[part], n) + step] = source[np.repeat(begin, n) + step]
+                at = end[np.searchsorted(row, np.arange(c.rows + 1))]
+                own = c.data.tobytes()
+                same = [x == own[y:z] for x, y, z in zip(decode(flat, at, pieces), c.base[:-1].tolist(), c.base[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(c.first, c.rows), pa.array(np.diff(at), pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), pa.array(same, pa.bool_())],
+                    ["doc_id", "n_tokens", "ids", "round_trip"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {kind}, n_tokens long, ids array<int>, round_trip boolean")

@@ -244,6 +244,31 @@ def test_merges_equal_a_plain_loop(spark, monkeypatch, packed):
     assert late > 0
 
 
+def test_lattice_in_arrays_equals_the_tables(spark):
+    """Made-up scores (late merges, ties), characters without a piece, no byte pieces, long words."""
+    rnd = random.Random(12)
+    for first_byte, letters in ((3, "abcdé"), (None, "ab日d")):
+        texts = {"".join(rnd.choice(letters) for _ in range(rnd.randrange(2, 6))) for _ in range(60)} | set(letters[:3])
+        pieces = [(t, -float(rnd.randrange(1, 25)), i + 300) for i, t in enumerate(sorted(texts))]
+        model = sp.Model(pieces, first_byte, 1, True, [b""] * 1000)
+        words = list(dict.fromkeys("".join(rnd.choice(letters + "z") for _ in range(rnd.choice([1, 2, 5, 9, 14, 31, 60, 63, 64, 75]))) for _ in range(150)))
+        want = {r["word"]: list(r["ids"]) for r in sp.encoded_words(spark.createDataFrame([(w,) for w in words], "word string"), model).collect()}
+        raw = [w.encode() for w in words]
+        hi = np.cumsum([len(x) for x in raw])
+        ids, n = sp.Lattice(model).encode(np.frombuffer(b"".join(raw), np.uint8), hi - [len(x) for x in raw], hi)
+        at = np.concatenate([[0], np.cumsum(n)])
+        assert {w: ids[x:y].tolist() for w, x, y in zip(words, at, at[1:])} == want
+    none = np.zeros(0, np.int64)
+    assert [len(x) for x in sp.Lattice(model).encode(np.zeros(0, np.uint8), none, none)] == [0, 0]
+
+
+def test_texts_are_encoded_where_they_stand(spark):
+    """Rare segments bring no shuffle of texts: the last pass over them is narrow."""
+    docs = spark.createDataFrame(enumerate(TEXTS), "doc_id long, text string")
+    plan = sp.encode(docs, sp.load(), hot=2)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Join" not in plan
+
+
 def plain_features(text):
     text = text or ""
     words = [w for w in re.split(r"[\x20\x09-\x0d]+", text.lower().strip(" \t\n\x0b\f\r")) if w]
