@@ -13,10 +13,14 @@ distinct five-word shingles. Exact, in steps that each shrink the data:
 4. Each cluster is joined by its *signature tree*: nodes hold the OR (and AND) of
    token bitmaps and a size range; the dual traversal drops node pairs whose largest
    possible overlap is too small, skips pairs already connected, and verifies the
-   rest on the full sets (``spanning``). Clusters beyond two ``PIECE`` are first
-   linked to a hub, then split by a traversal of signatures alone, which are far
-   smaller than the sets. Only members that no hub reaches meet the others, piece
-   by piece, so no task holds more than two pieces.
+   rest on the full sets (``spanning``). Chance makes clusters that grow with the
+   table, so those beyond two ``PIECE`` are first split by the *lists* that make
+   them, the members of one shared shingle: each member is verified against the
+   largest of its lists (``hub``), and the pairs of a list that no hub has joined
+   are held against each other by signatures alone, which are far smaller than the
+   sets. Short lists give their pairs at once, long ones go through signature trees.
+   What is left connected are the clusters of the last join. Only members that no hub
+   reaches meet the others, piece by piece, so no task holds more than two pieces.
 
 A frequent shingle only changes an order, so the list of frequent ones may be
 approximate and is bounded (``MAX_FREQUENT``). Shingles are 64-bit hashes.
@@ -45,6 +49,7 @@ WIDTH = 5
 PERCENT = 75
 PIECE = 256                 # members of a cluster that meet in one task (at most two pieces)
 SIGNATURE_PIECE = 2048      # the same where only signatures meet
+LIST = 64                   # members up to which a list gives its pairs without a tree
 MAX_FREQUENT = 1 << 20      # shingles with a frequency level of their own
 FREQUENT = 8                # documents of a shingle that count as frequent
 SUMMARY = 1 << 15           # entries of a task's heavy-hitter summary
@@ -95,8 +100,11 @@ class Frequency:
         return values[np.argsort(level, kind="stable")] if level.any() else values
 
 
-def _frequent(rows) -> Frequency:
-    return Frequency(np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64), np.array([r[1] for r in rows], dtype=np.int64))
+def _frequent(counts: DataFrame) -> Frequency:
+    """Of a table of shingles and counts; it comes to the driver as two arrays."""
+    got = counts.toArrow()
+    tokens, many = (got.column(i).to_numpy().astype(np.int64) for i in (0, 1))
+    return Frequency(tokens.view(np.uint64), many)
 
 
 def _members(docs: DataFrame) -> DataFrame:
@@ -179,21 +187,34 @@ def _sets(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     return settled(rows.select("text", "cls").mapInArrow(run, "cls long, n long, tokens array<long>"), "jaccard-sets")
 
 
-def clusters(sets: DataFrame, order: Frequency) -> DataFrame:
-    """(cls, cluster): classes connected by shared prefix shingles; singles are left out."""
+def _rank(n: str, cls: str) -> Column:
+    """One order of classes for all lists: by size, then by the low half of the hash."""
+    return F.shiftleft(F.col(n).cast("long"), 32).bitwiseOR(F.col(cls).bitwiseAND(F.lit(0xFFFFFFFF)))
+
+
+def shared_shingles(sets: DataFrame, order: Frequency) -> DataFrame:
+    """(token, cls, n, place, hub, hub_n): the lists of prefix shingles that classes share; the largest class is the hub."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             offsets = b.column(1).offsets.to_numpy()
             flat = b.column(1).values.to_numpy(zero_copy_only=False).view(np.uint64)
             tokens = [order.ordered(flat[x:y])[:prefix_size(y - x)] for x, y in zip(offsets[:-1], offsets[1:])]
             if tokens:
-                cls = np.repeat(b.column(0).to_numpy(), [len(t) for t in tokens])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(cls)], ["token", "cls"])
+                size = [len(t) for t in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), size)),
+                     pa.array(np.repeat(np.diff(offsets), size).astype(np.int32)),
+                     pa.array(np.concatenate([np.arange(k) for k in size]).astype(np.int32))], ["token", "cls", "n", "place"])
+
+    first = sets.select("cls", "tokens").mapInArrow(run, "token long, cls long, n int, place int")
+    hubs = settled(first.groupBy("token").agg(F.count(F.lit(1)).alias("many"), F.max_by("cls", _rank("n", "cls")).alias("hub"), F.max("n").alias("hub_n"))
+                   .where("many > 1").select("token", "hub", "hub_n"), "jaccard-hubs")
+    return settled(first.join(hubs, "token"), "jaccard-shared")
+
 
-    first = sets.select("cls", "tokens").mapInArrow(run, "token long, cls long")
-    hubs = settled(first.groupBy("token").agg(F.min("cls").alias("hub"), F.max("cls").alias("top"))
-                   .where("hub <> top").select("token", "hub"), "jaccard-hubs")
-    edges = first.join(hubs, "token").where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
+def clusters(shared: DataFrame) -> DataFrame:
+    """(cls, cluster): classes connected by shared prefix shingles; singles are left out."""
+    edges = shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))
     return settled(components(edges).select(F.col("node").alias("cls"), F.col("root").alias("cluster")), "jaccard-clusters")
 
 
@@ -217,13 +238,13 @@ def bitmap(values: np.ndarray) -> np.ndarray:
 
 
 class SignatureTree:
-    """Members sorted by size under nodes with OR and AND bitmaps and a size range."""
+    """Members sorted by size (those ``apart`` last) under nodes with OR and AND bitmaps and a size range."""
 
     FAN = 16
 
-    def __init__(self, size: np.ndarray, bitmaps: np.ndarray):
+    def __init__(self, size: np.ndarray, bitmaps: np.ndarray, apart: np.ndarray | None = None):
         self.size, self.bitmaps = size, bitmaps
-        self.order = np.argsort(size, kind="stable")
+        self.order = np.lexsort((size, np.zeros(len(size), bool) if apart is None else apart))
         #: levels[0] are leaves of FAN members; each: (first, last + 1, OR, AND, least size, largest size)
         self.levels = [[self._node(i, min(i + self.FAN, len(size)), None) for i in range(0, len(size), self.FAN)]]
         while len(self.levels[-1]) > 1:
@@ -271,18 +292,16 @@ class SignatureTree:
             if level:
                 stack += [(level - 1, x, y) for x in range(a[0], a[1]) for y in range(b[0], b[1]) if x <= y]
                 continue
-            for x in range(a[0], a[1]):
-                m = int(self.order[x])
-                rest = self.order[max(b[0], x + 1):b[1]]
-                rest = rest[comp[rest] != comp[m]]
-                if not len(rest):
-                    continue
-                lost_x = np.bitwise_count(self.bitmaps[m] & ~self.bitmaps[rest]).sum(axis=1)
-                lost_y = np.bitwise_count(self.bitmaps[rest] & ~self.bitmaps[m]).sum(axis=1)
-                most = np.minimum(self.size[m] - lost_x.astype(np.int64), self.size[rest] - lost_y.astype(np.int64))
-                for y in rest[(100 + PERCENT) * most >= PERCENT * (self.size[m] + self.size[rest])].tolist():
-                    if comp[y] != comp[m]:
-                        yield m, y
+            x, y = self.order[a[0]:a[1]], self.order[b[0]:b[1]]
+            one, two = self.bitmaps[x][:, None, :], self.bitmaps[y][None, :, :]
+            most = np.minimum(self.size[x][:, None] - np.bitwise_count(one & ~two).sum(axis=2, dtype=np.int64),
+                              self.size[y][None, :] - np.bitwise_count(two & ~one).sum(axis=2, dtype=np.int64))
+            good = (100 + PERCENT) * most >= PERCENT * (self.size[x][:, None] + self.size[y][None, :])
+            if i == j:
+                good = np.triu(good, 1)
+            for u, v in zip(*np.nonzero(good)):
+                if comp[x[u]] != comp[y[v]]:
+                    yield int(x[u]), int(y[v])
 
 
 def candidate_pairs(size: np.ndarray, maps: list[np.ndarray], comp: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -292,6 +311,8 @@ def candidate_pairs(size: np.ndarray, maps: list[np.ndarray], comp: np.ndarray)
     and the next one hold every pair. ``comp`` is changed in place by the caller.
     """
     widths = np.array([len(m) for m in maps])
+    kinds, kind = np.unique(comp, return_inverse=True)
+    apart = kind != np.bincount(kind, minlength=len(kinds)).argmax()    # the largest component's members stand together
     for w in np.unique(widths):
         rows = np.flatnonzero((widths == w) | (widths == 2 * w))
         same = widths[rows] == w
@@ -299,7 +320,7 @@ def candidate_pairs(size: np.ndarray, maps: list[np.ndarray], comp: np.ndarray)
             continue
         flat = np.stack([maps[r] if len(maps[r]) == w else maps[r][:w] | maps[r][w:] for r in rows])
         view = _View(comp, rows)
-        for i, j in SignatureTree(size[rows], flat).pairs(view):
+        for i, j in SignatureTree(size[rows], flat, apart[rows]).pairs(view):
             if same[i] or same[j]:
                 yield int(rows[i]), int(rows[j])
 
@@ -385,30 +406,121 @@ def _signatures(sets: DataFrame) -> DataFrame:
     return sets.select("cls", "n", "tokens").mapInArrow(run, "cls long, n long, bits binary")
 
 
-def _hub_links(sets: DataFrame, large: DataFrame) -> DataFrame:
-    """Links of the members of large clusters to their hub (the largest set, as copies lose words)."""
+def _words(col, rows: np.ndarray, width: int) -> np.ndarray:
+    """The bitmaps at ``rows`` of a binary column, all of ``width`` 64-bit words, as a matrix."""
+    _, offs, data = col.buffers()
+    at = np.frombuffer(offs, dtype=np.int32)[col.offset:col.offset + len(col)][rows].astype(np.int64)
+    return np.frombuffer(data, dtype=np.uint8)[at[:, None] + np.arange(8 * width)].view(np.uint64)
+
+
+def allowed(n: np.ndarray, m: np.ndarray, one, two) -> np.ndarray:
+    """Whether sizes and bitmaps of pairs allow a link (bitmaps: binary columns)."""
+    out = 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
+    wide = [np.diff(np.frombuffer(c.buffers()[1], dtype=np.int32)[c.offset:c.offset + len(c) + 1]) // 8 for c in (one, two)]
+    for u, v in sorted(set(zip(wide[0][out].tolist(), wide[1][out].tolist()))):
+        rows = np.flatnonzero(out & (wide[0] == u) & (wide[1] == v))
+        for part in np.array_split(rows, len(rows) * max(u, v) // (1 << 18) + 1):
+            a, b = _words(one, part, u), _words(two, part, v)
+            while a.shape[1] > b.shape[1]:
+                a = a[:, :a.shape[1] // 2] | a[:, a.shape[1] // 2:]
+            while b.shape[1] > a.shape[1]:
+                b = b[:, :b.shape[1] // 2] | b[:, b.shape[1] // 2:]
+            most = np.minimum(n[part] - np.bitwise_count(a & ~b).sum(axis=1, dtype=np.int64),
+                              m[part] - np.bitwise_count(b & ~a).sum(axis=1, dtype=np.int64))
+            out[part] = (100 + PERCENT) * most >= PERCENT * (n[part] + m[part])
+    return out
+
+
+def _allowed_pairs(pairs: DataFrame, signs: DataFrame, tag: str) -> DataFrame:
+    """The pairs (a, b) whose signatures allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n, m = b.column(2).to_numpy(), b.column(3).to_numpy()
+            good = pa.array(np.flatnonzero(allowed(n, m, b.column(4), b.column(5))))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(good), b.column(1).take(good)], ["a", "b"])
+
+    one = signs.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = signs.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return settled(both.mapInArrow(run, "a long, b long"), tag)
+
+
+def _hub_links(sets: DataFrame, signs: DataFrame, lists: DataFrame) -> DataFrame:
+    """Links (a, b) of the members of lists to the hubs (the largest sets, as copies lose words), and the hub's size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             both = [(b.column(i).offsets.to_numpy(), b.column(i).values.to_numpy(zero_copy_only=False).view(np.uint64)) for i in (2, 3)]
             good = [k for k in range(b.num_rows)
                     if links(*(flat[o[k]:o[k + 1]] for o, flat in both))]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(good, pa.int64())), b.column(1).take(pa.array(good, pa.int64()))], ["a", "b"])
-
-    rows = sets.join(sized(large.select("cls", "cluster")), "cls")
-    hubs = settled(rows.groupBy("cluster").agg(F.max(F.struct("n", "cls")).alias("h"))
-                   .select("cluster", F.col("h.cls").alias("hub")), "jaccard-hub")
-    hub_sets = settled(sets.join(sized(hubs.select(F.col("hub").alias("cls"), "cluster")), "cls")
-                       .select("cluster", F.col("cls").alias("hub"), F.col("tokens").alias("hub_tokens")), "jaccard-hub-sets")
-    pairs = rows.join(hub_sets, "cluster").where("cls <> hub")
-    return settled(pairs.select("cls", "hub", "tokens", "hub_tokens").mapInArrow(run, "a long, b long"), "jaccard-hub-links")
-
-
-def _pieces(members: DataFrame, hub_links: DataFrame, piece: int) -> DataFrame:
-    """(cls, comp, grp) of large clusters: pieces of loose members meet every piece of the cluster."""
-    tied = hub_links.select(F.col("a").alias("cls"), F.col("b").alias("comp")).unionByName(
-        hub_links.select(F.col("b").alias("cls"), F.col("b").alias("comp")).distinct())
-    m = settled(members.join(tied, "cls", "left").withColumn("loose", F.col("comp").isNull())
-                .withColumn("comp", F.coalesce("comp", "cls")), "jaccard-large")
+            at = pa.array(good, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(np.diff(both[1][0])[good].astype(np.int64))], ["a", "b", "n"])
+
+    near = settled(lists.where(f"cls <> hub and 100 * cast(n as long) >= {PERCENT} * cast(hub_n as long)")
+                   .select(F.col("cls").alias("a"), F.col("hub").alias("b")).distinct(), "jaccard-hub-pairs")
+    pairs = _allowed_pairs(near, signs, "jaccard-hub-maybe")
+    one = sets.select(F.col("cls").alias("a"), F.col("tokens").alias("tokens_a")).join(sized(pairs), "a")
+    two = sets.select(F.col("cls").alias("b"), F.col("tokens").alias("tokens_b")).join(sized(pairs.select("b").distinct()), "b", "left_semi")
+    return settled(one.join(two, "b").select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long, n long"), "jaccard-hub-links")
+
+
+def _tied(found: DataFrame) -> DataFrame:
+    """(cls, comp): the largest hub that each linked class has, or that hub's own; classes of one ``comp`` are linked through it."""
+    best = settled(found.groupBy("a").agg(F.max_by("b", _rank("n", "b")).alias("b")), "jaccard-best")
+    up = best.select(F.col("a").alias("b"), F.col("b").alias("up"))
+    alone = found.select("b").distinct().join(best.select(F.col("a").alias("b")), "b", "left_anti")
+    return settled(best.join(up, "b", "left").select(F.col("a").alias("cls"), F.coalesce("up", "b").alias("comp"))
+                   .unionByName(alone.select(F.col("b").alias("cls"), F.col("b").alias("comp"))), "jaccard-tied")
+
+
+def _list_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs (a, b) of short lists, of different components, whose sizes and places allow a link.
+
+    ``lists``: token, cls, n, place, comp. A pair counts where it shares its first shingle:
+    what stands before that in either prefix is not shared.
+    """
+    def pairs(token, cls, n, place, comp):
+        start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        size = np.diff(np.r_[start, len(token)])
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for gap in range(1, int(size.max())):
+            x = np.flatnonzero(np.arange(len(token)) + gap < np.repeat(start + size, size))
+            y = x + gap
+            most = np.minimum(n[x] - place[x], n[y] - place[y])
+            x, y = (z[(comp[x] != comp[y]) & ((100 + PERCENT) * most >= PERCENT * (n[x] + n[y]))] for z in (x, y))
+            found.append(np.stack([np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y])], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None                                    # the last list, which may go on in the next batch
+        for b in batches:
+            now = [b.column(i).to_numpy().astype(np.int64) for i in range(5)]
+            if rest is not None:
+                now = [np.concatenate(x) for x in zip(rest, now)]
+            if not len(now[0]):
+                continue
+            cut = int(np.flatnonzero(now[0] == now[0][-1])[0])
+            rest = [x[cut:] for x in now]
+            if cut:
+                out = pairs(*(x[:cut] for x in now))
+                yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+        if rest is not None:
+            out = pairs(*rest)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], ["a", "b"])
+
+    return (lists.repartition("token").sortWithinPartitions("token").select("token", "cls", "n", "place", "comp")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def _pieces(m: DataFrame, piece: int) -> DataFrame:
+    """(cls, comp, grp) of large clusters: pieces of loose members meet every piece of the cluster.
+
+    ``m``: cls, comp, cluster. All but the members of the most common component are loose.
+    """
+    main = (m.groupBy("cluster", "comp").count().groupBy("cluster")
+            .agg(F.max_by("comp", F.struct("count", "comp")).alias("main")))
+    m = settled(m.join(settled(main, "jaccard-main"), "cluster").withColumn("loose", F.col("comp") != F.col("main")), "jaccard-large")
     size = settled(m.groupBy("cluster").agg(
         F.ceil(F.sum(F.when(F.col("loose"), 1).otherwise(0)) / piece).alias("n_loose"),
         F.ceil(F.sum(F.when(F.col("loose"), 0).otherwise(1)) / piece).alias("n_tied")), "jaccard-large-sizes")
@@ -424,11 +536,53 @@ def _pieces(members: DataFrame, hub_links: DataFrame, piece: int) -> DataFrame:
     return m.select("cls", "comp", F.explode(keys).alias("grp"))
 
 
-def _by_size(member: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of clusters that fit in one task, and of larger ones (cls, cluster)."""
+def _blocks(long: DataFrame) -> DataFrame:
+    """(cls, comp, cluster): long lists by themselves, or what they connect as one, whichever has fewer pairs."""
+    root = settled(components(long.select(F.col("cls").alias("a"), F.col("lead").alias("b"))), "jaccard-blocks")
+    of_list = (long.select("token", "members", "lead").distinct().join(root, F.col("lead") == F.col("node"), "left")
+               .select("token", "members", F.coalesce("root", "lead").alias("root")))
+    size = root.groupBy("root").agg(F.count(F.lit(1)).cast("double").alias("size"))
+    apart = settled(of_list.withColumn("pairs", F.col("members").cast("double") * F.col("members")).groupBy("root").agg(F.sum("pairs").alias("pairs"))
+                    .join(size, "root").select("root", (F.col("pairs") < F.col("size") * F.col("size")).alias("apart")), "jaccard-apart")
+    named = of_list.join(apart, "root").select("token", F.when(F.col("apart"), F.concat(F.lit("t"), "token"))
+                                               .otherwise(F.concat(F.lit("r"), "root")).alias("cluster"))
+    return long.join(sized(settled(named, "jaccard-named-lists")), "token").select("cls", "comp", "cluster").distinct()
+
+
+def _split(sets: DataFrame, shared: DataFrame, large: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Large clusters split by their lists: links to hubs (a, b), what those tie (cls, comp), parts (cls, cluster)."""
+    own = sized(large.select("cls"))
+    lists = settled(shared.join(own, "cls", "left_semi"), "jaccard-lists")
+    signs = settled(_signatures(sets.join(own, "cls", "left_semi")).dropDuplicates(["cls"]), "jaccard-signatures")
+    links_to = _hub_links(sets, signs, lists)
+    found, tied = links_to.select("a", "b"), _tied(links_to)
+    # a hub has met its list, and what one hub ties is connected: only lists of several such components are left
+    left = settled(lists.where("cls <> hub").join(sized(tied), "cls", "left")
+                   .select("token", "cls", "n", "place", F.coalesce("comp", "cls").alias("comp")), "jaccard-left")
+    several = settled(left.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+                                                F.min("cls").alias("lead")).where("low <> high").select("token", "members", "lead"), "jaccard-several")
+    left = settled(left.join(sized(several), "token"), "jaccard-open-lists")
+    maybe = _allowed_pairs(_list_pairs(left.where(f"members <= {LIST}")), signs, "jaccard-pairs")
+    long = left.where(f"members > {LIST}")
+    if not long.isEmpty():
+        groups = settled(_tasks(_blocks(long), SIGNATURE_PIECE), "jaccard-pieces")
+        maybe = maybe.unionByName(settled(_groups(signs.join(sized(groups), "cls"), exact=False), "jaccard-maybe"))
+    parts = components(maybe.unionByName(found)).select(F.col("node").alias("cls"), F.concat(F.lit("s"), "root").alias("cluster"))
+    return found, tied, parts
+
+
+def _by_size(member: DataFrame, piece: int) -> tuple[DataFrame, DataFrame]:
+    """Members (a settled table) of clusters that fit in one task (two pieces), and of larger ones."""
     tagged = settled(member.join(settled(member.groupBy("cluster").count(), "jaccard-sizes"), "cluster"), "jaccard-tagged")
-    return (tagged.where(f"count <= {2 * PIECE}").select("cls", "cluster"),
-            tagged.where(f"count > {2 * PIECE}").select("cls", "cluster"))
+    return (tagged.where(f"count <= {2 * piece}").select(*member.columns),
+            tagged.where(f"count > {2 * piece}").select(*member.columns))
+
+
+def _tasks(member: DataFrame, piece: int) -> DataFrame:
+    """(cls, comp, grp): the groups of at most two pieces in which the members of each cluster meet."""
+    few, many = _by_size(settled(member.select("cls", "comp", "cluster"), "jaccard-sized"), piece)
+    groups = few.select("cls", "comp", F.col("cluster").alias("grp"))
+    return groups if many.isEmpty() else groups.unionByName(_pieces(many, piece))
 
 
 def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -441,27 +595,19 @@ def linked_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     classes = rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.min("rid").alias("rep"), F.min("doc_id").alias("least_id"))
     total = rows.agg(F.sum("n")).first()[0] or 0
     heavy = (both.where("kind = 1").groupBy("cls").agg(F.sum("n").alias("c"))
-             .where(F.col("c") * 100_000 >= total).orderBy(F.desc("c"), "cls").limit(MAX_FREQUENT).collect())
+             .where(F.col("c") * 100_000 >= total).orderBy(F.desc("c"), "cls").limit(MAX_FREQUENT))
     chosen = candidates(docs, classes, _frequent(heavy))
     sets = _sets(docs, chosen)
     common = (sets.select(F.explode("tokens").alias("token")).groupBy("token").count().where(f"count >= {FREQUENT}")
-              .orderBy(F.desc("count"), "token").limit(MAX_FREQUENT).collect())
-    member = clusters(sets, _frequent(common))
-    few, many = _by_size(member)
+              .orderBy(F.desc("count"), "token").limit(MAX_FREQUENT))
+    shared = shared_shingles(sets, _frequent(common))
+    few, many = _by_size(clusters(shared), PIECE)
     groups = few.select("cls", F.col("cls").alias("comp"), F.col("cluster").cast("string").alias("grp"))
     found = None
     if not many.isEmpty():
-        # large clusters: link to a hub, split by signatures alone, then meet on full sets
-        found = _hub_links(sets, many)
-        pieces = settled(_pieces(many, found, SIGNATURE_PIECE), "jaccard-pieces")
-        maybe = settled(_groups(_signatures(sets.join(sized(many.select("cls")), "cls", "left_semi"))
-                                .join(sized(pieces), "cls"), exact=False), "jaccard-maybe")
-        parts = components(maybe.unionByName(found)).select(F.col("node").alias("cls"), F.concat(F.lit("s"), "root").alias("cluster"))
-        few, many = _by_size(parts)
-        tied = found.select(F.col("a").alias("cls"), F.col("b").alias("comp"))
-        groups = (groups.unionByName(few.join(tied, "cls", "left").select(
-            "cls", F.coalesce("comp", "cls").alias("comp"), F.col("cluster").alias("grp")))
-            .unionByName(_pieces(many, found, PIECE)))
+        # large clusters: split by their lists, then meet on full sets
+        found, tied, parts = _split(sets, shared, many)
+        groups = groups.unionByName(_tasks(parts.join(sized(tied), "cls", "left").withColumn("comp", F.coalesce("comp", "cls")), PIECE))
     groups = settled(groups, "jaccard-groups")
     trees = settled(_groups(sets.join(sized(groups), "cls"), exact=True), "jaccard-links")
     roots = components(trees if found is None else trees.unionByName(found))

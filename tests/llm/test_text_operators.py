@@ -73,6 +73,44 @@ def test_jaccard_components(spark, monkeypatch, piece):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(texts, ids)
 
 
+def chained_texts(n):
+    """Each text shares three of its four passages with the next one: one cluster, no link."""
+    part = [" ".join(f"c{k}x{i}" for i in range(25)) for k in range(n + 3)]
+    return [" ".join(part[k:k + 4]) for k in range(n)]
+
+
+@pytest.mark.parametrize("short", [1, 64])
+def test_jaccard_chance_clusters_are_split_by_their_lists(spark, monkeypatch, short):
+    """Pairs that share no shingle of a list do not meet, however large the cluster is."""
+    monkeypatch.setattr(jaccard_join, "PIECE", 4)
+    monkeypatch.setattr(jaccard_join, "SIGNATURE_PIECE", 8)
+    monkeypatch.setattr(jaccard_join, "LIST", short)
+    met, groups = [], jaccard_join._groups
+    monkeypatch.setattr(jaccard_join, "_groups", lambda rows, exact: met.append(rows.count()) or groups(rows, exact))
+    rnd = random.Random(8)
+    chain = chained_texts(300)
+    texts = chain + [" ".join(mutated(rnd, rnd.choice(chain[:20]).split(), rnd.randrange(1, 4))) for _ in range(40)] + near_texts(3)
+    ids = [11 * i % 1009 for i in range(len(texts))]
+    got = jaccard_join.linked_components(docs(spark, texts, ids)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(texts, ids)
+    assert short == 1 or sum(met) < 8 * len(texts)       # every piece with every piece would be about 40 times the texts
+
+
+def test_jaccard_pairs_of_one_test_are_those_of_the_rule():
+    """Pairs held against each other at once, by bitmaps of any two widths: no link is lost."""
+    import numpy as np
+    import pyarrow as pa
+    rnd = random.Random(9)
+    sets = [np.array(sorted({rnd.getrandbits(63) for _ in range(n)}), dtype=np.uint64) for n in (1, 5, 120, 128, 129, 200, 700, 9000)]
+    sets += [s[:max(1, len(s) * k // 100)] for s in sets for k in (74, 75, 80, 99)]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(len(sets))]
+    one, two = (pa.array([jaccard_join.bitmap(sets[p[k]]).tobytes() for p in pairs], pa.binary()) for k in (0, 1))
+    n, m = (np.array([len(sets[p[k]]) for p in pairs]) for k in (0, 1))
+    kept = jaccard_join.allowed(n, m, one, two)
+    true = np.array([jaccard_join.links(sets[i], sets[j]) for i, j in pairs])
+    assert true.any() and not (true & ~kept).any() and kept.sum() < len(pairs) / 2
+
+
 def test_jaccard_repeated_rows_and_empty_table(spark):
     df = docs(spark, ["a b c d e f", "a b c d e f", None], [4, 4, 4])
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.linked_components(df).collect()]
