@@ -113,8 +113,10 @@ def _pages_of(rows: DataFrame, order: str, url, html) -> DataFrame:
     most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n = rows.count()
     parts = max(min(most, n // 25_000), n // PART_BLOCKS, 1)
-    return (rows.select("game_mode", page.alias("no"), F.struct(F.col(order).alias("o"), html.alias("h")).alias("b"))
-            .repartition(parts, "game_mode", "no").groupBy("game_mode", "no").agg(F.array_sort(F.collect_list("b")).alias("bs"))
+    blocks = rows.select("game_mode", page.alias("no"), F.struct(F.col(order).alias("o"), html.alias("h")).alias("b"))
+    if parts > 1:   # what fits one part needs no number of its own
+        blocks = blocks.repartition(parts, "game_mode", "no")
+    return (blocks.groupBy("game_mode", "no").agg(F.array_sort(F.collect_list("b")).alias("bs"))
             .select((2 * F.col("no") + (F.col("game_mode") == "bakery").cast("int")).alias("page_id"), url.alias("url"),
                     F.concat(F.lit("<html><body><!-- <span class=\"appliance_single_recipe\"> -->"),
                              F.array_join(F.transform("bs", lambda b: b["h"]), "\n"), F.lit("</body></html>")).alias("html")))
